@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# The characters that count as white space, as a regex class body.
-SPACE = (
-    r"\t-\r\x1c-\x20\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# The characters that count as white space, as a regex class body. Class names and
+# ASCII ranges only: the regex engine is an order of magnitude slower on a negated class that
+# lists single characters beyond them.
+SPACE = r"\p{Z}\t-\r\x1c-\x1f\x85"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 NOT_SPACE_RUN = f"[^{SPACE}]+"
 
@@ -26,7 +25,7 @@ def clean_text(c: Column | str) -> Column:
     text = F.lower(_col(c))
     text = F.regexp_replace(text, r"<[^>\n]*>", "")
     text = F.regexp_replace(text, f"(?:http|www){NOT_SPACE_RUN}", "")
-    text = F.regexp_replace(text, "[^a-zA-Z0-9'-]+", " ")
+    text = F.regexp_replace(text, r"[^\p{Alnum}'-]+", " ")
     return F.trim(text)
 
 

@@ -99,13 +99,13 @@ def without_stop_words(words: Column, stop_words: list[str]) -> Column:
 def ngrams(words: Column, n_max: int) -> Column:
     """All n-grams of 1..n_max tokens, joined by a space."""
 
+    def of_size(seq: Column, n: int) -> Column:
+        starts = F.when(F.size(seq) >= n, F.sequence(F.lit(1), F.size(seq) - (n - 1)))
+        grams = F.transform(starts, lambda at: F.array_join(F.slice(seq, at, F.lit(n)), " "))
+        return F.coalesce(grams, F.array().cast("array<string>"))
+
     def expand(seq: Column) -> Column:
-        parts = [seq]
-        for n in range(2, n_max + 1):
-            starts = F.when(F.size(seq) >= n, F.sequence(F.lit(1), F.size(seq) - (n - 1)))
-            grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(seq, i, F.lit(n)), " "))
-            parts.append(F.coalesce(grams, F.array().cast("array<string>")))
-        return F.concat(*parts)
+        return F.concat(seq, *[of_size(seq, n) for n in range(2, n_max + 1)])
 
     if n_max == 1:
         return words

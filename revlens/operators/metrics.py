@@ -109,7 +109,7 @@ def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buc
     """
     positive = F.col(label) == 1
     points = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
         .groupBy(*groups, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )

@@ -1 +1,202 @@
-"""To be filled."""
+"""Terms, vocabularies, TF-IDF, scaling, levels and SVD."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from revlens.functions import text as tx
+from revlens.ml import vectorize as vec
+from revlens.plans.catalog import query
+from revlens.session import spread, staged
+from revlens.sources.standin import document_reviews, event_reviews, labelled_reviews, table
+
+
+def sql_terms(source: str, c: str, n: int, shortest: int = 2) -> str:
+    """grams(id, term): all n-grams of 1..n tokens."""
+    grams = " UNION ALL ".join(
+        f"SELECT id, {' || chr(32) || '.join(f'ws[i + {j}]' for j in range(k))} AS term"
+        f" FROM (SELECT id, ws, unnest(range(1, len(ws) - {k - 2})) AS i FROM lists WHERE len(ws) >= {k})"
+        for k in range(1, n + 1)
+    )
+    return (
+        f"lists AS (SELECT id, regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]{{{shortest},}}') AS ws FROM {source}),"
+        f" grams AS ({grams})"
+    )
+
+
+def sql_tfidf(source: str, c: str, n: int, min_df: float, max_df: float, limit: int | None, tf: str, idf: bool,
+              norm: str) -> str:
+    top = f"ORDER BY tf DESC, term LIMIT {limit}" if limit else ""
+    weight = tf + (" * (ln((1 + n) / (1 + df)) + 1)" if idf else "")
+    scale = {"l2": "sqrt(sum(w * w) OVER (PARTITION BY id))", "l1": "sum(abs(w)) OVER (PARTITION BY id)", "none": "1"}
+    return f"""
+    WITH {sql_terms(source, c, n)},
+    counts AS (SELECT id, term, count(*)::DOUBLE AS tf FROM grams GROUP BY ALL),
+    size AS (SELECT count(*)::DOUBLE AS n FROM {source}),
+    words AS (SELECT term, sum(tf) AS tf, count(*) AS df FROM counts, size GROUP BY term, n
+              HAVING count(*) >= {min_df} AND count(*) <= {max_df} * n {top}),
+    weights AS (SELECT id, c.term, {weight.replace('tf', 'c.tf', 1) if 'tf' in weight else weight} AS w
+                FROM counts c JOIN words USING (term), size)
+    SELECT id, term, round(w / {scale[norm]}, 6) AS weight FROM weights"""
+
+
+DOCS = "(SELECT doc_id AS id, text, split_part(text, chr(10), 1) AS summary FROM documents)"
+
+
+def docs(spark, folder):
+    return spread(document_reviews(spark, folder), "id")
+
+
+@query(
+    "term_counts",
+    f"WITH {sql_terms(DOCS, 'text', 1)} SELECT id, term, count(*) AS tf FROM grams GROUP BY ALL",
+)
+def term_counts(spark, folder):
+    return docs(spark, folder).select("id", F.inline(tx.term_counts(tx.tokens("reviewText", 2))))
+
+
+@query(
+    "ngram_counts",
+    f"WITH {sql_terms(DOCS, 'text', 3)} SELECT term, count(*) AS tf, count(DISTINCT id) AS df FROM grams"
+    " GROUP BY term HAVING count(DISTINCT id) >= 3",
+)
+def ngram_counts(spark, folder):
+    terms = tx.ngrams(tx.tokens("reviewText", 2), 3)
+    return vec.vocabulary(docs(spark, folder), terms, min_df=3).select("term", "tf", "df")
+
+
+@query(
+    "vocabulary",
+    f"""WITH {sql_terms(DOCS, 'text', 2)}, size AS (SELECT count(*) AS n FROM {DOCS})
+    SELECT term, count(*) AS tf, count(DISTINCT id) AS df FROM grams, size GROUP BY term, n
+    HAVING count(DISTINCT id) >= 5 AND count(DISTINCT id) <= 0.85 * n ORDER BY tf DESC, term LIMIT 1000""",
+)
+def vocabulary(spark, folder):
+    terms = tx.ngrams(tx.tokens("reviewText", 2), 2)
+    return vec.vocabulary(docs(spark, folder), terms, 5, 0.85, 1000).select("term", "tf", "df")
+
+
+def long(df, model):
+    return model.long(df, "id").withColumn("weight", F.round("weight", 6))
+
+
+@query("tfidf_terms", sql_tfidf(DOCS, "text", 1, 5, 0.85, 1000, "tf", True, "l2"))
+def tfidf_terms(spark, folder):
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(minDF=5.0, maxDF=0.85, maxFeatures=1000).fit(rows))
+
+
+@query("tfidf_sublinear_bigrams", sql_tfidf(DOCS, "text", 2, 3, 0.8, 2000, "(1 + ln(tf))", True, "l2"))
+def tfidf_sublinear_bigrams(spark, folder):
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(maxNgram=2, minDF=3.0, maxDF=0.8, maxFeatures=2000, sublinear=True).fit(rows))
+
+
+@query("tfidf_counts_l1", sql_tfidf(DOCS, "text", 1, 0.02, 0.9, 500, "tf", False, "l1").replace(">= 0.02", ">= 0.02 * n"))
+def tfidf_counts_l1(spark, folder):
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(minDF=0.02, maxDF=0.9, maxFeatures=500, useIdf=False, norm="l1").fit(rows))
+
+
+@query("tfidf_binary", sql_tfidf(DOCS, "text", 1, 5, 1.0, 500, "1.0", True, "none"))
+def tfidf_binary(spark, folder):
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(minDF=5.0, maxFeatures=500, binary=True, norm="none").fit(rows))
+
+
+@query("tfidf_all_terms", sql_tfidf(DOCS, "text", 1, 1, 1.0, None, "(1 + ln(tf))", True, "l2"))
+def tfidf_all_terms(spark, folder):
+    """Every term of the corpus; the vocabulary is never collected."""
+    out = vec.tfidf_table(docs(spark, folder), "id", vec.Tfidf(sublinear=True))
+    return out.withColumn("weight", F.round("weight", 6))
+
+
+@query("summary_tfidf", sql_tfidf(DOCS, "summary", 1, 1, 1.0, 500, "tf", True, "l2"))
+def summary_tfidf(spark, folder):
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(inputCol="summary", maxFeatures=500).fit(rows))
+
+
+@query("tfidf_without_stop_words")
+def tfidf_without_stop_words(spark, folder):
+    """Spark's own English stop words, so there is no SQL twin."""
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(minDF=3.0, maxFeatures=300, stopWords="english").fit(rows))
+
+
+@query(
+    "standardise",
+    """WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS q, l_extendedprice AS p,
+                     CASE WHEN l_orderkey % 10 = 0 THEN 0 ELSE l_discount END AS d FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey,
+        round((q - avg(q) OVER ()) / stddev_pop(q) OVER (), 5) AS l_quantity,
+        round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 5) AS l_extendedprice,
+        round(1.5 * (d - avg(d) OVER ()) / stddev_pop(d) OVER (), 5) AS l_discount FROM f""",
+)
+def standardise(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_discount")).alias("l_discount"),
+    )
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    model = vec.Standardise(inputCols=names, sentimentWeight=1.5, weightedCols=["l_discount"]).fit(rows)
+    return rows.withColumns({c: F.round(v, 5) for c, v in model.scaled().items()})
+
+
+@query(
+    "one_hot",
+    """SELECT event_id AS id, coalesce(CASE WHEN event_id % 7 <> 0 THEN event_type END, 'missing') AS level,
+        1.0::DOUBLE AS value FROM events WHERE event_id % 5 <> 0 OR event_type <> 'view' OR event_id % 7 = 0""",
+)
+def one_hot(spark, folder):
+    """Fitted on rows without `view` where the id is no multiple of 5: there it stays known; then
+    rows of other ids with that level are coded as zeros."""
+    rows = event_reviews(spark, folder).select(
+        "id",
+        F.when(F.col("id") % 7 != 0,
+               F.when((F.col("id") % 5 == 0) & (F.col("category") == "view"), F.lit("unseen"))
+               .otherwise(F.col("category"))).alias("category"),
+    )
+    model = vec.OneHot().fit(rows.where("category IS NULL OR category <> 'unseen'"))
+    return vec.entries(model.transform(rows), "id", "levels", model.levels, "level", "value")
+
+
+@query(
+    "svd_singular_values",
+    """WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
+    SELECT round(sum(v * v), 4) AS energy, count(DISTINCT i) AS components FROM x""",
+)
+def svd_singular_values(spark, folder):
+    """All components together carry the squared norm of the vectors."""
+    rows = table(spark, folder, "embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("x")
+    )
+    model = vec.Svd(inputCol="x", k=64).fit(rows)
+    values = spark.createDataFrame([(float(s),) for s in model.singular_values], "s double")
+    return values.agg(F.round(F.sum(F.col("s") * F.col("s")), 4).alias("energy"), F.count("*").alias("components"))
+
+
+@query("svd_features")
+def svd_features(spark, folder):
+    rows = docs(spark, folder).select("id", "reviewText")
+    tfidf = vec.Tfidf(minDF=5.0, maxDF=0.85, maxFeatures=500).fit(rows)
+    vectors = staged(tfidf.transform(rows).select("id", "tfidf"), "tfidf")
+    scores = vec.Svd(k=10).fit(vectors).transform(vectors)
+    return scores.select("id", F.transform(vector_to_array("svd"), lambda v: F.round(v, 6)).alias("scores"))
+
+
+@query("assembled_features")
+def assembled_features(spark, folder):
+    """Text, summary, numeric and category branches in one vector, dimensions and norm per row."""
+    rows = tx.text_stats(spread(labelled_reviews(spark, folder), "id"))
+    steps = vec.feature_steps(
+        summary="summary", numeric=["review_length", "num_words"], categorical=["category"], minDF=2.0,
+        maxFeatures=500,
+    )
+    model = Pipeline(stages=list(steps.values())).fit(rows)
+    parts = F.unwrap_udt("features")
+    square = F.aggregate(parts["values"], F.lit(0.0), lambda s, v: s + v * v)
+    size = F.coalesce(parts["size"], F.size(parts["values"]))
+    return model.transform(rows).select("id", size.alias("dimensions"), F.round(F.sqrt(square), 6).alias("norm"))

@@ -383,8 +383,10 @@ def param_map(steps: dict[str, Params], settings: dict) -> dict[Param, object]:
             raise ValueError(f"no step {step!r}; steps are {sorted(steps)}")
         wanted = ALIASES.get(name, name)
         wanted = wanted if isinstance(wanted, tuple) else (wanted,)
-        owners = [steps[step], getattr(steps[step], "inner", None)]
-        found = [o.getParam(w) for o in owners if o is not None for w in wanted if o.hasParam(w)]
+        owners = [steps[step]]
+        while getattr(owners[-1], "inner", None) is not None:
+            owners.append(owners[-1].inner)
+        found = [o.getParam(w) for o in owners for w in wanted if o.hasParam(w)]
         if not found:
             raise ValueError(f"step {step!r} has no parameter {name!r}")
         out[found[0]] = value

@@ -1 +1,290 @@
-"""To be filled."""
+"""Classifiers, stacking, search and clustering on the given tables; checked by rows only, but for
+the constant baseline."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from revlens.functions import text as tx
+from revlens.ml import classifiers as cl
+from revlens.ml import clustering, compare, search
+from revlens.ml import evaluate as ev
+from revlens.ml import vectorize as vec
+from revlens.operators import metrics, split
+from revlens.plans import jobs
+from revlens.plans.catalog import query
+from revlens.plans.catalog.features import CORPUS
+from revlens.plans.catalog.metrics import sql_per_class
+from revlens.session import spread, staged
+from revlens.sources.standin import event_reviews, labelled_reviews, table
+
+
+def text_rows(spark, folder):
+    """Labelled documents with text statistics and sentiment."""
+    from revlens.functions.sentiment import add_sentiment
+
+    rows = spread(labelled_reviews(spark, folder), "id")
+    return add_sentiment(tx.text_stats(tx.clean_columns(rows, "reviewText", "summary")), "reviewText", CORPUS)
+
+
+def text_vectors(spark, folder):
+    """(id, label, features, fold) of the labelled documents, written once."""
+    rows = staged(text_rows(spark, folder), "text-rows")
+    steps = vec.feature_steps(
+        numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0, maxDF=0.9, maxFeatures=300
+    )
+    vectors = Pipeline(stages=list(steps.values())).fit(rows).transform(rows).select("id", "label", "features")
+    return search.with_folds(vectors, "id", 3)
+
+
+def rating_vectors(spark, folder):
+    """(id, label 0..4, features, fold) of the rated events."""
+    rows = event_reviews(spark, folder).select(
+        "id", (F.col("overall") - 1).alias("label"), "category",
+        (F.col("value") + F.col("id") % 13).alias("value"), F.hour("ts").alias("review_hour"),
+    )
+    stages = [
+        vec.Standardise(inputCols=["value", "review_hour"], outputCol="_numeric"),
+        vec.OneHot(outputCol="_category"),
+        VectorAssembler(inputCols=["_numeric", "_category"], outputCol="features"),
+    ]
+    vectors = Pipeline(stages=stages).fit(rows).transform(rows).select("id", "label", "features")
+    return search.with_folds(vectors, "id", 3)
+
+
+def held_out(rows, model):
+    """Fit on folds 1 and 2, predict fold 0."""
+    fitted = model.fit(rows.where("fold <> 0"))
+    return fitted.transform(rows.where("fold = 0"))
+
+
+def answers(predicted, classes: int = 2):
+    columns = ["id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")]
+    if "probability" in predicted.columns:
+        p = vector_to_array("probability")
+        columns.append(F.round(p[1] if classes == 2 else F.array_max(p), 6).alias("score"))
+    elif "rawPrediction" in predicted.columns:
+        columns.append(F.round(vector_to_array("rawPrediction")[1], 6).alias("score"))
+    return predicted.select(*columns)
+
+
+SQL_ZERO = "p AS (SELECT doc_id, quality AS label, 0 AS prediction FROM labels)"
+
+
+@query(
+    "constant_baseline",
+    f"""WITH {SQL_ZERO}, {sql_per_class('p')}
+    SELECT round(avg(f1), 6) AS macro_f1, round(sum(tp) / sum(support), 6) AS accuracy FROM per""",
+)
+def constant_baseline(spark, folder):
+    rows = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    out = metrics.scores(cl.constant(rows, 0).withColumn("prediction", F.col("prediction").cast("int")))
+    return out.withColumns({c: F.round(c, 6) for c in out.columns})
+
+
+@query("logistic_regression")
+def logistic_regression(spark, folder):
+    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0)))
+
+
+@query("logistic_regression_l1")
+def logistic_regression_l1(spark, folder):
+    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, penalty="l1")))
+
+
+@query("logistic_multinomial")
+def logistic_multinomial(spark, folder):
+    return answers(held_out(rating_vectors(spark, folder), cl.logistic(multinomial=True, max_iter=50)), 5)
+
+
+@query("random_forest")
+def random_forest(spark, folder):
+    return answers(held_out(text_vectors(spark, folder), cl.random_forest(n_estimators=10, max_depth=8)))
+
+
+@query("gradient_boosting")
+def gradient_boosting(spark, folder):
+    model = cl.gradient_boosting(n_estimators=8, max_depth=3, subsample=0.8, validation_share=0.1)
+    return answers(held_out(text_vectors(spark, folder), model))
+
+
+@query("gradient_boosting_multiclass")
+def gradient_boosting_multiclass(spark, folder):
+    model = cl.gradient_boosting(n_estimators=3, max_depth=3, classes=5)
+    return answers(held_out(rating_vectors(spark, folder), model), 5)
+
+
+@query("linear_svm")
+def linear_svm(spark, folder):
+    return answers(held_out(text_vectors(spark, folder), cl.linear_svm(max_iter=30)))
+
+
+@query("perceptron")
+def perceptron(spark, folder):
+    return answers(held_out(text_vectors(spark, folder), cl.perceptron(max_iter=8)))
+
+
+@query("stacking")
+def stacking(spark, folder):
+    rows = text_vectors(spark, folder)
+    return answers(held_out(rows, jobs.stack(folds=3, trees=10, rounds=5, depth=6, parallelism=4)))
+
+
+@query("stacking_multiclass")
+def stacking_multiclass(spark, folder):
+    rows = rating_vectors(spark, folder)
+    model = jobs.stack(classes=5, folds=2, trees=5, rounds=2, depth=5, parallelism=4)
+    return answers(held_out(rows, model), 5)
+
+
+@query("stacking_out_of_fold")
+def stacking_out_of_fold(spark, folder):
+    """Meta features: each row scored by base models that did not see it."""
+    model = jobs.stack(folds=2, trees=5, rounds=3, depth=5, parallelism=4)
+    out = model.out_of_fold(text_vectors(spark, folder).drop("fold"))
+    return out.select("id", F.transform(vector_to_array("_base"), lambda v: F.round(v, 6)).alias("base_scores"))
+
+
+@query("fit_all_predict_test")
+def fit_all_predict_test(spark, folder):
+    """The whole text model with named settings: fitted on the labelled documents, applied to all others."""
+    from revlens.sources.standin import document_reviews
+
+    train = staged(text_rows(spark, folder), "train")
+    settings = {
+        "text__max_features": 300, "text__min_df": 2.0, "text__max_df": 0.85, "text__max_ngram": 2,
+        "lr__C": 0.5, "rf__n_estimators": 10, "rf__max_depth": 6, "gb__n_estimators": 5,
+        "gb__learning_rate": 0.1, "final_estimator__C": 2.0,
+    }
+    stack = jobs.stack(folds=2, parallelism=4)
+    model = jobs.train_stacked(train, settings, stack)
+    others = spread(document_reviews(spark, folder), "id").join(train.select("id"), "id", "left_anti")
+    cleaned = tx.text_stats(tx.clean_columns(others, "reviewText", "summary"))
+    from revlens.functions.sentiment import add_sentiment
+
+    test = add_sentiment(cleaned, "reviewText", CORPUS)
+    out = jobs.predict_split(model, test)
+    return out.select("id", "prediction", F.round(F.col("probability")[1], 6).alias("score"))
+
+
+@query("model_comparison")
+def model_comparison(spark, folder):
+    rows = text_vectors(spark, folder)
+    models = {
+        "LogisticRegression": cl.logistic(max_iter=50), "Perceptron": cl.perceptron(max_iter=5),
+        "SVM": cl.linear_svm(max_iter=20), "RandomForest": cl.random_forest(n_estimators=10, max_depth=6),
+    }
+    return compare.on_holdout(rows.where("fold <> 0"), rows.where("fold = 0"), models, 4)
+
+
+@query("cutoff_comparison")
+def cutoff_comparison(spark, folder):
+    """Out-of-fold scores of one classifier for each rating cutoff."""
+    rows = rating_vectors(spark, folder)
+    out = None
+    for cutoff in (1, 2, 3, 4):
+        binary = rows.withColumn("label", (F.col("label") + 1 > cutoff).cast("int"))
+        part = compare.on_folds(binary, {"logreg": cl.logistic(max_iter=20)}, 3, parallelism=3)
+        part = part.withColumn("cutoff", F.lit(cutoff))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("cross_validated_predictions")
+def cross_validated_predictions(spark, folder):
+    return answers(search.cross_val_predict(cl.logistic(max_iter=30), text_vectors(spark, folder), 3, parallelism=3))
+
+
+def _search(spark, folder, model=None):
+    model = model or cl.logistic(max_iter=20)
+    return search.Search(model, {"clf": model}, text_vectors(spark, folder), 3, parallelism=4)
+
+
+@query("grid_search")
+def grid_search(spark, folder):
+    return _search(spark, folder).grid({"clf__C": [0.1, 1.0, 10.0]}).table()
+
+
+@query("random_search")
+def random_search(spark, folder):
+    forest = cl.random_forest(max_depth=5)
+    space = {"clf__n_estimators": search.Whole(4, 10), "clf__min_samples_leaf": [1, 2, 5]}
+    return _search(spark, folder, forest).random(space, 3).table()
+
+
+@query("narrowed_search")
+def narrowed_search(spark, folder):
+    """A second search in ranges shrunk around the best of the first."""
+    space = {"clf__C": search.LogUniform(1e-3, 4.0)}
+    first = _search(spark, folder).random(space, 2)
+    return first.random(search.narrowed(space, first.best.settings), 2, seed=43).table()
+
+
+@query("round_search")
+def round_search(spark, folder):
+    return _search(spark, folder).rounds({"clf__C": search.LogUniform(1e-3, 4.0)}, rounds=2, per_round=2).table()
+
+
+@query("refit_best")
+def refit_best(spark, folder):
+    found = _search(spark, folder).grid({"clf__C": [0.1, 1.0]})
+    return answers(found.refit().transform(found.rows))
+
+
+@query("text_search")
+def text_search(spark, folder):
+    """Search over vocabulary and classifier settings together; the features are refitted per fold."""
+    rows = text_rows(spark, folder)
+    steps = vec.feature_steps(numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0, maxFeatures=100)
+    steps["clf"] = cl.logistic(max_iter=20)
+    folded = search.with_folds(rows, "id", 2)
+    found = search.Search(Pipeline(stages=list(steps.values())), steps, folded, 2, parallelism=4)
+    return found.grid({"text__max_features": [50, 200], "clf__C": [1.0]}).table()
+
+
+@query("permutation_importance")
+def permutation_importance(spark, folder):
+    rows = staged(
+        event_reviews(spark, folder).select("id", (F.col("overall") > 2).cast("int").alias("label"), "value", F.hour("ts").alias("hour")),
+        "importance",
+    )
+    stages = [vec.Standardise(inputCols=["value", "hour"], outputCol="features"), cl.logistic(max_iter=20)]
+    model = Pipeline(stages=stages).fit(rows)
+    return ev.permutation_importance(model, rows, "id", ["value", "hour"], ev.MacroF1Evaluator(), repeats=2)
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, folder):
+    """Cluster sizes against the known labels."""
+    rows = staged(
+        table(spark, folder, "embeddings").select(
+            "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label"
+        ),
+        "embeddings",
+    )
+    clustered = clustering.kmeans(rows, 10).transform(rows)
+    return clustered.groupBy("cluster", "label").agg(F.count("*").alias("rows"))
+
+
+@query("kmeans_text_quality")
+def kmeans_text_quality(spark, folder):
+    """K-means on text vectors, scored by silhouette and by Rand index against the category."""
+    from revlens.sources.standin import document_reviews
+
+    docs = spread(document_reviews(spark, folder), "id")
+    tfidf = vec.Tfidf(minDF=5.0, maxDF=0.85, maxFeatures=300, outputCol="features").fit(docs)
+    rows = staged(tfidf.transform(docs).select("id", "category", "features"), "text-vectors")
+    clustered = clustering.kmeans(rows, 4).transform(rows)
+    rand = metrics.rand_index(clustered, "cluster", "category").first()[0]
+    return clustering.silhouette(clustered).withColumn("rand_index", F.lit(rand))
+
+
+@query("oversampled_training")
+def oversampled_training(spark, folder):
+    """Training rows raised to equal classes instead of weighted."""
+    rows = text_vectors(spark, folder)
+    even = staged(split.oversample(rows.where("fold <> 0"), "id", "label"), "even")
+    return answers(cl.logistic(balanced=False, max_iter=30).fit(even).transform(rows.where("fold = 0")))

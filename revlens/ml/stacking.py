@@ -103,7 +103,13 @@ class Stacking(Estimator, HasLabelCol, HasFeaturesCol):
 
     def _fit(self, df: DataFrame) -> StackingModel:
         rows = self._prepare(df)
-        meta_rows = with_meta_features(self._out_of_fold(rows), self.getFeaturesCol(), self.getOrDefault("passthrough"))
+        # Written too: else every pass of the meta fit would score all rows by all base models again.
+        meta_rows = staged(
+            with_meta_features(
+                self._out_of_fold(rows), self.getFeaturesCol(), self.getOrDefault("passthrough")
+            ).select(self.getLabelCol(), "_meta"),
+            "stack-meta",
+        )
         meta = self.meta.copy()
         meta.inner._set(featuresCol="_meta")
         jobs = [lambda b=b: b.fit(rows) for b in self._renamed()] + [lambda: meta.fit(meta_rows)]

@@ -130,20 +130,20 @@ def perceptron(spark, folder):
 @query("stacking")
 def stacking(spark, folder):
     rows = text_vectors(spark, folder)
-    return answers(held_out(rows, jobs.stack(folds=3, trees=10, rounds=5, depth=6, parallelism=4)))
+    return answers(held_out(rows, jobs.stack(folds=3, trees=10, rounds=5, depth=6, iterations=20, parallelism=4)))
 
 
 @query("stacking_multiclass")
 def stacking_multiclass(spark, folder):
     rows = rating_vectors(spark, folder)
-    model = jobs.stack(classes=5, folds=2, trees=5, rounds=2, depth=5, parallelism=4)
+    model = jobs.stack(classes=5, folds=2, trees=5, rounds=2, depth=5, iterations=20, parallelism=4)
     return answers(held_out(rows, model), 5)
 
 
 @query("stacking_out_of_fold")
 def stacking_out_of_fold(spark, folder):
     """Meta features: each row scored by base models that did not see it."""
-    model = jobs.stack(folds=2, trees=5, rounds=3, depth=5, parallelism=4)
+    model = jobs.stack(folds=2, trees=5, rounds=3, depth=5, iterations=20, parallelism=4)
     out = model.out_of_fold(text_vectors(spark, folder).drop("fold"))
     return out.select("id", F.transform(vector_to_array("_base"), lambda v: F.round(v, 6)).alias("base_scores"))
 
@@ -159,7 +159,7 @@ def fit_all_predict_test(spark, folder):
         "lr__C": 0.5, "rf__n_estimators": 10, "rf__max_depth": 6, "gb__n_estimators": 5,
         "gb__learning_rate": 0.1, "final_estimator__C": 2.0,
     }
-    stack = jobs.stack(folds=2, parallelism=4)
+    stack = jobs.stack(folds=2, iterations=20, parallelism=4)
     model = jobs.train_stacked(train, settings, stack)
     others = spread(document_reviews(spark, folder), "id").join(train.select("id"), "id", "left_anti")
     cleaned = tx.text_stats(tx.clean_columns(others, "reviewText", "summary"))

@@ -53,15 +53,15 @@ def model_rows(features: DataFrame, label=None, row_id: str = "id") -> DataFrame
 
 
 def stack(classes: int = 2, folds: int = 3, row_id: str = "id", seed: int = 42, parallelism: int = 2,
-          trees: int = 100, rounds: int = 100, depth: int | None = None) -> Stacking:
+          trees: int = 100, rounds: int = 100, depth: int | None = None, iterations: int = 100) -> Stacking:
     """Logistic regression, forest and boosting under a logistic regression."""
     return Stacking(
         bases={
-            "lr": cl.logistic(multinomial=classes > 2),
+            "lr": cl.logistic(multinomial=classes > 2, max_iter=iterations),
             "rf": cl.random_forest(n_estimators=trees, max_depth=depth, seed=seed),
             "gb": cl.gradient_boosting(n_estimators=rounds, classes=classes, seed=seed, row_id=row_id),
         },
-        meta=cl.logistic(multinomial=classes > 2),
+        meta=cl.logistic(multinomial=classes > 2, max_iter=iterations),
         numFolds=folds, classes=classes, idCol=row_id, seed=seed, parallelism=parallelism,
     )
 

@@ -31,14 +31,13 @@ def session(master: str | None = None, shuffle_partitions: int | None = None) ->
 
 def staging_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`); a private one only for local runs."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    private = tempfile.mkdtemp(prefix="revlens-")
-    spark.conf.set("spark.checkpoint.dir", private)
-    return private
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

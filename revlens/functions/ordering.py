@@ -10,4 +10,5 @@ KEY_BITS = 60
 def order_key(c: Column | str, seed: int = 42) -> Column:
     """Uniform 60-bit key of a row id and a seed."""
     text = F.concat(F.lit(f"{seed}:"), (F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("bigint")
+    key = F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("bigint")
+    return F.coalesce(key, F.lit(0))  # never NULL, so joins on it need no extra filter

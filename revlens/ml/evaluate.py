@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.evaluation import Evaluator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from revlens.functions.ordering import KEY_BITS, order_key
 from revlens.operators import metrics
-from revlens.operators.ranking import ranked
+from revlens.operators.ranking import BUCKET_BYTES
+from revlens.session import pieces
 
 
 class MacroF1Evaluator(Evaluator):
@@ -28,13 +30,17 @@ class MacroF1Evaluator(Evaluator):
 def shuffled(df: DataFrame, row_id: str, column: str, seed: int) -> DataFrame:
     """The table with one column's values moved to other rows.
 
-    Rows are numbered in two seeded orders and the values joined across; both numberings and the
-    join spread evenly whatever the values are.
+    The leading bits of a seeded order key cut the rows into even random blocks; inside a block
+    every row gets the value of the row before it in the seeded order, the first that of the last.
+    One shuffle, no join, and no block grows with the table.
     """
-    target = ranked(df, row_id, seed=seed, rank="_to")
-    values = ranked(df.select(row_id, F.col(column).alias("_value")), row_id, seed=seed + 1_000_003, rank="_to")
-    moved = target.join(values.select("_to", "_value"), on="_to")
-    return moved.withColumn(column, F.col("_value")).select(*df.columns)
+    bits = (pieces(df, BUCKET_BYTES, 1, 1 << 18) - 1).bit_length()
+    keyed = df.withColumn("_h", order_key(row_id, seed))
+    block = W.partitionBy(F.shiftright("_h", KEY_BITS - bits)).orderBy("_h", row_id)
+    whole = block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    value = F.struct(F.col(column).alias("v"))
+    moved = keyed.withColumn("_moved", F.coalesce(F.lag(value).over(block), F.last(value).over(whole)))
+    return moved.withColumn(column, F.col("_moved.v")).select(*df.columns)
 
 
 def permutation_importance(model: Transformer, df: DataFrame, row_id: str, columns: list[str],

@@ -28,6 +28,7 @@ from revlens.session import constant_array, lookup_join
 
 MAX_TERMS = 1_000_000  # a vocabulary beyond this stays a table: tfidf_table
 MAX_LEVELS = 100_000
+GRAM_FEATURES = 4096  # 128 MB of products
 
 
 def _param(name: str, doc: str, convert) -> Param:
@@ -188,7 +189,9 @@ def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf) -> DataFrame:
 class Svd(Estimator, HasInputCol, HasOutputCol):
     """Uncentred truncated SVD: scores of a row are its vector times V.
 
-    Each column of V is turned so that its entry of largest magnitude is positive.
+    Each column of V is turned so that its entry of largest magnitude is positive. Up to
+    `GRAM_FEATURES` features one pass sums the products of all feature pairs and the driver solves
+    that fixed-size matrix; beyond it Spark iterates over the rows.
     """
 
     k = _param("k", "number of components", TypeConverters.toInt)
@@ -202,12 +205,16 @@ class Svd(Estimator, HasInputCol, HasOutputCol):
     def _fit(self, df: DataFrame) -> SvdModel:
         vectors = MLUtils.convertVectorColumnsFromML(df.select(self.getInputCol()), self.getInputCol())
         matrix = RowMatrix(vectors)
-        k = min(self.getOrDefault("k"), matrix.numCols())
-        svd = matrix.computeSVD(k)
-        v = svd.V.toArray()
+        n = matrix.numCols()
+        k = min(self.getOrDefault("k"), n)
+        if n <= GRAM_FEATURES:
+            values, basis = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+            values, v = np.sqrt(np.maximum(values[::-1][:k], 0)), basis[:, ::-1][:, :k]
+        else:
+            svd = matrix.computeSVD(k)
+            values, v = svd.s.toArray(), svd.V.toArray()
         top = np.abs(v).argmax(axis=0)
-        v = v * np.sign(v[top, np.arange(v.shape[1])])
-        return self._copyValues(SvdModel(v, svd.s.toArray()))
+        return self._copyValues(SvdModel(v * np.sign(v[top, np.arange(v.shape[1])]), values))
 
 
 class SvdModel(Model, HasInputCol, HasOutputCol):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_SHARE = 1000  # a key is hot from 1/1000 of all rows on: at most 1000 keys can be
+HOT_SHARE = 100_000  # a key is hot above 1/100000 of all rows: fewer than 100000 keys can be
 SALTS = 1024
 
 

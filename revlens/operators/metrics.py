@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKETS = 256
+from revlens.session import pieces
+
+BUCKET_BYTES = 64 << 20
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -98,7 +100,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     return rolled.select(F.inline(F.when(F.col("_all") == 1, summary).otherwise(single)))
 
 
-def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buckets: int) -> DataFrame:
+def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buckets: int | None) -> DataFrame:
     """Per group and distinct score, highest first: positives and negatives at the score (`pos`,
     `neg`), before it (`pos_before`, `neg_before`), at the next lower score (`next_pos`,
     `next_neg`), and in the group (`all_pos`, `all_neg`).
@@ -113,6 +115,8 @@ def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buc
         .groupBy(*groups, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
+    if buckets is None:
+        buckets = pieces(points, BUCKET_BYTES, 16, 4096)
     cuts = points.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [-float("inf"), *sorted(set(cuts) - {float("inf"), -float("inf")}), float("inf")]
     if len(splits) > 2:
@@ -147,7 +151,7 @@ def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buc
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", groups: tuple[str, ...] = (),
-              drop_collinear: bool = False, buckets: int = BUCKETS) -> DataFrame:
+              drop_collinear: bool = False, buckets: int | None = None) -> DataFrame:
     """(fpr, tpr, threshold), with the origin at an infinite threshold.
 
     `drop_collinear` leaves out inner points on a straight line between their neighbours.
@@ -169,7 +173,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", groups:
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "score", groups: tuple[str, ...] = (),
-        out: str = "auc", buckets: int = BUCKETS) -> DataFrame:
+        out: str = "auc", buckets: int | None = None) -> DataFrame:
     """Area under the exact curve; a tie counts one half. NULL when a class is empty."""
     points = _running(df, label, score, groups, buckets)
     area = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2.0))

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
+from revlens.session import pieces
 
-BUCKET_BITS = 14
+BUCKET_BYTES = 32 << 20
 
 
 def ranked(df: DataFrame, row_id: str, groups: tuple[str, ...] = (), seed: int = 42,
-           rank: str = "rank", total: str | None = None, bits: int = BUCKET_BITS) -> DataFrame:
+           rank: str = "rank", total: str | None = None, bits: int | None = None) -> DataFrame:
     """1-based number of each row in its group, in a seeded order of the unique `row_id`.
 
     The order key is uniform, so its leading bits cut every group, however large, into even
     buckets. A row's number is its place inside the bucket plus the rows of the earlier buckets,
-    which come from one small count table. Rows without a group value form a group.
+    which come from one small count table. The number of buckets follows the size of the table
+    and has no influence on the result. Rows without a group value form a group.
     """
+    if bits is None:
+        bits = (pieces(df, BUCKET_BYTES, 16, 1 << 18) - 1).bit_length()
     group = F.struct(*[F.col(g) for g in groups]) if groups else F.struct(F.lit(0).alias("all"))
     keyed = df.withColumns({"_g": group, "_h": order_key(row_id, seed)}).withColumn(
         "_b", F.shiftright("_h", KEY_BITS - bits).cast("int")

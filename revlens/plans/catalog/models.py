@@ -26,7 +26,7 @@ def text_rows(spark, folder):
     """Labelled documents with text statistics and sentiment."""
     from revlens.functions.sentiment import add_sentiment
 
-    rows = spread(labelled_reviews(spark, folder), "id")
+    rows = labelled_reviews(spark, folder)
     return add_sentiment(tx.text_stats(tx.clean_columns(rows, "reviewText", "summary")), "reviewText", CORPUS)
 
 
@@ -87,12 +87,12 @@ def constant_baseline(spark, folder):
 
 @query("logistic_regression")
 def logistic_regression(spark, folder):
-    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0)))
+    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, max_iter=50)))
 
 
 @query("logistic_regression_l1")
 def logistic_regression_l1(spark, folder):
-    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, penalty="l1")))
+    return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, penalty="l1", max_iter=50)))
 
 
 @query("logistic_multinomial")

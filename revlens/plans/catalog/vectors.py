@@ -190,7 +190,7 @@ def svd_features(spark, folder):
 @query("assembled_features")
 def assembled_features(spark, folder):
     """Text, summary, numeric and category branches in one vector, dimensions and norm per row."""
-    rows = tx.text_stats(spread(labelled_reviews(spark, folder), "id"))
+    rows = tx.text_stats(labelled_reviews(spark, folder))
     steps = vec.feature_steps(
         summary="summary", numeric=["review_length", "num_words"], categorical=["category"], minDF=2.0,
         maxFeatures=500,

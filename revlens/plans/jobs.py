@@ -14,7 +14,7 @@ from revlens.operators import metrics
 from revlens.operators.labels import above
 from revlens.operators.preprocess import review_features
 from revlens.schema import UNUSED, drop_columns
-from revlens.session import staged
+from revlens.session import spread, staged
 from revlens.sources.sinks import write_processed
 
 # Numeric inputs of the models, and known good settings for cutoff 1.
@@ -41,8 +41,8 @@ BEST_CUTOFF_1 = {
 def feature_job(train: DataFrame, test: DataFrame, folder: str, row_id: str = "id") -> tuple[DataFrame, DataFrame]:
     """Feature tables of both sides, written and read back; each side counts its own reviewers."""
     return (
-        write_processed(review_features(train, row_id), f"{folder}/processed_train"),
-        write_processed(review_features(test, row_id), f"{folder}/processed_test"),
+        write_processed(review_features(spread(train, row_id), row_id), f"{folder}/processed_train"),
+        write_processed(review_features(spread(test, row_id), row_id), f"{folder}/processed_test"),
     )
 
 

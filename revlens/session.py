@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+SPLIT_BYTES = 128 << 20  # size of a full split of a file scan
+
+
 def session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session for this package; on a cluster the submit settings win over everything here."""
     builder = (
@@ -51,14 +54,24 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of a table; nothing is run for it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def pieces(df: DataFrame, piece_bytes: int, least: int, most: int) -> int:
+    """Into how many pieces of about `piece_bytes` a table should be cut."""
+    return max(least, min(most, -(-planned_bytes(df) // piece_bytes)))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy per-row work every core when the scan has fewer splits than there are cores.
+    """Give heavy per-row work every core when a scan is too small to be split that often.
 
-    A scan of many files already has more splits and is returned unchanged, so nothing large is
-    ever shuffled for this.
+    A scan that fills every core with full-sized splits is returned unchanged, so nothing large
+    is ever shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if planned_bytes(df) >= cores * SPLIT_BYTES:
         return df
     return df.repartition(cores, *keys)
 

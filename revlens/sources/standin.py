@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from revlens.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def document_reviews(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
     """Documents that carry a label, as a training table."""
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
-    return document_reviews(spark, folder).join(labels, "id")
+    return spread(document_reviews(spark, folder), "id").join(labels, "id")
 
 
 def event_reviews(spark: SparkSession, folder: str) -> DataFrame:

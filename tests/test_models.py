@@ -110,7 +110,7 @@ def test_cross_validated_predictions_cover_every_row_once(binary):
 
 def test_search(binary):
     folded = search.with_folds(binary, "id", 2)
-    model = cl.logistic(max_iter=10)
+    model = cl.logistic(max_iter=10, penalty="l1")
     found = search.Search(model, {"clf": model}, folded, 2, parallelism=4).grid({"clf__C": [1e-7, 1.0]})
     assert found.best.settings == {"clf__C": 1.0}
     assert found.table().first()["trial"] == found.best.number == 1

@@ -9,6 +9,7 @@ from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
+    HashingTF,
     Normalizer,
     OneHotEncoder,
     StopWordsRemover,
@@ -24,7 +25,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from revlens.functions import text as tx
-from revlens.session import constant_array, lookup_join
+from revlens.operators.frequency import skew_join
+from revlens.session import constant_array, staged
 
 MAX_TERMS = 1_000_000  # a vocabulary beyond this stays a table: tfidf_table
 MAX_LEVELS = 100_000
@@ -61,24 +63,32 @@ class TfidfParams(HasInputCol, HasOutputCol):
         return tx.ngrams(tx.without_stop_words(words, stop), self.getOrDefault("maxNgram"))
 
 
-def vocabulary(df: DataFrame, terms: Column, min_df: float = 1.0, max_df: float = 1.0,
-               max_features: int = 0) -> DataFrame:
-    """(term, tf, df, n_docs) of the kept terms.
+def counted_terms(df: DataFrame, terms: Column) -> DataFrame:
+    """(term, tf, df, n_docs) of every term.
 
     Terms are counted inside each row first and summed map-side, so the shuffle carries one row
-    per term and task. Equal frequencies are ordered by the term.
+    per term and task.
     """
     counted = df.select(F.inline(tx.term_counts(terms))).groupBy("term").agg(
         F.sum("tf").alias("tf"), F.count("*").alias("df")
     )
-    n = df.agg(F.count("*")).scalar()
-    out = counted.withColumn("n_docs", n)
+    return counted.withColumn("n_docs", df.agg(F.count("*")).scalar())
+
+
+def kept_terms(counted: DataFrame, min_df: float = 1.0, max_df: float = 1.0, max_features: int = 0) -> DataFrame:
+    """The terms inside the document limits; the most frequent ones, ties in order of the term."""
     least = F.lit(min_df) if min_df >= 1 else F.col("n_docs") * min_df
     most = F.col("n_docs") * max_df if max_df <= 1 else F.lit(max_df)
-    out = out.where((F.col("df") >= least) & (F.col("df") <= most))
+    out = counted.where((F.col("df") >= least) & (F.col("df") <= most))
     return out.orderBy(F.desc("tf"), "term").limit(max_features) if max_features else out
 
 
+def vocabulary(df: DataFrame, terms: Column, min_df: float = 1.0, max_df: float = 1.0,
+               max_features: int = 0) -> DataFrame:
+    """(term, tf, df, n_docs) of the kept terms."""
+    return kept_terms(counted_terms(df, terms), min_df, max_df, max_features)
+
+
 class Tfidf(Estimator, TfidfParams):
     """One vocabulary for the whole table; terms are indexed in alphabetical order."""
 
@@ -162,14 +172,23 @@ def entries(df: DataFrame, row_id: str, vector: str, names: list[str], name: str
     return pairs.select(row_id, F.get(constant_array(names, "string"), F.col("e.i")).alias(name), F.col("e.v").alias(value))
 
 
-def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf) -> DataFrame:
+def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf, broadcast_rows: int = 100_000) -> DataFrame:
     """(row_id, term, weight) for a vocabulary of any size, with the settings of a `Tfidf`.
 
-    The vocabulary stays a table and is joined, by broadcast only if it is found small.
+    The vocabulary stays a table, written once. It is broadcast only when it is found to have at
+    most `broadcast_rows` rows; beyond that the join takes the frequent terms, kept or not, out of
+    the shuffle.
     """
     get = settings.getOrDefault
-    words = settings.vocabulary(df).select("term", "df", "n_docs")
+    counted = staged(counted_terms(df, settings.terms()), "terms")
+    kept = staged(kept_terms(counted, get("minDF"), get("maxDF"), get("maxFeatures")), "vocabulary")
     counts = df.select(row_id, F.inline(tx.term_counts(settings.terms())))
+    if kept.count() <= broadcast_rows:
+        out = counts.join(F.broadcast(kept.select("term", "df", "n_docs")), "term")
+    else:
+        marked = counted.select("term", "df", "n_docs").join(kept.select("term", F.lit(True).alias("kept")), "term", "left")
+        found = skew_join(counts, marked, "term", "df", F.xxhash64(row_id))
+        out = found.where("found.kept").select(row_id, "term", "tf", "found.df", "found.n_docs")
     weight = F.col("tf").cast("double")
     if get("binary"):
         weight = F.lit(1.0)
@@ -177,7 +196,7 @@ def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf) -> DataFrame:
         weight = 1 + F.log(weight)
     if get("useIdf"):
         weight = weight * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
-    out = lookup_join(counts, words, ["term"], "inner").withColumn("weight", weight)
+    out = out.withColumn("weight", weight)
     row = W.partitionBy(row_id)
     if get("norm") == "l2":
         out = out.withColumn("weight", F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(row)))
@@ -186,6 +205,13 @@ def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf) -> DataFrame:
     return out.select(row_id, "term", "weight")
 
 
+def hashed_counts(df: DataFrame, text: str, features: int = 1 << 18, out: str = "hashed", min_length: int = 2) -> DataFrame:
+    """Term counts at hashed positions: no vocabulary, no pass over the data before."""
+    words = tx.tokens(F.coalesce(F.col(text), F.lit("")), min_length)
+    stage = HashingTF(inputCol="_words", outputCol=out, numFeatures=features)
+    return stage.transform(df.withColumn("_words", words)).drop("_words")
+
+
 class Svd(Estimator, HasInputCol, HasOutputCol):
     """Uncentred truncated SVD: scores of a row are its vector times V.
 

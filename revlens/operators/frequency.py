@@ -1,38 +1,47 @@
-"""Rows per key, mapped back onto every row."""
+"""Per-key tables mapped back onto every row, whatever the keys' skew."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 100_000  # a key is hot above 1/100000 of all rows: fewer than 100000 keys can be
 SALTS = 1024
 
 
+def skew_join(df: DataFrame, lookup: DataFrame, key: str, rows: str, spread_by: Column) -> DataFrame:
+    """Left join with a per-key table that knows each key's number of rows in its column `rows`.
+
+    Hot keys come from a broadcast table that cannot exceed `HOT_SHARE` rows. Their rows, and those
+    without a key, are spread over `SALTS` join keys in the join with the other keys, so no task
+    receives one key's rows. The found row is added as the struct `found`.
+    """
+    total = lookup.agg(F.sum(rows)).scalar()
+    entry = F.struct(*[c for c in lookup.columns if c != key])
+    hot = lookup.where(F.col(rows) * HOT_SHARE > total).select(key, entry.alias("_hot"))
+    cold = lookup.where(F.col(rows) * HOT_SHARE <= total).select(
+        F.col(key).alias("_k"), F.lit(0).alias("_z"), entry.alias("_cold")
+    )
+    keyed = (
+        df.join(F.broadcast(hot), on=key, how="left")
+        .withColumn("_k", F.when(F.col("_hot").isNull(), F.col(key)))
+        .withColumn("_z", F.when(F.col("_k").isNull(), F.pmod(spread_by, F.lit(SALTS)).cast("int")).otherwise(0))
+    )
+    joined = keyed.join(cold, on=["_k", "_z"], how="left")
+    return joined.select(*df.columns, F.coalesce("_hot", "_cold").alias("found"))
+
+
 def key_frequency(df: DataFrame, key: str = "reviewerID", out: str = "reviewer_freq",
                   row_id: str | None = None) -> DataFrame:
     """Adds the number of rows with the same key; rows without a key get 1.
 
-    Counting combines map-side. Rows of hot keys take their count from a broadcast table that
-    cannot exceed `HOT_SHARE` rows and, like rows without a key, are spread over `SALTS` join
-    keys, so no task receives one key's rows.
+    Counting combines map-side; the counts come back by `skew_join`.
     """
     if key not in df.columns:
         return df.withColumn(out, F.lit(1).cast("bigint"))
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where(F.col("_n") * HOT_SHARE > total).select(key, F.col("_n").alias("_hot"))
-    cold = counts.where(F.col("_n") * HOT_SHARE <= total).select(
-        F.col(key).alias("_k"), F.lit(0).alias("_z"), "_n"
-    )
     spread_by = F.xxhash64(row_id) if row_id else F.xxhash64(*df.columns)
-    rows = (
-        df.join(F.broadcast(hot), on=key, how="left")
-        .withColumn("_k", F.when(F.col("_hot").isNull(), F.col(key)))
-        .withColumn("_z", F.when(F.col("_k").isNull(), F.pmod(spread_by, F.lit(SALTS))).otherwise(0))
-        .withColumn("_z", F.col("_z").cast("int"))
-    )
-    counted = rows.join(cold, on=["_k", "_z"], how="left")
-    return counted.select(*df.columns, F.coalesce("_hot", "_n", F.lit(1)).cast("bigint").alias(out))
+    counted = skew_join(df, counts, key, "_n", spread_by)
+    return counted.select(*df.columns, F.coalesce("found._n", F.lit(1)).cast("bigint").alias(out))
 
 
 def frequency_per_side(train: DataFrame, test: DataFrame, key: str = "reviewerID",

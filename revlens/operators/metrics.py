@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from revlens.session import pieces
+from revlens.session import pieces, staged
 
 BUCKET_BYTES = 64 << 20
 
@@ -117,6 +117,7 @@ def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buc
     )
     if buckets is None:
         buckets = pieces(points, BUCKET_BYTES, 16, 4096)
+    points = staged(points, "scores")  # read three times below, and scoring rows may be dear
     cuts = points.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [-float("inf"), *sorted(set(cuts) - {float("inf"), -float("inf")}), float("inf")]
     if len(splits) > 2:

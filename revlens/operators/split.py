@@ -31,20 +31,24 @@ def undersample(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataF
     return ranked(df, row_id, (label,), seed, "_r").where(F.col("_r") <= least).select(*df.columns)
 
 
-def oversample(df: DataFrame, row_id: str, label: str, seed: int = 42, copy: str = "copy") -> DataFrame:
+def oversample(df: DataFrame, row_id: str, label: str, seed: int = 42, copy: str = "copy",
+               chunk: int = 10_000) -> DataFrame:
     """Every class raised to the size of the largest one.
 
     Each row is repeated evenly; the remainder goes to the first rows in the seeded order.
-    `copy` numbers the repetitions from 0.
+    `copy` numbers the repetitions from 0. Rows that repeat more than `chunk` times are first cut
+    into chunks that move to different tasks, so a tiny class is not written out by one task.
     """
-    most = df.groupBy(label).count().agg(F.max("count")).scalar()
-    numbered = ranked(df, row_id, (label,), seed, "_r", "_t").withColumn("_most", most)
-    extra = (F.col("_r") <= F.col("_most") % F.col("_t")).cast("int")
-    times = F.floor(F.col("_most") / F.col("_t")) + extra
-    return numbered.withColumn(copy, F.explode(F.sequence(F.lit(0), (times - 1).cast("int")))).select(
-        *df.columns, copy
-    )
-
-
-def class_sizes(df: DataFrame, label: str) -> dict:
-    return dict(class_counts(df, label))
+    sizes = [n for _, n in class_counts(df, label)]
+    most, least = max(sizes), min(sizes)
+    numbered = ranked(df, row_id, (label,), seed, "_r", "_t")
+    extra = (F.col("_r") <= F.lit(most) % F.col("_t")).cast("bigint")
+    numbered = numbered.withColumn("_times", F.floor(F.lit(most) / F.col("_t")) + extra)
+    if most <= chunk * least:
+        first, last = F.lit(0).cast("bigint"), F.col("_times") - 1
+    else:
+        chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_times") - 1) / chunk))
+        numbered = numbered.withColumn("_chunk", F.explode(chunks)).repartition(row_id, "_chunk")
+        first = F.col("_chunk") * chunk
+        last = F.least(F.col("_times"), first + chunk) - 1
+    return numbered.withColumn(copy, F.explode(F.sequence(first, last))).select(*df.columns, copy)

@@ -148,6 +148,16 @@ def stacking_out_of_fold(spark, folder):
     return out.select("id", F.transform(vector_to_array("_base"), lambda v: F.round(v, 6)).alias("base_scores"))
 
 
+@query("out_of_fold_coverage", "SELECT doc_id AS id, 1 AS models, 3 AS scores, true AS in_range FROM labels")
+def out_of_fold_coverage(spark, folder):
+    """Every labelled row is scored by exactly one fold's models, with probabilities."""
+    scores = stacking_out_of_fold(spark, folder)
+    return scores.groupBy("id").agg(
+        F.count("*").alias("models"), F.max(F.size("base_scores")).alias("scores"),
+        F.bool_and(F.forall("base_scores", lambda v: v.between(0, 1))).alias("in_range"),
+    )
+
+
 @query("fit_all_predict_test")
 def fit_all_predict_test(spark, folder):
     """The whole text model with named settings: fitted on the labelled documents, applied to all others."""
@@ -245,6 +255,19 @@ def text_search(spark, folder):
     return found.grid({"text__max_features": [50, 200], "clf__C": [1.0]}).table()
 
 
+@query(
+    "shuffled_column",
+    "SELECT value, count(*) AS rows, true AS ids_kept FROM events GROUP BY value",
+)
+def shuffled_column(spark, folder):
+    """A shuffled column holds the same values, and every row is still there once."""
+    rows = event_reviews(spark, folder).select("id", "value")
+    moved = ev.shuffled(rows, "id", "value", 3)
+    whole = rows.agg(F.count("*"), F.sum("id")).first()
+    same = tuple(moved.agg(F.count("*"), F.sum("id")).first()) == tuple(whole)
+    return moved.groupBy("value").agg(F.count("*").alias("rows")).withColumn("ids_kept", F.lit(same))
+
+
 @query("permutation_importance")
 def permutation_importance(spark, folder):
     rows = staged(

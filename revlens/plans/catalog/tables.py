@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from revlens.operators import frequency, labels, profile, split
 from revlens.plans.catalog import query
 from revlens.schema import fill_and_default as fill
-from revlens.schema import require_label
+from revlens.schema import aligned, by_type, drop_columns, ensure_columns, require_label
 from revlens.sources.standin import event_reviews, table
 
 RATING = "least(5, 1 + floor(value / 25))::INT"
@@ -262,7 +262,49 @@ def rebalance_under(spark, folder):
     "rebalance_over",
     SQL_RANKED + """, t AS (SELECT *, (SELECT max(total) FROM r) AS most FROM r),
     u AS (SELECT id, overall, most // total + (n <= most % total)::INT AS times FROM t)
-    SELECT id, overall, unnest(range(times))::INT AS copy FROM u""",
+    SELECT id, overall, unnest(range(times)) AS copy FROM u""",
 )
 def rebalance_over(spark, folder):
     return split.oversample(event_reviews(spark, folder).select("id", "overall"), "id", "overall")
+
+
+@query(
+    "rebalance_over_chunked",
+    SQL_RANKED + """, t AS (SELECT *, (SELECT max(total) FROM r) AS most FROM r),
+    u AS (SELECT id, overall, most // total + (n <= most % total)::INT AS times FROM t)
+    SELECT id, overall, unnest(range(times)) AS copy FROM u""",
+)
+def rebalance_over_chunked(spark, folder):
+    """The same with single-row chunks: every repetition may move to another task."""
+    return split.oversample(event_reviews(spark, folder).select("id", "overall"), "id", "overall", chunk=1)
+
+
+@query(
+    "column_slices",
+    """SELECT o_orderkey AS id, o_totalprice AS vote, o_orderpriority AS category, 0.0::DOUBLE AS absent,
+        (o_orderkey % 2)::INT AS label FROM orders""",
+)
+def column_slices(spark, folder):
+    """Unused columns dropped, missing ones added, wanted ones kept in order."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("category"),
+        F.col("o_totalprice").alias("vote"), F.lit("x").alias("style"), (F.col("o_orderkey") % 2).cast("int").alias("label"),
+    )
+    rows = ensure_columns(drop_columns(orders, "style", "image"), {"absent": 0.0})
+    numeric, categorical = by_type(rows, ignore=("id", "label"))
+    train, _ = aligned(rows, rows.drop("label"), ["id", *numeric, *categorical, "asin"], "label")
+    return train
+
+
+@query(
+    "feature_blocks",
+    """SELECT d.doc_id AS id, n_chars, (d.doc_id % 2 = 0)::INT AS block, quality, toxic
+    FROM documents d LEFT JOIN labels USING (doc_id)""",
+)
+def feature_blocks(spark, folder):
+    """Row blocks stacked by name, then column blocks joined by id; unmatched rows stay."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "n_chars")
+    even = docs.where("id % 2 = 0").withColumn("block", F.lit(1))
+    odd = docs.where("id % 2 <> 0").select(F.lit(0).alias("block"), "n_chars", "id")
+    labels_block = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
+    return even.unionByName(odd).join(labels_block, "id", "left")

@@ -119,6 +119,25 @@ def summary_tfidf(spark, folder):
     return long(rows, vec.Tfidf(inputCol="summary", maxFeatures=500).fit(rows))
 
 
+@query("tfidf_all_bigrams", sql_tfidf(DOCS, "text", 2, 2, 0.5, None, "tf", True, "l1"))
+def tfidf_all_bigrams(spark, folder):
+    """The form for a vocabulary that is too large to be broadcast."""
+    settings = vec.Tfidf(maxNgram=2, minDF=2.0, maxDF=0.5, norm="l1")
+    out = vec.tfidf_table(docs(spark, folder), "id", settings, broadcast_rows=0)
+    return out.withColumn("weight", F.round("weight", 6))
+
+
+@query(
+    "hashed_counts",
+    f"WITH {sql_terms(DOCS, 'text', 1)} SELECT s.id, count(term) AS terms FROM {DOCS} s LEFT JOIN grams USING (id) GROUP BY s.id",
+)
+def hashed_counts(spark, folder):
+    """Counts at hashed positions add up to the number of terms."""
+    parts = F.unwrap_udt("hashed")
+    total = F.aggregate(parts["values"], F.lit(0.0), lambda a, v: a + v)
+    return vec.hashed_counts(docs(spark, folder), "reviewText").select("id", total.cast("bigint").alias("terms"))
+
+
 @query("tfidf_without_stop_words")
 def tfidf_without_stop_words(spark, folder):
     """Spark's own English stop words, so there is no SQL twin."""
@@ -165,17 +184,22 @@ def one_hot(spark, folder):
 
 @query(
     "svd_singular_values",
-    """WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
-    SELECT round(sum(v * v), 4) AS energy, count(DISTINCT i) AS components FROM x""",
+    """WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    gram AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS g FROM x a JOIN x b USING (vec_id) GROUP BY ALL)
+    SELECT round(sum(CASE WHEN i = j THEN g END), 4) AS energy, round(sum(g * g), 3) AS fourth_powers,
+        count(DISTINCT i) AS components FROM gram""",
 )
 def svd_singular_values(spark, folder):
-    """All components together carry the squared norm of the vectors."""
+    """Sums of squares and of fourth powers of the singular values, against the feature products."""
     rows = table(spark, folder, "embeddings").select(
         array_to_vector(F.col("embedding").cast("array<double>")).alias("x")
     )
     model = vec.Svd(inputCol="x", k=64).fit(rows)
     values = spark.createDataFrame([(float(s),) for s in model.singular_values], "s double")
-    return values.agg(F.round(F.sum(F.col("s") * F.col("s")), 4).alias("energy"), F.count("*").alias("components"))
+    return values.agg(
+        F.round(F.sum(F.col("s") ** 2), 4).alias("energy"), F.round(F.sum(F.col("s") ** 4), 3).alias("fourth_powers"),
+        F.count("*").alias("components"),
+    )
 
 
 @query("svd_features")

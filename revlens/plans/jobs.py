@@ -115,7 +115,8 @@ def search_job(rows: DataFrame, space: dict, n: int, k: int = 5, rounds: int = 1
 
 def evaluation(predicted: DataFrame, classes: int = 2) -> dict[str, DataFrame]:
     """Confusion, report, scores and AUC of rows with label, prediction and probability."""
-    rows = predicted.withColumn("score", vector_to_array("probability")[1])
+    answers = staged(predicted.select("label", "prediction", "probability"), "answers")
+    rows = answers.withColumn("score", vector_to_array("probability")[1])
     tables = {
         "confusion": metrics.confusion_matrix(rows),
         "report": metrics.classification_report(rows),

@@ -53,6 +53,7 @@ def test_resampling_evens_the_classes(spark):
     assert {r["count"] for r in under} == {1}
     assert {r["count"] for r in over.groupBy("g").count().collect()} == {134}
     assert over.select("id", "copy").distinct().count() == over.count()
+    assert split.oversample(df, "id", "g", chunk=7).exceptAll(over).count() == 0
     assert over.select("id").distinct().count() == df.count()
 
 

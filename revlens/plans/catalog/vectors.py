@@ -150,9 +150,9 @@ def tfidf_without_stop_words(spark, folder):
     """WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS q, l_extendedprice AS p,
                      CASE WHEN l_orderkey % 10 = 0 THEN 0 ELSE l_discount END AS d FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_partkey,
-        round((q - avg(q) OVER ()) / stddev_pop(q) OVER (), 5) AS l_quantity,
-        round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 5) AS l_extendedprice,
-        round(1.5 * (d - avg(d) OVER ()) / stddev_pop(d) OVER (), 5) AS l_discount FROM f""",
+        round((q - avg(q) OVER ()) / stddev_pop(q) OVER (), 5) + 0.0 AS l_quantity,
+        round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 5) + 0.0 AS l_extendedprice,
+        round(1.5 * (d - avg(d) OVER ()) / stddev_pop(d) OVER (), 5) + 0.0 AS l_discount FROM f""",
 )
 def standardise(spark, folder):
     rows = table(spark, folder, "lineitem").select(

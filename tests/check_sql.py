@@ -30,10 +30,10 @@ def connect(folder: str):
 def plain(value):
     if isinstance(value, bool):
         return int(value)
-    if isinstance(value, decimal.Decimal):
+    if isinstance(value, decimal.Decimal):  # exact sums of whole numbers
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
         return dt.datetime(value.year, value.month, value.day)
     if isinstance(value, (list, tuple)):

@@ -113,3 +113,13 @@ def test_profile(spark):
 def test_duplicates_keep_null_and_blank_apart(spark):
     df = spark.createDataFrame([(1, "", None), (2, None, ""), (3, "", None)], "id int, a string, b string")
     assert [(r["copies"], r["first_id"]) for r in profile.duplicates(df, ["a", "b"], "id").collect()] == [(2, 1)]
+
+
+def test_skew_join_carries_all_columns(spark, monkeypatch):
+    monkeypatch.setattr(frequency, "HOT_SHARE", 10)
+    rows, df = skewed(spark)
+    lookup = df.where("g IS NOT NULL AND g <> 'k4'").groupBy("g").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    out = frequency.skew_join(df, lookup, "g", "n", F.xxhash64("id")).select("id", "g", "found.n", "found.last").collect()
+    want = {r["g"]: (r["n"], r["last"]) for r in lookup.collect()}
+    assert len(out) == len(rows)
+    assert all((r["n"], r["last"]) == want.get(r["g"], (None, None)) for r in out)

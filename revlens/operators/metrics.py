@@ -8,26 +8,25 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from revlens.session import pieces, staged
 
 BUCKET_BYTES = 64 << 20
+MAX_CLASSES = 1000
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(label, prediction, rows) for every pair of classes seen on either side, zeros included.
 
-    Rows are counted map-side first; the pairs are filled in from that count table, which has at
-    most classes x classes rows.
+    Rows are counted map-side first; classes and pairs come from that small count table.
     """
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count("*").alias("rows")
     )
-    whole = counts.agg(
-        F.collect_list(F.struct("label", "prediction", "rows")).alias("cells"),
-        F.array_distinct(F.concat(F.collect_set("label"), F.collect_set("prediction"))).alias("classes"),
+    each = counts.select(F.explode(F.array("label", "prediction")).alias("c")).where("c IS NOT NULL").distinct()
+    found = each.limit(MAX_CLASSES + 1).agg(F.collect_list("c").alias("classes"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} values: not class columns"))
+    classes = found.select(F.when(F.size("classes") <= MAX_CLASSES, F.col("classes")).otherwise(too_many).alias("classes"))
+    pairs = classes.select("classes", F.explode("classes").alias("label")).select(
+        "label", F.explode("classes").alias("prediction")
     )
-    pairs = whole.select("cells", "classes", F.explode("classes").alias("label")).select(
-        "cells", "label", F.explode("classes").alias("prediction")
-    )
-    hit = F.filter("cells", lambda c: (c["label"] == F.col("label")) & (c["prediction"] == F.col("prediction")))
-    return pairs.select("label", "prediction", F.coalesce(F.get(hit, 0)["rows"], F.lit(0)).alias("rows"))
+    return pairs.join(counts, on=["label", "prediction"], how="left").na.fill(0, ["rows"])
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

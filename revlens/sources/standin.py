@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from revlens.functions.timefeat import from_unix
 from revlens.session import spread
 
 
@@ -18,7 +19,7 @@ def first_line(c: str):
 def document_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews: text, first line as summary, language as category, a derived time."""
     unix = F.lit(1388534400) + F.col("doc_id") * 86399
-    day = F.date_format(F.timestamp_seconds(unix).cast("timestamp_ntz"), "MM d, yyyy")
+    day = F.date_format(from_unix(unix), "MM d, yyyy")
     return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("reviewText"),
@@ -51,7 +52,7 @@ def event_reviews(spark: SparkSession, folder: str) -> DataFrame:
 def order_times(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as review times: every 7th text is spoiled, every 5th has no epoch seconds."""
     day = F.date_format("o_orderdate", "MM d, yyyy")
-    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("on "), day)).otherwise(day).alias("reviewTime"),

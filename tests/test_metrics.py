@@ -106,3 +106,10 @@ def test_rand_index(spark):
     same = [(a[0] == b[0]) == (a[1] == b[1]) for i, a in enumerate(rows) for b in rows[:i]]
     df = spark.createDataFrame(rows, "c int, l int")
     assert metrics.rand_index(df, "c", "l").first()[0] == pytest.approx(sum(same) / len(same))
+
+
+def test_confusion_refuses_what_is_no_class(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "MAX_CLASSES", 5)
+    df = spark.range(10).selectExpr("id AS label", "id AS prediction")
+    with pytest.raises(Exception, match="not class columns"):
+        metrics.confusion_matrix(df).collect()

@@ -127,8 +127,9 @@ def meta_columns(df: DataFrame, names: list[str], models: list[Model], classes:
         out = model.transform(out)
 
     def kept(name: str) -> Column:
-        probabilities = vector_to_array(f"_{name}_probability")
-        return F.array(probabilities[1]) if classes == 2 else F.slice(probabilities, 1, classes)
+        # Padded: a fold may lack the last classes, and its models then give fewer probabilities.
+        padded = F.concat(vector_to_array(f"_{name}_probability"), F.array_repeat(F.lit(0.0), classes))
+        return F.array(padded[1]) if classes == 2 else F.slice(padded, 1, classes)
 
     return out.withColumn("_base", array_to_vector(F.concat(*[kept(n) for n in names])))
 

@@ -203,6 +203,15 @@ def cutoff_comparison(spark, folder):
     return out
 
 
+@query("text_experiment")
+def text_experiment(spark, folder):
+    """Report of the best of a small grid on text alone."""
+    rows = labelled_reviews(spark, folder)
+    space = {"clf__C": [1.0, 10.0], "clf__max_iter": [20]}
+    _, tables = jobs.text_experiment(rows, "logreg", k=2, space=space, parallelism=4, minDF=2.0, maxFeatures=1000)
+    return tables["report"]
+
+
 @query("cross_validated_predictions")
 def cross_validated_predictions(spark, folder):
     return answers(search.cross_val_predict(cl.logistic(max_iter=30), text_vectors(spark, folder), 3, parallelism=3))

@@ -7,9 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.ml import classifiers as cl
-from revlens.ml.search import Search, with_folds
+from revlens.ml.search import Search, cross_val_predict, with_folds
 from revlens.ml.stacking import Stacking
-from revlens.ml.vectorize import feature_steps, param_map
+from revlens.ml.vectorize import Tfidf, feature_steps, param_map
 from revlens.operators import metrics
 from revlens.operators.labels import above
 from revlens.operators.preprocess import review_features
@@ -102,6 +102,40 @@ def stacked_cutoff_job(train: DataFrame, test: DataFrame, cutoff: int = 1, setti
     return predict_split(model, model_rows(review_features(test, row_id)), row_id)
 
 
+def stacked_rating_job(train: DataFrame, test: DataFrame, settings: dict | None = None, classes: int = 5,
+                       stacking: Stacking | None = None, row_id: str = "id", **features) -> DataFrame:
+    """As `stacked_cutoff_job` for the ratings 1..K themselves, on text and summary together."""
+    label = (F.col("overall") - 1).cast("int")
+    rows = staged(model_rows(review_features(train, row_id, combined=True).where("overall IS NOT NULL"), label), "train")
+    model = train_stacked(rows, settings or {}, stacking or stack(classes, 5, row_id), text="combined_text", **features)
+    answers = predict_split(model, model_rows(review_features(test, row_id, combined=True)), row_id)
+    return answers.withColumn("prediction", F.col("prediction") + 1)
+
+
+# The small grids of the text experiment.
+EXPERIMENT_GRIDS = {
+    "logreg": {"clf__C": [0.1, 1.0, 10.0]},
+    "rf": {"clf__n_estimators": [50, 100], "clf__max_depth": [cl.MAX_DEPTH, 10]},
+    "gb": {"clf__n_estimators": [50, 100], "clf__learning_rate": [0.01, 0.1]},
+}
+
+
+def text_experiment(rows: DataFrame, classifier: str, text: str = "reviewText", k: int = 5, row_id: str = "id",
+                    space: dict | None = None, seed: int = 42, parallelism: int = 2,
+                    **tfidf) -> tuple[dict, dict[str, DataFrame]]:
+    """TF-IDF and one classifier: best settings of a small grid, then evaluation tables of the
+    out-of-fold predictions with them. `rows` has a 0/1 column `label`."""
+    clf = cl.named(classifier, balanced=False)
+    if space is None and classifier not in EXPERIMENT_GRIDS:
+        raise ValueError(f"no grid for {classifier!r}")
+    steps = {"tfidf": Tfidf(inputCol=text, outputCol="features", **tfidf), "clf": clf}
+    folded = with_folds(rows.select(row_id, text, "label"), row_id, k, "label", seed)
+    model = Pipeline(stages=list(steps.values()))
+    found = Search(model, steps, folded, k, parallelism=parallelism).grid(space or EXPERIMENT_GRIDS[classifier])
+    best = found.with_settings(found.best.settings)
+    return found.best.settings, evaluation(cross_val_predict(best, folded, k, parallelism=parallelism))
+
+
 def search_job(rows: DataFrame, space: dict, n: int, k: int = 5, rounds: int = 1, row_id: str = "id",
                stacking: Stacking | None = None, seed: int = 42, parallelism: int = 2, **features) -> Search:
     """Random search over a stacked model; more than one round narrows around the best so far.

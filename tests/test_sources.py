@@ -91,3 +91,19 @@ def test_search_job(spark):
     stack = jobs.stack(folds=2, trees=2, rounds=1, depth=2, iterations=5)
     found = jobs.search_job(rows, {"text__max_features": [10, 20]}, 1, k=2, stacking=stack, parallelism=2)
     assert len(found.trials) == 1 and found.best.score > 0.8
+
+
+def test_rating_job(spark):
+    train, test = review_rows(spark, 90, 0), review_rows(spark, 30, 1)
+    train = train.withColumn("overall", F.when(F.col("id") % 30 == 0, None).otherwise(F.col("overall") / 2 + 0.5).cast("int"))
+    stack = jobs.stack(classes=3, folds=2, trees=3, rounds=2, depth=3, iterations=10, parallelism=4)
+    out = jobs.stacked_rating_job(train, test.drop("overall"), classes=3, stacking=stack)
+    assert out.count() == 30 and {r[0] for r in out.select("prediction").distinct().collect()} == {1, 3}
+
+
+def test_text_experiment(spark):
+    rows = review_rows(spark, 80, 0).withColumn("label", (F.col("overall") > 1).cast("int"))
+    settings, tables = jobs.text_experiment(rows, "logreg", k=2, parallelism=4)
+    assert set(settings) == {"clf__C"} and tables["auc"].first()[0] > 0.95
+    with pytest.raises(ValueError):
+        jobs.text_experiment(rows, "nonsense")

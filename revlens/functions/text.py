@@ -99,13 +99,14 @@ def without_stop_words(words: Column, stop_words: list[str]) -> Column:
 def ngrams(words: Column, n_max: int) -> Column:
     """All n-grams of 1..n_max tokens, joined by a space."""
 
-    def of_size(seq: Column, n: int) -> Column:
-        starts = F.when(F.size(seq) >= n, F.sequence(F.lit(1), F.size(seq) - (n - 1)))
-        grams = F.transform(starts, lambda at: F.array_join(F.slice(seq, at, F.lit(n)), " "))
-        return F.coalesce(grams, F.array().cast("array<string>"))
-
     def expand(seq: Column) -> Column:
-        return F.concat(seq, *[of_size(seq, n) for n in range(2, n_max + 1)])
+        parts = [seq]
+        for n in range(2, n_max + 1):
+            count = F.greatest(F.size(seq) - (n - 1), F.lit(0))
+            shorter = F.slice(parts[-1], F.lit(1), count)
+            ends = F.slice(seq, F.lit(n), count)
+            parts.append(F.zip_with(shorter, ends, lambda gram, word: F.concat(gram, F.lit(" "), word)))
+        return F.concat(*parts)
 
     if n_max == 1:
         return words

@@ -181,7 +181,8 @@ def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf, broadcast_rows: int
     """
     get = settings.getOrDefault
     counted = staged(counted_terms(df, settings.terms()), "terms")
-    kept = staged(kept_terms(counted, get("minDF"), get("maxDF"), get("maxFeatures")), "vocabulary")
+    kept = kept_terms(counted, get("minDF"), get("maxDF"), get("maxFeatures"))
+    kept = staged(kept, "vocabulary") if get("maxFeatures") else kept
     counts = df.select(row_id, F.inline(tx.term_counts(settings.terms())))
     if kept.count() <= broadcast_rows:
         out = counts.join(F.broadcast(kept.select("term", "df", "n_docs")), "term")

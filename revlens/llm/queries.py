@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import line_dedup, mixing, simhash
+from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, mixing, quality, simhash, url_filter
 from revlens.llm.text import LOWER, UPPER
 
 QUERIES: dict[str, Callable] = {}
@@ -72,7 +72,7 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 OP6_SQL = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
   FROM documents
 ), k AS (
   SELECT *, translate(trim(line, {SQL_SPACES}), '{UPPER}', '{LOWER}') AS key FROM l
@@ -82,7 +82,7 @@ WITH l AS (
   SELECT k.*, shared.last IS NOT NULL AND shared.last <> doc_id AS dropped FROM k LEFT JOIN shared USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY at), '')) AS kept_sha256
+       sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY line_no), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
 
@@ -99,3 +99,134 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select(F.col("doc").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    field = language_id.train(docs.where(~language_id.held_out()).select(F.col("doc_id").alias("doc"), "text", "lang"))
+    found = language_id.identify(docs, field)
+    return found.select(F.col("doc").alias("doc_id"), language_id.held_out("doc").alias("held_out"), "lang_pred",
+                        "score", "n_words", "switches")
+
+
+@query("op5_lm_score")
+def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = lm_score.score(docs, ~language_id.held_out(parts=5))
+    return found.select(F.col("doc").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
+
+
+# The given pages carry no dates and come with no lists, so both follow from their rows: a fetch
+# time from the page's id, and from each host's and domain's MD5 the days on which it enters and leaves lists.
+START, YEAR, DAY = 1_704_067_200, 31_536_000, 86_400
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").alias("id"), "url", (F.lit(START) + F.col("page_id") * 7919 % YEAR).alias("fetched"))
+
+
+def list_changes(pages: DataFrame) -> DataFrame:
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("key")).where("key is not null").distinct()
+    domains = hosts.select(F.substring_index("key", ".", -2).alias("key")).distinct()
+    named = hosts.withColumn("kind", F.lit("host")).union(domains.withColumn("kind", F.lit("domain")))
+    named = named.union(hosts.select(F.concat("key", F.lit("/en/")).alias("key"), F.lit("folder")))
+    v = F.conv(F.substring(F.md5("key"), 1, 7), 16, 10).cast("bigint")
+    add = F.lit(START) + v % 200 * DAY
+
+    def change(kind: str, when: str, name: str, action: str, at) -> DataFrame:
+        rows = named.withColumn("v", v).where(F.col("kind") == kind).where(when)
+        return rows.select(F.lit(name).alias("list"), "key", F.lit(action).alias("action"), at.alias("at"))
+
+    parts = [
+        change("host", "v % 3 = 0 or key like '%spam%' or key like '%pills%'", "block", "add", add),
+        change("host", "v % 6 = 0", "block", "remove", add + 40 * DAY),
+        change("host", "v % 12 = 0", "block", "add", add + 90 * DAY),
+        change("domain", "v % 2 = 0", "block", "add", add),
+        change("domain", "v % 2 = 0", "block", "remove", add + 60 * DAY),
+        change("host", "v % 7 = 0", "allow", "add", add + 20 * DAY),
+        change("folder", "v % 5 = 0", "block", "add", add),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+SQL_URL = url_filter.URL
+OP9_SQL = f"""
+WITH p AS (
+  SELECT page_id, url, {START} + page_id * 7919 % {YEAR} AS fetched,
+         nullif(regexp_replace(lower(regexp_extract(url, '{SQL_URL}', 1)), '[.]$', ''), '') AS host,
+         regexp_extract(url, '{SQL_URL}', 2) AS path
+  FROM pages
+), hosts AS (SELECT DISTINCT host AS key FROM p WHERE host IS NOT NULL
+), domains AS (SELECT DISTINCT array_to_string(list_slice(string_split(key, '.'), -2, -1), '.') AS key FROM hosts
+), named AS (
+  SELECT *, CAST('0x' || substr(md5(key), 1, 7) AS BIGINT) AS v FROM (
+    SELECT key, 'host' AS kind FROM hosts UNION ALL SELECT key, 'domain' FROM domains
+    UNION ALL SELECT key || '/en/', 'folder' FROM hosts) AS n
+), a AS (SELECT *, {START} + v % 200 * {DAY} AS t FROM named
+), changes AS (
+  SELECT 'block' AS list, key, 'add' AS action, t AS at_s FROM a WHERE kind = 'host' AND (v % 3 = 0 OR key LIKE '%spam%' OR key LIKE '%pills%')
+  UNION ALL SELECT 'block', key, 'remove', t + 40 * {DAY} FROM a WHERE kind = 'host' AND v % 6 = 0
+  UNION ALL SELECT 'block', key, 'add', t + 90 * {DAY} FROM a WHERE kind = 'host' AND v % 12 = 0
+  UNION ALL SELECT 'block', key, 'add', t FROM a WHERE kind = 'domain' AND v % 2 = 0
+  UNION ALL SELECT 'block', key, 'remove', t + 60 * {DAY} FROM a WHERE kind = 'domain' AND v % 2 = 0
+  UNION ALL SELECT 'allow', key, 'add', t + 20 * {DAY} FROM a WHERE kind = 'host' AND v % 7 = 0
+  UNION ALL SELECT 'block', key, 'add', t FROM a WHERE kind = 'folder' AND v % 5 = 0
+), spans AS (
+  SELECT * FROM (SELECT *, lead(at_s) OVER (PARTITION BY list, key ORDER BY at_s) AS until_s FROM changes) AS s WHERE action = 'add'
+), keys AS (
+  SELECT page_id, fetched, n - i + 1 AS width, array_to_string(list_slice(labels, i, n), '.') AS key
+  FROM (SELECT page_id, fetched, string_split(host, '.') AS labels, len(string_split(host, '.')) AS n,
+               unnest(generate_series(1, len(string_split(host, '.')))) AS i FROM p WHERE host IS NOT NULL) AS h
+  UNION ALL SELECT page_id, fetched, 1001, host || '/' || string_split(path, '/')[2] || '/' FROM p
+  WHERE host IS NOT NULL AND len(string_split(path, '/')) > 2
+), hits AS (
+  SELECT page_id, list, spans.key, width, at_s,
+         row_number() OVER (PARTITION BY page_id ORDER BY width DESC, list = 'allow' DESC, spans.key DESC, at_s DESC) AS place,
+         count(*) OVER (PARTITION BY page_id) AS n
+  FROM keys JOIN spans ON keys.key = spans.key AND fetched >= at_s AND (until_s IS NULL OR fetched < until_s)
+)
+SELECT p.page_id, p.url, CAST(p.fetched AS BIGINT) AS fetched, p.host,
+       CASE WHEN p.host IS NULL THEN 'invalid' WHEN hits.page_id IS NULL THEN 'clean' WHEN list = 'allow' THEN 'allowed' ELSE 'blocked' END AS verdict,
+       hits.key AS entry, CAST(at_s AS BIGINT) AS since, CAST(coalesce(n, 0) AS BIGINT) AS n_active
+FROM p LEFT JOIN hits ON p.page_id = hits.page_id AND place = 1
+"""
+
+
+@query("op9_url_filter", OP9_SQL)
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.judge(captures(pages), list_changes(pages)).withColumnRenamed("id", "page_id")
+
+
+@query("op3_order_minhash")
+def op3_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.compare_edited(table(spark, folder, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("signature")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_signature")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = license_scan.fit(spark, license_scan.sample_negatives(docs))
+    found = license_scan.scan(docs, model)
+    return found.select(F.col("doc").alias("doc_id"), F.array_join("licenses", ",").alias("licenses"),
+                        "n_lines", "n_unknown", F.round("probability", 6).alias("probability"))

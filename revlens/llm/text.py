@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 SPACES = " \t\n\x0b\f\r"
@@ -32,3 +34,8 @@ def narrow(df: DataFrame, **named: str) -> DataFrame:
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """`df`, marked for broadcast if a count finds at most `max_rows` rows; else left to the planner."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also where `use` has it inside a lambda."""
+    return F.transform(F.array(value), use)[0]

@@ -101,7 +101,7 @@ class Field:
         k = len(labels)
         self.weights, self.moves, self.start = np.zeros((DIMENSIONS, k)), np.zeros((k, k)), np.zeros(k)
 
-    def fit(self, sequences: list[list[tuple[str, int]]], rounds: int = 12, batch: int = 64, rate: float = 0.25,
+    def fit(self, sequences: list[list[tuple[str, int]]], rounds: int = 8, batch: int = 64, rate: float = 0.25,
             penalty: float = 1e-6) -> "Field":
         """Gradient ascent on the conditional likelihood, features and moves together."""
         k = len(self.labels)
@@ -119,13 +119,16 @@ class Field:
             order = rng.permutation(len(sequences))
             for b in range(0, len(order), batch):
                 chosen = [sequences[i] for i in order[b:b + batch]]
-                index = [[features(w) for w, _ in s] for s in chosen]
-                rows = [np.stack([self.weights[i].sum(0) for i in s]) for s in index]
+                index = [features(w) for s in chosen for w, _ in s]
+                sizes = np.array([len(i) for i in index])
+                where = np.concatenate(index)
+                flat = np.add.reduceat(self.weights[where], np.cumsum(sizes) - sizes)
+                rows = np.split(flat, np.cumsum([len(s) for s in chosen])[:-1])
                 emissions, lengths = padded(rows, k)
                 found, expected = marginals(emissions, lengths, self.moves, self.start)
                 slope = np.zeros_like(self.weights)
                 moved, begun = -expected, np.zeros(k)
-                flat, errors = [], []
+                errors = []
                 for j, s in enumerate(chosen):
                     truth = np.array([label for _, label in s])
                     np.add.at(moved, (truth[:-1], truth[1:]), 1.0)
@@ -133,9 +136,8 @@ class Field:
                     begun -= found[j, 0]
                     error = -found[j, :len(s)]
                     error[np.arange(len(s)), truth] += 1
-                    flat += index[j]
-                    errors.append(np.repeat(error, [len(i) for i in index[j]], axis=0))
-                where, amount = np.concatenate(flat), np.concatenate(errors)
+                    errors.append(error)
+                amount = np.repeat(np.concatenate(errors), sizes, axis=0)
                 for c in range(k):
                     slope[:, c] = np.bincount(where, amount[:, c], DIMENSIONS)
                 words = lengths.sum()
@@ -188,7 +190,7 @@ class Emissions:
         return self.table[rows]
 
 
-def train(rows: DataFrame, max_train: int = 400, max_words: int = 120_000, lexicon_share: float = 1e-4) -> Field:
+def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexicon_share: float = 1e-4) -> Field:
     """Fit on `rows` (doc, text, lang): at most `max_train` documents of each language, by smallest hash of the id.
 
     The lexicon holds the words that make up `lexicon_share` or more of a language's words, so at

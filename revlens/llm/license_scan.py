@@ -154,7 +154,7 @@ def fit(spark: SparkSession, negatives: DataFrame, templates: dict[str, list[str
     """
     lines = template_lines(spark, templates or TEMPLATES)
     misses = spark.createDataFrame([(t,) for t in near_misses or NEAR_MISSES], "text string").select(words_of(F.col("text")).alias("words"))
-    rows = training_rows(lines, misses, negatives).withColumn("grams", features(F.col("words"))).persist()
+    rows = training_rows(lines, misses, negatives).coalesce(2).withColumn("grams", features(F.col("words"))).persist()
     families = sorted((templates or TEMPLATES)) + [UNKNOWN]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     seen = lines.select(F.explode(features(F.col("words"))).alias("gram")).union(

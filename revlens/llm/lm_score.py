@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
@@ -123,7 +123,7 @@ def mixture_weights(rows: DataFrame, words, buckets: int, rounds: int = 60) -> n
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = words.value
+        v = Vocabulary(*words.value)
         for batch in batches:
             out = []
             for held in (False, True):
@@ -140,7 +140,7 @@ def mixture_weights(rows: DataFrame, words, buckets: int, rounds: int = 60) -> n
             yield pd.DataFrame(out, columns=["bucket", "held", "pairs", "counts"])
 
     def compared(group: pd.DataFrame) -> pd.DataFrame:
-        v = words.value
+        v = Vocabulary(*words.value)
         bucket = int(group["bucket"].iloc[0])
         sides = []
         for held in (False, True):
@@ -165,7 +165,7 @@ def mixture_weights(rows: DataFrame, words, buckets: int, rounds: int = 60) -> n
     found = table.groupBy("context", "q2", "q1").agg(*[F.sum(c).alias(c) for c in ("n", "l2", "l1")]).toPandas()
     weights = np.tile([0.3, 0.6, 0.1], (65, 1))
     weights[0] = [0.0, 0.9, 0.1]
-    uniform = 1.0 / max(words.value.size - 1, 1)
+    uniform = 1.0 / max(Vocabulary(*words.value).size - 1, 1)
     for context, part in found.groupby("context"):
         n = part["n"].to_numpy()
         odds = np.stack([np.where(part["q2"] > -396, 2.0 ** (part["l2"] / n), 0), np.where(part["q1"] > -396, 2.0 ** (part["l1"] / n), 0),
@@ -207,7 +207,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
                        F.col(f"`{text_col}`").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     rows = rows.withColumn("held", F.pmod(F.xxhash64("key"), F.lit(10)) == 0)
     found = vocabulary(rows, share)
-    words = spark.sparkContext.broadcast(found)
+    words = spark.sparkContext.broadcast(astuple(found))
     buckets = max(32, -(-found.n_tokens // BUCKET_TOKENS))
     weights = spark.sparkContext.broadcast(mixture_weights(rows, words, buckets))
     total = max(found.n_tokens, 1)
@@ -216,7 +216,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     @F.pandas_udf("n bigint, known bigint, base double, score double")
     def local(texts: pd.Series) -> pd.DataFrame:
         """What a text's frequent words and classes add by themselves."""
-        v, out = words.value, []
+        v, out = Vocabulary(*words.value), []
         base = np.log10(v.count + 0.5)
         base[v.end + 1:] = 0  # classes: their words are counted in buckets
         known = (v.count > 0).astype(np.int64)
@@ -231,7 +231,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        v = words.value
+        v = Vocabulary(*words.value)
         for batch in batches:
             pair_bucket, pair, pair_doc, rare_bucket, rare, rare_doc = ([] for _ in range(6))
             for i, text in enumerate(batch["text"]):
@@ -260,7 +260,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             yield pd.DataFrame([{"bucket": b, **empty, **x} for b, x in by_bucket.items()], columns=["bucket", *empty])
 
     def returned(group: pd.DataFrame) -> pd.DataFrame:
-        v, lam = words.value, weights.value
+        v, lam = Vocabulary(*words.value), weights.value
         bucket = int(group["bucket"].iloc[0])
         parts = []
         for name in ("pair", "rare"):

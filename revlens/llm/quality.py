@@ -18,7 +18,8 @@ LIMITS = {
     "tagged": (0.05, 0.30),       # share of words that end in two symbols or more
     "listing": (0.02, 0.15),      # share of words that are a lone symbol
     "repeating": (0.50, 0.80),    # share of words that repeat a run of three words seen before
-    "even": (0.25, 0.60),         # share of sentence ends among the words
+    "stuck": (0.02, 0.15),        # share of words equal to the word before
+    "monotonous": (0.45, 0.70),   # 1 - share of distinct words, the mean over blocks of 50 words
 }
 LABELLERS = list(LIMITS)
 SYMBOLS = b"#$%&*|=<>{}[]^~@\\+/_"
@@ -36,9 +37,12 @@ def measures(text: bytes, words: list[bytes]) -> list[float]:
     tagged = sum(1 for w in words if len(w) > 2 and w[-1] in odd and w[-2] in odd)
     lone = sum(1 for w in words if len(w) == 1 and w in SYMBOLS)
     runs = len(set(zip(words, words[1:], words[2:])))
-    ends = text.count(b".") + text.count(b"!") + text.count(b"?")
+    stuck = sum(1 for a, b in zip(words, words[1:]) if a == b)
+    blocks = [words[i:i + 50] for i in range(0, n, 50)]
+    distinct = sum(len(set(b)) for b in blocks)
     return [share(SYMBOLS) / len(text), share(CAPITALS) / letters if letters else 0.0, text.count(b"!") / len(text),
-            tagged / n, lone / n, 1 - runs / (n - 2) if n > 2 else 0.0, ends / n]
+            tagged / n, lone / n, 1 - runs / (n - 2) if n > 2 else 0.0,
+            stuck / n, 1 - distinct / n]
 
 
 def votes(values: list[float]) -> int:
@@ -174,7 +178,7 @@ def answers(text: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 4000) -> Scorer:
     """Learn from `docs` alone, without labels.
 
-    All documents are counted by the pattern of their labellers' answers (at most 3^7 rows), and
+    All documents are counted by the pattern of their labellers' answers (at most 3^8 rows), and
     expectation-maximisation on these counts finds how often each labeller is right. The linear
     scorer is fitted on the `max_train` documents with the smallest hashes of their ids, with the
     label model's posteriors as soft targets; only their sparse features come to the driver.

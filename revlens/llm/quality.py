@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,13 +35,17 @@ def measures(text: bytes, words: list[bytes]) -> list[float]:
 
     n, letters = len(words), share(LETTERS)
     odd = SYMBOLS + b"!?"
-    tagged = sum(1 for w in words if len(w) > 2 and w[-1] in odd and w[-2] in odd)
-    lone = sum(1 for w in words if len(w) == 1 and w in SYMBOLS)
+    symbols, shouts = share(SYMBOLS), text.count(b"!")
+    tagged = lone = 0
+    if symbols + shouts + text.count(b"?"):
+        tagged = sum(1 for w in words if len(w) > 2 and w[-1] in odd and w[-2] in odd)
+    if symbols:
+        lone = sum(1 for w in words if len(w) == 1 and w in SYMBOLS)
     runs = len(set(zip(words, words[1:], words[2:])))
     stuck = sum(1 for a, b in zip(words, words[1:]) if a == b)
     blocks = [words[i:i + 50] for i in range(0, n, 50)]
     distinct = sum(len(set(b)) for b in blocks)
-    return [share(SYMBOLS) / len(text), share(CAPITALS) / letters if letters else 0.0, text.count(b"!") / len(text),
+    return [symbols / len(text), share(CAPITALS) / letters if letters else 0.0, shouts / len(text),
             tagged / n, lone / n, 1 - runs / (n - 2) if n > 2 else 0.0,
             stuck / n, 1 - distinct / n]
 
@@ -108,7 +113,9 @@ class Features:
                     known.clear()
                 found = known[w] = word_features(w)
             flat += found
-        index, counts = np.unique(np.array(flat, np.int32), return_counts=True)
+        counts = np.bincount(flat, minlength=DIMENSIONS)
+        index = np.flatnonzero(counts).astype(np.int32)
+        counts = counts[index]
         tenths = [zlib.crc32(b"m%d:%d" % (j, min(10, int(v * 10)))) % DIMENSIONS for j, v in enumerate(values)]
         return (np.concatenate([index, np.array(tenths, np.int32)]),
                 np.concatenate([np.sqrt(counts / len(words)), np.full(len(tenths), 0.3)]))
@@ -139,25 +146,27 @@ class Scorer:
     def __init__(self, labels: LabelModel, weights: np.ndarray, bias: float):
         self.labels, self.weights, self.bias = labels, weights, bias
 
-    def score(self, text: Column) -> Column:
-        """1.0 for null texts and texts without words."""
+    def judge(self, text: Column) -> Column:
+        """struct<answers, score>: the labellers' packed answers and the score; null and 1.0 for texts without words."""
         weights, bias = self.weights, self.bias
 
-        @F.pandas_udf("double")
-        def scored(texts: pd.Series) -> pd.Series:
+        @F.pandas_udf("struct<answers:int,score:double>")
+        def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             features = Features()
 
-            def one(text: str | None) -> float:
+            def one(text: str | None) -> tuple[int | None, float]:
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 words = raw.split()
                 if not words:
-                    return 1.0
-                index, value = features.of(words, measures(raw, words))
-                return float(1 / (1 + np.exp(-np.clip(value @ weights[index] + bias, -50, 50))))
+                    return None, 1.0
+                values = measures(raw, words)
+                index, value = features.of(words, values)
+                return votes(values), float(1 / (1 + np.exp(-np.clip(value @ weights[index] + bias, -50, 50))))
 
-            return pd.Series([one(t) for t in texts], dtype="float64")
+            for texts in batches:
+                yield pd.DataFrame([one(t) for t in texts], columns=["answers", "score"]).astype({"answers": "Int32", "score": "float64"})
 
-        return scored(text)
+        return judged(text)
 
 
 def answers(text: Column) -> Column:
@@ -221,7 +230,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     """
     model = fit(docs, id_col, text_col, max_train)
     rows = narrow(docs, doc=id_col, text=text_col)
-    out = rows.select("doc", answers(F.col("text")).alias("answers"), model.score(F.col("text")).alias("score"))
+    out = rows.select("doc", model.judge(F.col("text")).alias("x")).select("doc", "x.*")
     labels = model.labels
     codes = np.arange(3 ** len(LABELLERS))
     posterior = F.from_json(F.lit(str([round(float(p), 6) for p in labels.posterior(codes)])), "array<double>")
@@ -233,4 +242,4 @@ def without_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      threshold: float = 0.5) -> DataFrame:
     """`docs` less the rejected rows, each judged where it lies."""
     model = fit(docs, id_col, text_col, max_train)
-    return docs.where(model.score(F.col(f"`{text_col}`")) < threshold)
+    return docs.where(model.judge(F.col(f"`{text_col}`"))["score"] < threshold)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.llm.text import SPACES, lower_ascii, narrow
+from revlens.llm.text import SPACES, checked_broadcast, lower_ascii, narrow
+from revlens.session import staged
 
 
 def line_key(line: Column) -> Column:
@@ -15,13 +16,13 @@ def shared_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mi
     """(doc, key) of every long line, and (key, last) of the keys found in at least `min_docs` documents."""
     rows = narrow(docs, doc=id_col, text=text_col).where("doc is not null")
     keys = F.filter(F.transform(F.split("text", "\n", -1), line_key), lambda k: F.length(k) >= min_chars)
-    lines = rows.select("doc", F.explode(F.array_distinct(F.transform(keys, F.md5))).alias("key"))
+    lines = staged(rows.select("doc", F.explode(F.array_distinct(F.transform(keys, F.md5))).alias("key")), "lines")
     common = (
         lines.groupBy("key")
         .agg(F.count_distinct("doc").alias("n_docs"), F.max("doc").alias("last"))
         .where(F.col("n_docs") >= min_docs)
     )
-    return lines, common.select("key", "last")
+    return lines, staged(common.select("key", "last"), "shared-lines")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
@@ -42,7 +43,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     lines, common = shared_lines(docs, id_col, text_col, min_chars, min_docs)
     lost = (
-        lines.join(common, "key").where(F.col("doc") != F.col("last"))
+        lines.join(checked_broadcast(common, 200_000), "key").where(F.col("doc") != F.col("last"))
         .groupBy("doc").agg(F.collect_set("key").alias("lost"))
     )
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_key"), F.col(f"`{text_col}`").alias("old"), F.struct("*").alias("row"))

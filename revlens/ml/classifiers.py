@@ -16,12 +16,10 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCo
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
-from revlens.ml.vectorize import _param
+from revlens.ml.vectorize import UNLIMITED_DEPTH as MAX_DEPTH, _param
 from revlens.operators.labels import class_counts, weight_expression
 from revlens.session import constant_array
 
-MAX_DEPTH = 30  # the deepest tree that Spark grows; stands for "no limit"
-
 
 class Classifier(Estimator, HasLabelCol):
     """Fits the estimator `inner` with what depends on the training rows.
@@ -64,7 +62,7 @@ class Classifier(Estimator, HasLabelCol):
         inner._set(labelCol=label)
         work = df
         if self.getOrDefault("balanced") or self.getOrDefault("C"):
-            counts = class_counts(df, label)
+            counts = class_counts(df.where(F.col(label).isNotNull()), label)
             if self.getOrDefault("balanced"):
                 work = work.withColumn("_weight", weight_expression(counts, label))
                 inner._set(weightCol="_weight")

@@ -8,7 +8,7 @@ import random
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,7 +16,7 @@ from revlens.ml.evaluate import MacroF1Evaluator
 from revlens.ml.stacking import in_parallel
 from revlens.ml.vectorize import param_map
 from revlens.operators.split import folds
-from revlens.session import staged
+from revlens.session import drop_staged, staged
 
 
 @dataclass(frozen=True)
@@ -96,36 +96,74 @@ class Trial:
 
 def with_folds(df: DataFrame, row_id: str, k: int, label: str = "label", seed: int = 42) -> DataFrame:
     """The table with stratified fold numbers, written once for all fits that read it."""
-    return staged(folds(staged(df, "cv-input"), row_id, k, label, seed), "cv-folds")
+    source = staged(df, "cv-input")
+    out = staged(folds(source, row_id, k, label, seed), "cv-folds")
+    drop_staged(source)
+    return out
 
 
 class Search:
     """Scores settings of an estimator by their mean over the folds of `rows`.
 
-    `steps` names the parts that the settings address, as in `param_map`.
+    `steps` names the parts that the settings address, as in `param_map`. `features`, a pipeline of
+    some of these parts, comes before the estimator: it is fitted on each fold's training rows
+    once for every distinct setting of its parts, its result is written, all settings of the
+    estimator run on that table, and the table is deleted.
     """
 
     def __init__(self, estimator: Estimator, steps: dict, rows: DataFrame, k: int,
-                 evaluator: Evaluator | None = None, fold: str = "fold", parallelism: int = 2):
+                 evaluator: Evaluator | None = None, fold: str = "fold", parallelism: int = 2,
+                 features: Pipeline | None = None):
         self.estimator, self.steps, self.rows, self.k = estimator, steps, rows, k
         self.evaluator = evaluator or MacroF1Evaluator()
-        self.fold, self.parallelism = fold, parallelism
+        self.fold, self.parallelism, self.features = fold, parallelism, features
         self.trials: list[Trial] = []
 
     def with_settings(self, settings: dict) -> Estimator:
-        return self.estimator.copy(param_map(self.steps, settings))
-
-    def _score(self, settings: dict, i: int) -> float:
-        model = self.with_settings(settings).fit(self.rows.where(F.col(self.fold) != i))
-        return self.evaluator.evaluate(model.transform(self.rows.where(F.col(self.fold) == i)))
+        """The whole model, features included."""
+        if self.features is None:
+            return self.estimator.copy(param_map(self.steps, settings))
+        whole = Pipeline(stages=[*self.features.getStages(), self.estimator])
+        return whole.copy(param_map(self.steps, settings))
+
+    def _score(self, settings: dict, rows: DataFrame, i: int) -> float:
+        model = self.estimator.copy(param_map(self.steps, settings)).fit(rows.where(F.col(self.fold) != i))
+        return self.evaluator.evaluate(model.transform(rows.where(F.col(self.fold) == i)))
+
+    def _of_features(self, settings: dict) -> tuple:
+        """The part of the settings that addresses the features, as a key."""
+        parts = {n for n, s in self.steps.items() if self.features and any(s is f for f in self.features.getStages())}
+        return tuple(sorted((n, str(v)) for n, v in settings.items() if n.partition("__")[0] in parts))
+
+    def _prepared(self, settings: dict, i: int) -> DataFrame:
+        """The rows with the features of one setting, fitted without fold `i`."""
+        fitted = self.features.copy(param_map(self.steps, settings)).fit(self.rows.where(F.col(self.fold) != i))
+        added = [c for c in (self.estimator.inner.getFeaturesCol() if getattr(self.estimator, "inner", None) else "features",)]
+        kept = [c for c in ("id", "label", self.fold) if c in self.rows.columns]
+        return staged(fitted.transform(self.rows).select(*kept, *added), "cv-features")
 
     def run(self, candidates: list[dict]) -> Search:
-        jobs: list[Callable] = [lambda s=s, i=i: self._score(s, i) for s in candidates for i in range(self.k)]
-        scores = in_parallel(jobs, self.parallelism)
+        found: dict[tuple[int, int], float] = {}
+        groups: dict[tuple, list[int]] = {}
         for j, s in enumerate(candidates):
-            self.trials.append(Trial(len(self.trials), s, scores[j * self.k:(j + 1) * self.k]))
+            groups.setdefault(self._of_features(s), []).append(j)
+        if self.features is None:
+            jobs = [(j, i, self.rows) for j in range(len(candidates)) for i in range(self.k)]
+            found |= self._scored(candidates, jobs)
+        else:
+            for members in groups.values():
+                for i in range(self.k):
+                    rows = self._prepared(candidates[members[0]], i)
+                    found |= self._scored(candidates, [(j, i, rows) for j in members])
+                    drop_staged(rows)
+        for j, s in enumerate(candidates):
+            self.trials.append(Trial(len(self.trials), s, [found[j, i] for i in range(self.k)]))
         return self
 
+    def _scored(self, candidates: list[dict], jobs: list[tuple[int, int, DataFrame]]) -> dict[tuple[int, int], float]:
+        calls: list[Callable] = [lambda j=j, i=i, r=r: self._score(candidates[j], r, i) for j, i, r in jobs]
+        return {(j, i): s for (j, i, _), s in zip(jobs, in_parallel(calls, self.parallelism))}
+
     def grid(self, space: dict[str, list]) -> Search:
         return self.run(grid(space))
 

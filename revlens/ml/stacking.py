@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from revlens.ml.classifiers import Classifier
 from revlens.ml.vectorize import _param
 from revlens.operators.split import folds
-from revlens.session import staged
+from revlens.session import drop_staged, staged
 
 
 DEFAULTS = {
@@ -75,7 +75,9 @@ class Stacking(Estimator, HasLabelCol, HasFeaturesCol):
         rows = df.select(get("idCol"), self.getLabelCol(), self.getFeaturesCol())
         # Written before the folds are drawn: numbering reads its input twice.
         source = staged(rows, "stack-input")
-        return staged(folds(source, get("idCol"), get("numFolds"), self.getLabelCol(), get("seed"), "_fold"), "stack-folds")
+        out = staged(folds(source, get("idCol"), get("numFolds"), self.getLabelCol(), get("seed"), "_fold"), "stack-folds")
+        drop_staged(source)
+        return out
 
     def _out_of_fold(self, rows: DataFrame) -> DataFrame:
         k = self.getOrDefault("numFolds")
@@ -114,6 +116,7 @@ class Stacking(Estimator, HasLabelCol, HasFeaturesCol):
         meta.inner._set(featuresCol="_meta")
         jobs = [lambda b=b: b.fit(rows) for b in self._renamed()] + [lambda: meta.fit(meta_rows)]
         fitted = in_parallel(jobs, self.getOrDefault("parallelism"))
+        drop_staged(rows, meta_rows)
         return self._copyValues(StackingModel(list(self.bases), fitted[:-1], fitted[-1]))
 
 

@@ -264,14 +264,11 @@ class SvdModel(Model, HasInputCol, HasOutputCol):
                     for idx, val in zip(parts["indices"], parts["values"])
                 ]
                 return pd.Series(list(np.vstack(dense) @ v))
-            sizes = parts["indices"].map(len).to_numpy()
             scores = np.zeros((len(parts), v.shape[1]))
-            filled = np.flatnonzero(sizes)
-            if len(filled):
-                rows = np.concatenate(parts["indices"].to_numpy()[filled])
-                values = np.concatenate(parts["values"].to_numpy()[filled])
-                starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
-                scores[filled] = np.add.reduceat(v[rows] * values[:, None], starts, axis=0)
+            pairs = zip(parts["indices"], parts["values"])
+            for at, (rows, values) in enumerate(pairs):  # one row's products at a time
+                if len(rows):
+                    scores[at] = values @ v[rows]
             return pd.Series(list(scores))
 
         return df.withColumn(self.getOutputCol(), array_to_vector(project(F.unwrap_udt(self.getInputCol()))))
@@ -375,16 +372,22 @@ class OneHotModel(Model, HasInputCol, HasOutputCol):
 
 def feature_steps(text: str = "reviewText", summary: str | None = None, numeric: list[str] | None = None,
                   categorical: list[str] | None = None, svd: int = 0, output: str = "features",
-                  weighted: tuple[str, ...] = (), **tfidf) -> dict[str, Params]:
-    """Named stages of a column transformer; columns without a branch are dropped by the assembly."""
+                  weighted: tuple[str, ...] = (), summary_svd: int = 0, summary_tfidf: dict | None = None,
+                  **tfidf) -> dict[str, Params]:
+    """Named stages of a column transformer; columns without a branch are dropped by the assembly.
+
+    `tfidf` are the text's settings, `summary_tfidf` the summary's; either branch may end in an SVD.
+    """
     steps: dict[str, Params] = {"text": Tfidf(inputCol=text, outputCol="_text", **tfidf)}
     parts = ["_text"]
     if svd:
         steps["svd"] = Svd(inputCol="_text", outputCol="_svd", k=svd)
         parts = ["_svd"]
     if summary:
-        steps["summary"] = Tfidf(inputCol=summary, outputCol="_summary", maxFeatures=500, stopWords="english")
-        parts.append("_summary")
+        steps["summary"] = Tfidf(inputCol=summary, outputCol="_summary", **(summary_tfidf or {}))
+        if summary_svd:
+            steps["summary_svd"] = Svd(inputCol="_summary", outputCol="_summary_svd", k=summary_svd)
+        parts.append("_summary_svd" if summary_svd else "_summary")
     if numeric:
         steps["num"] = Standardise(inputCols=numeric, outputCol="_numeric", weightedCols=weighted)
         parts.append("_numeric")
@@ -401,8 +404,27 @@ ALIASES = {  # setting name -> parameter name of the stage
     "min_token_length": "minTokenLength", "n_components": "k", "sentiment_weight": "sentimentWeight",
     "n_estimators": ("numTrees", "maxIter"), "learning_rate": "stepSize", "max_depth": "maxDepth",
     "min_samples_leaf": "minInstancesPerNode", "subsample": "subsamplingRate", "max_iter": "maxIter",
-    "feature_subset": "featureSubsetStrategy",
+    "feature_subset": "featureSubsetStrategy", "ngram_range": "maxNgram", "penalty": "elasticNetParam",
+    "validation_fraction": "validationShare",
 }
+UNLIMITED_DEPTH = 30  # Spark's deepest tree
+PENALTIES = {"l1": 1.0, "l2": 0.0}
+
+
+def setting(name: str, value):
+    """The value of a named setting as its parameter takes it."""
+    if name == "max_depth":
+        return UNLIMITED_DEPTH if value is None else value
+    if value is None:
+        raise ValueError(f"{name} has no meaning for None")
+    if name == "ngram_range" and not isinstance(value, int):
+        low, high = value
+        if low != 1:
+            raise ValueError("n-grams start at single words")
+        return high
+    if name == "penalty" and isinstance(value, str):
+        return PENALTIES[value]
+    return value
 
 
 def param_map(steps: dict[str, Params], settings: dict) -> dict[Param, object]:
@@ -423,5 +445,5 @@ def param_map(steps: dict[str, Params], settings: dict) -> dict[Param, object]:
         found = [o.getParam(w) for o in owners for w in wanted if o.hasParam(w)]
         if not found:
             raise ValueError(f"step {step!r} has no parameter {name!r}")
-        out[found[0]] = value
+        out[found[0]] = setting(name, value)
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 CUTOFFS = (1, 2, 3, 4)
-MAX_CLASSES = 10_000
+MAX_CLASSES = 10_000  # what is a class column: one limit for class counts and confusion tables
 
 
 def label_name(cutoff: int) -> str:

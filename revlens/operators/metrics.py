@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from revlens.operators.labels import MAX_CLASSES
 from revlens.session import pieces, staged
 
 BUCKET_BYTES = 64 << 20
-MAX_CLASSES = 1000
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -16,7 +16,8 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 
     Rows are counted map-side first; classes and pairs come from that small count table.
     """
-    counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+    whole = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    counts = whole.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count("*").alias("rows")
     )
     each = counts.select(F.explode(F.array("label", "prediction")).alias("c")).where("c IS NOT NULL").distinct()
@@ -30,8 +31,11 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(class, tp, fp, fn, precision, recall, f1, support); what is undefined is 0."""
-    counts = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count("*").alias("n"))
+    """(class, tp, fp, fn, precision, recall, f1, support); what is undefined is 0.
+
+    Rows without label or prediction belong to no class and are left out, as in `confusion_matrix`.
+    """
+    counts = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count("*").alias("n"))
     zero = F.lit(0).cast("bigint")
     right = F.col("l") == F.col("p")
 
@@ -152,8 +156,9 @@ def _running(df: DataFrame, label: str, score: str, groups: tuple[str, ...], buc
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", groups: tuple[str, ...] = (),
               drop_collinear: bool = False, buckets: int | None = None) -> DataFrame:
-    """(fpr, tpr, threshold), with the origin at an infinite threshold.
+    """(fpr, tpr, threshold), with the origin at an infinite threshold; a rate of an empty class is NULL.
 
+    Rows without label or score (NULL or NaN) have no place on the curve; `unscored` counts them.
     `drop_collinear` leaves out inner points on a straight line between their neighbours.
     """
     points = _running(df, label, score, groups, buckets)
@@ -161,8 +166,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", groups:
     last = F.col("next_pos").isNull()
     bends = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
     point = F.struct(
-        ((F.col("neg_before") + F.col("neg")) / F.col("all_neg")).alias("fpr"),
-        ((F.col("pos_before") + F.col("pos")) / F.col("all_pos")).alias("tpr"),
+        F.try_divide(F.col("neg_before") + F.col("neg"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(F.col("pos_before") + F.col("pos"), F.col("all_pos")).alias("tpr"),
         F.col("score").alias("threshold"),
     )
     origin = F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
@@ -172,6 +177,12 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", groups:
     return points.select(*groups, F.inline(with_origin))
 
 
+def unscored(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """(rows, unscored): how many rows a curve has no place for."""
+    missing = F.col(label).isNull() | F.col(score).isNull() | F.isnan(F.col(score).cast("double"))
+    return df.agg(F.count("*").alias("rows"), F.count_if(missing).alias("unscored"))
+
+
 def auc(df: DataFrame, label: str = "label", score: str = "score", groups: tuple[str, ...] = (),
         out: str = "auc", buckets: int | None = None) -> DataFrame:
     """Area under the exact curve; a tie counts one half. NULL when a class is empty."""
@@ -199,7 +210,7 @@ def auc_per_class(df: DataFrame, label: str, probabilities: str, classes: list)
 
 
 def rand_index(df: DataFrame, cluster: str, label: str) -> DataFrame:
-    """Share of row pairs on which two groupings agree, from group sizes alone."""
+    """Share of row pairs on which two groupings agree, from group sizes alone; NULL below two rows."""
 
     def pairs(n: Column) -> Column:
         return F.sum(n * (n - 1) / 2)
@@ -209,4 +220,4 @@ def rand_index(df: DataFrame, cluster: str, label: str) -> DataFrame:
     one = cells.groupBy(cluster).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).scalar()
     other = cells.groupBy(label).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).scalar()
     every = F.col("rows") * (F.col("rows") - 1) / 2
-    return both.select(((every + 2 * F.col("both") - one - other) / every).alias("rand_index"))
+    return both.select(F.try_divide(every + 2 * F.col("both") - one - other, every).alias("rand_index"))

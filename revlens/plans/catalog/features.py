@@ -146,7 +146,7 @@ def text_stats_pages(spark, folder):
 
 
 SQL_REVIEWS = """(
-    SELECT doc_id AS id, text AS reviewText, split_part(text, chr(10), 1) AS summary, lang AS category,
+    SELECT doc_id AS id, text AS reviewText, source || ' ' || lang AS summary, lang AS category,
            source AS reviewerID, 1388534400 + doc_id * 86399 AS unixReviewTime,
            CASE WHEN doc_id % 3 <> 0
                 THEN strftime(make_timestamp((1388534400 + doc_id * 86399) * 1000000), '%m %-d, %Y') END AS reviewTime
@@ -180,7 +180,7 @@ def preprocess_reviews(spark, folder):
 @query(
     "combined_text",
     "SELECT doc_id AS id, coalesce(nullif(text, ''), '') || ' ' ||"
-    " CASE WHEN doc_id % 4 = 0 THEN '' ELSE split_part(text, chr(10), 1) END AS combined_text FROM documents",
+    " CASE WHEN doc_id % 4 = 0 THEN '' ELSE source || ' ' || lang END AS combined_text FROM documents",
 )
 def combined_text(spark, folder):
     reviews = document_reviews(spark, folder).withColumn(
@@ -346,7 +346,7 @@ def sentiment_vs_label(spark, folder):
     f"""
     WITH cleaned AS (
         SELECT doc_id AS id, lang AS category, source AS reviewerID, {sql_clean('text')} AS text,
-               {sql_clean("split_part(text, chr(10), 1)")} AS summary FROM documents),
+               {sql_clean("source || ' ' || lang")} AS summary FROM documents),
     stats AS (SELECT id, category, reviewerID, {sql_stats('text')}, length(summary) AS summary_length FROM cleaned),
     freq AS (SELECT reviewerID, count(*) AS reviewer_freq FROM cleaned GROUP BY 1),
     feel AS ({sql_stateful("(SELECT id, text FROM cleaned)", 'text', CORPUS)})

@@ -71,6 +71,19 @@ def macro_f1(spark, folder):
     return rounded(metrics.macro_f1(rated(spark, folder)), "macro_f1")
 
 
+SQL_HOLES = f"""{SQL_RATED.replace('p AS', 'every AS', 1)}, p AS (
+    SELECT * FROM (SELECT id, CASE WHEN id % 7 <> 0 THEN label END AS label, CASE WHEN id % 11 <> 0 THEN prediction END AS prediction
+                   FROM every) AS h WHERE label IS NOT NULL AND prediction IS NOT NULL)"""
+
+
+@query("macro_f1_null_labels", f"WITH {SQL_HOLES}, {sql_per_class('p')} SELECT round(avg(f1), 6) AS macro_f1 FROM per")
+def macro_f1_null_labels(spark, folder):
+    """Rows without label or prediction belong to no class."""
+    holes = rated(spark, folder).withColumns({
+        "label": F.when(F.col("id") % 7 != 0, F.col("label")), "prediction": F.when(F.col("id") % 11 != 0, F.col("prediction"))})
+    return rounded(metrics.macro_f1(holes), "macro_f1")
+
+
 @query("macro_f1_binary", f"WITH {SQL_LABELLED}, {sql_per_class('p')} SELECT round(avg(f1), 6) AS macro_f1 FROM per")
 def macro_f1_binary(spark, folder):
     return rounded(metrics.macro_f1(labelled(spark, folder)), "macro_f1")
@@ -126,6 +139,19 @@ def roc_curve(spark, folder):
     return rounded(metrics.roc_curve(scored(spark, folder)), "fpr", "tpr")
 
 
+@query(
+    "roc_curve_one_class",
+    """WITH p AS (SELECT value AS score FROM events WHERE event_type IN ('click', 'purchase')),
+    c AS (SELECT score, count(*) AS pos FROM p GROUP BY 1)
+    SELECT NULL::DOUBLE AS fpr, round(sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) / (SELECT sum(pos) FROM c), 6) AS tpr,
+        score AS threshold FROM c
+    UNION ALL SELECT 0, 0, 'infinity'::DOUBLE""",
+)
+def roc_curve_one_class(spark, folder):
+    """Without negatives there is no false positive rate."""
+    return rounded(metrics.roc_curve(scored(spark, folder).where("label = 1")), "fpr", "tpr")
+
+
 @query(
     "roc_curve_bends",
     f"""WITH {SQL_SCORED}, {sql_roc('p')}
@@ -185,7 +211,8 @@ def ovr_auc(spark, folder):
 
 @query(
     "rand_index",
-    """WITH c AS (SELECT label, floor((embedding[1] + 1) * 5)::INT AS cluster FROM embeddings),
+    """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    c AS (SELECT label, max_by(i, (v, -i))::INT AS cluster FROM x GROUP BY vec_id, label),
     n AS (SELECT cluster, label, count(*) AS n FROM c GROUP BY ALL),
     a AS (SELECT sum(n * (n - 1) / 2) AS v FROM n),
     b AS (SELECT sum(s * (s - 1) / 2) AS v FROM (SELECT sum(n) AS s FROM n GROUP BY cluster)),
@@ -194,9 +221,9 @@ def ovr_auc(spark, folder):
     SELECT round((t.v + 2 * a.v - b.v - d.v) / t.v, 6) AS rand_index FROM a, b, d, t""",
 )
 def rand_index(spark, folder):
-    rows = table(spark, folder, "embeddings").select(
-        "label", F.floor((F.col("embedding")[0] + 1) * 5).cast("int").alias("cluster")
-    )
+    """Vectors grouped by their largest element."""
+    largest = F.array_position("embedding", F.array_max("embedding")).cast("int")
+    rows = table(spark, folder, "embeddings").select("label", largest.alias("cluster"))
     return rounded(metrics.rand_index(rows, "cluster", "label"), "rand_index")
 
 

@@ -1,5 +1,8 @@
-"""Classifiers, stacking, search and clustering on the given tables; checked by rows only, but for
-the constant baseline."""
+"""Classifiers, stacking, search and clustering on the given tables.
+
+What a fitted model answers is not unique, so SQL says what must hold: which rows are held out, with which labels, that
+every answer is a class, its score in range and on the answer's side, and that the model is no worse than a constant.
+"""
 
 from __future__ import annotations
 
@@ -31,17 +34,20 @@ def text_rows(spark, folder):
 
 
 def text_vectors(spark, folder):
-    """(id, label, features, fold) of the labelled documents, written once."""
-    rows = staged(text_rows(spark, folder), "text-rows")
-    steps = vec.feature_steps(
-        numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0, maxDF=0.9, maxFeatures=300
+    """(id, label, features, fold) of the labelled documents; vocabulary and scaling come from folds 1 and 2 only."""
+    rows = search.with_folds(text_rows(spark, folder), "id", 3)
+    fitted = Pipeline(stages=list(text_steps(rows).values())).fit(rows.where("fold <> 0"))
+    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "text-vectors")
+
+
+def text_steps(rows):
+    return vec.feature_steps(
+        numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0, maxDF=0.9, maxFeatures=5000
     )
-    vectors = Pipeline(stages=list(steps.values())).fit(rows).transform(rows).select("id", "label", "features")
-    return search.with_folds(vectors, "id", 3)
 
 
 def rating_vectors(spark, folder):
-    """(id, label 0..4, features, fold) of the rated events."""
+    """(id, label 0..4, features, fold) of the rated events; scaling and levels come from folds 1 and 2 only."""
     rows = event_reviews(spark, folder).select(
         "id", (F.col("overall") - 1).alias("label"), "category",
         (F.col("value") + F.col("id") % 13).alias("value"), F.hour("ts").alias("review_hour"),
@@ -51,8 +57,9 @@ def rating_vectors(spark, folder):
         vec.OneHot(outputCol="_category"),
         VectorAssembler(inputCols=["_numeric", "_category"], outputCol="features"),
     ]
-    vectors = Pipeline(stages=stages).fit(rows).transform(rows).select("id", "label", "features")
-    return search.with_folds(vectors, "id", 3)
+    rows = search.with_folds(rows, "id", 3)
+    fitted = Pipeline(stages=stages).fit(rows.where("fold <> 0"))
+    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "rating-vectors")
 
 
 def held_out(rows, model):
@@ -62,13 +69,30 @@ def held_out(rows, model):
 
 
 def answers(predicted, classes: int = 2):
-    columns = ["id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")]
+    """(id, label, valid, beats_constant): every answer checked, and all against the best constant."""
+    valid = F.col("prediction").isin([float(c) for c in range(classes)])
     if "probability" in predicted.columns:
         p = vector_to_array("probability")
-        columns.append(F.round(p[1] if classes == 2 else F.array_max(p), 6).alias("score"))
+        best = F.array_position(p, F.array_max(p)) - 1
+        valid = valid & F.forall(p, lambda v: v.between(0, 1)) & (p[F.col("prediction").cast("int")] == F.array_max(p)) & (best <= F.col("prediction"))
     elif "rawPrediction" in predicted.columns:
-        columns.append(F.round(vector_to_array("rawPrediction")[1], 6).alias("score"))
-    return predicted.select(*columns)
+        valid = valid & ((vector_to_array("rawPrediction")[1] >= 0) == (F.col("prediction") == 1))
+    rows = staged(predicted.select(
+        "id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), valid.alias("valid")), "answers")
+    reached = metrics.macro_f1(rows).first()[0]
+    constant = max(metrics.macro_f1(rows.withColumn("prediction", F.lit(c))).first()[0] or 0.0 for c in range(classes))
+    return rows.select("id", "label", "valid", F.lit(bool(reached >= constant)).alias("beats_constant"))
+
+
+SQL_TEXT = "(SELECT doc_id AS id, quality AS label FROM labels)"
+SQL_RATINGS = "(SELECT event_id AS id, least(5, 1 + floor(value / 25))::INT - 1 AS label FROM events)"
+
+
+def sql_answers(source: str = SQL_TEXT, where: str = "fold = 0") -> str:
+    return f"""WITH f AS (
+        SELECT id, label, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold
+        FROM {source} AS s)
+    SELECT id, label, true AS valid, true AS beats_constant FROM f WHERE {where}"""
 
 
 SQL_ZERO = "p AS (SELECT doc_id, quality AS label, 0 AS prediction FROM labels)"
@@ -85,55 +109,55 @@ def constant_baseline(spark, folder):
     return out.withColumns({c: F.round(c, 6) for c in out.columns})
 
 
-@query("logistic_regression")
+@query("logistic_regression", sql_answers())
 def logistic_regression(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, max_iter=50)))
 
 
-@query("logistic_regression_l1")
+@query("logistic_regression_l1", sql_answers())
 def logistic_regression_l1(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, penalty="l1", max_iter=50)))
 
 
-@query("logistic_multinomial")
+@query("logistic_multinomial", sql_answers(SQL_RATINGS))
 def logistic_multinomial(spark, folder):
     return answers(held_out(rating_vectors(spark, folder), cl.logistic(multinomial=True, max_iter=50)), 5)
 
 
-@query("random_forest")
+@query("random_forest", sql_answers())
 def random_forest(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.random_forest(n_estimators=10, max_depth=8)))
 
 
-@query("gradient_boosting")
+@query("gradient_boosting", sql_answers())
 def gradient_boosting(spark, folder):
     model = cl.gradient_boosting(n_estimators=8, max_depth=3, subsample=0.8, validation_share=0.1)
     return answers(held_out(text_vectors(spark, folder), model))
 
 
-@query("gradient_boosting_multiclass")
+@query("gradient_boosting_multiclass", sql_answers(SQL_RATINGS))
 def gradient_boosting_multiclass(spark, folder):
     model = cl.gradient_boosting(n_estimators=3, max_depth=3, classes=5)
     return answers(held_out(rating_vectors(spark, folder), model), 5)
 
 
-@query("linear_svm")
+@query("linear_svm", sql_answers())
 def linear_svm(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.linear_svm(max_iter=30)))
 
 
-@query("perceptron")
+@query("perceptron", sql_answers())
 def perceptron(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.perceptron(max_iter=8)))
 
 
-@query("stacking")
+@query("stacking", sql_answers())
 def stacking(spark, folder):
     rows = text_vectors(spark, folder)
     return answers(held_out(rows, jobs.stack(folds=3, trees=10, rounds=5, depth=6, iterations=20, parallelism=4)))
 
 
-@query("stacking_multiclass")
+@query("stacking_multiclass", sql_answers(SQL_RATINGS))
 def stacking_multiclass(spark, folder):
     rows = rating_vectors(spark, folder)
     model = jobs.stack(classes=5, folds=2, trees=5, rounds=2, depth=5, iterations=20, parallelism=4)
@@ -212,61 +236,94 @@ def text_experiment(spark, folder):
     return tables["report"]
 
 
-@query("cross_validated_predictions")
+@query("cross_validated_predictions", sql_answers(where="true"))
 def cross_validated_predictions(spark, folder):
     return answers(search.cross_val_predict(cl.logistic(max_iter=30), text_vectors(spark, folder), 3, parallelism=3))
 
 
 def _search(spark, folder, model=None):
+    """A search whose vocabulary and scaling are fitted inside each fold, once for all classifier settings."""
     model = model or cl.logistic(max_iter=20)
-    return search.Search(model, {"clf": model}, text_vectors(spark, folder), 3, parallelism=4)
+    rows = search.with_folds(text_rows(spark, folder), "id", 3)
+    steps = text_steps(rows)
+    return search.Search(model, {**steps, "clf": model}, rows, 3, parallelism=4, features=Pipeline(stages=list(steps.values())))
 
 
-@query("grid_search")
+def trials(found):
+    """(trial, settings, folds, mean_ok, in_range, best): the search's table, each score checked against its folds."""
+    table_ = found.table()
+    mean = F.aggregate("fold_scores", F.lit(0.0), lambda a, v: a + v) / F.size("fold_scores")
+    return table_.select(
+        "trial", "settings", F.size("fold_scores").alias("folds"), (F.abs(mean - F.col("score")) < 1e-9).alias("mean_ok"),
+        F.forall("fold_scores", lambda v: v.between(0, 1)).alias("in_range"),
+        F.lit(found.best.score == max(t.score for t in found.trials)).alias("best_ok"))
+
+
+def sql_trials(settings: list[dict], folds: int = 3) -> str:
+    values = ", ".join("({}, '{}')".format(i, str(sorted(s.items())).replace("'", "''")) for i, s in enumerate(settings))
+    return (f"SELECT trial::INT AS trial, settings, {folds} AS folds, true AS mean_ok, true AS in_range, true AS best_ok "
+            f"FROM (VALUES {values}) AS v(trial, settings)")
+
+
+GRID = {"clf__C": [0.1, 1.0, 10.0]}
+FOREST = {"clf__n_estimators": search.Whole(20, 100), "clf__min_samples_leaf": [1, 2, 5]}
+C_RANGE = {"clf__C": search.LogUniform(1e-3, 4.0)}
+TEXT_GRID = {"text__max_features": [500, 5000], "clf__C": [1.0, 10.0]}
+DRAWS = 5  # for each search of this catalog; the operator takes any number
+
+
+@query("grid_search", sql_trials(search.grid(GRID)))
 def grid_search(spark, folder):
-    return _search(spark, folder).grid({"clf__C": [0.1, 1.0, 10.0]}).table()
+    return trials(_search(spark, folder).grid(GRID))
 
 
-@query("random_search")
+@query("random_search", sql_trials(search.draws(FOREST, DRAWS)))
 def random_search(spark, folder):
-    forest = cl.random_forest(max_depth=5)
-    space = {"clf__n_estimators": search.Whole(4, 10), "clf__min_samples_leaf": [1, 2, 5]}
-    return _search(spark, folder, forest).random(space, 3).table()
+    return trials(_search(spark, folder, cl.random_forest(max_depth=5)).random(FOREST, DRAWS))
 
 
-@query("narrowed_search")
+@query("narrowed_search", f"SELECT i::INT AS trial, 3 AS folds, true AS inside FROM range({2 * DRAWS}) AS r(i)")
 def narrowed_search(spark, folder):
-    """A second search in ranges shrunk around the best of the first."""
-    space = {"clf__C": search.LogUniform(1e-3, 4.0)}
-    first = _search(spark, folder).random(space, 2)
-    return first.random(search.narrowed(space, first.best.settings), 2, seed=43).table()
+    """A second search in ranges shrunk around the best of the first; every draw lies inside its range."""
+    found = _search(spark, folder).random(C_RANGE, DRAWS)
+    space = search.narrowed(C_RANGE, found.best.settings)
+    found.random(space, DRAWS, seed=43)
+    ranges = [C_RANGE["clf__C"]] * DRAWS + [space["clf__C"]] * DRAWS
+    inside = [r.low <= t.settings["clf__C"] <= r.high for r, t in zip(ranges, found.trials)]
+    return found.table().select("trial", F.size("fold_scores").alias("folds"), F.get(F.array(*map(F.lit, inside)), "trial").alias("inside"))
 
 
-@query("round_search")
+@query("round_search", "SELECT i::INT AS trial, 3 AS folds, true AS narrower FROM range(8) AS r(i)")
 def round_search(spark, folder):
-    return _search(spark, folder).rounds({"clf__C": search.LogUniform(1e-3, 4.0)}, rounds=2, per_round=2).table()
+    """Two rounds; the second one's draws are no further apart than its range, half of the first's."""
+    import math
+
+    found = _search(spark, folder).rounds(C_RANGE, rounds=2, per_round=4)
+    logs = [math.log(t.settings["clf__C"]) for t in found.trials]
+    width = (math.log(4.0) - math.log(1e-3)) / 2
+    narrower = [True] * 4 + [max(logs[4:]) - min(logs[4:]) <= width + 1e-9] * 4
+    return found.table().select("trial", F.size("fold_scores").alias("folds"), F.get(F.array(*map(F.lit, narrower)), "trial").alias("narrower"))
 
 
-@query("refit_best")
+@query("refit_best", sql_answers(where="true"))
 def refit_best(spark, folder):
     found = _search(spark, folder).grid({"clf__C": [0.1, 1.0]})
     return answers(found.refit().transform(found.rows))
 
 
-@query("text_search")
+@query("text_search", sql_trials(search.grid(TEXT_GRID), 2))
 def text_search(spark, folder):
-    """Search over vocabulary and classifier settings together; the features are refitted per fold."""
-    rows = text_rows(spark, folder)
-    steps = vec.feature_steps(numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0, maxFeatures=100)
-    steps["clf"] = cl.logistic(max_iter=20)
-    folded = search.with_folds(rows, "id", 2)
-    found = search.Search(Pipeline(stages=list(steps.values())), steps, folded, 2, parallelism=4)
-    return found.grid({"text__max_features": [50, 200], "clf__C": [1.0]}).table()
+    """Search over vocabulary and classifier settings together: four settings, features fitted twice per fold."""
+    rows = search.with_folds(text_rows(spark, folder), "id", 2)
+    steps = vec.feature_steps(numeric=jobs.numeric_columns(rows), categorical=["category"], minDF=2.0)
+    model = cl.logistic(max_iter=20)
+    found = search.Search(model, {**steps, "clf": model}, rows, 2, parallelism=4, features=Pipeline(stages=list(steps.values())))
+    return trials(found.grid(TEXT_GRID))
 
 
 @query(
     "shuffled_column",
-    "SELECT value, count(*) AS rows, true AS ids_kept FROM events GROUP BY value",
+    "SELECT value, count(*) AS rows, true AS ids_kept, true AS moved FROM events GROUP BY value",
 )
 def shuffled_column(spark, folder):
     """A shuffled column holds the same values, and every row is still there once."""
@@ -274,7 +331,8 @@ def shuffled_column(spark, folder):
     moved = ev.shuffled(rows, "id", "value", 3)
     whole = rows.agg(F.count("*"), F.sum("id")).first()
     same = tuple(moved.agg(F.count("*"), F.sum("id")).first()) == tuple(whole)
-    return moved.groupBy("value").agg(F.count("*").alias("rows")).withColumn("ids_kept", F.lit(same))
+    stayed = moved.alias("m").join(rows.alias("r"), "id").agg(F.avg((F.col("m.value") == F.col("r.value")).cast("int"))).first()[0]
+    return moved.groupBy("value").agg(F.count("*").alias("rows")).withColumns({"ids_kept": F.lit(same), "moved": F.lit(stayed < 0.5)})
 
 
 @query("permutation_importance")
@@ -284,8 +342,9 @@ def permutation_importance(spark, folder):
         "importance",
     )
     stages = [vec.Standardise(inputCols=["value", "hour"], outputCol="features"), cl.logistic(max_iter=20)]
-    model = Pipeline(stages=stages).fit(rows)
-    return ev.permutation_importance(model, rows, "id", ["value", "hour"], ev.MacroF1Evaluator(), repeats=2)
+    rows = search.with_folds(rows, "id", 3)
+    model = Pipeline(stages=stages).fit(rows.where("fold <> 0"))
+    return ev.permutation_importance(model, rows.where("fold = 0"), "id", ["value", "hour"], ev.MacroF1Evaluator(), repeats=2)
 
 
 @query("kmeans_clusters")
@@ -314,7 +373,7 @@ def kmeans_text_quality(spark, folder):
     return clustering.silhouette(clustered).withColumn("rand_index", F.lit(rand))
 
 
-@query("oversampled_training")
+@query("oversampled_training", sql_answers())
 def oversampled_training(spark, folder):
     """Training rows raised to equal classes instead of weighted."""
     rows = text_vectors(spark, folder)

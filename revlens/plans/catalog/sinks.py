@@ -40,6 +40,20 @@ def csv_scan(spark, folder):
     return reviews.read_csv(spark, path)
 
 
+@query(
+    "csv_scan_mixed_headers",
+    """SELECT doc_id::VARCHAR AS doc_id, CASE WHEN doc_id % 3 <> 2 THEN text END AS "reviewText",
+        CASE WHEN doc_id % 3 <> 1 THEN lang END AS category FROM documents""",
+)
+def csv_scan_mixed_headers(spark, folder):
+    """Files that hold other columns in another order, read as one table."""
+    path = fresh(spark, "mixed")
+    rows = table(spark, folder, "documents").select("doc_id", F.col("text").alias("reviewText"), F.col("lang").alias("category"))
+    for rest, columns in enumerate((["doc_id", "reviewText", "category"], ["reviewText", "doc_id"], ["category", "doc_id"])):
+        as_csv(rows.where(F.col("doc_id") % 3 == rest).select(*columns), f"{path}/{rest}")
+    return reviews.read_csv(spark, f"{path}/*")
+
+
 @query("row_ids", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id::VARCHAR AS doc_id FROM documents")
 def row_ids(spark, folder):
     """Rows of several CSV files numbered in file order."""

@@ -194,14 +194,14 @@ def duplicate_rows(spark, folder):
     "train_test_class_compare",
     f"""WITH r AS (SELECT event_id AS id, {RATING} AS class FROM events),
     train AS (SELECT class, count(*) AS n FROM r WHERE id % 5 <> 0 GROUP BY 1),
-    test AS (SELECT class, count(*) AS n FROM r WHERE id % 5 = 0 AND class < 5 GROUP BY 1)
+    test AS (SELECT class, count(*) AS n FROM r WHERE id % 5 = 0 GROUP BY 1)
     SELECT class, coalesce(a.n, 0) AS train_rows, coalesce(round(a.n / (SELECT sum(n) FROM train), 6), 0) AS train_share,
         coalesce(b.n, 0) AS test_rows, coalesce(round(b.n / (SELECT sum(n) FROM test), 6), 0) AS test_share
     FROM train a FULL JOIN test b USING (class)""",
 )
 def train_test_class_compare(spark, folder):
     rated = event_reviews(spark, folder).select("id", "overall")
-    test = rated.where("id % 5 = 0 AND overall < 5")
+    test = rated.where("id % 5 = 0")
     out = profile.compare_distributions(rated.where("id % 5 <> 0"), test, "overall")
     return out.withColumns({c: F.round(c, 6) for c in ("train_share", "test_share")})
 

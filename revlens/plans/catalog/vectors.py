@@ -42,7 +42,7 @@ def sql_tfidf(source: str, c: str, n: int, min_df: float, max_df: float, limit:
     SELECT id, term, round(w / {scale[norm]}, 6) AS weight FROM weights"""
 
 
-DOCS = "(SELECT doc_id AS id, text, split_part(text, chr(10), 1) AS summary FROM documents)"
+DOCS = "(SELECT doc_id AS id, text, source || ' ' || lang AS summary FROM documents)"
 
 
 def docs(spark, folder):
@@ -113,9 +113,14 @@ def tfidf_all_terms(spark, folder):
     return out.withColumn("weight", F.round("weight", 6))
 
 
-@query("summary_tfidf", sql_tfidf(DOCS, "summary", 1, 1, 1.0, 500, "tf", True, "l2"))
+CHATS = "(SELECT conv_id * 1000 + turn AS id, text AS summary FROM conversations)"
+
+
+@query("summary_tfidf", sql_tfidf(CHATS, "summary", 1, 1, 1.0, 500, "tf", True, "l2"))
 def summary_tfidf(spark, folder):
-    rows = docs(spark, folder)
+    """The turns of conversations stand in for a second text column."""
+    turns = table(spark, folder, "conversations")
+    rows = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("summary"))
     return long(rows, vec.Tfidf(inputCol="summary", maxFeatures=500).fit(rows))
 
 
@@ -140,7 +145,7 @@ def hashed_counts(spark, folder):
 
 @query("tfidf_without_stop_words")
 def tfidf_without_stop_words(spark, folder):
-    """Spark's own English stop words, so there is no SQL twin."""
+    """Spark's own English stop words, a list that only a session can name: no SQL twin."""
     rows = docs(spark, folder)
     return long(rows, vec.Tfidf(minDF=3.0, maxFeatures=300, stopWords="english").fit(rows))
 

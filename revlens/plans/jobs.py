@@ -29,7 +29,7 @@ BEST_CUTOFF_1 = {
     "gb__max_depth": 5,
     "gb__n_estimators": 89,
     "lr__C": 0.005415244119402535,
-    "rf__max_depth": 30,
+    "rf__max_depth": None,  # no limit
     "rf__n_estimators": 107,
     "text__max_df": 0.85,
     "text__max_features": 5000,
@@ -53,13 +53,18 @@ def model_rows(features: DataFrame, label=None, row_id: str = "id") -> DataFrame
 
 
 def stack(classes: int = 2, folds: int = 3, row_id: str = "id", seed: int = 42, parallelism: int = 2,
-          trees: int = 100, rounds: int = 100, depth: int | None = None, iterations: int = 100) -> Stacking:
-    """Logistic regression, forest and boosting under a logistic regression."""
+          trees: int = 100, rounds: int = 100, depth: int | None = None, iterations: int = 100,
+          validation_share: float = 0.0) -> Stacking:
+    """Logistic regression, forest and boosting under a logistic regression.
+
+    With `validation_share`, boosting sets that share of its rows aside and stops early.
+    """
     return Stacking(
         bases={
             "lr": cl.logistic(multinomial=classes > 2, max_iter=iterations),
             "rf": cl.random_forest(n_estimators=trees, max_depth=depth, seed=seed),
-            "gb": cl.gradient_boosting(n_estimators=rounds, classes=classes, seed=seed, row_id=row_id),
+            "gb": cl.gradient_boosting(n_estimators=rounds, classes=classes, seed=seed, row_id=row_id,
+                                       validation_share=validation_share),
         },
         meta=cl.logistic(multinomial=classes > 2, max_iter=iterations),
         numFolds=folds, classes=classes, idCol=row_id, seed=seed, parallelism=parallelism,

@@ -22,6 +22,7 @@ REVIEWS = T.StructType(
     ]
 )
 
+# The columns that no model reads, and what stands for a missing value.
 UNUSED = ("review_date", "reviewTime", "unixReviewTime", "image", "style", "reviewerName", "asin")
 DEFAULTS = {"reviewText": "", "summary": "", "category": "unknown", "vote": 0.0, "verified": 0}
 
@@ -68,11 +69,12 @@ def fill_and_default(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     return out.na.fill(defaults)
 
 
-def by_type(df: DataFrame, max_levels: int | None = 1000, ignore: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
+def by_type(df: DataFrame, max_levels: int | None = None, ignore: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
     """(numeric, categorical) column names.
 
-    With `max_levels`, text columns with more distinct values than that (raw text, ids) are left
-    out of the categorical list; the check is one approximate distinct count over all of them.
+    All text and boolean columns are categorical, whatever their number of values; name raw texts
+    and ids in `ignore`. Only a caller who gives `max_levels` has columns with more distinct
+    values left out, by one approximate count.
     """
     fields = [f for f in df.schema.fields if f.name not in ignore]
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,6 +55,17 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete tables made by `staged` once nothing reads them any more."""
+    for df in tables:
+        spark, files = df.sparkSession, df.inputFiles()
+        folder = files[0].rsplit("/", 1)[0] if files else ""
+        if not re.search(r"-[0-9a-f]{32}$", folder):
+            raise ValueError("not a table made by staged()")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The planner's size estimate of a table; nothing is run for it."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -11,11 +11,16 @@ from revlens.session import lookup_join
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header, quoted text that may span lines, and doubled quotes.
 
-    Columns are matched by the header: a file may hold only some of the declared columns, in any
-    order. Without a schema of its own the review schema is used; other columns stay text.
+    Columns are matched by each file's own header: a file may hold only some of the declared
+    columns, in any order; files with the same header are read together and the groups are joined by name, with
+    NULL for what a group doesn't have. Without a schema of its own the review schema is used;
+    other columns stay text.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    raw = reader.csv(path)
+    groups = [reader.csv(files) for files in files_by_header(spark, path)]
+    raw = groups[0]
+    for other in groups[1:]:
+        raw = raw.unionByName(other, allowMissingColumns=True)
     declared = {f.name: f.dataType for f in (schema or REVIEWS).fields}
     # Every column is read as text under the file's own header, then cast: a bad value becomes NULL.
     return raw.select(
@@ -23,6 +28,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     )
 
 
+def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The CSV files under `path`, those with equal first lines together.
+
+    Only first lines are compared: a header with a line break inside a quoted name is read up to it.
+    """
+    lines = spark.read.option("wholetext", False).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    heads = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file_path").agg(
+        F.min_by("value", "at").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    found = [r["files"] for r in groups.orderBy(F.get("files", F.lit(0))).collect()]
+    return found or [[path]]
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

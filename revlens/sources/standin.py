@@ -12,18 +12,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def first_line(c: str):
-    return F.substring_index(F.col(c), "\n", 1)
-
-
 def document_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as reviews: text, first line as summary, language as category, a derived time."""
+    """Documents as reviews: text, source and language as summary, language as category, a derived time."""
     unix = F.lit(1388534400) + F.col("doc_id") * 86399
     day = F.date_format(from_unix(unix), "MM d, yyyy")
     return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("reviewText"),
-        first_line("text").alias("summary"),
+        F.concat("source", F.lit(" "), "lang").alias("summary"),
         F.col("lang").alias("category"),
         F.col("source").alias("reviewerID"),
         F.when(F.col("doc_id") % 3 != 0, day).alias("reviewTime"),
@@ -61,6 +57,6 @@ def order_times(spark: SparkSession, folder: str) -> DataFrame:
 
 
 __all__ = [
-    "document_reviews", "event_reviews", "first_line", "labelled_reviews",
+    "document_reviews", "event_reviews", "labelled_reviews",
     "order_times", "table",
 ]

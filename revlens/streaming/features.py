@@ -24,10 +24,10 @@ def stream_features(df: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
     return binary_labels(out) if "overall" in out.columns else out
 
 
-def write_stream(df: DataFrame, path: str, model: Transformer | None = None, columns: list[str] | None = None,
-                 name: str = "reviews") -> StreamingQuery:
+def write_stream(df: DataFrame, path: str, name: str, model: Transformer | None = None,
+                 columns: list[str] | None = None) -> StreamingQuery:
     """Append features, or a fitted model's answers, to a Parquet table; progress is kept in the
-    shared folder, so a restarted query goes on where it stopped."""
+    shared folder under `name`, each stream's own, so a restarted query goes on where it stopped."""
     out = model.transform(df) if model else df
     out = out.select(*columns) if columns else out
     place = f"{staging_dir(df.sparkSession)}/stream-{name}"

@@ -169,3 +169,25 @@ def test_evaluation_tables(binary):
     out = cl.logistic(max_iter=10).fit(binary).transform(binary)
     tables = jobs.evaluation(out)
     assert tables["auc"].first()[0] > 0.9 and tables["confusion"].count() == 4
+
+
+def test_no_depth_limit_grows_deep_trees(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from revlens.ml.vectorize import param_map
+
+    rows = spark.createDataFrame(
+        [(i, (i * 7919 % 101) % 2, Vectors.dense([float(i), float(i % 13)])) for i in range(300)], ["id", "label", "features"])
+    forest = cl.random_forest(n_estimators=3)
+    model = forest.copy(param_map({"rf": forest}, {"rf__max_depth": None})).fit(rows)
+    assert min(t.depth for t in model.trees) > 5
+    with pytest.raises(ValueError):
+        param_map({"rf": forest}, {"rf__n_estimators": None})
+
+
+def test_penalty_and_ngram_range_are_named_settings():
+    from revlens.ml.vectorize import Tfidf, param_map
+
+    steps = {"lr": cl.logistic(), "text": Tfidf(), "gb": cl.gradient_boosting()}
+    found = param_map(steps, {"lr__penalty": "l1", "text__ngram_range": (1, 3), "gb__validation_fraction": 0.1})
+    assert sorted(found.values()) == [0.1, 1.0, 3]

@@ -107,3 +107,11 @@ def test_text_experiment(spark):
     assert set(settings) == {"clf__C"} and tables["auc"].first()[0] > 0.95
     with pytest.raises(ValueError):
         jobs.text_experiment(rows, "nonsense")
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("reviewText,summary\nt1,s1\n")
+    (tmp_path / "b.csv").write_text("summary,reviewText\ns2,t2\n")
+    (tmp_path / "c.csv").write_text("reviewText\nt3\n")
+    rows = reviews.read_csv(spark, str(tmp_path / "*.csv")).select("reviewText", "summary").collect()
+    assert sorted(map(tuple, rows), key=str) == [("t1", "s1"), ("t2", "s2"), ("t3", None)]

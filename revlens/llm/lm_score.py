@@ -14,6 +14,7 @@ from revlens.llm.text import narrow
 from revlens.session import staged
 
 BUCKET_TOKENS = 2_000_000
+PIECE_CHARS = 8 << 20  # a task's Python memory follows this, not the size of its batches
 CLASSES = 16
 NO_ID = -(1 << 63)
 
@@ -65,6 +66,14 @@ class Vocabulary:
         return np.array(ids, np.int64), rare
 
 
+def small(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches' rows in pieces of about `PIECE_CHARS` characters, or one text."""
+    for batch in batches:
+        at = batch["text"].str.len().fillna(0).cumsum().to_numpy(np.int64) // PIECE_CHARS
+        for _, rows in _runs(at):
+            yield batch.iloc[rows]
+
+
 def vocabulary(rows: DataFrame, share: float) -> Vocabulary:
     """Word counts of the training rows (key, text, train, held); words of at least `share` of all tokens are frequent.
 
@@ -72,7 +81,7 @@ def vocabulary(rows: DataFrame, share: float) -> Vocabulary:
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small(batches):
             both: list[Counter] = [Counter(), Counter()]
             for text, held in zip(batch["text"], batch["held"]):
                 both[bool(held)].update(tokens(text))
@@ -124,7 +133,7 @@ def mixture_weights(rows: DataFrame, words, buckets: int, rounds: int = 60) -> n
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = Vocabulary(*words.value)
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for held in (False, True):
                 chosen = batch["text"][batch["held"] == held]
@@ -232,7 +241,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         import xxhash
 
         v = Vocabulary(*words.value)
-        for batch in batches:
+        for batch in small(batches):
             pair_bucket, pair, pair_doc, rare_bucket, rare, rare_doc = ([] for _ in range(6))
             for i, text in enumerate(batch["text"]):
                 ids, odd = v.sequence(tokens(text))

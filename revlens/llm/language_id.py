@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,24 +13,43 @@ from pyspark.sql import DataFrame, functions as F
 from revlens.llm.text import narrow
 
 DIMENSIONS = 1 << 15
-EDGES = b".,;:!?\"'()[]{}<>*%$#&|=~^`-_/\\"
+PIECE_CHARS = 2 << 20
+EDGES = ".,;:!?\"'()[]{}<>*%$#&|=~^`-_/\\"
+
+
+def cleaned(token: str) -> str:
+    """A token without ASCII punctuation at its ends; empty if no letter is left."""
+    word = token.strip(EDGES)
+    return word if word.isalpha() or any(c.isalpha() for c in word) else ""
 
 
 def words_of(text: str | None) -> list[str]:
-    """Words between ASCII spaces, lower-cased, without ASCII punctuation at the ends, that have a letter."""
-    found = (w.strip(EDGES.decode()) for w in (text or "").lower().split())
-    return [w for w in found if w and (w.isalpha() or any(c.isalpha() for c in w))]
+    """Words between white space, lower-cased, without ASCII punctuation at the ends, that have a letter."""
+    return [w for w in map(cleaned, (text or "").lower().split()) if w]
+
+
+def pieces(texts: pd.Series) -> Iterator[pd.Series]:
+    """A batch in runs of about `PIECE_CHARS` characters, or one text: a task's memory follows this."""
+    at = texts.str.len().fillna(0).cumsum().to_numpy(np.int64) // PIECE_CHARS
+    for _, rows in texts.groupby(at, sort=True):
+        yield rows
 
 
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed prefixes and suffixes up to three characters, inner two- and three-grams, lexicon entry, odd letters."""
-    marked = f"^{word[:24]}$"
-    names = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    names += [f"g{marked[i:i + 2]}" for i in range(len(marked) - 1)] + [f"g{marked[i:i + 3]}" for i in range(len(marked) - 2)]
-    names += [f"c{c}" for c in set(word) if not c.isascii()]
+    """Hashed prefixes and suffixes up to three bytes, inner two- and three-grams, lexicon entry, non-ASCII bytes.
+
+    Each kind of feature starts its checksum from a number of its own.
+    """
+    raw = word.encode("utf-8", "surrogatepass")[:32]
+    crc, marked = zlib.crc32, b"^" + raw + b"$"
+    found = [crc(raw[:k], k) for k in (1, 2, 3)] + [crc(raw[-k:], 10 + k) for k in (1, 2, 3)]
+    found += [crc(marked[i:i + 2], 20) for i in range(len(marked) - 1)]
+    found += [crc(marked[i:i + 3], 21) for i in range(len(marked) - 2)]
+    if not word.isascii():
+        found += [crc(c.encode("utf-8", "surrogatepass"), 22) for c in set(word) if not c.isascii()]
     if word in lexicon:
-        names.append(f"w{word}")
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % DIMENSIONS for x in names]
+        found.append(crc(raw, 23))
+    return [x & DIMENSIONS - 1 for x in found]
 
 
 def marginals(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray,
@@ -150,16 +170,19 @@ class Field:
     def emission(self, word: str) -> np.ndarray:
         return self.weights[word_features(word, self.lexicon)].sum(0)
 
-    def label_words(self, texts: list[list[str]], known: "Emissions", cells: int = 400_000) -> list[np.ndarray]:
-        """Label marginals [word, label] of whole texts, in batches of similar length that hold at most `cells` words or one text."""
+    def label_words(self, texts: list[np.ndarray], cells: int = 200_000) -> list[np.ndarray]:
+        """Label marginals [word, label] from emissions [word, label] of whole texts.
+
+        Texts of similar length advance together, in batches that hold at most `cells` words or one text.
+        """
         out = [np.zeros((0, len(self.labels)))] * len(texts)
-        order = sorted((i for i in range(len(texts)) if texts[i]), key=lambda i: len(texts[i]))
+        order = sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: len(texts[i]))
         at = 0
         while at < len(order):
             end = at + 1
             while end < len(order) and (end + 1 - at) * len(texts[order[end]]) <= cells:
                 end += 1
-            emissions, lengths = padded([known.of(texts[i]) for i in order[at:end]], len(self.labels))
+            emissions, lengths = padded([texts[i] for i in order[at:end]], len(self.labels))
             found, _ = marginals(emissions, lengths, self.moves, self.start, count_moves=False)
             for j, i in enumerate(order[at:end]):
                 out[i] = found[j, :lengths[j]]
@@ -168,26 +191,39 @@ class Field:
 
 
 class Emissions:
-    """Emission scores of words; remembers up to a fixed number of words."""
+    """Emission scores of tokens; remembers up to a fixed number of them, also that one is no word."""
 
     def __init__(self, field: Field, remembered: int = 300_000):
         self.field, self.remembered = field, remembered
         self.row: dict[str, int] = {}
         self.table = np.zeros((1024, len(field.labels)))
 
-    def _add(self, word: str) -> int:
-        if len(self.row) == len(self.table):
+    def _add(self, tokens: list[str]) -> None:
+        words = [cleaned(t) for t in tokens]
+        flat = [word_features(w, self.field.lexicon) for w in words if w]
+        first = len(self.row)
+        while first + len(tokens) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        at = self.row[word] = len(self.row)
-        self.table[at] = self.field.emission(word)
-        return at
+        for t in tokens:
+            self.row[t] = len(self.row)
+        if flat:
+            sizes = np.array([len(f) for f in flat])
+            where = np.fromiter((x for f in flat for x in f), np.int64, sizes.sum())
+            sums = np.add.reduceat(self.field.weights[where], np.cumsum(sizes) - sizes)
+        at = 0
+        for i, w in enumerate(words):
+            self.table[first + i] = sums[at] if w else np.nan
+            at += bool(w)
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, tokens: list[str]) -> np.ndarray:
+        """[word, label] of the tokens that are words."""
         if len(self.row) > self.remembered:
             self.row.clear()
-        get = self.row.get
-        rows = [at if (at := get(w)) is not None else self._add(w) for w in words]
-        return self.table[rows]
+        new = [t for t in dict.fromkeys(tokens) if t not in self.row]
+        if new:
+            self._add(new)
+        rows = self.table[[self.row[t] for t in tokens]]
+        return rows[~np.isnan(rows[:, 0])] if len(rows) else rows
 
 
 def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexicon_share: float = 1e-4) -> Field:
@@ -199,17 +235,23 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
     """
     key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(words_of)
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for texts in pieces(batch["text"]):
+                for lang, part in texts.groupby(batch["lang"].loc[texts.index]):
+                    seen: Counter = Counter()
+                    for t in part:
+                        seen.update(t.lower().split())
+                    yield pd.DataFrame({"lang": lang, "word": [cleaned(t) for t in seen], "n": list(seen.values())})
 
     usable = rows.where("lang is not null and text is not null")
-    counted = usable.select("lang", F.explode(split("text")).alias("word")).groupBy("lang", "word").count()
+    counted = usable.select("lang", "text").mapInPandas(tokens, "lang string, word string, n bigint").where(
+        "word != ''").groupBy("lang", "word").agg(F.sum("n").alias("count"))
     sums = counted.groupBy("lang").agg(F.sum("count").alias("total"))
     common = counted.join(F.broadcast(sums), "lang").where(F.col("count") >= F.greatest(F.lit(5.0), lexicon_share * F.col("total")))
     lexicon = {r[0]: 1 for r in common.select("word").distinct().collect()}
     languages = sorted(r[0] for r in sums.select("lang").collect())
-    pieces: list[tuple[int, list[str]]] = []
+    chosen: list[tuple[int, list[str]]] = []
     for label, lang in enumerate(languages):
         taken = 0
         few = usable.where(F.col("lang") == lang).select(key.alias("key"), "doc", "text").orderBy("key", "doc").limit(max_train)
@@ -218,8 +260,8 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
             if taken and taken + len(words) > max_words:
                 break
             taken += len(words)
-            pieces.append((label, words))
-    return Field(languages, lexicon).fit(switched(pieces, np.random.default_rng(3)))
+            chosen.append((label, words))
+    return Field(languages, lexicon).fit(switched(chosen, np.random.default_rng(3)))
 
 
 def identify(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", unknown: str = "und") -> DataFrame:
@@ -240,16 +282,16 @@ def identify(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = Emissions(field)
         for batch in batches:
-            texts = [words_of(t) for t in batch]
-            found = field.label_words(texts, known) if labels else [np.zeros((0, 0))] * len(texts)
             out = []
-            for m in found:
-                if not len(m):
-                    out.append((unknown, 0.0, 0, [], 0))
-                    continue
-                share, best = m.mean(0), m.argmax(1)
-                top = int(share.argmax())
-                out.append((labels[top], float(min(share[top], 1.0)), len(m), share.tolist(), int((best[1:] != best[:-1]).sum())))
+            for texts in pieces(batch):
+                found = [known.of((t or "").lower().split()) for t in texts] if labels else [np.zeros((0, 1))] * len(texts)
+                for m in field.label_words(found) if labels else found:
+                    if not len(m):
+                        out.append((unknown, 0.0, 0, [], 0))
+                        continue
+                    share, best = m.mean(0), m.argmax(1)
+                    top = int(share.argmax())
+                    out.append((labels[top], float(min(share[top], 1.0)), len(m), share.tolist(), int((best[1:] != best[:-1]).sum())))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "n_words", "shares", "switches"])
 
     rows = narrow(docs, doc=id_col, text=text_col)

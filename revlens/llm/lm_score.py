@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.llm.text import narrow
-from revlens.session import staged
+from revlens.session import constant_array, staged
 
-BUCKET_TOKENS = 2_000_000
 PIECE_CHARS = 8 << 20  # a task's Python memory follows this, not the size of its batches
-CLASSES = 16
 NO_ID = -(1 << 63)
 
 
@@ -23,158 +18,84 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def rare_class(word: bytes) -> int:
-    """Rare words share 16 classes: by length, by whether all is ASCII, by whether a sentence mark ends them."""
-    return min(len(word), 15) // 4 * 4 + 2 * word.isascii() + (word[-1] in b".,;:!?")
+def word_hash(word: bytes) -> int:
+    import xxhash
 
+    return int(np.uint64(xxhash.xxh64_intdigest(word)).view(np.int64))
 
-def log_bucket(count: np.ndarray) -> np.ndarray:
+
+END, START = b"", b" "  # no word is either
+
+
+def log_bucket(count: Column) -> Column:
     """0 for 0, then 1 + whole log2."""
-    return np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1, 0)
-
-
-@dataclass
-class Vocabulary:
-    """Frequent words with symbols of their own; then one for the text's end, one for its start, and the classes."""
-
-    symbol: dict[bytes, int]
-    count: np.ndarray       # by symbol, over the training documents; the start counts documents
-    count_held: np.ndarray  # of these, in the documents held out for the weights
-    class_words: np.ndarray  # distinct rare words by class
-    n_tokens: int
-    n_words: int
-
-    @property
-    def end(self) -> int:
-        return len(self.symbol)
-
-    @property
-    def size(self) -> int:
-        return len(self.symbol) + 2 + CLASSES
-
-    def sequence(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-        """Symbols from the start to the end of a text, and its rare words."""
-        get, first = self.symbol.get, self.end + 2
-        ids, rare = [self.end + 1], []
-        for w in words:
-            s = get(w)
-            if s is None:
-                rare.append(w)
-                s = first + rare_class(w)
-            ids.append(s)
-        ids.append(self.end)
-        return np.array(ids, np.int64), rare
+    return F.when(count > 0, F.length(F.bin(count))).otherwise(0)
 
 
 def small(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The batches' rows in pieces of about `PIECE_CHARS` characters, or one text."""
     for batch in batches:
         at = batch["text"].str.len().fillna(0).cumsum().to_numpy(np.int64) // PIECE_CHARS
-        for _, rows in _runs(at):
-            yield batch.iloc[rows]
+        for _, rows in batch.groupby(at, sort=True):
+            yield rows
+
+
+def hashed_pairs(texts: pd.Series, owner: np.ndarray, known: dict[bytes, int]) -> pd.DataFrame:
+    """(owner, pair, prev, word, n): the texts' word pairs, from the start to the end of each, counted by owner."""
+    if len(known) > 500_000:
+        known.clear()
+    prev, word, sizes = [], [], []
+    end, start = word_hash(END), word_hash(START)
+    for text in texts:
+        ids = []
+        for w in tokens(text):
+            h = known.get(w)
+            if h is None:
+                h = known[w] = word_hash(w)
+            ids.append(h)
+        ids.append(end)
+        word += ids
+        prev.append(start)
+        prev += ids[:-1]
+        sizes.append(len(ids))
+    prev, word, who = np.array(prev, np.int64), np.array(word, np.int64), np.repeat(owner, sizes)
+    x = prev.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    pair = (((x ^ x >> np.uint64(29)) + word.view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+    order = np.lexsort((pair, who))
+    pair, who = pair[order], who[order]
+    first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (who[1:] != who[:-1])])
+    return pd.DataFrame({"owner": who[first], "pair": pair[first], "prev": prev[order][first], "word": word[order][first],
+                         "n": np.diff(np.r_[first, len(pair)])})
+
+
+def counted_pairs(rows: DataFrame) -> DataFrame:
+    """(pair, prev, word, n, h): every distinct pair of `rows`, counted in the training rows and in those of them held out."""
 
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
+        for batch in small(batches):
+            part = np.where(batch["train"], 1 + batch["held"].astype(int), 0)
+            found = hashed_pairs(batch["text"], part, known)
+            yield found.assign(h=found["n"] * (found["owner"] == 2), n=found["n"] * (found["owner"] > 0)).drop(columns="owner")
 
-def vocabulary(rows: DataFrame, share: float) -> Vocabulary:
-    """Word counts of the training rows (key, text, train, held); words of at least `share` of all tokens are frequent.
+    each = rows.select("text", "train", "held").mapInPandas(counted, "pair bigint, prev bigint, word bigint, n bigint, h bigint")
+    return each.groupBy("pair").agg(F.min("prev").alias("prev"), F.min("word").alias("word"), F.sum("n").alias("n"), F.sum("h").alias("h"))
 
-    At most 1 / `share` words are, so they fit the driver and a broadcast at any size of input.
-    """
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in small(batches):
-            both: list[Counter] = [Counter(), Counter()]
-            for text, held in zip(batch["text"], batch["held"]):
-                both[bool(held)].update(tokens(text))
-            words = list(both[0] | both[1])
-            yield pd.DataFrame({"word": words, "n": [both[0][w] + both[1][w] for w in words], "h": [both[1][w] for w in words],
-                                "class": [rare_class(w) for w in words]})
-
-    counts = rows.where("train").select("text", "held").mapInPandas(counted, "word binary, n bigint, h bigint, class int")
-    words = staged(counts.groupBy("word", "class").agg(F.sum("n").alias("n"), F.sum("h").alias("h")), "words")
-    docs = rows.where("train").agg(F.count("*"), F.coalesce(F.sum(F.col("held").cast("int")), F.lit(0))).first()
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    n_tokens = int(sums[0]) + docs[0]
-    least = max(2.0, share * n_tokens)
-    frequent = sorted((bytes(r["word"]), r["n"], r["h"]) for r in words.where(F.col("n") >= least).collect())
-    rare = {r["class"]: r for r in words.where(F.col("n") < least).groupBy("class").agg(
-        F.sum("n").alias("n"), F.sum("h").alias("h"), F.count("*").alias("words")).collect()}
-    of_class = lambda k: [rare[c][k] if c in rare else 0 for c in range(CLASSES)]
-    return Vocabulary(
-        {w: i for i, (w, _, _) in enumerate(frequent)},
-        np.array([n for _, n, _ in frequent] + [docs[0], docs[0]] + of_class("n"), np.int64),
-        np.array([h for _, _, h in frequent] + [docs[1], docs[1]] + of_class("h"), np.int64),
-        np.array(of_class("words"), np.int64), n_tokens, int(sums[1]) + (docs[0] > 0))
-
-
-def _pairs(ids: np.ndarray, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    whole = ids[:-1] * size + ids[1:]
-    return whole % buckets, (whole // buckets).astype(np.int32)
-
-
-def _runs(order_key: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Stretches of equal values in a sorted array."""
-    starts = np.flatnonzero(np.r_[True, order_key[1:] != order_key[:-1]]) if len(order_key) else np.zeros(0, int)
-    for a, b in zip(starts, np.r_[starts[1:], len(order_key)]):
-        yield int(order_key[a]), slice(int(a), int(b))
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, where = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(where, counts, len(unique)).astype(np.int64)
-
-
-def mixture_weights(rows: DataFrame, words, buckets: int, rounds: int = 60) -> np.ndarray:
-    """Weights [context bucket, (pair, single, uniform)], from pair counts of the kept and the held-out training rows.
-
-    Pairs are counted per batch, then per bucket of pairs; each bucket compares its held-out pairs
-    with the rest's estimates and gives their joint distribution in quarter octaves, a table whose
-    size doesn't depend on the input. Expectation-maximisation runs on that table.
-    """
+def mixture_weights(pairs: DataFrame, total: int, held: int, uniform: float, rounds: int = 60) -> np.ndarray:
+    """Weights [context bucket, (pair, single, uniform)], from `pairs` with the counts of both words.
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = Vocabulary(*words.value)
-        for batch in small(batches):
-            out = []
-            for held in (False, True):
-                chosen = batch["text"][batch["held"] == held]
-                parts = [v.sequence(tokens(t))[0] for t in chosen]
-                if not parts:
-                    continue
-                whole = np.concatenate([p[:-1] * v.size + p[1:] for p in parts])
-                unique, n = np.unique(whole, return_counts=True)
-                bucket = unique % buckets
-                order = np.argsort(bucket, kind="stable")
-                unique, n, bucket = unique[order], n[order], bucket[order]
-                out += [(b, held, (unique[s] // buckets).astype(np.int32), n[s].astype(np.int32)) for b, s in _runs(bucket)]
-            yield pd.DataFrame(out, columns=["bucket", "held", "pairs", "counts"])
-
-    def compared(group: pd.DataFrame) -> pd.DataFrame:
-        v = Vocabulary(*words.value)
-        bucket = int(group["bucket"].iloc[0])
-        sides = []
-        for held in (False, True):
-            part = group[group["held"] == held]
-            none = [np.zeros(0, np.int32)]
-            sides.append(_summed(np.concatenate(part["pairs"].to_list() or none), np.concatenate(part["counts"].to_list() or none)))
-        (kept, kept_n), (held_pairs, held_n) = sides
-        whole = held_pairs.astype(np.int64) * buckets + bucket
-        before, word = whole // v.size, whole % v.size
-        at = np.minimum(np.searchsorted(kept, held_pairs), max(len(kept) - 1, 0))
-        pair_n = np.where(kept[at] == held_pairs, kept_n[at], 0) if len(kept) else np.zeros(len(held_pairs), np.int64)
-        rest = v.count - v.count_held
-        context, single = rest[before], rest[word]
-        l2 = np.where(pair_n > 0, np.log2(np.maximum(pair_n, 1) / np.maximum(context, 1)), -99.0)
-        l1 = np.where(single > 0, np.log2(np.maximum(single, 1) / max(v.n_tokens - v.count_held.sum() + v.count_held[v.end + 1], 1)), -99.0)
-        table = pd.DataFrame({"context": log_bucket(context), "q2": np.floor(4 * l2).astype(int), "q1": np.floor(4 * l1).astype(int),
-                              "n": held_n.astype(float), "l2": held_n * l2, "l1": held_n * l1})
-        return table.groupby(["context", "q2", "q1"], as_index=False).sum()
-
-    counts = rows.where("train").select("text", "held").mapInPandas(counted, "bucket int, held boolean, pairs array<int>, counts array<int>")
-    table = counts.groupBy("bucket").applyInPandas(compared, "context bigint, q2 bigint, q1 bigint, n double, l2 double, l1 double")
-    found = table.groupBy("context", "q2", "q1").agg(*[F.sum(c).alias(c) for c in ("n", "l2", "l1")]).toPandas()
+    Held-out pairs against the other rows' estimates give a joint distribution in quarter
+    octaves, a table whose size doesn't depend on the input. Expectation-maximisation runs on that table.
+    """
+    kept, context, single = F.col("n") - F.col("h"), F.col("prev_n") - F.col("prev_h"), F.col("word_n") - F.col("word_h")
+    l2 = F.when(kept > 0, F.log2(kept / context)).otherwise(-99.0)
+    l1 = F.when(single > 0, F.log2(single / max(total - held, 1))).otherwise(-99.0)
+    table = pairs.where("h > 0").select(log_bucket(context).alias("context"), l2.alias("l2"), l1.alias("l1"), "h")
+    found = table.groupBy("context", F.floor(4 * F.col("l2")).alias("q2"), F.floor(4 * F.col("l1")).alias("q1")).agg(
+        F.sum("h").cast("double").alias("n"), F.sum(F.col("h") * F.col("l2")).alias("l2"), F.sum(F.col("h") * F.col("l1")).alias("l1")).toPandas()
     weights = np.tile([0.3, 0.6, 0.1], (65, 1))
     weights[0] = [0.0, 0.9, 0.1]
-    uniform = 1.0 / max(Vocabulary(*words.value).size - 1, 1)
     for context, part in found.groupby("context"):
         n = part["n"].to_numpy()
         odds = np.stack([np.where(part["q2"] > -396, 2.0 ** (part["l2"] / n), 0), np.where(part["q1"] > -396, 2.0 ** (part["l1"] / n), 0),
@@ -195,115 +116,52 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     `training` is a condition on `docs`: the documents the model learns from. Tokens are the
     words of the text, A-Z lower-cased, and one end. `base_score` is the add-half unigram
     model's log10 probability, `score` that of the interpolated model: the maximum-likelihood estimates
-    of a word after the word before it, of the word alone, and a uniform one, mixed with weights
-    for each power of two of the context's frequency; the weights come from expectation-maximisation on every
-    tenth training document against counts of the other nine. Words below `share` of all tokens
-    are one of 16 classes in the n-grams, times the word's add-half share of its class, so that
-    the probabilities of all words and one unknown sum to one.
-
-    Only words of at least `share` of the tokens are sent to all tasks (at most 1 / `share`). Rare
-    words and pairs are never collected: every batch of documents sends theirs, as arrays, to
-    buckets that follow from the pair or the word. A bucket holds all occurrences of its pairs in
-    all documents, counts them and returns sums per document. The number of buckets follows the tokens,
-    so a task's memory doesn't grow; a pair in every document adds one number per document to one bucket.
+    of a word after the word before it, of the word alone, and a uniform one over the known words and one unknown,
+    mixed with weights for each power of two of the context's frequency; the weights come from
+    expectation-maximisation on every tenth training document against counts of the other nine.
+
+    All words and all pairs count, however rare, by 64-bit hashes. Pairs are counted per batch, then by
+    pair; a word's count is the sum of its pairs. Counts come to the pairs, and the pairs' scores to
+    (document, pair, n) rows, by joins, in which AQE can split a very common word or pair.
+    `share` has no effect any more.
 
     Null texts are empty: one token, the end. Rows that repeat an id are one document whose
     tokens are added up; rows without id are one document too. Without any training document
     scores are those of uniform choice. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(NO_ID)).alias("key"),
                        F.col(f"`{text_col}`").alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
     rows = rows.withColumn("held", F.pmod(F.xxhash64("key"), F.lit(10)) == 0)
-    found = vocabulary(rows, share)
-    words = spark.sparkContext.broadcast(astuple(found))
-    buckets = max(32, -(-found.n_tokens // BUCKET_TOKENS))
-    weights = spark.sparkContext.broadcast(mixture_weights(rows, words, buckets))
-    total = max(found.n_tokens, 1)
-    class_size = found.count[found.end + 2:] + 0.5 * (found.class_words + 1)
-
-    @F.pandas_udf("n bigint, known bigint, base double, score double")
-    def local(texts: pd.Series) -> pd.DataFrame:
-        """What a text's frequent words and classes add by themselves."""
-        v, out = Vocabulary(*words.value), []
-        base = np.log10(v.count + 0.5)
-        base[v.end + 1:] = 0  # classes: their words are counted in buckets
-        known = (v.count > 0).astype(np.int64)
-        known[v.end + 1:] = 0
-        within = np.zeros(v.size)
-        within[v.end + 2:] = -np.log10(class_size)
-        for text in texts:
-            ids = v.sequence(tokens(text))[0][1:]
-            out.append((len(ids), int(known[ids].sum()), float(base[ids].sum()), float(within[ids].sum())))
-        return pd.DataFrame(out, columns=["n", "known", "base", "score"])
+    pairs = staged(counted_pairs(rows), "pairs")
+    words = staged(pairs.groupBy("word").agg(F.sum("n").alias("word_n"), F.sum("h").alias("word_h")), "words")
+    total, held, kinds = (int(x) for x in words.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("word_n", "word_h")], F.count_if(F.col("word_n") > 0)).first())
+    uniform = 1.0 / (kinds + 1)
+    # A text's start is a context as often as its end is a word.
+    before = words.withColumn("word", F.when(F.col("word") == word_hash(END), F.lit(word_hash(START))).otherwise(F.col("word")))
+    before = before.withColumnsRenamed({"word": "prev", "word_n": "prev_n", "word_h": "prev_h"})
+    pairs = staged(pairs.join(before, "prev").join(words, "word").select(
+        "pair", "n", "h", "prev_n", "prev_h", "word_n", "word_h"), "counts")
+    weights = mixture_weights(pairs, total, held, uniform) if total else np.tile([0.0, 0.0, 1.0], (65, 1))
+    flat, at = constant_array([float(x) for x in weights.ravel()], "double"), 3 * log_bucket(F.col("prev_n"))
+    p = (F.get(flat, at) * F.col("n") / F.greatest("prev_n", F.lit(1)) + F.get(flat, at + 1) * F.col("word_n") / max(total, 1)
+         + F.get(flat, at + 2) * uniform)
+    judged = pairs.select("pair", (F.col("word_n") > 0).cast("bigint").alias("known"), F.log10(F.col("word_n") + 0.5).alias("base"),
+                          F.log10(p).alias("log"))
 
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
-        v = Vocabulary(*words.value)
+        known: dict[bytes, int] = {}
         for batch in small(batches):
-            pair_bucket, pair, pair_doc, rare_bucket, rare, rare_doc = ([] for _ in range(6))
-            for i, text in enumerate(batch["text"]):
-                ids, odd = v.sequence(tokens(text))
-                b, p = _pairs(ids, v.size, buckets)
-                pair_bucket.append(b.astype(np.int32))
-                pair.append(p)
-                pair_doc.append(np.full(len(p), i, np.int32))
-                h = np.array([xxhash.xxh64_intdigest(w) for w in odd], np.uint64)
-                rare_bucket.append((h % np.uint64(buckets)).astype(np.int32))
-                rare.append(h.view(np.int64))
-                rare_doc.append(np.full(len(h), i, np.int32))
-            keys, train = batch["key"].to_numpy(np.int64), batch["train"].to_numpy(bool)
-            by_bucket: dict[int, dict] = {}
-            for name, bucket, value, owner in (("pair", pair_bucket, pair, pair_doc), ("rare", rare_bucket, rare, rare_doc)):
-                if not bucket:
-                    continue
-                bucket, value, owner = map(np.concatenate, (bucket, value, owner))
-                order = np.argsort(bucket, kind="stable")
-                bucket, value, owner = bucket[order], value[order], owner[order]
-                for b, s in _runs(bucket):
-                    doc, n = np.unique(owner[s], return_counts=True)
-                    by_bucket.setdefault(b, {}).update({f"{name}_doc": keys[doc], f"{name}_train": train[doc], f"{name}_n": n.astype(np.int32), name: value[s]})
-            empty = {"pair_doc": np.zeros(0, np.int64), "pair_train": np.zeros(0, bool), "pair_n": np.zeros(0, np.int32), "pair": np.zeros(0, np.int32)}
-            empty |= {k.replace("pair", "rare"): x for k, x in empty.items()} | {"rare": np.zeros(0, np.int64)}
-            yield pd.DataFrame([{"bucket": b, **empty, **x} for b, x in by_bucket.items()], columns=["bucket", *empty])
-
-    def returned(group: pd.DataFrame) -> pd.DataFrame:
-        v, lam = Vocabulary(*words.value), weights.value
-        bucket = int(group["bucket"].iloc[0])
-        parts = []
-        for name in ("pair", "rare"):
-            value = np.concatenate(group[name].to_list())
-            n = np.concatenate(group[f"{name}_n"].to_list())
-            doc = np.concatenate(group[f"{name}_doc"].to_list())
-            train = np.repeat(np.concatenate(group[f"{name}_train"].to_list()), n).astype(bool)
-            unique, where = np.unique(value, return_inverse=True)
-            count = np.bincount(where, train, len(unique))
-            if name == "pair":
-                whole = unique.astype(np.int64) * buckets + bucket
-                before, word = whole // v.size, whole % v.size
-                w = lam[log_bucket(v.count[before])]
-                p = w[:, 0] * count / np.maximum(v.count[before], 1) + w[:, 1] * v.count[word] / total + w[:, 2] / (v.size - 1)
-                base, known, log = np.zeros(len(unique)), np.zeros(len(unique)), np.log10(p)
-            else:
-                base = log = np.log10(count + 0.5)
-                known = (count > 0).astype(float)
-            owner = np.repeat(np.arange(len(doc)), n)
-            parts.append(pd.DataFrame({"key": doc, **{k: np.bincount(owner, x[where], len(doc)) for k, x in (("known", known), ("base", base), ("score", log))}}))
-        out = pd.concat(parts).groupby("key", as_index=False).sum()
-        out["known"] = out["known"].astype(np.int64)
-        return out
-
-    arrays = ", ".join(f"{k}_doc array<bigint>, {k}_train array<boolean>, {k}_n array<int>, {k} array<{t}>" for k, t in (("pair", "int"), ("rare", "bigint")))
-    spread = rows.select("key", "train", "text").mapInPandas(sent, f"bucket int, {arrays}")
-    sums = spread.groupBy("bucket").applyInPandas(returned, "key bigint, known bigint, base double, score double")
-    own = rows.select("key", "train", local("text").alias("x")).select("key", "train", "x.*")
-    both = own.unionByName(sums.withColumns({"n": F.lit(0).cast("bigint"), "train": F.lit(None).cast("boolean")}))
-    out = both.groupBy("key").agg(
-        F.max("train").alias("train"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"),
-        F.sum("base").alias("base"), F.sum("score").alias("score"))
-    norm = float(np.log10(found.n_tokens + 0.5 * (found.n_words + 1)))
+            found = hashed_pairs(batch["text"], np.arange(len(batch)), known)
+            key = batch["key"].to_numpy(np.int64)[found["owner"]]
+            yield pd.DataFrame({"key": key, "train": batch["train"].to_numpy(bool)[found["owner"]], "pair": found["pair"], "n": found["n"]})
+
+    each = rows.select("key", "train", "text").mapInPandas(sent, "key bigint, train boolean, pair bigint, n bigint")
+    out = each.join(judged, "pair").groupBy("key").agg(
+        F.max("train").alias("train"), F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.col("known")).alias("n_known"),
+        F.sum(F.col("n") * F.col("base")).alias("base"), F.sum(F.col("n") * F.col("log")).alias("score"))
+    norm = float(np.log10(total + 0.5 * (kinds + 1)))
     return out.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc"), "train", "n_tokens", "n_known",
-        F.lit(found.n_tokens).cast("bigint").alias("train_tokens"),
+        F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * norm).alias("base_score"), "score")

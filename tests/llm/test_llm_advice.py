@@ -1,12 +1,15 @@
 """Cases of the second review: what the operators left out of the whole job."""
 
+import math
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlens.llm import near_copies
+from revlens.llm import lm_score, near_copies
 from test_llm_pipeline import make, prose
 
 
@@ -70,3 +73,37 @@ def test_a_chain_and_a_large_group_leave_one(spark):
     assert near_copies.similarity(rows[0][1], rows[11][1], 5) < 0.5
     out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()
     assert [r["doc_id"] for r in out] == [0]
+
+
+def test_rare_words_have_pairs_of_their_own(spark):
+    """`share` names words that were once put into classes: x and y, p and q look alike."""
+    train = [(i, "a a a a a a a a b b b b b b b b xx pp" if i % 2 else "a a a a a a a a b b b b b b b b yy qq", "a") for i in range(60)]
+    asked = [(1000, "xx pp", "a"), (1001, "xx qq", "a"), (1002, "yy qq", "a"), (1003, "yy pp", "a")]
+    found = {r["doc"]: r["score"] for r in lm_score.score(make(spark, train + asked), F.col("doc_id") < 1000, share=0.1).collect()}
+    assert found[1000] > found[1001] + 1 and found[1002] > found[1003] + 1
+
+
+def test_scores_match_brute_force(spark, monkeypatch):
+    """With fixed weights; the shares of all words, the end and one unknown after any word sum to one."""
+    fixed = np.tile([0.6, 0.3, 0.1], (65, 1))
+    fixed[0] = [0.0, 0.9, 0.1]
+    monkeypatch.setattr(lm_score, "mixture_weights", lambda *_: fixed)
+    rng = random.Random(2)
+    texts = {i: " ".join(rng.choices("abcdefgh", weights=range(1, 9), k=12)) for i in range(60)} | {1000: "c zz a", 1001: "zz", 1002: "A b", 1003: ""}
+    pairs, single = Counter(), Counter()
+    for i, t in texts.items():
+        seen = ["<s>", *t.lower().split(), "</s>"]
+        if i < 1000:
+            pairs.update(zip(seen, seen[1:]))
+            single.update(seen)
+    total, kinds = sum(single.values()) - single["<s>"], len(single) - 1
+
+    def share(c, w):
+        l = fixed[1 if single[c] else 0]
+        return l[0] * pairs[c, w] / max(single[c], 1) + l[1] * single[w] / total + l[2] / (kinds + 1)
+
+    assert sum(share("c", w) for w in [*"abcdefgh", "</s>", "zz"]) == pytest.approx(1.0)
+    found = {r["doc"]: r["score"] for r in lm_score.score(make(spark, [(i, t, "a") for i, t in texts.items()]), F.col("doc_id") < 1000).collect()}
+    for i, t in texts.items():
+        seen = ["<s>", *t.lower().split(), "</s>"]
+        assert found[i] == pytest.approx(sum(math.log10(share(c, w)) for c, w in zip(seen, seen[1:])))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from revlens.llm.text import n_words, narrow
@@ -29,6 +31,30 @@ def rotating_weights(sources: DataFrame) -> DataFrame:
     return sources.withColumn("weight", ((F.row_number().over(order) - 1) % 3 + 1).cast("double"))
 
 
+def rotating_schedules(sources: DataFrame) -> DataFrame:
+    """Adds `knots`: demand that rises to three times its start, falls to a third, is constant, rises, ... in the order of `rotating_weights`."""
+    order = W.orderBy(F.col("source").isNull(), F.col("source"))
+    rank = (F.row_number().over(order) - 1) % 3
+    return sources.withColumn("knots", F.when(rank == 0, _knots([(0.0, 0.5), (1.0, 1.5)])).when(
+        rank == 1, _knots([(0.0, 1.5), (1.0, 0.5)])).otherwise(_knots([(0.0, 1.0), (1.0, 1.0)])))
+
+
+def _knots(points: list[tuple[float, float]]) -> Column:
+    return F.array(*[F.struct(F.lit(float(t)).alias("at"), F.lit(float(w)).alias("weight")) for t, w in points])
+
+
+def named_schedules(schedule: dict) -> Callable[[DataFrame], DataFrame]:
+    """Adds `knots` by the source's name; the key "" holds for all others, constant demand where it is missing."""
+    def add(sources: DataFrame) -> DataFrame:
+        knots = _knots(schedule.get("", [(0.0, 1.0), (1.0, 1.0)]))
+        for source, points in schedule.items():
+            if source != "":
+                knots = F.when(F.col("source") == source, _knots(points)).otherwise(knots)
+        return sources.withColumn("knots", knots)
+
+    return add
+
+
 def capped_targets(sources: DataFrame, max_repeats: int = 3) -> DataFrame:
     """Adds `target`: all words shared by weight, none above `max_repeats` times the source's size.
 
@@ -96,7 +122,7 @@ def time_of(demand: Column, knots: Column, area: Column) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=rotating_weights, schedule: dict | None = None, max_repeats: int = 3) -> DataFrame:
+        weights=rotating_weights, schedule: dict | Callable | None = None, max_repeats: int = 3) -> DataFrame:
     """One row per document: doc, source, size, source_size, target, taken, copies, positions.
 
     A source's target words follow from its weight (`capped_targets`). Its documents lie end to
@@ -106,7 +132,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     `schedule` gives a source's relative demand over the run as knots [(time 0..1, weight), ...],
     linear between them; sources without one keep a constant demand (the schedule of the key ""
-    if there is one). Its integral, scaled to the target, is the words that a source has handed
+    if there is one). It may also be a function that adds `knots` to the table of sources. Its integral, scaled to the target, is the words that a source has handed
     out by some time; inverting it gives the times, 0 to 1, at which each reading's first word is
     due: `positions`, empty for what isn't taken. A schedule shapes when words come; how many
     come is the target's.
@@ -119,15 +145,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     n_rows = rows.count()
     targets = capped_targets(weights(sources.select("source", "source_size")), max_repeats)
-    flat = [(0.0, 1.0), (1.0, 1.0)]
-    knots_type = "array<struct<at double, weight double>>"
-    named = F.lit(None).cast(knots_type)
-    for source, knots in (schedule or {}).items():
-        text = F.array(*[F.struct(F.lit(float(t)).alias("at"), F.lit(float(w)).alias("weight")) for t, w in knots])
-        match = F.lit(True) if source == "" else F.col("source") == source
-        named = F.coalesce(named, F.when(match, text)) if source == "" else F.when(match, text).otherwise(named)
-    constant = F.array(*[F.struct(F.lit(t).alias("at"), F.lit(w).alias("weight")) for t, w in flat])
-    targets = targets.withColumn("knots", F.coalesce(named, constant)).withColumn("area", integrated(F.col("knots")))
+    scheduled = schedule if callable(schedule) else named_schedules(schedule or {})
+    targets = scheduled(targets).withColumn("area", integrated(F.col("knots")))
     joined = offsets(rows, n_rows).join(
         targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
     goal = F.floor(F.col("target") + 0.5).cast("bigint")
@@ -145,6 +164,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "doc", "source", "size", "source_size", "target", "taken", "copies", positions.alias("positions"))
 
 
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The rows of `mix`, range-sorted by the position of their first reading; those not taken come last."""
+    return mixed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc")
+
+
 def training_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents as the run reads them: one row per reading, range-sorted by `position`.
 

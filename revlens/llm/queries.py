@@ -65,7 +65,7 @@ FROM o
 
 @query("op2_mixing", OP2_SQL)
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, folder, "documents"))
+    mixed = mixing.in_order(mixing.mix(table(spark, folder, "documents"), schedule=mixing.rotating_schedules))
     return mixed.select(F.col("doc").alias("doc_id"), "source", "size", "source_size", "target", "taken")
 
 

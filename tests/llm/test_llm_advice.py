@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlens.llm import lm_score, near_copies
+from revlens.llm import lm_score, mixing, near_copies, queries
 from test_llm_pipeline import make, prose
 
 
@@ -107,3 +107,25 @@ def test_scores_match_brute_force(spark, monkeypatch):
     for i, t in texts.items():
         seen = ["<s>", *t.lower().split(), "</s>"]
         assert found[i] == pytest.approx(sum(math.log10(share(c, w)) for c, w in zip(seen, seen[1:])))
+
+
+AREAS = [lambda t: 0.5 * t + 0.5 * t * t, lambda t: 1.5 * t - 0.5 * t * t, lambda t: t]
+
+
+def test_mixing_stage_follows_the_schedules(spark):
+    """Words handed out by any time are the integrated schedule's: rising, falling, constant by rank of the source."""
+    rows = [(i, "w " * (i % 5 + 1), "abc"[i % 3]) for i in range(600)]
+    out = corpus_pipeline.training_order(spark, make(spark, rows), "").collect()
+    assert [r["position"] for r in out] == sorted(r["position"] for r in out)
+    for source, area in zip("abc", AREAS):
+        mine = [r for r in out if r["source"] == source]
+        total = sum(r["taken"] for r in mine)
+        for t in (0.1, 0.25, 0.5, 0.75, 0.9):
+            assert sum(r["taken"] for r in mine if r["position"] < t) == pytest.approx(total * area(t), abs=6)
+
+
+def test_op2_comes_in_the_order_of_the_schedules(spark, folder):
+    found = [r["doc_id"] for r in queries.op2_mixing(spark, folder).collect()]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    first = {r["doc"]: r["positions"][0] if r["positions"] else 2 for r in mixing.mix(docs, schedule=mixing.rotating_schedules).collect()}
+    assert [first[i] for i in found] == sorted(first.values()) and len(set(first.values())) > 100

@@ -6,19 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from revlens.llm.text import n_words, narrow
+from revlens.llm.text import n_words
 from revlens.session import staged
 
 BUCKET_ROWS = 50_000
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """Equal for rows that are equal in every column."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """doc, source, size in words, and the document's place in its source's fixed random order.
 
-    The order is that of the id's MD5 digits; rows that repeat an id follow in order of size.
+    The order is that of the id's MD5 digits; rows that repeat an id follow in order of size, then of
+    their `row_hash`.
     """
-    rows = narrow(docs, doc=id_col, text=text_col, source=source_col)
-    return rows.select("doc", "source", n_words(F.col("text")).alias("size"),
+    named = {"doc": id_col, "text": text_col, "source": source_col}
+    rows = docs.select(row_hash(docs).alias("row"), *[F.col(f"`{c}`").alias(name) for name, c in named.items()])
+    return rows.select("row", "doc", "source", n_words(F.col("text")).alias("size"),
                        F.md5(F.coalesce(F.col("doc").cast("string"), F.lit(""))).alias("place"))
 
 
@@ -93,7 +101,7 @@ def offsets(rows: DataFrame, n_rows: int) -> DataFrame:
     earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"),
                        (F.sum("in_bucket").over(earlier) - F.col("in_bucket")).alias("start"))
-    inside = W.partitionBy("source", "bucket").orderBy("place", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy("source", "bucket").orderBy("place", "size", "row").rowsBetween(W.unboundedPreceding, W.currentRow)
     joined = rows.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     return joined.withColumn("before", F.col("start") + F.sum("size").over(inside) - F.col("size")).drop("s", "b", "start", "bucket")
 
@@ -123,7 +131,7 @@ def time_of(demand: Column, knots: Column, area: Column) -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=rotating_weights, schedule: dict | Callable | None = None, max_repeats: int = 3) -> DataFrame:
-    """One row per document: doc, source, size, source_size, target, taken, copies, positions.
+    """One row per document: row (its hash), doc, source, size, source_size, target, taken, copies, positions.
 
     A source's target words follow from its weight (`capped_targets`). Its documents lie end to
     end in a fixed random order, and the mix reads that line from its start, round again after
@@ -161,7 +169,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     positions = F.transform(readings, lambda k: time_of(
         (F.col("before") + k * F.col("source_size")) * scale, F.col("knots"), F.col("area")))
     return joined.select(
-        "doc", "source", "size", "source_size", "target", "taken", "copies", positions.alias("positions"))
+        "row", "doc", "source", "size", "source_size", "target", "taken", "copies", positions.alias("positions"))
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
@@ -175,12 +183,18 @@ def training_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") ->
     Consecutive parts of the result are consecutive parts of the run. Adds `reading` (0, 1, ...),
     `taken` (words of this reading; fewer than the document's only in a source's last one) and
     `position`; an added column whose name `docs` has already gets an underscore in front.
+
+    `mixed` comes from the same `docs`; rows find theirs by hash and id, so that rows without id
+    and rows that repeat one keep what each was allotted. Rows equal in every column are one row
+    with the readings of all of them.
     """
     added = {n: n if n not in docs.columns else f"_{n}" for n in ("reading", "taken", "position")}
-    rows = mixed.where("copies > 0").dropDuplicates(["doc"]).select("doc", "size", "taken", F.posexplode("positions"))
+    rows = mixed.where("copies > 0").select("row", "doc", "size", "taken", F.posexplode("positions"))
     words = F.least(F.col("size"), F.col("taken") - F.col("pos") * F.col("size"))
-    due = rows.select("doc", F.struct(
+    due = rows.select(F.col("row").alias("of"), "doc", F.struct(
         F.col("pos").alias("reading"), words.alias("taken"), F.col("col").alias("position")).alias("due"))
-    whole = docs.select(F.col(f"`{id_col}`").alias("key"), F.struct("*").alias("row"))
-    joined = whole.join(due, F.col("key") == F.col("doc")).orderBy("due.position", "key", "due.reading")
+    whole = docs.select(row_hash(docs).alias("hash"), F.col(f"`{id_col}`").alias("key"), F.struct("*").alias("row"))
+    whole = whole.dropDuplicates(["hash", "key"])
+    same = (F.col("hash") == F.col("of")) & F.col("key").eqNullSafe(F.col("doc"))
+    joined = whole.join(due, same).orderBy("due.position", "key", "hash", "due.reading")
     return joined.select("row.*", *[F.col(f"due.{n}").alias(added[n]) for n in added])

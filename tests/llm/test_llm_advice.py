@@ -129,3 +129,25 @@ def test_op2_comes_in_the_order_of_the_schedules(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     first = {r["doc"]: r["positions"][0] if r["positions"] else 2 for r in mixing.mix(docs, schedule=mixing.rotating_schedules).collect()}
     assert [first[i] for i in found] == sorted(first.values()) and len(set(first.values())) > 100
+
+
+def test_null_and_repeated_ids_keep_their_readings(spark):
+    rows = [(None, f"{prose(i)} n{i}", "a") for i in range(6)] + [(7, prose(20, 30), "a"), (7, prose(21, 90), "a"), (7, prose(21, 90), "b")]
+    rows += [(8, prose(22), "b")] * 3 + [(i, prose(i), "c") for i in range(100, 110)]
+    docs = make(spark, rows)
+    out = corpus_pipeline.training_order(spark, docs, "").collect()
+    mixed = mixing.mix(docs, schedule=mixing.rotating_schedules).collect()
+    for source in "abc":
+        assert sum(r["taken"] for r in out if r["source"] == source) == sum(r["taken"] for r in mixed if r["source"] == source)
+    assert len(out) == sum(r["copies"] for r in mixed)
+    assert sorted((r["doc"] or -1, r["source"], r["size"], p) for r in mixed for p in r["positions"]) == sorted(
+        (r["doc_id"] or -1, r["source"], len(r["text"].split()), r["position"]) for r in out)
+    assert len({(r["doc_id"], r["source"], r["text"]) for r in out}) == len({r["row"] for r in mixed if r["copies"]})
+    assert all(0 < r["taken"] <= len(r["text"].split()) for r in out)
+
+
+def test_near_dedup_keeps_each_text_of_an_id(spark):
+    a, b = prose(1), prose(2)
+    rows = [(3, a, "a"), (3, b, "a"), (4, a, "a"), (5, b, "a"), (3, b, "a"), (None, a, "a"), (None, prose(9), "b")]
+    out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted([("3", a), ("3", b), ("None", a), ("None", prose(9))])

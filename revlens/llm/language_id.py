@@ -14,6 +14,7 @@ from revlens.llm.text import narrow
 
 DIMENSIONS = 1 << 15
 PIECE_CHARS = 2 << 20
+LONG = 4096  # characters of a word whose features pass in blocks
 EDGES = ".,;:!?\"'()[]{}<>*%$#&|=~^`-_/\\"
 
 
@@ -36,11 +37,11 @@ def pieces(texts: pd.Series) -> Iterator[pd.Series]:
 
 
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed prefixes and suffixes up to three bytes, inner two- and three-grams, lexicon entry, non-ASCII bytes.
+    """Hashed prefixes and suffixes up to three bytes, inner two- and three-grams, lexicon entry, non-ASCII characters of the whole word.
 
     Each kind of feature starts its checksum from a number of its own.
     """
-    raw = word.encode("utf-8", "surrogatepass")[:32]
+    raw = word.encode("utf-8", "surrogatepass")
     crc, marked = zlib.crc32, b"^" + raw + b"$"
     found = [crc(raw[:k], k) for k in (1, 2, 3)] + [crc(raw[-k:], 10 + k) for k in (1, 2, 3)]
     found += [crc(marked[i:i + 2], 20) for i in range(len(marked) - 1)]
@@ -168,7 +169,21 @@ class Field:
         return self
 
     def emission(self, word: str) -> np.ndarray:
-        return self.weights[word_features(word, self.lexicon)].sum(0)
+        """The sum of the word's weights; a very long word's inner grams pass in blocks, which bounds the memory."""
+        if len(word) <= LONG:
+            return self.weights[word_features(word, self.lexicon)].sum(0)
+        raw = word.encode("utf-8", "surrogatepass")
+        crc, marked = zlib.crc32, b"^" + raw + b"$"
+        ends = [crc(raw[:k], k) for k in (1, 2, 3)] + [crc(raw[-k:], 10 + k) for k in (1, 2, 3)]
+        ends += [crc(c.encode("utf-8", "surrogatepass"), 22) for c in set(word) if not c.isascii()]
+        if word in self.lexicon:
+            ends.append(crc(raw, 23))
+        total = self.weights[[x & DIMENSIONS - 1 for x in ends]].sum(0)
+        for size, seed in ((2, 20), (3, 21)):
+            last = len(marked) - size + 1
+            for at in range(0, last, LONG):
+                total += self.weights[[crc(marked[i:i + size], seed) & DIMENSIONS - 1 for i in range(at, min(at + LONG, last))]].sum(0)
+        return total
 
     def label_words(self, texts: list[np.ndarray], cells: int = 200_000) -> list[np.ndarray]:
         """Label marginals [word, label] from emissions [word, label] of whole texts.
@@ -200,7 +215,7 @@ class Emissions:
 
     def _add(self, tokens: list[str]) -> None:
         words = [cleaned(t) for t in tokens]
-        flat = [word_features(w, self.field.lexicon) for w in words if w]
+        flat = [word_features(w, self.field.lexicon) for w in words if 0 < len(w) <= LONG]
         first = len(self.row)
         while first + len(tokens) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -212,6 +227,9 @@ class Emissions:
             sums = np.add.reduceat(self.field.weights[where], np.cumsum(sizes) - sizes)
         at = 0
         for i, w in enumerate(words):
+            if len(w) > LONG:
+                self.table[first + i] = self.field.emission(w)
+                continue
             self.table[first + i] = sums[at] if w else np.nan
             at += bool(w)
 
@@ -230,8 +248,8 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
     """Fit on `rows` (doc, text, lang): at most `max_train` documents of each language, by smallest hash of the id.
 
     The lexicon holds the words that make up `lexicon_share` or more of a language's words, so at
-    most 1 / `lexicon_share` a language, counted over all rows. Whole documents are taken until a
-    language has `max_words`.
+    most 1 / `lexicon_share` a language, counted over all rows. Whole documents are taken as long as a
+    language has at most `max_words`; one that would exceed them is passed over, unless it is the first.
     """
     key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
 
@@ -258,7 +276,7 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
         for r in few.collect():
             words = words_of(r["text"])
             if taken and taken + len(words) > max_words:
-                break
+                continue
             taken += len(words)
             chosen.append((label, words))
     return Field(languages, lexicon).fit(switched(chosen, np.random.default_rng(3)))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlens.llm import lm_score, mixing, near_copies, queries
+from revlens.llm import language_id, lm_score, mixing, near_copies, queries
 from test_llm_pipeline import make, prose
 
 
@@ -151,3 +151,24 @@ def test_near_dedup_keeps_each_text_of_an_id(spark):
     rows = [(3, a, "a"), (3, b, "a"), (4, a, "a"), (5, b, "a"), (3, b, "a"), (None, a, "a"), (None, prose(9), "b")]
     out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted([("3", a), ("3", b), ("None", a), ("None", prose(9))])
+
+
+def test_language_of_glued_words_comes_from_all_of_them(spark):
+    vocabulary = {"aa": ["kato", "keto", "kito"], "bb": ["zuv", "zov", "zev"]}
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(vocabulary[x], k=40)), x) for i in range(40) for x in vocabulary]
+    docs = spark.createDataFrame(rows, "doc bigint, text string, lang string")
+    field = language_id.train(docs)
+    glued = ",".join(["kato"] * 8 + rng.choices(vocabulary["bb"], k=60))
+    asked = make(spark, [(1, glued, "a"), (2, ",".join(["kato"] * 3000 + ["zuv"] * 9000), "a"), (3, ",".join(["zuv"] * 10), "a")])
+    assert {r["doc"]: r["lang_pred"] for r in language_id.identify(asked, field).collect()} == {1: "bb", 2: "bb", 3: "bb"}
+    long = "kato\u00e9," * 3000
+    assert field.emission(long) == pytest.approx(field.weights[language_id.word_features(long, field.lexicon)].sum(0))
+
+
+def test_a_very_long_document_does_not_end_the_sample(spark, monkeypatch):
+    rows = [(i, "w " * (5000 if i % 3 == 0 else 10), "aa") for i in range(60)]
+    seen = []
+    monkeypatch.setattr(language_id, "switched", lambda chosen, rng: seen.extend(len(w) for _, w in chosen) or [])
+    language_id.train(spark.createDataFrame(rows, "doc bigint, text string, lang string"), max_words=6000)
+    assert seen.count(10) == 40 and seen.count(5000) == 1

@@ -87,6 +87,43 @@ def signature(text: Column, k: int = 3, bins_log2: int = 6, chosen: int = 2) ->
     return let(numbered(kmers(text_words(text), k)), lambda s: F.transform(_starts(s, bin_of), lambda at: tuple_at(s, at)))
 
 
+def whole_signature(text: Column, k: int = 3, functions_log2: int = 6, chosen: int = 2, few: int = 4) -> Column:
+    """array<bigint>: for each of 2^`functions_log2` hash functions its number above a 32-bit hash of its tuple.
+
+    Function j is the k-mers' hash less j / 2^`functions_log2` of its range, modulo the range: a uniform hash of its
+    own, whose order is that of the one sorted array begun at another place. Its `chosen` smallest k-mers
+    of the whole text, in the order in which the text has them, make its tuple, also where a
+    text has few. A text of at most `k` words gives k-mers of `few` characters; one without words has no tuple.
+    """
+    bins = 1 << functions_log2
+
+    def bin_of(x: Column) -> Column:
+        return F.shiftright(x, HASH_BITS + PLACE_BITS - functions_log2)
+
+    def tuple_at(s: Column, at: Column) -> Column:
+        n = F.size(s)
+        least = F.transform(F.sequence(F.lit(0), F.least(n, F.lit(chosen)) - 1), lambda i: F.get(s, (at + i) % n))
+        in_text = F.sort_array(F.transform(least, lambda x: F.shiftleft(_place(x), HASH_BITS).bitwiseOR(_hash(x))))
+        hashes = F.transform(in_text, lambda x: x.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+        return F.xxhash64(hashes).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    def tuples(s: Column, starts: Column) -> Column:
+        last = bin_of(F.element_at(s, -1))
+        ranges = F.transform(starts, lambda at, j: F.struct(
+            at.alias("at"), F.when(j == 0, F.lit(0).cast("bigint")).otherwise(bin_of(F.get(s, at - 1)) + 1).alias("low"), bin_of(F.get(s, at)).alias("high")))
+        rest = F.struct(F.lit(0).alias("at"), (last + 1).alias("low"), F.lit(bins - 1).cast("bigint").alias("high"))
+        ranges = F.filter(F.concat(ranges, F.array(rest)), lambda r: r["low"] <= r["high"])
+        return F.flatten(F.transform(ranges, lambda r: let(tuple_at(s, r["at"]), lambda h: F.transform(
+            F.sequence(r["low"], r["high"]), lambda b: F.shiftleft(b, 32).bitwiseOR(h)))))
+
+    def of(s: Column) -> Column:
+        return F.when(F.size(s) == 0, F.expr("array()").cast("array<bigint>")).otherwise(let(_starts(s, bin_of), lambda starts: tuples(s, starts)))
+
+    characters = F.split(F.btrim(text, F.lit(SPACES)), "")
+    parts = let(text_words(text), lambda w: F.when((F.size(w) > 0) & (F.size(w) <= k), numbered(kmers(characters, few))).otherwise(numbered(kmers(w, k))))
+    return let(parts, of)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal tuples among the bins that either has; 1.0 for two texts without words."""
     def bins(x: Column) -> Column:
@@ -156,10 +193,10 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    marked = rows.withColumn("signature", signature(F.col("text")))
+    marked = rows.withColumn("signature", whole_signature(F.col("text")))
     both = with_next(marked, "doc", "tie", ["text", "signature"])
     edited = both.withColumn("edited", half_replaced(F.col("text"), F.col("next_text")))
-    edited = edited.withColumn("edited_signature", signature(F.col("edited")))
+    edited = edited.withColumn("edited_signature", whole_signature(F.col("edited")))
     return edited.select(
         "doc", F.length("text").cast("bigint").alias("n_chars"), "edited", "signature", "edited_signature",
         likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),

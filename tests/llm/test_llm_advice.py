@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlens.llm import language_id, lm_score, mixing, near_copies, queries
+from revlens.llm import fingerprints, language_id, lm_score, mixing, near_copies, queries
 from test_llm_pipeline import make, prose
 
 
@@ -172,3 +172,20 @@ def test_a_very_long_document_does_not_end_the_sample(spark, monkeypatch):
     monkeypatch.setattr(language_id, "switched", lambda chosen, rng: seen.extend(len(w) for _, w in chosen) or [])
     language_id.train(spark.createDataFrame(rows, "doc bigint, text string, lang string"), max_words=6000)
     assert seen.count(10) == 40 and seen.count(5000) == 1
+
+
+def test_order_of_short_texts_matters(spark):
+    """Turned-about sentences keep nearly all k-mers, but not their order."""
+    pairs = []
+    for n in (10, 20, 30, 60):
+        w = [f"v{n}_{i}" for i in range(n)]
+        pairs.append((n, " ".join(w), " ".join(w[n // 2:] + w[:n // 2])))
+    pairs += [(1, "abcdefghijkl", "abcdefghijkx"), (2, "one two", "one two"), (3, "", " "), (4, "ab", "zz")]
+    s = fingerprints.whole_signature
+    rows = spark.createDataFrame(pairs, "n int, a string, b string").select("n", s(F.col("a")).alias("x"), s(F.col("b")).alias("y"))
+    rows = {r["n"]: r for r in rows.withColumn("like", fingerprints.likeness(F.col("x"), F.col("y"))).collect()}
+    for n in (10, 20, 30, 60):
+        assert [t >> 32 for t in rows[n]["x"]] == list(range(64)) and rows[n]["like"] < 0.75
+    assert 0.2 < rows[1]["like"] < 1 and rows[2]["like"] == rows[3]["like"] == 1.0 and rows[4]["like"] == 0.0
+    whole = fingerprints.compare_edited(make(spark, [(n, a, "a") for n, a, _ in pairs])).collect()
+    assert {len(r["signature"]) for r in whole if r["doc"] >= 10} == {64}

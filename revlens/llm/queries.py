@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, mixing, quality, simhash, url_filter
+from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter
 from revlens.llm.text import LOWER, UPPER
 
 QUERIES: dict[str, Callable] = {}
@@ -230,3 +230,79 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = license_scan.scan(docs, model)
     return found.select(F.col("doc").alias("doc_id"), F.array_join("licenses", ",").alias("licenses"),
                         "n_lines", "n_unknown", F.round("probability", 6).alias("probability"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, lang, n_chars,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+         || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head,
+         replace(text, chr(10), '') AS bare,
+         list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+           lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)
+         ) % 2 = 1 AS tampers
+  FROM documents
+), g AS (
+  SELECT *, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+         sha256(head || CASE WHEN bare IS NULL THEN '-' ELSE strlen(bare) || ':' || bare END) AS tampered FROM d
+), leaves AS (
+  SELECT doc_id, source, leaf, CASE WHEN tampers THEN tampered ELSE leaf END AS shown,
+         dense_rank() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM g
+), low AS (
+  SELECT tree, 0 AS height, CAST(place AS BIGINT) AS place, leaf AS digest, n AS nodes FROM leaves
+  UNION ALL
+  SELECT tree, height + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(nodes) + 2) // 3
+  FROM low WHERE nodes > 1 GROUP BY tree, height, place // 3
+), subroots AS (SELECT tree, height AS depth, digest AS subroot FROM low WHERE nodes = 1
+), top AS (
+  SELECT 0 AS height, CAST(tree AS BIGINT) AS place, subroot AS digest, (SELECT count(*) FROM subroots) AS nodes FROM subroots
+  UNION ALL
+  SELECT height + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(nodes) + 2) // 3
+  FROM top WHERE nodes > 1 GROUP BY height, place // 3
+), side AS (
+  SELECT l.tree, l.place AS leaf_place, s.height AS level, s.place, s.digest, CAST(s.place < l.place // CAST(3 ** s.height AS BIGINT) AS INT) AS before
+  FROM leaves l JOIN low s ON s.tree = l.tree AND s.nodes > 1 AND s.place // 3 = l.place // CAST(3 ** (s.height + 1) AS BIGINT)
+       AND s.place <> l.place // CAST(3 ** s.height AS BIGINT)
+  UNION ALL
+  SELECT l.tree, l.place, depth + s.height, s.place, s.digest, CAST(s.place < l.tree // CAST(3 ** s.height AS BIGINT) AS INT)
+  FROM leaves l JOIN subroots USING (tree) JOIN top s ON s.nodes > 1 AND s.place // 3 = l.tree // CAST(3 ** (s.height + 1) AS BIGINT)
+       AND s.place <> l.tree // CAST(3 ** s.height AS BIGINT)
+), sides AS (
+  SELECT tree, leaf_place, level, coalesce(string_agg(digest, '' ORDER BY place) FILTER (before = 1), '') AS l,
+         coalesce(string_agg(digest, '' ORDER BY place) FILTER (before = 0), '') AS r
+  FROM side GROUP BY ALL
+), proofs AS (SELECT tree, leaf_place, sha256(string_agg(digest, '' ORDER BY level, place)) AS proof FROM side GROUP BY ALL
+), levels AS (SELECT depth, tree, (SELECT max(height) FROM top) AS more FROM subroots
+), path AS (
+  SELECT l.tree, l.place, 0 AS level, shown AS digest FROM leaves l
+  UNION ALL
+  SELECT path.tree, path.place, path.level + 1, sha256(coalesce(l, '') || digest || coalesce(r, ''))
+  FROM path JOIN levels ON levels.tree = path.tree AND path.level < depth + more
+  LEFT JOIN sides ON sides.tree = path.tree AND leaf_place = path.place AND sides.level = path.level
+)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM top WHERE nodes = 1) AS root,
+       coalesce(proof, sha256('')) AS proof_sha256, path.digest AS folded_root,
+       path.digest = (SELECT digest FROM top WHERE nodes = 1) AS verified
+FROM leaves JOIN subroots USING (tree) JOIN levels USING (tree)
+JOIN path ON path.tree = leaves.tree AND path.place = leaves.place AND path.level = levels.depth + more
+LEFT JOIN proofs ON proofs.tree = leaves.tree AND leaf_place = leaves.place
+"""
+
+
+@query("op11_merkle", OP11_SQL)
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(tampers, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.manifest(docs, merkle.leaf(*head, F.col("text")), "source", "doc_id",
+                            doc_id=F.col("doc_id"), shown=merkle.leaf(*head, shown))
+    rows = merkle.fold(found, "shown")
+    digests = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof_sha256": "proof", "folded_root": "folded"}
+    return rows.select("doc_id", *[F.lower(F.hex(c)).alias(name) for name, c in digests.items()],
+                       (F.col("folded") == F.col("root")).alias("verified"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter
+from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter, whitening
 from revlens.llm.text import LOWER, UPPER
 
 QUERIES: dict[str, Callable] = {}
@@ -306,3 +306,9 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     digests = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof_sha256": "proof", "folded_root": "folded"}
     return rows.select("doc_id", *[F.lower(F.hex(c)).alias(name) for name, c in digests.items()],
                        (F.col("folded") == F.col("root")).alias("verified"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whole_numbers(table(spark, folder, "embeddings"))
+    return whitening.whiten(rows, whitening.fit(rows)).withColumnRenamed("id", "vec_id")

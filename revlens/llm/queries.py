@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter, whitening
+from revlens.llm import chat, decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter, whitening
 from revlens.llm.text import LOWER, UPPER
 
 QUERIES: dict[str, Callable] = {}
@@ -312,3 +312,39 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     rows = whitening.whole_numbers(table(spark, folder, "embeddings"))
     return whitening.whiten(rows, whitening.fit(rows)).withColumnRenamed("id", "vec_id")
+
+
+OP13_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) AS v
+), o AS (
+  SELECT *, row_number() OVER w AS place, coalesce(lag(role) OVER w, 'start') AS before,
+         CASE role WHEN 'system' THEN 6 WHEN 'user' THEN 4 WHEN 'assistant' THEN 9
+              ELSE 2 + length(regexp_replace(role, '(\\|### |</turn>|: |")', '\\\1', 'g')) END AS label
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), b AS (
+  SELECT *, CASE role WHEN 'system' THEN before IN ('system', 'user', 'assistant') WHEN 'user' THEN before = 'user'
+                 WHEN 'assistant' THEN before IN ('start', 'system', 'assistant') ELSE false END AS bad FROM o
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + label + 2 + length(regexp_replace(text, '(\\|### |</turn>)', '\\\1', 'g')) + 8) AS BIGINT) AS formatted_chars,
+       NOT bool_or(bad) AND max_by(role, place) = 'assistant' AS valid, min_by(turn, place) FILTER (bad) AS bad_turn
+FROM b GROUP BY conv_id
+"""
+
+
+@query("op13_chat", OP13_SQL)
+def op13_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.turns(table(spark, folder, "conversations"))
+    planted = spark.range(2).select(
+        F.lit(-7).alias("conversation"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    rows = rows.union(planted.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]))
+    found = chat.read_back(chat.segments(rows))
+    checked = chat.verdicts(rows).withColumnRenamed("conversation", "_same")
+    found = found.join(checked, F.col("conversation").eqNullSafe(F.col("_same"))).drop("_same")
+    return found.withColumnRenamed("conversation", "conv_id")

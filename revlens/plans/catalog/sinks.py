@@ -11,7 +11,7 @@ from revlens.plans import jobs
 from revlens.plans.catalog import query
 from revlens.plans.catalog.features import CORPUS, SQL_REVIEWS, sql_clean, sql_stateful, sql_stats
 from revlens.plans.catalog.metrics import SQL_RATED, labelled, rated, sql_per_class
-from revlens.session import staging_dir
+from revlens.session import planned_bytes, staged, staging_dir
 from revlens.sources import reviews, sinks
 from revlens.sources.standin import document_reviews, table
 
@@ -26,10 +26,10 @@ def as_csv(df, path: str) -> None:
 
 @query(
     "csv_scan",
-    'SELECT doc_id::VARCHAR AS doc_id, text AS "reviewText", lang AS category, n_chars::DOUBLE AS vote FROM documents',
+    'SELECT doc_id, text AS "reviewText", lang AS category, n_chars::DOUBLE AS vote FROM documents',
 )
 def csv_scan(spark, folder):
-    """Documents written as quoted CSV with line breaks inside the text, and read back."""
+    """Documents written as quoted CSV with line breaks inside the text, and read back; undeclared types are inferred."""
     path = fresh(spark, "csv")
     as_csv(
         table(spark, folder, "documents").select(
@@ -40,9 +40,30 @@ def csv_scan(spark, folder):
     return reviews.read_csv(spark, path)
 
 
+@query(
+    "csv_blocks",
+    """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id, text AS "reviewText", lang AS category, n_chars / 8.0 AS size,
+        n_chars % 2 = 0 AS even, '2020-01-01'::TIMESTAMP + to_seconds(doc_id * 1000) AS "seenAt" FROM documents""",
+)
+def csv_blocks(spark, folder):
+    """CSV cut into a dozen blocks, which may begin anywhere in a quoted text; numbers, flags and times by inference."""
+    path = fresh(spark, "one-csv")
+    seen = F.date_format(F.timestamp_seconds(F.lit(1577836800) + F.col("doc_id") * 1000), "yyyy-MM-dd HH:mm:ss")
+    rows = table(spark, folder, "documents").select(
+        "doc_id", F.col("text").alias("reviewText"), F.col("lang").alias("category"), (F.col("n_chars") / 8).alias("size"),
+        (F.col("n_chars") % 2 == 0).alias("even"), seen.alias("seenAt"))
+    as_csv(rows.orderBy("doc_id"), path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(1 << 16, planned_bytes(spark.read.text(path)) // 12)))
+    try:
+        return staged(reviews.read_csv(spark, path, row_id="id"), "csv-rows")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 @query(
     "csv_scan_mixed_headers",
-    """SELECT doc_id::VARCHAR AS doc_id, CASE WHEN doc_id % 3 <> 2 THEN text END AS "reviewText",
+    """SELECT doc_id, CASE WHEN doc_id % 3 <> 2 THEN text END AS "reviewText",
         CASE WHEN doc_id % 3 <> 1 THEN lang END AS category FROM documents""",
 )
 def csv_scan_mixed_headers(spark, folder):
@@ -54,7 +75,7 @@ def csv_scan_mixed_headers(spark, folder):
     return reviews.read_csv(spark, f"{path}/*")
 
 
-@query("row_ids", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id::VARCHAR AS doc_id FROM documents")
+@query("row_ids", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id FROM documents")
 def row_ids(spark, folder):
     """Rows of several CSV files numbered in file order."""
     path = fresh(spark, "ordered")

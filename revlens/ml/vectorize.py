@@ -20,17 +20,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from revlens.functions import text as tx
 from revlens.operators.frequency import skew_join
-from revlens.session import constant_array, staged
+from revlens.session import constant_array, drop_staged, staged
 
 MAX_TERMS = 1_000_000  # a vocabulary beyond this stays a table: tfidf_table
 MAX_LEVELS = 100_000
-GRAM_FEATURES = 4096  # 128 MB of products
 
 
 def _param(name: str, doc: str, convert) -> Param:
@@ -214,38 +212,81 @@ def hashed_counts(df: DataFrame, text: str, features: int = 1 << 18, out: str =
 
 
 class Svd(Estimator, HasInputCol, HasOutputCol):
-    """Uncentred truncated SVD: scores of a row are its vector times V.
+    """Uncentred truncated SVD by a random range finder: scores of a row are its vector times V.
 
-    Each column of V is turned so that its entry of largest magnitude is positive. Up to
-    `GRAM_FEATURES` features one pass sums the products of all feature pairs and the driver solves
-    that fixed-size matrix; beyond it Spark iterates over the rows.
+    A block of k + `oversample` random directions goes through A^T A `passes` times, a pass over the staged rows each, with
+    a QR between them; the last pass gives the small matrix whose eigenvectors turn the block to V. It ends earlier once the
+    k eigenvalues change by less than `tolerance`, relatively. A task and the driver hold features x block numbers
+    (12,000 terms and k = 170: 17 MB), whatever the number of rows; only features that a task met are sent. When the block spans
+    all features one pass is exact. Each column of V is turned so that its entry of largest magnitude is positive.
     """
 
     k = _param("k", "number of components", TypeConverters.toInt)
+    oversample = _param("oversample", "directions beyond k", TypeConverters.toInt)
+    passes = _param("passes", "most passes over the rows", TypeConverters.toInt)
+    tolerance = _param("tolerance", "relative change of the eigenvalues at which it ends", TypeConverters.toFloat)
+    seed = _param("seed", "of the random directions", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol="tfidf", outputCol="svd", k=100):
+    def __init__(self, *, inputCol="tfidf", outputCol="svd", k=100, oversample=10, passes=6, tolerance=1e-6, seed=42):
         super().__init__()
-        self._setDefault(inputCol="tfidf", outputCol="svd", k=100)
+        self._setDefault(inputCol="tfidf", outputCol="svd", k=100, oversample=10, passes=6, tolerance=1e-6, seed=42)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> SvdModel:
-        vectors = MLUtils.convertVectorColumnsFromML(df.select(self.getInputCol()), self.getInputCol())
-        matrix = RowMatrix(vectors)
-        n = matrix.numCols()
-        k = min(self.getOrDefault("k"), n)
-        if n <= GRAM_FEATURES:
-            values, basis = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-            values, v = np.sqrt(np.maximum(values[::-1][:k], 0)), basis[:, ::-1][:, :k]
-        else:
-            svd = matrix.computeSVD(k)
-            values, v = svd.s.toArray(), svd.V.toArray()
-        top = np.abs(v).argmax(axis=0)
-        return self._copyValues(SvdModel(v * np.sign(v[top, np.arange(v.shape[1])]), values))
+        get = self.getOrDefault
+        rows = staged(df.select(F.unwrap_udt(self.getInputCol()).alias("v")).select("v.size", "v.indices", "v.values"), "svd-rows")
+        n = rows.agg(F.max(F.coalesce("size", F.size("values")))).first()[0] or 0
+        k = min(get("k"), n)
+        width = min(n, k + get("oversample"))
+        q = np.linalg.qr(np.random.default_rng(get("seed")).standard_normal((n, width)))[0]
+        before = np.full(k, np.inf)
+        for _ in range(max(1, get("passes"))):
+            z = _products(rows, q)
+            small = q.T @ z
+            values, turn = np.linalg.eigh((small + small.T) / 2)
+            values, turn = np.maximum(values[::-1], 0), turn[:, ::-1]
+            v = q @ turn[:, :k]
+            if width == n or np.all(np.abs(values[:k] - before) <= get("tolerance") * values[:k]):
+                break
+            before, q = values[:k], np.linalg.qr(z)[0]
+        drop_staged(rows)
+        top = np.abs(v).argmax(axis=0) if n else np.zeros(0, int)
+        return self._copyValues(SvdModel(v * np.sign(v[top, np.arange(v.shape[1])]), np.sqrt(values[:k])))
+
+
+def _products(rows: DataFrame, q: np.ndarray) -> np.ndarray:
+    """A^T (A Q) of rows (size, indices, values): each task sums its rows, Spark sums the tasks' features."""
+    shared = rows.sparkSession.sparkContext.broadcast(q)
+
+    def partial(batches):
+        block = shared.value
+        total, met = np.zeros_like(block), np.zeros(len(block), bool)
+        for batch in batches:
+            dense = batch["indices"].isna()
+            if dense.any():
+                x = np.vstack(batch["values"][dense].to_list())
+                total[: x.shape[1]] += x.T @ (x @ block[: x.shape[1]])
+                met[: x.shape[1]] = True
+            for at, values in zip(batch["indices"][~dense], batch["values"][~dense]):
+                if len(at):
+                    total[at] += np.outer(values, values @ block[at])
+                    met[at] = True
+        found = np.flatnonzero(met)
+        for at in range(0, len(found), 1024):
+            part = found[at:at + 1024]
+            yield pd.DataFrame({"feature": part.astype("i4"), "sums": list(total[part])})
+
+    parts = rows.mapInPandas(partial, "feature int, sums array<double>").withColumn("sums", array_to_vector("sums"))
+    out = np.zeros_like(q)
+    for r in parts.groupBy("feature").agg(Summarizer.sum(F.col("sums")).alias("sums")).toLocalIterator():
+        out[r["feature"]] = r["sums"].toArray()
+    shared.unpersist()
+    return out
 
 
 class SvdModel(Model, HasInputCol, HasOutputCol):
-    k = Svd.k
+    k, oversample, passes, tolerance, seed = Svd.k, Svd.oversample, Svd.passes, Svd.tolerance, Svd.seed
 
     def __init__(self, v=None, singular_values=None):
         super().__init__()

@@ -207,6 +207,39 @@ def svd_singular_values(spark, folder):
     )
 
 
+def sql_leading(i: int) -> str:
+    """The i-th eigenvalue of the products `gram`: repeated squaring leaves the projector on its vector, which is then taken out."""
+    of = "gram" if i == 1 else f"rest{i - 1}"
+    return f"""
+    power{i} AS (
+        SELECT 0 AS step, i, j, g / (SELECT sum(g) FROM {of} WHERE i = j) AS p FROM {of}
+        UNION ALL
+        SELECT step, i, j, p / sum(CASE WHEN i = j THEN p END) OVER () FROM (
+            SELECT a.step + 1 AS step, a.i, b.j, sum(a.p * b.p) AS p FROM power{i} a JOIN power{i} b ON a.j = b.i
+            WHERE a.step < 14 GROUP BY a.step, a.i, b.j) AS s),
+    value{i} AS (SELECT sum(g * p) AS v FROM {of} JOIN power{i} USING (i, j) WHERE step = 14),
+    rest{i} AS (SELECT i, j, g - v * p AS g FROM {of} JOIN power{i} USING (i, j), value{i} WHERE step = 14)"""
+
+
+@query(
+    "svd_scores",
+    f"""WITH RECURSIVE x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    gram AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS g FROM x a JOIN x b USING (vec_id) GROUP BY ALL),
+    {", ".join(map(sql_leading, (1, 2, 3)))},
+    found AS (SELECT 1 AS i, v FROM value1 UNION ALL SELECT 2, v FROM value2 UNION ALL SELECT 3, v FROM value3)
+    SELECT a.i, b.i AS j, CASE WHEN a.i = b.i THEN round(a.v, 3) ELSE 0.0::DOUBLE END AS product FROM found a, found b""",
+)
+def svd_scores(spark, folder):
+    """Products of the score columns of three components: squared singular values, and zeros beside them."""
+    rows = table(spark, folder, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("x"))
+    model = vec.Svd(inputCol="x", outputCol="svd", k=3, oversample=13, passes=80, tolerance=1e-13).fit(rows)
+    scores = model.transform(rows).select(vector_to_array("svd").alias("s"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"), (F.col("s")[i] * F.col("s")[j]).alias("p"))
+                                for i in range(3) for j in range(3)]))
+    products = scores.select(pairs.alias("e")).groupBy("e.i", "e.j").agg(F.round(F.sum("e.p"), 3).alias("product"))
+    return products.withColumn("product", F.col("product") + F.lit(0.0))
+
+
 @query("svd_features")
 def svd_features(spark, folder):
     rows = docs(spark, folder).select("id", "reviewText")

@@ -151,4 +151,4 @@ def test_svd_edges(spark):
     df = spark.createDataFrame(mixed, ["id", "tfidf"])
     model = vec.Svd(k=9).fit(df)
     exact = np.linalg.svd(np.array([v.toArray() for _, v in mixed]), compute_uv=False)
-    assert np.allclose(model.singular_values, np.r_[exact, np.zeros(4 - len(exact))], atol=1e-8)
+    assert np.allclose(model.singular_values, np.r_[exact, np.zeros(4 - len(exact))], atol=1e-6)  # a zero from its square

@@ -95,11 +95,11 @@ class Trial:
 
 
 def with_folds(df: DataFrame, row_id: str, k: int, label: str = "label", seed: int = 42) -> DataFrame:
-    """The table with stratified fold numbers, written once for all fits that read it."""
-    source = staged(df, "cv-input")
-    out = staged(folds(source, row_id, k, label, seed), "cv-folds")
-    drop_staged(source)
-    return out
+    """The table with stratified fold numbers, written once, a partition a fold, for all fits that read it.
+
+    Numbering reads the id and label of `df` once more; a fit without fold i opens the files of the others only.
+    """
+    return staged(folds(df, row_id, k, label, seed), "cv-folds", by="fold")
 
 
 class Search:
@@ -140,7 +140,7 @@ class Search:
         fitted = self.features.copy(param_map(self.steps, settings)).fit(self.rows.where(F.col(self.fold) != i))
         added = [c for c in (self.estimator.inner.getFeaturesCol() if getattr(self.estimator, "inner", None) else "features",)]
         kept = [c for c in ("id", "label", self.fold) if c in self.rows.columns]
-        return staged(fitted.transform(self.rows).select(*kept, *added), "cv-features")
+        return staged(fitted.transform(self.rows).select(*kept, *added), "cv-features", by=self.fold)
 
     def run(self, candidates: list[dict]) -> Search:
         found: dict[tuple[int, int], float] = {}

@@ -37,7 +37,7 @@ def in_parallel(jobs: list[Callable], width: int) -> list:
 class Stacking(Estimator, HasLabelCol, HasFeaturesCol):
     """Bases are fitted per fold for the meta features, then once on all rows for prediction.
 
-    The input is written once to the shared folder; every fit of every fold reads that table.
+    The input is written once to the shared folder, a partition a fold; a fit that leaves a fold out doesn't open its files.
     """
 
     numFolds = _param("numFolds", "folds for the meta features", TypeConverters.toInt)
@@ -73,11 +73,8 @@ class Stacking(Estimator, HasLabelCol, HasFeaturesCol):
     def _prepare(self, df: DataFrame) -> DataFrame:
         get = self.getOrDefault
         rows = df.select(get("idCol"), self.getLabelCol(), self.getFeaturesCol())
-        # Written before the folds are drawn: numbering reads its input twice.
-        source = staged(rows, "stack-input")
-        out = staged(folds(source, get("idCol"), get("numFolds"), self.getLabelCol(), get("seed"), "_fold"), "stack-folds")
-        drop_staged(source)
-        return out
+        numbered = folds(rows, get("idCol"), get("numFolds"), self.getLabelCol(), get("seed"), "_fold")
+        return staged(numbered, "stack-folds", by="_fold")
 
     def _out_of_fold(self, rows: DataFrame) -> DataFrame:
         k = self.getOrDefault("numFolds")

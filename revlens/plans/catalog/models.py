@@ -37,7 +37,7 @@ def text_vectors(spark, folder):
     """(id, label, features, fold) of the labelled documents; vocabulary and scaling come from folds 1 and 2 only."""
     rows = search.with_folds(text_rows(spark, folder), "id", 3)
     fitted = Pipeline(stages=list(text_steps(rows).values())).fit(rows.where("fold <> 0"))
-    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "text-vectors")
+    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "text-vectors", by="fold")
 
 
 def text_steps(rows):
@@ -59,7 +59,7 @@ def rating_vectors(spark, folder):
     ]
     rows = search.with_folds(rows, "id", 3)
     fitted = Pipeline(stages=stages).fit(rows.where("fold <> 0"))
-    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "rating-vectors")
+    return staged(fitted.transform(rows).select("id", "label", "features", "fold"), "rating-vectors", by="fold")
 
 
 def held_out(rows, model):

@@ -44,25 +44,26 @@ def staging_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+def staged(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
     """Write `df` once and go on from the written table.
 
     Training reads its input many times; a table in the shared folder cuts the lineage, keeps
-    column pruning and outlives lost executors.
+    column pruning and outlives lost executors. With `by`, a column of few values such as a fold, its values are
+    partitions of the table: a reader that filters by it opens only their files.
     """
     path = f"{staging_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns] if by else "*")
 
 
 def drop_staged(*tables: DataFrame) -> None:
     """Delete tables made by `staged` once nothing reads them any more."""
     for df in tables:
         spark, files = df.sparkSession, df.inputFiles()
-        folder = files[0].rsplit("/", 1)[0] if files else ""
-        if not re.search(r"-[0-9a-f]{32}$", folder):
+        found = re.match(r"(.*-[0-9a-f]{32})/", files[0]) if files else None
+        if not found:
             raise ValueError("not a table made by staged()")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(found[1])
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

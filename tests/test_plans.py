@@ -57,3 +57,19 @@ def test_scans_read_only_what_is_used(plans, name, columns):
     schemas = re.findall(r"ReadSchema: struct<(.*)>", plans[name])
     read = {c.split(":")[0] for s in schemas for c in s.split(",") if c}
     assert read == columns
+
+
+def test_fits_open_only_the_files_of_their_folds(spark):
+    """Folds are partitions, written by one job: a fit that leaves one out and its evaluation prune the others' files."""
+    from pyspark.ml.linalg import Vectors
+
+    from revlens.ml import search
+    from revlens.plans import jobs
+
+    rows = spark.createDataFrame([(i, i % 2, Vectors.dense([i % 7])) for i in range(60)], ["id", "label", "features"])
+    for folded, fold in ((search.with_folds(rows, "id", 3), "fold"), (jobs.stack(folds=3)._prepare(rows), "_fold")):
+        assert {f.rsplit("/", 2)[1] for f in folded.inputFiles()} == {f"{fold}={i}" for i in range(3)}
+        for condition in (f"{fold} <> 1", f"{fold} = 1"):
+            text = plan(folded.where(condition).select("features"))
+            assert re.search(rf"PartitionFilters: \[[^\]]*{fold}", text) and "Filter (" not in text
+        assert folded.where(f"{fold} = 1").count() == 20 and folded.columns[-1] == fold

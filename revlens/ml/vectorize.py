@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from revlens.functions import text as tx
 from revlens.operators.frequency import skew_join
+from revlens.operators.ranking import numbered
 from revlens.session import constant_array, drop_staged, staged
 
-MAX_TERMS = 1_000_000  # a vocabulary beyond this stays a table: tfidf_table
+MAX_TERMS = 1_000_000  # a vocabulary beyond this stays a table, joined to the rows' terms
 MAX_LEVELS = 100_000
 
 
@@ -46,11 +47,12 @@ class TfidfParams(HasInputCol, HasOutputCol):
     norm = _param("norm", "l2, l1 or none", TypeConverters.toString)
     stopWords = _param("stopWords", "none, or a language with a stop word list", TypeConverters.toString)
     minTokenLength = _param("minTokenLength", "shortest token kept", TypeConverters.toInt)
+    maxCollected = _param("maxCollected", "most terms that a model carries itself", TypeConverters.toInt)
 
     def _defaults(self):
         self._setDefault(
             maxNgram=1, minDF=1.0, maxDF=1.0, maxFeatures=0, sublinear=False, binary=False, useIdf=True,
-            norm="l2", stopWords="none", minTokenLength=2, inputCol="reviewText", outputCol="tfidf",
+            norm="l2", stopWords="none", minTokenLength=2, inputCol="reviewText", outputCol="tfidf", maxCollected=MAX_TERMS,
         )
 
     def terms(self) -> Column:
@@ -88,12 +90,16 @@ def vocabulary(df: DataFrame, terms: Column, min_df: float = 1.0, max_df: float
 
 
 class Tfidf(Estimator, TfidfParams):
-    """One vocabulary for the whole table; terms are indexed in alphabetical order."""
+    """One vocabulary for the whole table; terms are indexed in alphabetical order.
+
+    Up to `maxCollected` terms the model carries them. A larger vocabulary stays a table: terms get their
+    index by range partitions, and rows are joined to it. Both give the same vectors.
+    """
 
     @keyword_only
     def __init__(self, *, inputCol="reviewText", outputCol="tfidf", maxNgram=1, minDF=1.0, maxDF=1.0,
                  maxFeatures=0, sublinear=False, binary=False, useIdf=True, norm="l2",
-                 stopWords="none", minTokenLength=2):
+                 stopWords="none", minTokenLength=2, maxCollected=MAX_TERMS):
         super().__init__()
         self._defaults()
         self._set(**self._input_kwargs)
@@ -102,31 +108,36 @@ class Tfidf(Estimator, TfidfParams):
         get = self.getOrDefault
         return vocabulary(df, self.terms(), get("minDF"), get("maxDF"), get("maxFeatures"))
 
-    def _fit(self, df: DataFrame) -> TfidfModel:
-        kept = self.vocabulary(df).limit(MAX_TERMS + 1).collect()
+    def _fit(self, df: DataFrame) -> TfidfModel | TfidfTableModel:
+        most = self.getOrDefault("maxCollected")
+        terms = staged(self.vocabulary(df), "vocabulary")
+        kept = terms.limit(most + 1).collect()
         if not kept:
             raise ValueError("no term is left: lower minDF or raise maxDF")
-        if len(kept) > MAX_TERMS:
-            raise ValueError(f"more than {MAX_TERMS} terms: set maxFeatures or minDF, or use tfidf_table")
+        if len(kept) > most:
+            return self._copyValues(TfidfTableModel(staged(numbered(terms, "term", out="index"), "dictionary")))
+        drop_staged(terms)
         kept.sort(key=lambda r: r["term"])
         n = kept[0]["n_docs"]
         idf = [float(np.log((1 + n) / (1 + r["df"])) + 1) for r in kept]
         return self._copyValues(TfidfModel([r["term"] for r in kept], idf))
 
 
-def _sublinear(vector: Column) -> Column:
-    """1 + ln of the stored values of a sparse vector.
+def _sparse(size: Column, indices: Column, values: Column) -> Column:
+    """A sparse vector from its parts.
 
     Arrays have no cast to a sparse vector, but the JSON reader fills one; that keeps the step in
     the JVM, and JSON carries doubles without loss.
     """
-    parts = F.unwrap_udt(vector)
-    changed = F.struct(
-        parts["type"].alias("type"), parts["size"].alias("size"), parts["indices"].alias("indices"),
-        F.transform(parts["values"], lambda v: 1 + F.log(v)).alias("values"),
-    )
+    parts = F.struct(F.lit(0).cast("byte").alias("type"), size.alias("size"), indices.alias("indices"), values.alias("values"))
     schema = T.StructType([T.StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(changed.alias("v"))), schema)["v"]
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema)["v"]
+
+
+def _sublinear(vector: Column) -> Column:
+    """1 + ln of the stored values of a sparse vector."""
+    parts = F.unwrap_udt(vector)
+    return _sparse(parts["size"], parts["indices"], F.transform(parts["values"], lambda v: 1 + F.log(v)))
 
 
 class TfidfModel(Model, TfidfParams):
@@ -162,6 +173,59 @@ class TfidfModel(Model, TfidfParams):
         return entries(self.transform(df), row_id, self.getOutputCol(), self.vocabulary_)
 
 
+class TfidfTableModel(Model, TfidfParams):
+    """As `TfidfModel` with a dictionary of any size: (term, tf, df, n_docs, index), a written table.
+
+    A row's terms are counted in the row and exploded, joined to the dictionary with its frequent terms taken out of the
+    shuffle, and put together again by row; a row has no more entries than different terms.
+    """
+
+    def __init__(self, dictionary: DataFrame | None = None):
+        super().__init__()
+        self._defaults()
+        self.dictionary = dictionary
+
+    def weighted(self, counts: DataFrame, row: str) -> DataFrame:
+        """(row, index, term, weight) of (row, term, tf), before the norm."""
+        get = self.getOrDefault
+        found = skew_join(counts, self.dictionary.select("term", "df", "n_docs", "index"), "term", "df", F.xxhash64(row))
+        found = found.where("found.index IS NOT NULL").select(row, "term", "tf", "found.*")
+        weight = F.col("tf").cast("double")
+        if get("binary"):
+            weight = F.lit(1.0)
+        elif get("sublinear"):
+            weight = 1 + F.log(weight)
+        if get("useIdf"):
+            weight = weight * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
+        return found.select(row, F.col("index").cast("int").alias("index"), "term", weight.alias("weight"))
+
+    def by_row(self, df: DataFrame, row: str) -> DataFrame:
+        """(row, entries): each row's (index, weight, term), normed, in order of the index."""
+        counts = df.select(row, F.inline(tx.term_counts(self.terms())))
+        entry = F.struct("index", "weight", "term")
+        rows = self.weighted(counts, row).groupBy(row).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+        def total(of) -> Column:
+            return F.aggregate("entries", F.lit(0.0), lambda s, e: s + of(e["weight"]))
+
+        norm = {"l1": total(F.abs), "l2": F.sqrt(total(lambda w: w * w)), "none": F.lit(1.0)}[self.getOrDefault("norm")]
+        return rows.withColumn("_norm", norm).select(row, F.transform("entries", lambda e: F.struct(
+            e["index"].alias("index"), (e["weight"] / F.col("_norm")).alias("weight"), e["term"].alias("term"))).alias("entries"))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        # Written once: the rows are read for their terms and again for their other columns.
+        keyed = staged(df.withColumn("_row", F.monotonically_increasing_id()), "tfidf-rows")
+        size = F.lit(self.dictionary.count())
+        found = keyed.join(self.by_row(keyed, "_row"), "_row", "left")
+        entries_ = F.coalesce("entries", F.array().cast("array<struct<index:int,weight:double,term:string>>"))
+        vector = _sparse(size, F.transform(entries_, lambda e: e["index"]), F.transform(entries_, lambda e: e["weight"]))
+        return found.select(*df.columns, vector.alias(self.getOutputCol()))
+
+    def long(self, df: DataFrame, row_id: str) -> DataFrame:
+        """(row_id, term, weight) of the non-zero entries; `row_id` is unique."""
+        return self.by_row(df, row_id).select(row_id, F.explode("entries").alias("e")).select(row_id, "e.term", "e.weight")
+
+
 def entries(df: DataFrame, row_id: str, vector: str, names: list[str], name: str = "term",
             value: str = "weight") -> DataFrame:
     """One row per stored entry of a sparse vector, with the entry's name."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
-from revlens.session import pieces
+from revlens.session import lookup_join, pieces, staged
 
 BUCKET_BYTES = 32 << 20
 
@@ -41,6 +41,20 @@ def ranked(df: DataFrame, row_id: str, groups: tuple[str, ...] = (), seed: int =
     )
 
 
+def numbered(df: DataFrame, *order: str, out: str = "number") -> DataFrame:
+    """Numbers the rows 0, 1, ... in the order of columns: range partitions are sorted, each adds the rows before it.
+
+    The rows are written once, so numbers and rows belong together whatever is read again. `order` should
+    tell rows apart; equal ones are numbered in any order.
+    """
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    rows = staged(rows.withColumn("_part", F.shiftright("_row", 33)), "in-order")
+    parts = rows.groupBy("_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row a partition
+    parts = parts.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return lookup_join(rows, parts, ["_part"], "inner").select(*df.columns, (F.col("_row") + F.col("_shift")).alias(out))
+
+
 def rounded(value: Column) -> Column:
     """Half-up rounding of a positive number to a whole one."""
     return F.floor(value + F.lit(0.5))

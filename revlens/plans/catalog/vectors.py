@@ -106,6 +106,31 @@ def tfidf_binary(spark, folder):
     return long(rows, vec.Tfidf(minDF=5.0, maxFeatures=500, binary=True, norm="none").fit(rows))
 
 
+@query("tfidf_dictionary", sql_tfidf(DOCS, "text", 2, 2, 0.9, None, "(1 + ln(tf))", True, "l2"))
+def tfidf_dictionary(spark, folder):
+    """A fitted stage whose dictionary stays a table, here from the first term on."""
+    rows = docs(spark, folder)
+    return long(rows, vec.Tfidf(maxNgram=2, minDF=2.0, maxDF=0.9, sublinear=True, maxCollected=0).fit(rows))
+
+
+@query("tfidf_dictionary_vectors", f"""WITH {sql_terms(DOCS, 'text', 1)},
+    counts AS (SELECT id, term, count(*)::DOUBLE AS tf FROM grams GROUP BY ALL),
+    size AS (SELECT count(*)::DOUBLE AS n FROM {DOCS}),
+    words AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS index, n, count(*) AS df FROM counts, size GROUP BY term, n HAVING count(*) >= 2),
+    weights AS (SELECT id, index, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM counts JOIN words USING (term)),
+    normed AS (SELECT id, index, w / sum(w) OVER (PARTITION BY id) AS w FROM weights)
+    SELECT s.id, (SELECT count(*) FROM words)::INT AS size, coalesce(list(index::INT ORDER BY index) FILTER (index IS NOT NULL), []) AS indices,
+        coalesce(list(round(w, 6) ORDER BY index) FILTER (index IS NOT NULL), []) AS weights
+    FROM {DOCS} s LEFT JOIN normed USING (id) GROUP BY s.id""")
+def tfidf_dictionary_vectors(spark, folder):
+    """The same stage as sparse vectors: positions are those of the terms in alphabetical order."""
+    rows = docs(spark, folder).select("id", "reviewText")
+    model = vec.Tfidf(minDF=2.0, norm="l1", maxCollected=0).fit(rows)
+    parts = F.unwrap_udt("tfidf")
+    return model.transform(rows).select("id", parts["size"].alias("size"), parts["indices"].alias("indices"),
+                                        F.transform(parts["values"], lambda v: F.round(v, 6)).alias("weights"))
+
+
 @query("tfidf_all_terms", sql_tfidf(DOCS, "text", 1, 1, 1.0, None, "(1 + ln(tf))", True, "l2"))
 def tfidf_all_terms(spark, folder):
     """Every term of the corpus; the vocabulary is never collected."""

@@ -152,3 +152,16 @@ def test_svd_edges(spark):
     model = vec.Svd(k=9).fit(df)
     exact = np.linalg.svd(np.array([v.toArray() for _, v in mixed]), compute_uv=False)
     assert np.allclose(model.singular_values, np.r_[exact, np.zeros(4 - len(exact))], atol=1e-6)  # a zero from its square
+
+
+@pytest.mark.parametrize("settings", [{}, {"maxNgram": 2, "sublinear": True, "norm": "l1"}, {"binary": True, "useIdf": False, "norm": "none"}])
+def test_a_dictionary_table_gives_the_same_vectors(spark, settings):
+    texts = [(i, t) for i, t in enumerate(["the cat sat", None, "", "the dog, the DOG", "a bird é", "unseen words"] * 3)]
+    df = spark.createDataFrame(texts, "id bigint, reviewText string").withColumn("_hot", F.lit(1))
+    fit_on = df.where("id <> 5")
+    small, table = (vec.Tfidf(minDF=2.0, maxCollected=n, **settings).fit(fit_on) for n in (1000, 0))
+    assert table.dictionary.orderBy("index").toPandas()["term"].tolist() == small.vocabulary_
+    a, b = ({r["id"]: r["tfidf"] for r in m.transform(df).collect()} for m in (small, table))
+    assert a.keys() == b.keys() and len(a) == 18
+    for i, v in a.items():
+        assert b[i].size == v.size and np.allclose(b[i].toArray(), v.toArray(), atol=1e-12)

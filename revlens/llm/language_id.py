@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from revlens.llm.text import narrow
 
 DIMENSIONS = 1 << 15
 PIECE_CHARS = 2 << 20
-LONG = 4096  # characters of a word whose features pass in blocks
+CHARS = 1 << 18  # characters of words whose features are found at a time
+STEP = 64  # words of a block in forward-backward
 EDGES = ".,;:!?\"'()[]{}<>*%$#&|=~^`-_/\\"
 
 
@@ -36,21 +38,45 @@ def pieces(texts: pd.Series) -> Iterator[pd.Series]:
         yield rows
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed prefixes and suffixes up to three bytes, inner two- and three-grams, lexicon entry, non-ASCII characters of the whole word.
-
-    Each kind of feature starts its checksum from a number of its own.
-    """
-    raw = word.encode("utf-8", "surrogatepass")
-    crc, marked = zlib.crc32, b"^" + raw + b"$"
-    found = [crc(raw[:k], k) for k in (1, 2, 3)] + [crc(raw[-k:], 10 + k) for k in (1, 2, 3)]
-    found += [crc(marked[i:i + 2], 20) for i in range(len(marked) - 1)]
-    found += [crc(marked[i:i + 3], 21) for i in range(len(marked) - 2)]
-    if not word.isascii():
-        found += [crc(c.encode("utf-8", "surrogatepass"), 22) for c in set(word) if not c.isascii()]
-    if word in lexicon:
-        found.append(crc(raw, 23))
-    return [x & DIMENSIONS - 1 for x in found]
+MIX = np.uint64(0x9E3779B97F4A7C15)
+PREFIX, SUFFIX, PAIR, TRIPLE, CHARACTER, KNOWN = 0, 4, 8, 9, 10, 11  # kinds of features
+
+
+def hashed(values: np.ndarray, kind: int) -> np.ndarray:
+    """Feature numbers of packed bytes or code points, each kind in an order of its own."""
+    return (((values.astype(np.uint64) << np.uint64(4)) + np.uint64(kind)) * MIX >> np.uint64(64 - 15)).astype(np.int64)
+
+
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(word's place, feature) of all words: prefixes and suffixes up to three bytes, two- and three-grams with the ends
+    marked, different non-ASCII characters, and a feature of its own for a word of the lexicon; whole words, all at once."""
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.array([len(r) for r in raw], np.int64)
+    x = np.frombuffer(b"".join(b"^" + r + b"$" for r in raw), np.uint8).astype(np.uint32)
+    first = np.cumsum(sizes + 2) - sizes - 1
+    last, place = first + sizes - 1, np.arange(len(words))
+    owner = np.repeat(place, sizes + 2)
+    found = []
+    head, tail = np.zeros(len(words), np.uint32), np.zeros(len(words), np.uint32)
+    for k in range(1, 4):
+        more = sizes >= k
+        head[more] = head[more] << 8 | x[first[more] + k - 1]
+        tail[more] |= x[last[more] - k + 1] << 8 * (k - 1)
+        found += [(place, hashed(head, PREFIX + k)), (place, hashed(tail, SUFFIX + k))]
+    for size, kind in ((2, PAIR), (3, TRIPLE)):
+        gram = x[:1 - size] if size == 2 else x[:-2] << 8 | x[1:-1]
+        gram, inside = gram << 8 | x[size - 1:], owner[size - 1:] == owner[:1 - size]
+        found.append((owner[:1 - size][inside], hashed(gram[inside], kind)))
+    wide = [i for i, w in enumerate(words) if not w.isascii()]
+    if wide:
+        points = np.frombuffer("".join(words[i] for i in wide).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        by = np.repeat(np.array(wide, np.int64), [len(words[i]) for i in wide])
+        each = np.unique((by << 21 | points)[points > 127])
+        found.append((each >> 21, hashed(each & (1 << 21) - 1, CHARACTER)))
+    listed = np.array([i for i, w in enumerate(words) if w in lexicon], np.int64)
+    if len(listed):
+        found.append((listed, hashed(np.array([zlib.crc32(raw[i]) for i in listed]), KNOWN)))
+    return np.concatenate([w for w, _ in found]), np.concatenate([f for _, f in found])
 
 
 def marginals(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray,
@@ -126,21 +152,17 @@ class Field:
             penalty: float = 1e-6) -> "Field":
         """Gradient ascent on the conditional likelihood, features and moves together."""
         k = len(self.labels)
-        known: dict[str, np.ndarray] = {}
-
-        def features(word: str) -> np.ndarray:
-            found = known.get(word)
-            if found is None:
-                found = known[word] = np.array(word_features(word, self.lexicon))
-            return found
-
+        words = list(dict.fromkeys(w for s in sequences for w, _ in s))
+        owner, feature = word_features(words, self.lexicon) if words else (np.zeros(0, int),) * 2
+        order = np.argsort(owner, kind="stable")
+        known = dict(zip(words, np.split(feature[order], np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])))
         rng = np.random.default_rng(7)
         squares = [np.full(x.shape, 1e-6) for x in (self.weights, self.moves, self.start)]
         for _ in range(rounds if k > 1 else 0):
             order = rng.permutation(len(sequences))
             for b in range(0, len(order), batch):
                 chosen = [sequences[i] for i in order[b:b + batch]]
-                index = [features(w) for s in chosen for w, _ in s]
+                index = [known[w] for s in chosen for w, _ in s]
                 sizes = np.array([len(i) for i in index])
                 where = np.concatenate(index)
                 flat = np.add.reduceat(self.weights[where], np.cumsum(sizes) - sizes)
@@ -168,80 +190,140 @@ class Field:
                     x += rate * g / np.sqrt(s)
         return self
 
-    def emission(self, word: str) -> np.ndarray:
-        """The sum of the word's weights; a very long word's inner grams pass in blocks, which bounds the memory."""
-        if len(word) <= LONG:
-            return self.weights[word_features(word, self.lexicon)].sum(0)
-        raw = word.encode("utf-8", "surrogatepass")
-        crc, marked = zlib.crc32, b"^" + raw + b"$"
-        ends = [crc(raw[:k], k) for k in (1, 2, 3)] + [crc(raw[-k:], 10 + k) for k in (1, 2, 3)]
-        ends += [crc(c.encode("utf-8", "surrogatepass"), 22) for c in set(word) if not c.isascii()]
-        if word in self.lexicon:
-            ends.append(crc(raw, 23))
-        total = self.weights[[x & DIMENSIONS - 1 for x in ends]].sum(0)
-        for size, seed in ((2, 20), (3, 21)):
-            last = len(marked) - size + 1
-            for at in range(0, last, LONG):
-                total += self.weights[[crc(marked[i:i + size], seed) & DIMENSIONS - 1 for i in range(at, min(at + LONG, last))]].sum(0)
-        return total
-
-    def label_words(self, texts: list[np.ndarray], cells: int = 200_000) -> list[np.ndarray]:
-        """Label marginals [word, label] from emissions [word, label] of whole texts.
-
-        Texts of similar length advance together, in batches that hold at most `cells` words or one text.
-        """
-        out = [np.zeros((0, len(self.labels)))] * len(texts)
-        order = sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: len(texts[i]))
-        at = 0
-        while at < len(order):
-            end = at + 1
-            while end < len(order) and (end + 1 - at) * len(texts[order[end]]) <= cells:
-                end += 1
-            emissions, lengths = padded([texts[i] for i in order[at:end]], len(self.labels))
-            found, _ = marginals(emissions, lengths, self.moves, self.start, count_moves=False)
-            for j, i in enumerate(order[at:end]):
-                out[i] = found[j, :lengths[j]]
-            at = end
-        return out
+    def label_words(self, emissions: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Label marginals [word, label] from the emissions [word, label] of whole texts, one after another."""
+        return blocked_marginals(emissions, lengths, self.moves, self.start)
+
+
+def blocked_marginals(emissions: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Forward-backward over texts of any length, in blocks of `STEP` words that all advance together.
+
+    The moves through a block are one matrix, the product of its words' matrices. Products carry the forward and
+    backward vectors from block to block, and with these at its ends each block finds its own words' marginals.
+    """
+    k, n = emissions.shape[1], len(emissions)
+    if not n:
+        return np.zeros((0, k))
+    lengths = np.asarray(lengths, np.int64)
+    blocks_of = -(-lengths // STEP)
+    text = np.repeat(np.arange(len(lengths)), blocks_of)
+    first_block = np.cumsum(blocks_of) - blocks_of
+    nth = np.arange(len(text)) - first_block[text]  # of the block in its text
+    word_at = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    block, place = np.repeat(first_block, lengths) + word_at // STEP, word_at % STEP
+    score = np.ones((len(text), STEP, k))
+    score[block, place] = np.exp(emissions - emissions.max(axis=1, keepdims=True))
+    inside = np.zeros((len(text), STEP), bool)
+    inside[block, place] = True
+    turn, begins = np.exp(moves), nth == 0
+    entry = np.where(begins[:, None, None], np.exp(start)[None, None, :], turn[None])  # a text's first word has no move into it
+    whole = entry * score[:, 0, None, :]
+    for t in range(1, STEP):
+        live = inside[:, t]
+        if not live.any():
+            break
+        after = (whole @ turn) * score[:, t, None, :]
+        whole = np.where(live[:, None, None], after / after.sum(axis=(1, 2), keepdims=True), whole)
+    into, beyond = np.full((len(text), k), 1.0 / k), np.ones((len(text), k))
+    at = [np.flatnonzero(nth == j) for j in range(int(nth.max()) + 1)]
+    for here in at[1:]:
+        v = np.einsum("bi,bij->bj", into[here - 1], whole[here - 1])
+        into[here] = v / v.sum(1, keepdims=True)
+    for here in at[:0:-1]:
+        v = np.einsum("bij,bj->bi", whole[here], beyond[here])
+        beyond[here - 1] = v / v.sum(1, keepdims=True)
+    forward, now = np.empty_like(score), into
+    for t in range(STEP):
+        now = np.where(inside[:, t, None], (np.einsum("bi,bij->bj", now, entry) if t == 0 else now @ turn) * score[:, t], now)
+        now = now / now.sum(1, keepdims=True)
+        forward[:, t] = now
+    back = beyond
+    for t in range(STEP - 1, -1, -1):
+        both = forward[:, t] * back
+        forward[:, t] = both / both.sum(1, keepdims=True)
+        ahead = (score[:, t] * back) @ turn.T
+        back = np.where(inside[:, t, None], ahead / ahead.sum(1, keepdims=True), back)
+    return forward[block, place]
 
 
 class Emissions:
     """Emission scores of tokens; remembers up to a fixed number of them, also that one is no word."""
 
-    def __init__(self, field: Field, remembered: int = 300_000):
+    def __init__(self, field: Field, remembered: int = 200_000):
         self.field, self.remembered = field, remembered
         self.row: dict[str, int] = {}
-        self.table = np.zeros((1024, len(field.labels)))
+        self.table = np.zeros((1024, max(len(field.labels), 1)))
 
     def _add(self, tokens: list[str]) -> None:
-        words = [cleaned(t) for t in tokens]
-        flat = [word_features(w, self.field.lexicon) for w in words if 0 < len(w) <= LONG]
         first = len(self.row)
-        while first + len(tokens) > len(self.table):
+        self.row.update(zip(tokens, range(first, first + len(tokens))))
+        while len(self.row) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        for t in tokens:
-            self.row[t] = len(self.row)
-        if flat:
-            sizes = np.array([len(f) for f in flat])
-            where = np.fromiter((x for f in flat for x in f), np.int64, sizes.sum())
-            sums = np.add.reduceat(self.field.weights[where], np.cumsum(sizes) - sizes)
-        at = 0
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                self.table[first + i] = self.field.emission(w)
-                continue
-            self.table[first + i] = sums[at] if w else np.nan
-            at += bool(w)
+        words = [cleaned(t) for t in tokens]
+        at, size = 0, 0
+        for end, word in enumerate(words, 1):  # the grams of about `CHARS` characters at a time, or of one word
+            size += len(word)
+            if size >= CHARS or end == len(words):
+                self.table[first + at:first + end] = self._sums(words[at:end])
+                at, size = end, 0
+
+    def _sums(self, words: list[str]) -> np.ndarray:
+        out = np.full((len(words), self.table.shape[1]), np.nan)
+        there = [i for i, w in enumerate(words) if w]
+        if there:
+            owner, feature = word_features([words[i] for i in there], self.field.lexicon)
+            for c in range(out.shape[1]):
+                out[there, c] = np.bincount(owner, self.field.weights[feature, c], len(there))
+        return out
 
-    def of(self, tokens: list[str]) -> np.ndarray:
-        """[word, label] of the tokens that are words."""
+    def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """[word, label] of the tokens of all texts that are words, and how many each text has."""
         if len(self.row) > self.remembered:
             self.row.clear()
-        new = [t for t in dict.fromkeys(tokens) if t not in self.row]
+        tokens, sizes = list(chain.from_iterable(texts)), [len(t) for t in texts]
+        new = [t for t in set(tokens) if t not in self.row]
         if new:
             self._add(new)
-        rows = self.table[[self.row[t] for t in tokens]]
-        return rows[~np.isnan(rows[:, 0])] if len(rows) else rows
+        at = np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
+        is_word = ~np.isnan(self.table[at, 0])
+        owner = np.repeat(np.arange(len(texts)), sizes)[is_word]
+        return self.table[at[is_word]], np.bincount(owner, minlength=len(texts))
+
+
+def sample(rows: DataFrame, most: int) -> dict[str, list[str]]:
+    """The texts of `most` rows (doc, text, lang) of each language, by smallest hash of the id, in that order.
+
+    Ids and languages are looked at first: hashes are even, so those below a bound that follows a language's rows are few, and
+    the last hash to take comes from their counts. Only the texts up to it reach the driver. An id that has more rows than
+    there is room for is passed over.
+    """
+    key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
+    keyed, low, width = rows.select("lang", key.alias("key"), "doc", "text"), -(1 << 63), 1 << 64
+    totals = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().collect()}
+    share, last, wanted = 2.0, {}, dict(totals)
+    while wanted:
+        bounds = {x: min(low + int(width * min(1.0, share * (most + 50) / n)), -low - 1) for x, n in wanted.items()}
+        below = F.col("key") <= F.create_map(*[F.lit(v) for pair in bounds.items() for v in pair])[F.col("lang")]
+        found: dict[str, list[tuple[int, int]]] = {x: [] for x in wanted}
+        for r in keyed.where(F.col("lang").isin(list(wanted)) & below).groupBy("lang", "key").count().collect():
+            found[r["lang"]].append((r["key"], r["count"]))
+        for lang, counts in found.items():
+            taken, keys = 0, []
+            for k, n in sorted(counts):
+                if n <= most - taken:
+                    taken, keys = taken + n, [*keys, k]
+            if taken >= most or len(counts) > most or bounds[lang] == -low - 1:
+                last[lang] = set(keys)
+                wanted.pop(lang)
+        share *= 8
+    chosen = [(x, k) for x, keys in last.items() for k in keys]
+    if not chosen:
+        return {}
+    few = rows.sparkSession.createDataFrame(chosen, "lang string, key bigint")
+    out: dict[str, list[str]] = {}
+    for r in sorted(keyed.join(F.broadcast(few), ["lang", "key"]).collect(), key=lambda r: (r["key"], r["doc"] is not None, r["doc"] or 0, r["text"])):
+        out.setdefault(r["lang"], []).append(r["text"])
+    return out
 
 
 def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexicon_share: float = 1e-4) -> Field:
@@ -249,10 +331,9 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
 
     The lexicon holds the words that make up `lexicon_share` or more of a language's words, so at
     most 1 / `lexicon_share` a language, counted over all rows. Whole documents are taken as long as a
-    language has at most `max_words`; one that would exceed them is passed over, unless it is the first.
+    language has at most `max_words`; one that would exceed them is passed over, unless it is the first. Without usable
+    rows there are no languages, and every text is unknown.
     """
-    key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
-
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for texts in pieces(batch["text"]):
@@ -268,13 +349,13 @@ def train(rows: DataFrame, max_train: int = 400, max_words: int = 60_000, lexico
     sums = counted.groupBy("lang").agg(F.sum("count").alias("total"))
     common = counted.join(F.broadcast(sums), "lang").where(F.col("count") >= F.greatest(F.lit(5.0), lexicon_share * F.col("total")))
     lexicon = {r[0]: 1 for r in common.select("word").distinct().collect()}
+    sampled = sample(usable, max_train)
     languages = sorted(r[0] for r in sums.select("lang").collect())
     chosen: list[tuple[int, list[str]]] = []
     for label, lang in enumerate(languages):
         taken = 0
-        few = usable.where(F.col("lang") == lang).select(key.alias("key"), "doc", "text").orderBy("key", "doc").limit(max_train)
-        for r in few.collect():
-            words = words_of(r["text"])
+        for text in sampled.get(lang, []):
+            words = words_of(text)
             if taken and taken + len(words) > max_words:
                 continue
             taken += len(words)
@@ -288,8 +369,8 @@ def identify(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
     Every word gets its label's marginal; `shares` are the labels' mean marginals over the text,
     in the order of the learned languages, `lang_pred` the label of the largest (the first of
     equal ones), `score` its share, and `switches` counts the neighbouring words whose best labels
-    differ. Texts of similar length run together, a very long one alone; a task holds one such
-    batch. Nothing is shuffled.
+    differ. Texts of about `PIECE_CHARS` characters run together, a longer one alone; a task holds one such
+    piece. Nothing is shuffled.
 
     A null text, or one without a letter, has `unknown` and score 0, as has every text if nothing
     was learned. Repeated rows get a row each; an empty table gives none.
@@ -302,8 +383,10 @@ def identify(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
         for batch in batches:
             out = []
             for texts in pieces(batch):
-                found = [known.of((t or "").lower().split()) for t in texts] if labels else [np.zeros((0, 1))] * len(texts)
-                for m in field.label_words(found) if labels else found:
+                tokens = [(t or "").lower().split() for t in texts] if labels else [[]] * len(texts)
+                emissions, lengths = known.of(tokens)
+                every, end = field.label_words(emissions, lengths), np.cumsum(lengths)
+                for m in np.split(every, end[:-1]):
                     if not len(m):
                         out.append((unknown, 0.0, 0, [], 0))
                         continue

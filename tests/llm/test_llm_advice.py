@@ -153,7 +153,7 @@ def test_near_dedup_keeps_each_text_of_an_id(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted([("3", a), ("3", b), ("None", a), ("None", prose(9))])
 
 
-def test_language_of_glued_words_comes_from_all_of_them(spark):
+def test_language_of_glued_words_comes_from_all_of_them(spark, monkeypatch):
     vocabulary = {"aa": ["kato", "keto", "kito"], "bb": ["zuv", "zov", "zev"]}
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choices(vocabulary[x], k=40)), x) for i in range(40) for x in vocabulary]
@@ -163,7 +163,12 @@ def test_language_of_glued_words_comes_from_all_of_them(spark):
     asked = make(spark, [(1, glued, "a"), (2, ",".join(["kato"] * 3000 + ["zuv"] * 9000), "a"), (3, ",".join(["zuv"] * 10), "a")])
     assert {r["doc"]: r["lang_pred"] for r in language_id.identify(asked, field).collect()} == {1: "bb", 2: "bb", 3: "bb"}
     long = "kato\u00e9," * 3000
-    assert field.emission(long) == pytest.approx(field.weights[language_id.word_features(long, field.lexicon)].sum(0))
+    monkeypatch.setattr(language_id, "CHARS", 1000)
+    scores, lengths = language_id.Emissions(field).of([["kato", long, "..."], [], ["zuv"]])
+    assert lengths.tolist() == [2, 0, 1]
+    for row, word in zip(scores, ("kato", language_id.cleaned(long), "zuv")):
+        owner, features = language_id.word_features([word], field.lexicon)
+        assert not owner.any() and row == pytest.approx(field.weights[features].sum(0))
 
 
 def test_a_very_long_document_does_not_end_the_sample(spark, monkeypatch):

@@ -233,6 +233,66 @@ def test_marginals_match_enumeration():
     assert np.allclose(found[0], brute / total) and np.allclose(expected, pairs / total)
 
 
+def test_blocks_give_the_same_marginals():
+    """Texts of no word, one, and many blocks, against the plain recursion over each whole text."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    lengths = np.array([0, 1, 5, 64, 65, 200, 0, 129, 1000])
+    e, moves, start = rng.normal(size=(lengths.sum(), 4)) * 3, rng.normal(size=(4, 4)), rng.normal(size=4)
+    found = language_id.blocked_marginals(e, lengths, moves, start)
+    texts = [t for t in np.split(e, np.cumsum(lengths)[:-1]) if len(t)]
+    plain, sizes = language_id.marginals(*language_id.padded(texts, 4), moves, start)[0], [len(t) for t in texts]
+    assert np.allclose(found, np.concatenate([p[:n] for p, n in zip(plain, sizes)]), atol=1e-12)
+
+
+def test_slope_of_the_field_is_that_of_its_likelihood():
+    """One step of training moves every weight with the sign of the numeric slope of the conditional log-likelihood."""
+    import itertools
+
+    import numpy as np
+
+    sequence = [("ab", 0), ("abc", 1), ("é", 1)]
+    field = language_id.Field(["x", "y"], {"ab": 1}).fit([sequence], rounds=1, penalty=0.0)
+
+    def log_likelihood(weights, moves, start):
+        def score(path):
+            each = sum(weights[language_id.word_features([w], field.lexicon)[1], y].sum() for (w, _), y in zip(sequence, path))
+            return start[path[0]] + each + sum(moves[a, b] for a, b in zip(path, path[1:]))
+        return score([y for _, y in sequence]) - math.log(sum(math.exp(score(p)) for p in itertools.product((0, 1), repeat=3)))
+
+    zero = [np.zeros_like(x) for x in (field.weights, field.moves, field.start)]
+    for which, after in enumerate((field.weights, field.moves, field.start)):
+        for at in np.argwhere(np.abs(after) > 0)[:40]:
+            nudged = [z.copy() for z in zero]
+            nudged[which][tuple(at)] = 1e-4
+            assert (log_likelihood(*nudged) - log_likelihood(*zero)) * after[tuple(at)] > 0
+
+
+def test_features_of_words_are_those_of_each_alone():
+    words = ["a", "ab", "abc", "été", "\U0001f600x", "abc", "straße" * 50]
+    import numpy as np
+
+    owner, features = language_id.word_features(words, {"ab": 1, "été": 1})
+    for i, w in enumerate(words):
+        alone = language_id.word_features([w], {"ab": 1, "été": 1})[1]
+        assert sorted(features[owner == i]) == sorted(alone)
+    sizes = np.bincount(owner)
+    assert sizes.tolist()[:3] == [6 + 2 + 1, 6 + 3 + 2 + 1, 6 + 4 + 3]
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc"), F.concat(F.lit("t"), "id").alias("text"),
+                                    F.when(F.col("id") % 50 == 0, "aa").otherwise("bb").alias("lang"))
+    repeated = rows.union(spark.range(300).select(F.lit(7).alias("doc"), F.lit("again").alias("text"), F.lit("cc").alias("lang")))
+    found = language_id.sample(repeated, 40)
+    key = F.xxhash64(F.col("doc").cast("string"))
+    for lang, n in (("aa", 40), ("bb", 40)):
+        wanted = [r["text"] for r in rows.where(F.col("lang") == lang).orderBy(key).limit(n).collect()]
+        assert found[lang] == wanted
+    assert "cc" not in found  # one id with more rows than there is room for
+
+
 def test_languages_on_held_out_documents(spark, edges, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     field = language_id.train(docs.where(~language_id.held_out()).select(F.col("doc_id").alias("doc"), "text", "lang"), max_train=60, max_words=15_000)

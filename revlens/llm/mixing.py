@@ -6,18 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from revlens.llm.text import n_words
+from revlens.llm.text import n_words, row_hash
 from revlens.session import staged
 
 BUCKET_ROWS = 50_000
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """Equal for rows that are equal in every column."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return F.xxhash64(*columns, *[c.isNull() for c in columns])
-
-
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """doc, source, size in words, and the document's place in its source's fixed random order.
 

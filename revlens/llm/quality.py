@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.llm.text import narrow
+from revlens.llm.text import cutoff, narrow
 
 # A labeller says 1 (reject), 2 (keep) or 0 (no opinion); each rule's two limits are (keep below, reject above).
 LIMITS = {
@@ -87,38 +89,35 @@ class LabelModel:
 SHAPE = bytes(65 if 65 <= c < 91 else 97 if 97 <= c < 123 or c >= 128 else 48 if 48 <= c < 58 else c for c in range(256))
 
 
-def word_features(word: bytes) -> tuple[int, ...]:
-    """Hashed shape (runs of a class as one sign), ending and length of a word."""
-    shape = word.translate(SHAPE)
+def shape_features(shape: bytes) -> tuple[int, ...]:
+    """Hashed shape (runs of a class as one sign), ending and length of a word, all of which its shape tells."""
     short = bytes(c for i, c in enumerate(shape) if i == 0 or c != shape[i - 1])[:16]
-    names = (b"s" + short, b"e" + shape[-3:], b"n%d" % min(len(word), 24))
+    names = (b"s" + short, b"e" + shape[-3:], b"n%d" % min(len(shape), 24))
     return tuple(zlib.crc32(x) % DIMENSIONS for x in names)
 
 
 class Features:
-    """Sparse features of texts; remembers those of frequent words, up to a fixed number."""
+    """Sparse features of texts; words of one shape have the same ones, and those of a fixed number of shapes are remembered."""
 
-    def __init__(self, remembered: int = 200_000):
+    def __init__(self, remembered: int = 50_000):
         self.known: dict[bytes, tuple[int, ...]] = {}
         self.remembered = remembered
 
-    def of(self, words: list[bytes], values: list[float]) -> tuple[np.ndarray, np.ndarray]:
-        """(indices, values): roots of the shares of word features, and the labellers' numbers in tenths."""
-        flat: list[int] = []
-        known = self.known
-        for w in words:
-            found = known.get(w)
-            if found is None:
-                if len(known) >= self.remembered:
-                    known.clear()
-                found = known[w] = word_features(w)
-            flat += found
-        counts = np.bincount(flat, minlength=DIMENSIONS)
+    def of(self, text: bytes, values: list[float]) -> tuple[np.ndarray, np.ndarray]:
+        """(indices, values) of a text with words: roots of the shares of word features, and the labellers' numbers in tenths."""
+        shapes = Counter(text.translate(SHAPE).split())
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        for shape in shapes:
+            if shape not in self.known:
+                self.known[shape] = shape_features(shape)
+        flat = np.fromiter(chain.from_iterable(map(self.known.__getitem__, shapes)), np.int64, 3 * len(shapes))
+        times = np.fromiter(shapes.values(), np.float64, len(shapes))
+        counts = np.bincount(flat, np.repeat(times, 3), DIMENSIONS)
         index = np.flatnonzero(counts).astype(np.int32)
-        counts = counts[index]
         tenths = [zlib.crc32(b"m%d:%d" % (j, min(10, int(v * 10)))) % DIMENSIONS for j, v in enumerate(values)]
         return (np.concatenate([index, np.array(tenths, np.int32)]),
-                np.concatenate([np.sqrt(counts / len(words)), np.full(len(tenths), 0.3)]))
+                np.concatenate([np.sqrt(counts[index] / times.sum()), np.full(len(tenths), 0.3)]))
 
 
 def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 400,
@@ -160,7 +159,7 @@ class Scorer:
                 if not words:
                     return None, 1.0
                 values = measures(raw, words)
-                index, value = features.of(words, values)
+                index, value = features.of(raw, values)
                 return votes(values), float(1 / (1 + np.exp(-np.clip(value @ weights[index] + bias, -50, 50))))
 
             for texts in batches:
@@ -196,7 +195,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
     counted = rows.select(answers(F.col("text")).alias("code")).where("code is not null").groupBy("code").count().toPandas()
     labels = LabelModel(counted["code"].to_numpy(np.int64), counted["count"].to_numpy(float))
     key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
-    chosen = rows.select(key.alias("key")).orderBy("key").limit(max_train).agg(F.max("key")).first()[0]
+    chosen = cutoff(rows.select(key.alias("key")), rows.count(), max_train)
 
     @F.pandas_udf("struct<code:int,index:array<int>,value:array<double>>")
     def examples(texts: pd.Series) -> pd.DataFrame:
@@ -208,7 +207,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
                 out.append((None, None, None))
                 continue
             values = measures(raw, words)
-            out.append((votes(values), *features.of(words, values)))
+            out.append((votes(values), *features.of(raw, values)))
         return pd.DataFrame(out, columns=["code", "index", "value"]).astype({"code": "Int32"})
 
     picked = [] if chosen is None else (

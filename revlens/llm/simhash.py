@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.llm.components import components
-from revlens.llm.text import narrow
+from revlens.llm.text import narrow, row_hash
 from revlens.session import staged
 
 BITS = 64
@@ -37,14 +37,14 @@ def text_fingerprint(text: str | None, shingle: int, seed: int = 42, block: int
     return int(np.packbits(counts * 2 > len(first), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc, fp): the fingerprint of every whole text as a bigint with the same bits."""
+def fingerprint(text: Column, shingle: int) -> Column:
+    """The fingerprint of every whole text as a bigint with the same bits; 0 for a null text or one without words."""
 
     @F.pandas_udf("bigint")
-    def fingerprint(texts: pd.Series) -> pd.Series:
+    def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([text_fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return narrow(docs, doc=id_col, text=text_col).select("doc", fingerprint("text").alias("fp"))
+    return of(text)
 
 
 def bit_count_embedding(fp: Column, segment: int) -> Column:
@@ -120,12 +120,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint 0 and link like any other. Rows that repeat an id get a row each. Rows without
     id are kept; where no other row is reachable their component is null. An empty table gives no rows.
     """
-    marked = staged(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    unique = marked.groupBy("fp").agg(F.min("doc").alias("least"))
-    edges = staged(links(unique.select("fp"), max_distance), "links")
-    stars = components(edges)
-    rooted = unique.join(stars, unique.fp == stars.a, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    labels = rooted.join(smallest, "root").select(F.col("fp").alias("label"), "component")
+    rows = narrow(docs, doc=id_col, text=text_col)
+    marked = staged(rows.select("doc", fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
+    found = rooted(marked, max_distance)
+    smallest = found.groupBy("root").agg(F.min("least").alias("component"))
+    labels = found.join(smallest, "root").select(F.col("fp").alias("label"), "component")
     return marked.join(labels, F.col("fp") == F.col("label")).select("doc", "fp", "component")
+
+
+def rooted(marked: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, least, root) of each different fingerprint of `marked` (doc, fp): its smallest id, and the root of its component."""
+    unique = marked.groupBy("fp").agg(F.min("doc").alias("least"))
+    stars = components(staged(links(unique.select("fp"), max_distance), "links"))
+    return unique.join(stars, unique.fp == stars.a, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                max_distance: int = 4) -> DataFrame:
+    """`docs` less all documents of a component of `near_duplicates` but the one with the smallest id, which stays once.
+
+    Texts are read once: rows are staged with their fingerprints, and those that stay find themselves by (id, fingerprint).
+    An id that occurs with several texts stays with that one of its texts which represents the component. Of rows that repeat
+    both, the one with the least `row_hash` stays. Rows without id link others but represent none, and stay. Null, empty and blank
+    texts are copies of each other. An empty table gives no rows; columns of any name and type come along.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"),
+                       row_hash(docs).alias("hash"), whole.alias("row"))
+    rows = staged(rows, "simhash-rows")
+    found = rooted(rows.select("doc", "fp"), max_distance).where("least IS NOT NULL")
+    stay = found.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("x")).select(F.col("x.least").alias("doc"), "x.fp")
+    once = rows.join(stay, ["doc", "fp"]).groupBy("doc", "fp").agg(F.min_by("row", "hash").alias("row"))
+    return once.select("row.*").union(rows.where("doc IS NULL").select("row.*"))

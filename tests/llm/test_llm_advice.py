@@ -9,70 +9,63 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlens.llm import fingerprints, language_id, lm_score, mixing, near_copies, queries
+from revlens.llm import fingerprints, language_id, lm_score, mixing, queries, simhash
 from test_llm_pipeline import make, prose
 
 
-def test_near_copies_match_brute_force(spark):
+def test_near_dedup_matches_brute_force(spark):
+    """Components over all pairs of fingerprints at most four bits apart; the smallest id of each stays."""
     rng, rows = random.Random(5), []
-    for g in range(30):
-        base = prose(g, rng.randrange(8, 300)).split()
+    for g in range(40):
+        base = prose(g, rng.randrange(5, 400)).split()
         rows.append((len(rows), " ".join(base), "a"))
-        for changes in (1, 2, 3, 5, 8, 12):
+        for changes in (0, 1, 1, 2, 3, 8):
             words = list(base)
             for at in rng.sample(range(len(words)), min(changes, len(words))):
                 words[at] = f"x{rng.random()}"
             rows.append((len(rows), " ".join(words), "a"))
-    rows += [(1000, "", "a"), (1001, " \n", "a"), (1002, "Two words", "a"), (1003, "two  WORDS", "a")]
-    root, near = {i: i for i, _, _ in rows}, 0
+    rows += [(1000, "", "a"), (1001, None, "a"), (1002, " \n", "a"), (1003, "Two words", "a"), (1004, "two  WORDS", "a")]
+    prints = {i: plain_fingerprint(t) for i, t, _ in rows}
+    root = {i: i for i in prints}
 
     def find(i):
         return i if root[i] == i else find(root[i])
 
-    for i, a, _ in rows:
-        for j, b, _ in rows:
-            if i < j and near_copies.similarity(a, b, 5) >= 0.8:
-                near += 1
+    for i in prints:
+        for j in prints:
+            if i < j and (prints[i] ^ prints[j]).bit_count() <= 4:
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     kept = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()}
-    assert near > 60 and kept == {find(i) for i in root}
-
-
-def test_bands_reach_a_similarity_of_four_fifths():
-    """Recall of the candidates, pair by pair, where the similarity is 0.8 to 0.85."""
-    rng, found = random.Random(9), []
-    while len(found) < 300:
-        words = prose(rng.random(), 250).split()
-        other = list(words)
-        for at in rng.sample(range(250), 5):
-            other[at] = "changed"
-        a, b = " ".join(words), " ".join(other)
-        if 0.8 <= near_copies.similarity(a, b, 5) <= 0.85:
-            found.append(bool(set(near_copies.band_cells(a, 5)) & set(near_copies.band_cells(b, 5))))
-    assert sum(found) / len(found) > 0.99
-
-
-def test_one_changed_word_of_400_goes(spark):
-    base = prose(1, 400)
-    words = base.split()
-    words[200] = "changed"
-    rows = [(5, base, "a"), (3, base, "a"), (9, " ".join(words), "a"), (7, prose(2), "a"), (None, prose(3), "a")]
-    out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()
-    assert sorted((r["doc_id"] for r in out), key=str) == [3, 7, None]
-
-
-def test_a_chain_and_a_large_group_leave_one(spark):
-    """The cell's smallest text needn't be near all others; a chain of near texts is one component."""
-    words, rows = prose(1, 200).split(), []
-    for i in range(12):
-        rows.append((i, " ".join(words), "a"))
-        words = [*words]
-        for at in (i * 15 + 3, i * 15 + 9):
-            words[at] = f"y{i}"
-    assert near_copies.similarity(rows[0][1], rows[11][1], 5) < 0.5
-    out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()
-    assert [r["doc_id"] for r in out] == [0]
+    assert kept == {find(i) for i in root} and 60 < len(kept) < len(rows) - 40
+
+
+def plain_fingerprint(text):
+    import xxhash
+
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_match_a_plain_count_of_bits():
+    rng = random.Random(3)
+    for text in (None, "", " \t", "One", "a b c", "a b c d", "A b C d e", "x y " * 300, prose(1, 900), " ".join(rng.choices("abc", k=5000))):
+        assert simhash.text_fingerprint(text, 4, block=1000) == plain_fingerprint(text)
+
+
+def test_stages_take_columns_of_any_name_and_type(spark, folder):
+    """Clashing names, dots and maps, together with null texts and ids and repeated rows, go through all stages unchanged."""
+    rows = [(i, prose(i, 60), "ab"[i % 2]) for i in range(12)] + [(3, prose(3, 60), "b"), (3, prose(77, 60), "a"), (None, prose(50), "a"), (20, None, "a"), (21, "", None)]
+    docs = make(spark, rows).withColumns({n: F.lit(i) for i, n in enumerate(("_doc", "_key", "doc", "row", "fp", "hash", "root", "key", "position"))})
+    docs = docs.withColumn("a.b", F.lit("dot")).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        found = out.collect()
+        assert [c for c in out.columns if c in docs.columns] == docs.columns
+        kept = [r for r in found if r["doc_id"] == 5]
+        assert kept and kept[0]["a.b"] == "dot" and kept[0]["m"] == {"k": 5} and kept[0]["_key"] == 1 and kept[0]["text"] == prose(5, 60), name
 
 
 def test_rare_words_have_pairs_of_their_own(spark):

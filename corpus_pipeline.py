@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import decontaminate, line_dedup, mixing, near_copies, quality
+from revlens.llm import decontaminate, line_dedup, mixing, quality, simhash
 from revlens.session import staged
 
 
@@ -14,32 +14,29 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines of five documents or more stay in one of them; `n_chars` follows the new text."""
+    """Long lines of five documents or more stay in one of them; `n_chars` follows the new text, null for a null one.
+
+    Rows without id lose nothing; an empty table gives no rows.
+    """
     kept = line_dedup.dedup_lines(docs).select("row.*")
-    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies stays, once; rows without id stay.
-
-    Near copies have a similarity of 0.8 or more in sets of five words. An id with several texts
-    stays with each text that represents a component.
-    """
-    stay = staged(near_copies.representatives(docs), "representatives").withColumnsRenamed({"doc": "_doc", "key": "_key"})
-    rows = docs.join(stay, (docs["doc_id"] == stay["_doc"]) & (near_copies.content_key(docs["text"]) == stay["_key"]))
-    # A repeated row of a representative is a copy of it like any other.
-    whole = F.struct(*[docs[c] for c in docs.columns])
-    once = rows.groupBy("_doc", "_key").agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
-    return once.union(docs.where("doc_id is null"))
+    """Of each component of documents whose SimHash fingerprints link, with op8's shingles and bits, the smallest id stays."""
+    return simhash.one_of_each(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least half of a benchmark text go."""
+    """Documents that hold at least half of a benchmark text go; rows without id and null texts stay."""
     return decontaminate.without_leaks(docs, decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per reading of a document, by position in the run; sources' demand rises, falls or is constant by rank."""
+    """One row per reading of a document, by position in the run; sources' demand rises, falls or is constant by rank.
+
+    Null and empty texts have no words and are never read; an empty table gives no rows.
+    """
     return mixing.training_rows(docs, mixing.mix(docs, schedule=mixing.rotating_schedules))
 
 

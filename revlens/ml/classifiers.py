@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
 from revlens.ml.boosting import SoftmaxBoosting
+from revlens.ml.newton import NewtonLogistic, margin
 from revlens.ml.vectorize import UNLIMITED_DEPTH as MAX_DEPTH, _param
 from revlens.operators.labels import class_counts, weight_expression
-from revlens.session import constant_array
 
 
 class Classifier(Estimator, HasLabelCol):
@@ -77,7 +77,12 @@ class Classifier(Estimator, HasLabelCol):
 
 
 def logistic(C: float = 1.0, penalty: str = "l2", balanced: bool = True, max_iter: int = 100,
-             multinomial: bool = False, **columns) -> Classifier:
+             multinomial: bool = False, solver: str = "lbfgs", **columns) -> Classifier:
+    """`solver="newton"`: exact steps for two classes, the l2 penalty and a few hundred features."""
+    if solver == "newton":
+        if multinomial or penalty != "l2":
+            raise ValueError("newton is for two classes and the l2 penalty")
+        return Classifier(inner=NewtonLogistic(maxIter=max_iter, **columns), balanced=balanced, C=C)
     inner = LogisticRegression(
         elasticNetParam={"l2": 0.0, "l1": 1.0}[penalty], maxIter=max_iter, standardization=False,
         family="multinomial" if multinomial else "auto", **columns,
@@ -113,15 +118,6 @@ def linear_svm(C: float = 1.0, balanced: bool = True, max_iter: int = 100, **col
     return Classifier(inner=LinearSVC(maxIter=max_iter, standardization=False, **columns), balanced=balanced, C=C)
 
 
-def margin(vector: Column | str, weights: list[float], bias: float) -> Column:
-    """Dot product of a sparse or dense vector column with fixed weights, plus a bias."""
-    parts = F.unwrap_udt(vector)
-    w = constant_array(weights, "double")
-    at = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1))
-    products = F.zip_with(at, parts["values"], lambda i, v: v * F.get(w, i))
-    return F.aggregate(products, F.lit(float(bias)), lambda s, v: s + v)
-
-
 class Perceptron(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCol):
     """Batch perceptron for labels 0/1: every epoch adds the weighted sum of the misplaced rows.
 

@@ -116,6 +116,62 @@ def constant_baseline(spark, folder):
     return out.withColumns({c: F.round(c, 6) for c in out.columns})
 
 
+# Newton's steps on two features and a bias, in SQL: sums of the balanced weights, then Cramer's rule.
+SQL_DET = "({0}) * (({4}) * ({8}) - ({5}) * ({7})) - ({1}) * (({3}) * ({8}) - ({5}) * ({6})) + ({2}) * (({3}) * ({7}) - ({4}) * ({6}))"
+SQL_H = ["h00", "h01", "h02", "h01", "h11", "h12", "h02", "h12", "h22"]
+
+
+def sql_step(i: int) -> str:
+    """The i-th entry of the Newton step."""
+    swapped = [f"g{k // 3}" if k % 3 == i else h for k, h in enumerate(SQL_H)]
+    return f"({SQL_DET.format(*swapped)}) / ({SQL_DET.format(*SQL_H)})"
+
+
+SQL_LOGISTIC = f"""
+    e AS (SELECT event_id AS id, (value >= 50)::INT AS label, (value + event_id % 41) / 100 AS a, (event_id % 13) / 13 AS b FROM events),
+    f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold FROM e),
+    t AS (SELECT *, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY label)) AS w FROM f WHERE fold <> 0),
+    steps AS (
+        SELECT 0 AS step, 0.0::DOUBLE AS c, 0.0::DOUBLE AS x, 0.0::DOUBLE AS y
+        UNION ALL
+        SELECT step + 1, c - {sql_step(0)}, x - {sql_step(1)}, y - {sql_step(2)} FROM (
+            SELECT step, c, x, y, sum(w * (p - label)) AS g0, sum(w * (p - label) * a) + x AS g1, sum(w * (p - label) * b) + y AS g2,
+                sum(w * v) AS h00, sum(w * v * a) AS h01, sum(w * v * b) AS h02, sum(w * v * a * a) + 1 AS h11, sum(w * v * a * b) AS h12,
+                sum(w * v * b * b) + 1 AS h22
+            FROM (SELECT *, p * (1 - p) AS v FROM (SELECT steps.*, t.*, 1 / (1 + exp(-(c + x * a + y * b))) AS p FROM steps, t WHERE step < 12) AS s) AS q
+            GROUP BY step, c, x, y) AS r)"""
+
+
+def two_features(spark, folder):
+    """Events above half of the value range or not, by a blurred value and a number without meaning; (rows with folds)."""
+    rows = event_reviews(spark, folder).select(
+        "id", (F.col("value") >= 50).cast("int").alias("label"), ((F.col("value") + F.col("id") % 41) / 100).alias("a"),
+        (F.col("id") % 13 / 13).alias("b"))
+    return staged(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(search.with_folds(rows, "id", 3)), "two", by="fold")
+
+
+@query("logistic_newton", f"""WITH RECURSIVE {SQL_LOGISTIC}
+    SELECT id, label, (c + x * a + y * b > 0)::INT AS prediction, round(1 / (1 + exp(-(c + x * a + y * b))), 6) AS score
+    FROM f, steps WHERE fold = 0 AND step = 12""")
+def logistic_newton(spark, folder):
+    """Held-out scores at the optimum of the balanced, penalised log loss."""
+    out = held_out(two_features(spark, folder), cl.logistic(C=1.0, solver="newton"))
+    return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"), F.round(vector_to_array("probability")[1], 6).alias("score"))
+
+
+@query("logistic_coefficients", f"""WITH RECURSIVE {SQL_LOGISTIC}
+    SELECT s.solver, round(c, 3) AS intercept, round(x, 3) AS a, round(y, 3) AS b FROM steps, (VALUES ('lbfgs'), ('newton')) AS s(solver) WHERE step = 12""")
+def logistic_coefficients(spark, folder):
+    """The optimum is one point, so both solvers end there."""
+    rows = two_features(spark, folder).where("fold <> 0")
+    found = []
+    for solver in ("lbfgs", "newton"):
+        model = cl.logistic(C=1.0, max_iter=300, solver=solver, tol=1e-12).fit(rows)
+        found.append((solver, float(model.intercept), *map(float, model.coefficients)))
+    out = spark.createDataFrame(found, "solver string, intercept double, a double, b double")
+    return out.select("solver", *[F.round(c, 3).alias(c) for c in ("intercept", "a", "b")])
+
+
 @query("logistic_regression", sql_answers())
 def logistic_regression(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.logistic(C=1.0, max_iter=50)))

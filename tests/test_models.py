@@ -40,6 +40,7 @@ def f1(df):
 
 MODELS = {
     "logreg": lambda: cl.logistic(),
+    "newton": lambda: cl.logistic(solver="newton"),
     "l1": lambda: cl.logistic(penalty="l1", C=0.5),
     "rf": lambda: cl.random_forest(n_estimators=5, max_depth=4),
     "gb": lambda: cl.gradient_boosting(n_estimators=3, validation_share=0.2),
@@ -126,6 +127,20 @@ def test_sparse_and_dense_rows_give_the_same_features():
     assert boosting.dense(parts, column).tolist() == [[1, 4, 9], [5, 0, 7], [0, 0, 0], [0, 8, 0]]
 
 
+def test_newton_ends_at_the_optimum(spark, binary):
+    """The gradient of the penalised, balanced loss vanishes; sparse rows, one without label and a constant column included."""
+    sparse = [(10_000, 1, Vectors.sparse(2, [0], [0.3])), (10_001, None, Vectors.dense([9.0, 9.0]))]
+    df = binary.union(spark.createDataFrame(sparse, binary.schema))
+    model = cl.logistic(C=0.5, solver="newton").fit(df)
+    rows = [(r["label"], r["features"].toArray()) for r in df.collect() if r["label"] is not None]
+    y, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    w = len(y) / (2 * np.bincount(y))[y]
+    p = 1 / (1 + np.exp(-(x @ model.coefficients + model.intercept)))
+    assert np.abs(x.T @ (w * (p - y)) + model.coefficients / 0.5).max() < 1e-6 and abs((w * (p - y)).sum()) < 1e-6
+    with pytest.raises(ValueError):
+        cl.logistic(penalty="l1", solver="newton")
+
+
 def test_unknown_name():
     with pytest.raises(ValueError):
         cl.named("nonsense")

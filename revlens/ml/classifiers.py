@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -10,15 +12,21 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, functions as F
 
 from revlens.functions.ordering import KEY_BITS, order_key
 from revlens.ml.boosting import SoftmaxBoosting
 from revlens.ml.newton import NewtonLogistic, margin
 from revlens.ml.vectorize import UNLIMITED_DEPTH as MAX_DEPTH, _param
 from revlens.operators.labels import class_counts, weight_expression
+from revlens.session import drop_staged, pieces, staged
+
+BUCKET_BYTES = 32 << 20
+GROUPS = 64  # partial sums that reach the driver
 
 
 class Classifier(Estimator, HasLabelCol):
@@ -119,60 +127,70 @@ def linear_svm(C: float = 1.0, balanced: bool = True, max_iter: int = 100, **col
 
 
 class Perceptron(Estimator, HasLabelCol, HasFeaturesCol, HasPredictionCol):
-    """Batch perceptron for labels 0/1: every epoch adds the weighted sum of the misplaced rows.
+    """Online perceptron for labels 0/1 by iterative parameter mixing.
 
-    Stops when no row is misplaced; keeps the weights of the epoch with the least weighted
-    mistakes. An epoch is one aggregation, summed in two steps so that no task merges the partial
-    sums of all partitions.
+    Rows are dealt to buckets by a hash of their id. In every epoch each bucket starts from the mixed weights, goes through
+    its rows one by one in a new seeded order and adds each row that lies on the wrong side, times its weight; the buckets'
+    results are averaged by their rows. It stops when an epoch has no mistake. A task holds one bucket, and the driver gets
+    `GROUPS` partial averages. One bucket is the plain perceptron.
     """
 
     maxIter = _param("maxIter", "epochs", TypeConverters.toInt)
     weightCol = _param("weightCol", "row weight", TypeConverters.toString)
-    groups = _param("groups", "partial sums per class", TypeConverters.toInt)
+    buckets = _param("buckets", "buckets that learn side by side; 0: by the size of the rows", TypeConverters.toInt)
+    idCol = _param("idCol", "row id, for the buckets and the order", TypeConverters.toString)
+    seed = _param("seed", "of the order", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, labelCol="label", featuresCol="features", predictionCol="prediction", maxIter=20,
-                 groups=64):
+    def __init__(self, *, labelCol="label", featuresCol="features", predictionCol="prediction", maxIter=20, buckets=0, idCol="id", seed=42):
         super().__init__()
-        self._setDefault(labelCol="label", featuresCol="features", predictionCol="prediction", maxIter=20,
-                         weightCol="", groups=64)
+        self._setDefault(labelCol="label", featuresCol="features", predictionCol="prediction", maxIter=20, weightCol="",
+                         buckets=0, idCol="id", seed=42)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> PerceptronModel:
-        import numpy as np
-        from pyspark.ml.stat import Summarizer
-
-        label, features = F.col(self.getLabelCol()), self.getFeaturesCol()
-        weight = F.col(self.getOrDefault("weightCol")) if self.getOrDefault("weightCol") else F.lit(1.0)
-        total = df.agg(F.sum(weight)).first()[0]
-        w, bias, best_mass, kept = None, 0.0, float("inf"), None
-        for _ in range(self.getOrDefault("maxIter")):
-            if w is None:
-                first = df.select(features).first()[0]
-                w = np.zeros(len(first))
-            wrong = (margin(features, w.tolist(), bias) > 0) != (label > 0)
-            mistakes = df.where(wrong).select(
-                label.alias("l"), weight.alias("w"), F.col(features).alias("x"),
-                F.pmod(F.spark_partition_id(), F.lit(self.getOrDefault("groups"))).alias("g"),
-            )
-            partial = mistakes.groupBy("l", "g").agg(
-                Summarizer.sum(F.col("x"), F.col("w")).alias("x"), F.sum("w").alias("m")
-            )
-            sums = partial.groupBy("l").agg(Summarizer.sum(F.col("x")).alias("x"), F.sum("m").alias("m")).collect()
-            mass = sum(r["m"] for r in sums)
-            if mass < best_mass:
-                best_mass, kept = mass, (w.copy(), bias)
-            if not sums:
+        get, label = self.getOrDefault, F.col(self.getLabelCol())
+        weight = F.col(get("weightCol")) if get("weightCol") else F.lit(1.0)
+        rows = staged(df.where(label.isNotNull()).select(
+            F.col(get("idCol")).alias("id"), F.when(label > 0, 1.0).otherwise(-1.0).alias("y"), weight.cast("double").alias("w"),
+            F.unwrap_udt(self.getFeaturesCol()).alias("x")).select("id", "y", "w", "x.size", "x.indices", "x.values"), "perceptron")
+        n, d = rows.agg(F.count("*"), F.max(F.coalesce("size", F.size("values")))).first()
+        if not n:
+            raise ValueError("no rows to fit")
+        buckets = get("buckets") or pieces(rows, BUCKET_BYTES, 1, 1 << 16)
+        dealt = rows.withColumn("bucket", F.pmod(order_key("id", self.seed_of(0)), F.lit(buckets)))
+        w = np.zeros(d + 1)
+        for epoch in range(1, get("maxIter") + 1):
+            w, mistakes = _mixed(dealt.withColumn("order", order_key("id", self.seed_of(epoch))), w, n)
+            if not mistakes:
                 break
-            for r in sums:
-                sign = 1.0 if r["l"] > 0 else -1.0
-                w = w + sign * r["x"].toArray() / total
-                bias += sign * r["m"] / total
-        return self._copyValues(PerceptronModel(kept[0].tolist(), kept[1]))
+        drop_staged(rows)
+        return self._copyValues(PerceptronModel(w[:-1].tolist(), float(w[-1])))
+
+    def seed_of(self, epoch: int) -> int:
+        return self.getOrDefault("seed") + epoch
+
+
+def _mixed(rows: DataFrame, start: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+    """The average of what the buckets learn in one epoch, and the number of their mistakes."""
+
+    def learn(part: pd.DataFrame) -> pd.DataFrame:
+        part, w, mistakes = part.sort_values("order"), start.copy(), 0
+        for y, weight, at, values in zip(part["y"], part["w"], part["indices"], part["values"]):
+            at = slice(0, -1) if at is None else at
+            if y * (w[at] @ values + w[-1]) <= 0:
+                mistakes += 1
+                w[at] += weight * y * values
+                w[-1] += weight * y
+        return pd.DataFrame({"sums": [np.r_[w * (len(part) / n), mistakes]], "g": [part["bucket"].iloc[0] % GROUPS]})
+
+    parts = rows.groupBy("bucket").applyInPandas(learn, "sums array<double>, g bigint").withColumn("sums", array_to_vector("sums"))
+    found = sum(r["s"].toArray() for r in parts.groupBy("g").agg(Summarizer.sum(F.col("sums")).alias("s")).collect())
+    return found[:-1], int(found[-1])
 
 
 class PerceptronModel(Model, HasLabelCol, HasFeaturesCol, HasPredictionCol):
-    maxIter, weightCol, groups = Perceptron.maxIter, Perceptron.weightCol, Perceptron.groups
+    maxIter, weightCol, buckets, idCol, seed = Perceptron.maxIter, Perceptron.weightCol, Perceptron.buckets, Perceptron.idCol, Perceptron.seed
 
     def __init__(self, weights=None, bias=0.0):
         super().__init__()

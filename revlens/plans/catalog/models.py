@@ -280,6 +280,38 @@ def linear_svm(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.linear_svm(max_iter=30)))
 
 
+EPOCHS, BUCKETS = 3, 8
+
+
+def sql_epoch(k: int) -> str:
+    """Epoch k: every bucket goes through its rows in order from the mixed weights of the last epoch."""
+    return f"""
+    p{k} AS (
+        SELECT n, list_reduce(list_prepend({{'x': x, 'v': v, 'c': c, 'y': 0.0::DOUBLE, 'w': 0.0::DOUBLE}}, rows), lambda s, r:
+            CASE WHEN r.y * (s.x * r.x + s.v * r.v + s.c) <= 0
+            THEN {{'x': s.x + r.w * r.y * r.x, 'v': s.v + r.w * r.y * r.v, 'c': s.c + r.w * r.y, 'y': 0.0::DOUBLE, 'w': 0.0::DOUBLE}} ELSE s END) AS s
+        FROM (SELECT count(*) AS n, list({{'x': a, 'v': b, 'c': 0.0::DOUBLE, 'y': 2.0 * label - 1, 'w': w}}
+                     ORDER BY substr(md5('{42 + k}:' || id), 1, 15)) AS rows
+              FROM t GROUP BY ('0x' || substr(md5('42:' || id), 1, 15))::BIGINT % {BUCKETS}) AS g, m{k - 1}),
+    m{k} AS (SELECT sum(n * s.x) / sum(n) AS x, sum(n * s.v) / sum(n) AS v, sum(n * s.c) / sum(n) AS c FROM p{k})"""
+
+
+@query("perceptron_online", f"""WITH
+    e AS (SELECT event_id AS id, (value >= 50)::INT AS label, (value + event_id % 41) / 100 AS a, (event_id % 13) / 13 AS b FROM events),
+    f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold FROM e),
+    t AS (SELECT *, count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY label)) AS w FROM f WHERE fold <> 0),
+    m0 AS (SELECT 0.0::DOUBLE AS x, 0.0::DOUBLE AS v, 0.0::DOUBLE AS c), {", ".join(map(sql_epoch, range(1, EPOCHS + 1)))}
+    SELECT id, label, (x * a + v * b + c > 0)::INT AS prediction, round(x, 6) AS x, round(v, 6) AS v, round(c, 6) AS c
+    FROM f, m{EPOCHS} WHERE fold = 0""")
+def perceptron_online(spark, folder):
+    """Held-out answers and weights after a few epochs of mixed online learning."""
+    rows = two_features(spark, folder)
+    model = cl.perceptron(max_iter=EPOCHS, buckets=BUCKETS).fit(rows.where("fold <> 0"))
+    out = model.transform(rows.where("fold = 0"))
+    return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"), *[
+        F.round(F.lit(float(value)), 6).alias(name) for name, value in zip("xvc", (*model.weights, model.bias))])
+
+
 @query("perceptron", sql_answers())
 def perceptron(spark, folder):
     return answers(held_out(text_vectors(spark, folder), cl.perceptron(max_iter=8)))

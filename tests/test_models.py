@@ -263,3 +263,26 @@ def test_penalty_and_ngram_range_are_named_settings():
     steps = {"lr": cl.logistic(), "text": Tfidf(), "gb": cl.gradient_boosting()}
     found = param_map(steps, {"lr__penalty": "l1", "text__ngram_range": (1, 3), "gb__validation_fraction": 0.1})
     assert sorted(found.values()) == [0.1, 1.0, 3]
+
+
+def test_one_bucket_is_the_plain_perceptron(spark):
+    """Row after row in the seeded order, weights times class weights; it stops in an epoch without mistakes."""
+    import hashlib
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((80, 3))
+    y = (x @ [1.0, -2.0, 0.5] > 0.3).astype(int)
+    data = [(i, int(y[i]), Vectors.dense(x[i]) if i % 2 else Vectors.sparse(3, range(3), x[i])) for i in range(80)]
+    df = spark.createDataFrame(data, ["id", "label", "features"]).repartition(5)
+    model = cl.perceptron(max_iter=60, buckets=1).fit(df)
+    w, c, weight = np.zeros(3), 0.0, 80 / (2 * np.bincount(y))
+    for epoch in range(1, 61):
+        wrong = 0
+        for i in sorted(range(80), key=lambda i: hashlib.md5(f"{42 + epoch}:{i}".encode()).hexdigest()[:15]):
+            sign = 2 * y[i] - 1
+            if sign * (x[i] @ w + c) <= 0:
+                w, c, wrong = w + weight[y[i]] * sign * x[i], c + weight[y[i]] * sign, wrong + 1
+        if not wrong:
+            break
+    assert epoch < 60 and np.allclose(model.weights, w) and model.bias == pytest.approx(c)
+    assert model.transform(df).where("label <> prediction").count() == 0

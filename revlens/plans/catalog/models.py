@@ -513,7 +513,30 @@ def permutation_importance(spark, folder):
     return ev.permutation_importance(model, rows.where("fold = 0"), "id", ["value", "hour"], ev.MacroF1Evaluator(), repeats=2)
 
 
-@query("kmeans_clusters")
+def sql_centers(k: int) -> str:
+    """c1, c2, ...: the lists of centers after each draw by squared distance."""
+    key = "('0x' || substr(md5('{}:' || vec_id), 1, 15))::BIGINT"
+    first = f"c1 AS (SELECT [arg_min(x, {key.format(42)})] AS c FROM x)"
+    rest = (f"""c{j} AS (SELECT list_append(any_value(c), arg_min(x, -ln(({key.format(41 + j)} + 0.5) / 1152921504606846976.0) / far)) AS c
+        FROM (SELECT x.*, c, power(list_min(list_transform(c, lambda m: list_distance(x, m))), 2) AS far FROM x, c{j - 1}) AS d WHERE far > 0)"""
+            for j in range(2, k + 1))
+    return ", ".join((first, *rest))
+
+
+@query("kmeans_clusters", f"""WITH RECURSIVE x AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings), {sql_centers(10)},
+    steps AS (
+        SELECT 0 AS step, c FROM c10
+        UNION ALL
+        SELECT step + 1, list(center ORDER BY cluster) FROM (
+            SELECT step, cluster, list(m ORDER BY dim) AS center FROM (
+                SELECT step, cluster, dim, avg(v) AS m FROM (
+                    SELECT step, cluster, unnest(x) AS v, generate_subscripts(x, 1) AS dim FROM (
+                        SELECT step, x, list_position(far, list_min(far)) AS cluster FROM (
+                            SELECT step, x, list_transform(c, lambda m: list_distance(x, m)) AS far FROM steps, x WHERE step < 20) AS a) AS b) AS e
+                GROUP BY step, cluster, dim) AS f GROUP BY step, cluster) AS g GROUP BY step)
+    SELECT cluster, label, count(*) AS rows FROM (
+        SELECT label, (list_position(far, list_min(far)) - 1)::INT AS cluster FROM (
+            SELECT label, list_transform(c, lambda m: list_distance(x, m)) AS far FROM steps, x WHERE step = 20) AS a) AS b GROUP BY ALL""")
 def kmeans_clusters(spark, folder):
     """Cluster sizes against the known labels."""
     rows = staged(
@@ -522,7 +545,7 @@ def kmeans_clusters(spark, folder):
         ),
         "embeddings",
     )
-    clustered = clustering.kmeans(rows, 10).transform(rows)
+    clustered = clustering.kmeans(rows, 10, row_id="vec_id").transform(rows)
     return clustered.groupBy("cluster", "label").agg(F.count("*").alias("rows"))
 
 

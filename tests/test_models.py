@@ -286,3 +286,20 @@ def test_one_bucket_is_the_plain_perceptron(spark):
             break
     assert epoch < 60 and np.allclose(model.weights, w) and model.bias == pytest.approx(c)
     assert model.transform(df).where("label <> prediction").count() == 0
+
+
+def test_kmeans_is_the_same_on_any_partitioning(spark):
+    from revlens.ml import clustering
+
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.standard_normal((40, 3)) + c for c in ((0, 0, 9), (9, 0, 0), (0, 9, 0))])
+    data = [(i, Vectors.dense(v) if i % 2 else Vectors.sparse(3, range(3), v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, ["id", "features"])
+    a, b = (clustering.kmeans(df.repartition(n), 3) for n in (1, 7))
+    assert np.allclose(a.centers, b.centers)
+    got = {r["id"]: r["cluster"] for r in a.transform(df).collect()}
+    assert all(len({got[i] for i in range(g * 40, g * 40 + 40)}) == 1 for g in range(3)) and set(got.values()) == {0, 1, 2}
+    for c in range(3):
+        assert np.allclose(a.centers[c], x[[i for i in got if got[i] == c]].mean(0))
+    same = spark.createDataFrame([(i, Vectors.dense([1.0 * (i % 2)])) for i in range(10)], ["id", "features"])
+    assert len(clustering.kmeans(same, 5).centers) == 2

@@ -30,12 +30,12 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     return pairs.join(counts, on=["label", "prediction"], how="left").na.fill(0, ["rows"])
 
 
-def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(class, tp, fp, fn, precision, recall, f1, support); what is undefined is 0.
+def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction", by: tuple[str, ...] = ()) -> DataFrame:
+    """(class, tp, fp, fn, precision, recall, f1, support); what is undefined is 0. With `by`, for each group of rows.
 
     Rows without label or prediction belong to no class and are left out, as in `confusion_matrix`.
     """
-    counts = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(*by, F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count("*").alias("n"))
     zero = F.lit(0).cast("bigint")
     right = F.col("l") == F.col("p")
 
@@ -44,8 +44,8 @@ def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction
 
     hit = F.when(right, F.col("n")).otherwise(zero)
     miss = F.when(right, zero).otherwise(F.col("n"))
-    parts = counts.select(F.inline(F.array(share("l", hit, zero, miss), share("p", zero, miss, zero))))
-    sums = parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    parts = counts.select(*by, F.inline(F.array(share("l", hit, zero, miss), share("p", zero, miss, zero))))
+    sums = parts.groupBy(*by, "class").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
 
     def ratio(top: Column, bottom: Column) -> Column:
         return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)

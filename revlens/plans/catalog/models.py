@@ -7,7 +7,7 @@ every answer is a class, its score in range and on the answer's side, and that t
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -501,6 +501,34 @@ def shuffled_column(spark, folder):
     return moved.groupBy("value").agg(F.count("*").alias("rows")).withColumns({"ids_kept": F.lit(same), "moved": F.lit(stayed < 0.5)})
 
 
+REPEATS = 3
+SQL_COPIES = "(0, 0, ''), " + ", ".join(f"({1 + i * REPEATS + r}, {42 + 31 * i + r}, '{c}')" for i, c in enumerate("ab") for r in range(REPEATS))
+
+
+@query("permutation_importance_linear", f"""WITH e AS (
+        SELECT event_id AS id, (value >= 50)::INT AS label, (value + event_id % 41) / 100 AS a, (event_id % 13) / 13 AS b FROM events),
+    copies AS (SELECT * FROM (VALUES {SQL_COPIES}) AS v(copy, seed, col)),
+    k AS (SELECT *, substr(md5(seed || ':' || id), 1, 15) AS key FROM e, copies),
+    m AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN last_value(a) OVER whole ELSE lag(a) OVER w END AS ma,
+                 CASE WHEN row_number() OVER w = 1 THEN last_value(b) OVER whole ELSE lag(b) OVER w END AS mb FROM k
+          WINDOW w AS (PARTITION BY copy ORDER BY key, id),
+                 whole AS (PARTITION BY copy ORDER BY key, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    p AS (SELECT copy, label, (2 * (CASE WHEN col = 'a' THEN ma ELSE a END) + 0.4 * (CASE WHEN col = 'b' THEN mb ELSE b END) >= 1.6)::INT AS prediction FROM m),
+    classes AS (SELECT copy, class, sum((label = class AND prediction = class)::INT) AS tp, sum((label <> class AND prediction = class)::INT) AS fp,
+                       sum((label = class AND prediction <> class)::INT) AS fn FROM p, (VALUES (0), (1)) AS c(class) GROUP BY copy, class),
+    f AS (SELECT copy, avg(2 * tp / (2 * tp + fp + fn)) AS score FROM classes GROUP BY copy),
+    lost AS (SELECT col, (SELECT score FROM f WHERE copy = 0) - score AS lost FROM f JOIN copies USING (copy) WHERE copy > 0)
+    SELECT col AS feature, round(avg(lost), 6) AS importance_mean, round(stddev_pop(lost), 6) AS importance_std FROM lost GROUP BY col""")
+def permutation_importance_linear(spark, folder):
+    """A fixed linear score: what macro-F1 loses when a column is shuffled by hash, all copies in one pass."""
+    rows = event_reviews(spark, folder).select(
+        "id", (F.col("value") >= 50).cast("int").alias("label"), ((F.col("value") + F.col("id") % 41) / 100).alias("a"),
+        (F.col("id") % 13 / 13).alias("b"))
+    score = SQLTransformer(statement="SELECT *, CAST(2 * a + 0.4D * b >= 1.6D AS INT) AS prediction FROM __THIS__")
+    out = ev.permutation_importance(score, rows, "id", ["a", "b"], ev.MacroF1Evaluator(), repeats=REPEATS)
+    return out.withColumns({c: F.round(c, 6) for c in ("importance_mean", "importance_std")})
+
+
 @query("permutation_importance")
 def permutation_importance(spark, folder):
     rows = staged(

@@ -303,3 +303,18 @@ def test_kmeans_is_the_same_on_any_partitioning(spark):
         assert np.allclose(a.centers[c], x[[i for i in got if got[i] == c]].mean(0))
     same = spark.createDataFrame([(i, Vectors.dense([1.0 * (i % 2)])) for i in range(10)], ["id", "features"])
     assert len(clustering.kmeans(same, 5).centers) == 2
+
+
+def test_importance_by_any_evaluator(spark):
+    """One pass over all copies gives what shuffling and evaluating one by one gives."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import SQLTransformer
+
+    df = spark.createDataFrame([(i, float(i % 10), float(i % 7), 3.0 * (i % 10)) for i in range(200)], "id bigint, a double, b double, label double")
+    model = SQLTransformer(statement="SELECT *, 3 * a + 0.1D * b AS prediction FROM __THIS__")
+    evaluator = RegressionEvaluator(metricName="rmse")
+    got = {r["feature"]: r for r in ev.permutation_importance(model, df, "id", ["a", "b"], evaluator, repeats=2, seed=5).collect()}
+    base = evaluator.evaluate(model.transform(df))
+    for i, c in enumerate("ab"):
+        lost = [base - evaluator.evaluate(model.transform(ev.shuffled(df, "id", c, 5 + 31 * i + r))) for r in range(2)]
+        assert got[c]["importance_mean"] == pytest.approx(np.mean(lost)) and got[c]["importance_std"] == pytest.approx(np.std(lost))

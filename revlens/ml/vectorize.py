@@ -21,7 +21,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from revlens.functions import text as tx
 from revlens.operators.frequency import skew_join
@@ -205,11 +205,7 @@ class TfidfTableModel(Model, TfidfParams):
         entry = F.struct("index", "weight", "term")
         rows = self.weighted(counts, row).groupBy(row).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
-        def total(of) -> Column:
-            return F.aggregate("entries", F.lit(0.0), lambda s, e: s + of(e["weight"]))
-
-        norm = {"l1": total(F.abs), "l2": F.sqrt(total(lambda w: w * w)), "none": F.lit(1.0)}[self.getOrDefault("norm")]
-        return rows.withColumn("_norm", norm).select(row, F.transform("entries", lambda e: F.struct(
+        return rows.withColumn("_norm", norm_of("entries", self.getOrDefault("norm"))).select(row, F.transform("entries", lambda e: F.struct(
             e["index"].alias("index"), (e["weight"] / F.col("_norm")).alias("weight"), e["term"].alias("term"))).alias("entries"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -259,13 +255,20 @@ def tfidf_table(df: DataFrame, row_id: str, settings: Tfidf, broadcast_rows: int
         weight = 1 + F.log(weight)
     if get("useIdf"):
         weight = weight * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)
-    out = out.withColumn("weight", weight)
-    row = W.partitionBy(row_id)
-    if get("norm") == "l2":
-        out = out.withColumn("weight", F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(row)))
-    elif get("norm") == "l1":
-        out = out.withColumn("weight", F.col("weight") / F.sum(F.abs("weight")).over(row))
-    return out.select(row_id, "term", "weight")
+    out = out.select(row_id, "term", weight.alias("weight"))
+    if get("norm") == "none":
+        return out
+    # Put together by row, which needs no sort, normed in the row and exploded again.
+    rows = out.groupBy(row_id).agg(F.collect_list(F.struct("term", "weight")).alias("entries")).withColumn("_norm", norm_of("entries", get("norm")))
+    return rows.select(row_id, F.explode("entries").alias("e"), "_norm").select(row_id, "e.term", (F.col("e.weight") / F.col("_norm")).alias("weight"))
+
+
+def norm_of(entries_: str, norm: str) -> Column:
+    """The norm of a row's entries, an array of structs with a weight."""
+    def total(of) -> Column:
+        return F.aggregate(entries_, F.lit(0.0), lambda s, e: s + of(e["weight"]))
+
+    return {"l1": total(F.abs), "l2": F.sqrt(total(lambda w: w * w)), "none": F.lit(1.0)}[norm]
 
 
 def hashed_counts(df: DataFrame, text: str, features: int = 1 << 18, out: str = "hashed", min_length: int = 2) -> DataFrame:

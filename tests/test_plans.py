@@ -73,3 +73,8 @@ def test_fits_open_only_the_files_of_their_folds(spark):
             text = plan(folded.where(condition).select("features"))
             assert re.search(rf"PartitionFilters: \[[^\]]*{fold}", text) and "Filter (" not in text
         assert folded.where(f"{fold} = 1").count() == 20 and folded.columns[-1] == fold
+
+
+def test_norms_are_taken_in_the_row(spark, folder):
+    text = plan(entry.queries()["tfidf_all_terms"](spark, folder))
+    assert "Window" not in text and "collect_list" in text

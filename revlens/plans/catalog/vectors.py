@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from revlens.functions import text as tx
 from revlens.ml import vectorize as vec
 from revlens.plans.catalog import query
+from revlens.plans.catalog.features import sql_stats
 from revlens.session import spread, staged
 from revlens.sources.standin import document_reviews, event_reviews, labelled_reviews, table
 
@@ -168,9 +169,25 @@ def hashed_counts(spark, folder):
     return vec.hashed_counts(docs(spark, folder), "reviewText").select("id", total.cast("bigint").alias("terms"))
 
 
-@query("tfidf_without_stop_words")
+# Spark's English stop words, for SQL; the query takes them from Spark.
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is are
+    was were be been being have has had having do does did doing a an the and but if or because as until while of
+    at by for with about against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each few more most other
+    some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+    we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+    they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+    mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+""".split()
+SQL_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+
+
+@query("tfidf_without_stop_words", sql_tfidf(DOCS, "text", 1, 3, 1.0, 300, "tf", True, "l2").replace(
+    "FROM grams GROUP BY ALL", f"FROM grams WHERE term NOT IN ({SQL_STOP}) GROUP BY ALL"))
 def tfidf_without_stop_words(spark, folder):
-    """Spark's own English stop words, a list that only a session can name: no SQL twin."""
     rows = docs(spark, folder)
     return long(rows, vec.Tfidf(minDF=3.0, maxFeatures=300, stopWords="english").fit(rows))
 
@@ -274,7 +291,19 @@ def svd_features(spark, folder):
     return scores.select("id", F.transform(vector_to_array("svd"), lambda v: F.round(v, 6)).alias("scores"))
 
 
-@query("assembled_features")
+SQL_LABELLED = "(SELECT doc_id AS id, text, source || ' ' || lang AS summary, lang FROM documents JOIN labels USING (doc_id))"
+
+
+@query("assembled_features", f"""WITH {sql_terms(SQL_LABELLED, 'text', 1)},
+    kept AS (SELECT term FROM grams GROUP BY term HAVING count(DISTINCT id) >= 2 ORDER BY count(*) DESC, term LIMIT 500),
+    with_text AS (SELECT DISTINCT id FROM grams JOIN kept USING (term)),
+    words AS (SELECT id, unnest(regexp_extract_all(lower(summary), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM {SQL_LABELLED}),
+    numbers AS (SELECT id, lang, coalesce(review_length, 0) AS a, coalesce(num_words, 0) AS b FROM (SELECT id, lang, {sql_stats('text')} FROM {SQL_LABELLED})),
+    scaled AS (SELECT *, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS za, (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS zb FROM numbers)
+    SELECT id, ((SELECT count(*) FROM kept) + (SELECT count(DISTINCT term) FROM words) + 2
+                + (SELECT count(DISTINCT coalesce(lang, 'missing')) FROM numbers))::INT AS dimensions,
+        round(sqrt(1 + za * za + zb * zb + (id IN (SELECT id FROM with_text))::INT + (id IN (SELECT id FROM words))::INT), 6) AS norm
+    FROM scaled""")
 def assembled_features(spark, folder):
     """Text, summary, numeric and category branches in one vector, dimensions and norm per row."""
     rows = tx.text_stats(labelled_reviews(spark, folder))

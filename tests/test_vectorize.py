@@ -165,3 +165,11 @@ def test_a_dictionary_table_gives_the_same_vectors(spark, settings):
     assert a.keys() == b.keys() and len(a) == 18
     for i, v in a.items():
         assert b[i].size == v.size and np.allclose(b[i].toArray(), v.toArray(), atol=1e-12)
+
+
+def test_stop_words_of_the_sql_are_spark_s(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from revlens.plans.catalog.vectors import STOP_WORDS
+
+    assert sorted(STOP_WORDS) == sorted(StopWordsRemover.loadDefaultStopWords("english"))

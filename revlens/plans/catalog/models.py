@@ -448,6 +448,66 @@ def random_search(spark, folder):
     return trials(_search(spark, folder, cl.random_forest(max_depth=5)).random(FOREST, DRAWS))
 
 
+# The same grid where SQL can follow every fit: Newton's steps for each setting and fold.
+C_GRID = {"clf__C": [0.01, 1.0, 100.0]}
+SQL_GRID = f"""
+    e AS (SELECT event_id AS id, (value >= 50)::INT AS label, (value + event_id % 41) / 100 AS a, (event_id % 13) / 13 AS b FROM events),
+    f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY substr(md5('42:' || id), 1, 15), id) - 1) % 3 AS fold FROM e),
+    g AS (SELECT * FROM (VALUES {", ".join(f"({i}, {c})" for i, c in enumerate(C_GRID["clf__C"]))}) AS v(trial, strength)),
+    t AS (SELECT i, f.*, count(*) OVER (PARTITION BY i) / (2.0 * count(*) OVER (PARTITION BY i, label)) AS w
+          FROM f, (SELECT unnest([0, 1, 2, 9]) AS i) AS r WHERE fold <> i),
+    steps AS (
+        SELECT trial, strength::DOUBLE AS strength, i, 0 AS step, 0.0::DOUBLE AS c, 0.0::DOUBLE AS x, 0.0::DOUBLE AS y FROM g, (SELECT unnest([0, 1, 2, 9]) AS i) AS r
+        UNION ALL
+        SELECT trial, strength, i, step + 1, c - {sql_step(0)}, x - {sql_step(1)}, y - {sql_step(2)} FROM (
+            SELECT trial, strength, i, step, c, x, y, sum(w * (p - label)) AS g0, sum(w * (p - label) * a) + x / strength AS g1,
+                sum(w * (p - label) * b) + y / strength AS g2, sum(w * v) AS h00, sum(w * v * a) AS h01, sum(w * v * b) AS h02,
+                sum(w * v * a * a) + 1 / strength AS h11, sum(w * v * a * b) AS h12, sum(w * v * b * b) + 1 / strength AS h22
+            FROM (SELECT *, p * (1 - p) AS v FROM (
+                SELECT steps.*, t.* EXCLUDE (i), 1 / (1 + exp(-(c + x * a + y * b))) AS p FROM steps JOIN t ON t.i = steps.i WHERE step < 14) AS s) AS q
+            GROUP BY trial, strength, i, step, c, x, y) AS r),
+    fits AS (SELECT * FROM steps WHERE step = 14),
+    told AS (SELECT trial, i, label, (c + x * a + y * b > 0)::INT AS prediction FROM fits JOIN f ON fold = i),
+    classes AS (SELECT trial, i, class, sum((label = class AND prediction = class)::INT) AS tp, sum((label <> class AND prediction = class)::INT) AS fp,
+                       sum((label = class AND prediction <> class)::INT) AS fn FROM told, (VALUES (0), (1)) AS k(class) GROUP BY trial, i, class),
+    f1 AS (SELECT trial, i, avg(2 * tp / (2 * tp + fp + fn)) AS f1 FROM classes GROUP BY trial, i),
+    trials AS (SELECT trial, list(f1 ORDER BY i) AS fold_scores, avg(f1) AS score FROM f1 GROUP BY trial),
+    best AS (SELECT trial FROM trials ORDER BY round(score, 12) DESC, trial LIMIT 1)"""
+
+
+def followed_search(spark, folder):
+    model = cl.logistic(solver="newton")
+    return search.Search(model, {"clf": model}, two_features(spark, folder), 3, parallelism=3).grid(C_GRID)
+
+
+@query("grid_scores", f"""WITH RECURSIVE {SQL_GRID}
+    SELECT trial::INT AS trial, list_transform(fold_scores, lambda v: round(v, 6)) AS fold_scores, round(score, 6) AS score,
+        trial = (SELECT trial FROM best) AS best FROM trials""")
+def grid_scores(spark, folder):
+    """Macro-F1 of each setting on each fold, their mean, and which setting is taken."""
+    found = followed_search(spark, folder)
+    return found.table().select(
+        "trial", F.transform("fold_scores", lambda v: F.round(v, 6)).alias("fold_scores"), F.round("score", 6).alias("score"),
+        (F.col("trial") == found.best.number).alias("best"))
+
+
+@query("cross_validated_scores", f"""WITH RECURSIVE {SQL_GRID}
+    SELECT id, label, (c + x * a + y * b > 0)::INT AS prediction, round(1 / (1 + exp(-(c + x * a + y * b))), 6) AS score
+    FROM fits JOIN f ON fold = i WHERE trial = 1""")
+def cross_validated_scores(spark, folder):
+    """Every row scored by the model that did not see its fold."""
+    out = search.cross_val_predict(cl.logistic(C=1.0, solver="newton"), two_features(spark, folder), 3, parallelism=3)
+    return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"), F.round(vector_to_array("probability")[1], 6).alias("score"))
+
+
+@query("refit_scores", f"""WITH RECURSIVE {SQL_GRID}
+    SELECT id, label, round(1 / (1 + exp(-(c + x * a + y * b))), 6) AS score FROM f, fits WHERE i = 9 AND trial = (SELECT trial FROM best)""")
+def refit_scores(spark, folder):
+    """The best setting fitted on all rows."""
+    found = followed_search(spark, folder)
+    return found.refit().transform(found.rows).select("id", "label", F.round(vector_to_array("probability")[1], 6).alias("score"))
+
+
 @query("narrowed_search", f"SELECT i::INT AS trial, 3 AS folds, true AS inside FROM range({2 * DRAWS}) AS r(i)")
 def narrowed_search(spark, folder):
     """A second search in ranges shrunk around the best of the first; every draw lies inside its range."""

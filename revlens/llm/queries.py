@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.llm import chat, decontaminate, fingerprints, language_id, license_scan, line_dedup, lm_score, merkle, mixing, quality, simhash, url_filter, whitening
 from revlens.llm.text import LOWER, UPPER
+from revlens.session import staged
 
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -143,6 +144,7 @@ def list_changes(pages: DataFrame) -> DataFrame:
     domains = hosts.select(F.substring_index("key", ".", -2).alias("key")).distinct()
     named = hosts.withColumn("kind", F.lit("host")).union(domains.withColumn("kind", F.lit("domain")))
     named = named.union(hosts.select(F.concat("key", F.lit("/en/")).alias("key"), F.lit("folder")))
+    named = staged(named, "hosts")  # seven kinds of changes read it
     v = F.conv(F.substring(F.md5("key"), 1, 7), 16, 10).cast("bigint")
     add = F.lit(START) + v % 200 * DAY
 

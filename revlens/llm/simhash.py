@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -73,7 +74,19 @@ def groups_of_segments(segment: int, n_groups: int) -> list[int]:
     return [sum(((1 << segment) - 1) << int(s) for s in group) for group in starts]
 
 
-def links(unique: DataFrame, max_distance: int = 4, segment: int = 2, shared: int = 3) -> DataFrame:
+def shared_groups(n: int, max_distance: int, segment: int = 2) -> int:
+    """How many equal groups a cell asks for: that with the least rows and expected candidates for each of `n` random points.
+
+    More groups make more cells of finer grain. Any number finds the same pairs, so this changes the work only.
+    """
+    same = sum(comb(segment, c) ** 2 for c in range(segment + 1)) / 4 ** segment  # two segments with equal counts
+    def work(shared: int) -> float:
+        cells, equal = comb(max_distance + shared, shared), BITS // segment * shared / (max_distance + shared)
+        return cells * (1 + n * same ** equal)
+    return min(range(3, 9), key=work)
+
+
+def links(unique: DataFrame, max_distance: int = 4, segment: int = 2, shared: int | None = None) -> DataFrame:
     """(a, b) with a < b of `unique` (fp) for all pairs of fingerprints at most `max_distance` bits apart.
 
     Fingerprints become points: the bit counts of their segments. The Manhattan distance of two
@@ -82,8 +95,10 @@ def links(unique: DataFrame, max_distance: int = 4, segment: int = 2, shared: in
     equal, so joining the grid's cells of every choice of `shared` groups meets every near
     pair. A pair is taken only in the cell of its first equal groups, so once, and goes on if its
     Manhattan distance and then its real distance hold. The join is by (choice, cell); cells of
-    random fingerprints hold few rows (a cell is 19 bits or more at the default).
+    random fingerprints hold few rows, because `shared` follows the number of points if it isn't given.
     """
+    if shared is None:
+        shared = shared_groups(unique.count(), max_distance, segment)
     masks = groups_of_segments(segment, max_distance + shared)
     choices = [sum(1 << g for g in c) for c in combinations(range(len(masks)), shared)]
     cell_mask = {c: _signed(sum(m for g, m in enumerate(masks) if c >> g & 1)) for c in choices}

@@ -40,6 +40,19 @@ def test_near_dedup_matches_brute_force(spark):
     assert kept == {find(i) for i in root} and 60 < len(kept) < len(rows) - 40
 
 
+def test_more_shared_groups_find_the_same_links(spark):
+    rng = random.Random(8)
+    points = [rng.getrandbits(64) for _ in range(60)]
+    points += [p ^ sum(1 << b for b in rng.sample(range(64), k)) for p in points for k in (1, 3, 4, 5)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in dict.fromkeys(points)]
+    wanted = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    unique = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    for shared in (None, 3, 5, 6):
+        assert {tuple(r) for r in simhash.links(unique, 4, shared=shared).collect()} == wanted
+    sizes = [simhash.shared_groups(n, 4) for n in (1000, 300_000, 15_000_000, 10 ** 9)]
+    assert sizes == sorted(sizes) and sizes[0] == 3 and sizes[-1] > 5
+
+
 def plain_fingerprint(text):
     import xxhash
 

@@ -8,7 +8,8 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from revlens.llm.text import let, narrow
+from revlens.llm.text import cutoff, let, narrow
+from revlens.session import staged
 
 # Sentences of public licences and the lines that name them.
 TEMPLATES = {
@@ -83,6 +84,10 @@ NEAR_MISSES = [
     "Under the general agreement the public may use the work of the foundation.",
 ]
 UNKNOWN = "unknown"
+# A denial right before one of these verbs takes a licence back, unless a template says so itself.
+DENIALS = ("not", "never", "longer", "t")
+VERBS = ("licensed", "released", "available", "distributed", "covered", "offered", "published")
+LEAST_RUNS = 8  # three-word runs that a part of a template must share with a paragraph to confirm it
 
 
 def words_of(line: Column) -> Column:
@@ -104,6 +109,38 @@ def features(words: Column) -> Column:
     return let(words, lambda w: F.array_distinct(F.concat(grams(w, 1), grams(w, 2), grams(w, 3))))
 
 
+def paragraphs(text: Column) -> Column:
+    """The text's paragraphs: lines, with wrapped ones joined.
+
+    A line goes on in the next one unless either is blank or it ends like a sentence.
+    """
+    return F.split(F.regexp_replace(text, r"(?<![.!?:;\s])[ \t\r]*\n[ \t]*(?=\S)", " "), "\n", -1)
+
+
+def shared_runs(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(words, of, both, n, m): how many of a paragraph's `n` runs (threes) each template, of `m` runs, has too."""
+    ours = rows.select("words", F.size("threes").alias("n"), F.explode("threes").alias("gram"))
+    theirs = shapes.select(F.col("family").alias("of"), F.xxhash64("theirs").alias("template"), F.size("theirs").alias("m"),
+                           F.explode("theirs").alias("gram"))
+    return ours.join(F.broadcast(theirs), "gram").groupBy("words", "of", "template", "n", "m").agg(F.count("*").alias("both"))
+
+
+def template_shapes(lines: DataFrame) -> DataFrame:
+    """(family, theirs): the different three-word runs of each template."""
+    return lines.select("family", F.array_distinct(grams(F.col("words"), 3)).alias("theirs")).where(F.size("theirs") > 0)
+
+
+def confirming_share(both: Column, n: Column, m: Column) -> Column:
+    """How much of the template the paragraph has, or how much of the paragraph the template has, if that is `LEAST_RUNS` at least."""
+    return F.greatest(both / m, F.when(both >= LEAST_RUNS, both / n).otherwise(0.0))
+
+
+def denials(spark: SparkSession, lines: DataFrame) -> list[int]:
+    """Hashes of the two-word runs that deny a licence and that no template has."""
+    pairs = spark.createDataFrame([(d, v) for d in DENIALS for v in VERBS], "d string, v string").select(F.xxhash64("d", "v").alias("gram"))
+    return [r[0] for r in pairs.join(lines.select(F.explode(grams(F.col("words"), 2)).alias("gram")), "gram", "left_anti").collect()]
+
+
 def template_lines(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
     rows = [(family, i, text) for family, texts in templates.items() for i, text in enumerate(texts)]
     return spark.createDataFrame(rows, "family string, n int, text string").withColumn("words", words_of(F.col("text")))
@@ -198,30 +235,48 @@ def calibrated(logits: list, labels: list[int], unknown: int, false_alarms: floa
 
 def sample_negatives(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_docs: int = 200, max_lines: int = 1500,
                      templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """(words): at most `max_lines` lines of the `max_docs` documents with the smallest id hashes that share no three words with a template."""
+    """(words): at most `max_lines` paragraphs that are no licence, of the `max_docs` documents with the smallest id hashes each.
+
+    Half come from documents that share three words with a template: their paragraphs are the ones that a scan meets. One that has
+    a third of a template, or `LEAST_RUNS` runs of it, may be of a licence and is left out. Rows without text have none; an empty
+    table gives no rows.
+    """
     lines = template_lines(docs.sparkSession, templates or TEMPLATES)
     known = [r[0] for r in lines.select(F.explode(grams(F.col("words"), 3)).alias("g")).distinct().collect()]
-    key = F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit("")))
-    few = narrow(docs, doc=id_col, text=text_col).where("text is not null").orderBy(key, "doc").limit(max_docs)
-    rows = few.select(F.explode(F.split("text", "\n")).alias("line")).select(words_of(F.col("line")).alias("words"))
-    return rows.where(~F.exists(grams(F.col("words"), 3), lambda g: g.isin(known)) & (F.size("words") > 0)).limit(max_lines)
-
-
-def scan_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text",
+    rows = narrow(docs, doc=id_col, text=text_col).where("text is not null")
+    rows = rows.withColumn("key", F.xxhash64(F.coalesce(F.col("doc").cast("string"), F.lit(""))))
+    meets = F.exists(grams(words_of(F.col("text")), 3), lambda g: g.isin(known))
+    marked = staged(rows.select("key", meets.alias("meets")), "license-marks")
+    found = None
+    for side in (False, True):
+        last = cutoff(marked.where(F.col("meets") == side).select("key"), marked.where(F.col("meets") == side).count(), max_docs)
+        few = rows.where((F.col("key") <= F.lit(last)) & (meets == side)).orderBy("key", "doc").limit(max_docs)
+        part = few.select(F.explode(paragraphs(F.col("text"))).alias("line")).select(words_of(F.col("line")).alias("words")).where(F.size("words") > 0)
+        part = part.withColumn("threes", F.array_distinct(grams(F.col("words"), 3)))
+        own = F.exists("threes", lambda g: g.isin(known))
+        part = part.where(own if side else ~own).select("words", "threes").distinct().orderBy("words").limit(max_lines // 2)
+        found = part if found is None else found.union(part)
+    close = shared_runs(found, template_shapes(lines)).where((F.col("both") >= LEAST_RUNS) | (3 * F.col("both") >= F.col("m")))
+    return found.join(close.select("words").distinct(), "words", "left_anti").select("words")
+
+
+def scan_paragraphs(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text",
                templates: dict[str, list[str]] | None = None, overlap: float = 0.6) -> DataFrame:
-    """(doc, line_no, words, family, probability, template_family, overlap, confirmed) of each line that could be of a licence.
+    """(doc, paragraph, words, family, probability, template_family, overlap, confirmed) of each paragraph that could be of a licence.
 
-    A line shares three words in a row with a template or can't be confirmed, so only such lines
+    A paragraph shares three words in a row with a template or can't be confirmed, so only such paragraphs
     of such documents are scored; all else is unknown. The leading family stands if its calibrated probability is
-    at least the model's threshold, else the line is of the unknown class. The templates
-    confirm it if one of the same family holds `overlap` of the line's three-word runs, or the
-    line holds as much of the template.
+    at least the model's threshold, else the paragraph is of the unknown class. The templates
+    confirm it if one of the same family shares `overlap` of its own three-word runs with it, or has `overlap` of the paragraph's
+    and at least `LEAST_RUNS`, and if the paragraph doesn't deny a licence ("not licensed under ...").
+    Rows without text or id have no paragraphs; equal paragraphs are judged once and alike.
     """
-    known = [r[0] for r in model.trigrams.collect()]
+    lines_ = template_lines(docs.sparkSession, templates or TEMPLATES)
+    known, denied = [r[0] for r in model.trigrams.collect()], denials(docs.sparkSession, lines_)
     rows = narrow(docs, doc=id_col, text=text_col).where("text is not null and doc is not null")
     some = rows.where(F.exists(grams(words_of(F.col("text")), 3), lambda g: g.isin(known)))
-    lines = some.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).select(
-        "doc", "line_no", words_of(F.col("line")).alias("words"))
+    lines = some.select("doc", F.posexplode(paragraphs(F.col("text"))).alias("paragraph", "line")).select(
+        "doc", "paragraph", words_of(F.col("line")).alias("words"))
     lines = lines.withColumn("threes", F.array_distinct(grams(F.col("words"), 3))).where(
         F.exists("threes", lambda g: g.isin(known)))
     # Equal lines are scored once.
@@ -237,12 +292,8 @@ def scan_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", tex
     best = F.array_max(named)
     family = F.get(F.array(*[F.lit(f) for f in model.families]), F.array_position(named, best).cast("int") - 1)
     found = found.withColumns({"probability": best, "leading": family})
-    shapes = template_lines(docs.sparkSession, templates or TEMPLATES).select(
-        "family", F.array_distinct(grams(F.col("words"), 3)).alias("theirs")).where(F.size("theirs") > 0)
-    ours = found.select("words", F.size("threes").alias("n"), F.explode("threes").alias("gram"))
-    theirs = shapes.select(F.col("family").alias("of"), F.xxhash64("theirs").alias("template"), F.size("theirs").alias("m"), F.explode("theirs").alias("gram"))
-    common = ours.join(F.broadcast(theirs), "gram").groupBy("words", "of", "template", "n", "m").agg(F.count("*").alias("both"))
-    share = F.greatest(F.col("both") / F.col("n"), F.col("both") / F.col("m"))
+    common = shared_runs(found, template_shapes(lines_))
+    share = confirming_share(F.col("both"), F.col("n"), F.col("m"))
     closest = common.groupBy("words").agg(F.collect_set(F.struct(share.alias("share"), F.col("of").alias("of"))).alias("shares"))
     joined = found.join(closest, "words", "left")
     own = F.coalesce(F.array_max(F.transform(F.filter("shares", lambda s: s["of"] == F.col("leading")), lambda s: s["share"])), F.lit(0.0))
@@ -250,19 +301,20 @@ def scan_lines(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", tex
     judged = joined.select(
         "words", F.when(F.col("probability") >= model.threshold, F.col("leading")).otherwise(UNKNOWN).alias("family"), "probability",
         top["of"].alias("template_family"), own.alias("overlap"),
-        ((F.col("probability") >= model.threshold) & (own >= overlap)).alias("confirmed"))
-    return lines.select("doc", "line_no", "words").join(judged, "words")
+        ((F.col("probability") >= model.threshold) & (own >= overlap)
+         & ~F.exists(grams(F.col("words"), 2), lambda g: g.isin(denied))).alias("confirmed"))
+    return lines.select("doc", "paragraph", "words").join(judged, "words")
 
 
 def scan(docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text",
          templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """(doc, licenses, n_lines, n_unknown, probability), one row per id of `docs`.
+    """(doc, licenses, n_lines, n_unknown, probability), one row per id of `docs`, whatever other columns it has.
 
-    `licenses` are the confirmed families in order, `n_lines` their lines, `probability` the best
-    line's, `n_unknown` the lines that look like a template but were left unknown or not
-    confirmed. Null and empty texts have none, as have rows without id; rows that repeat an id are one document.
+    `licenses` are the confirmed families in order, `n_lines` their paragraphs, `probability` the best
+    one's, `n_unknown` the paragraphs that share words with a template but were left unknown or not
+    confirmed. An empty table gives no rows. Null and empty texts have none, as have rows without id; rows that repeat an id are one document.
     """
-    lines = scan_lines(docs, model, id_col, text_col, templates)
+    lines = scan_paragraphs(docs, model, id_col, text_col, templates)
     per = lines.groupBy("doc").agg(
         F.sort_array(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("licenses"),
         F.sum(F.col("confirmed").cast("bigint")).alias("n_lines"), F.sum((~F.col("confirmed")).cast("bigint")).alias("n_unknown"),

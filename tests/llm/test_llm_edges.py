@@ -454,6 +454,33 @@ def test_licences_are_named_and_confirmed(spark, edges, none):
     assert license_scan.scan(none, model).count() == 0
 
 
+def wrapped(text, width):
+    import textwrap
+
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_licences_of_wrapped_denied_and_partial_paragraphs(spark):
+    """Wrapped lines are one paragraph; a denial or a short run of a template's words is no licence."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = license_scan.fit(spark, license_scan.sample_negatives(docs, max_docs=40, max_lines=300))
+    mit, apache = license_scan.TEMPLATES["MIT"][3], license_scan.TEMPLATES["Apache-2.0"][2]
+    rows = [(1, f"Heading\n\n{wrapped(mit, 40)}\n\n{PROSE}", "a"), (2, "This project is not licensed under the MIT license.", "a"),
+            (3, "The museum is free of charge, to any person who asks", "a"), (4, wrapped(apache, 60) + "\r\n", "a"),
+            (5, "It isn't released under the MIT License.", "a"), (6, "SPDX-License-Identifier: MIT", "a"),
+            (7, "no longer available under the terms of the MIT license.", "a"), (8, wrapped(f"{PROSE} {PROSE} {mit} {PROSE}", 50), "a")]
+    judged = license_scan.scan_paragraphs(make(spark, rows), model).collect()
+    confirmed = {i: sorted(r["family"] for r in judged if r["doc"] == i and r["confirmed"]) for i in range(1, 9)}
+    assert confirmed == {1: ["MIT"], 2: [], 3: [], 4: ["Apache-2.0"], 5: [], 6: ["MIT"], 7: [], 8: ["MIT"]}
+    assert max(r["overlap"] for r in judged if r["doc"] == 1) > 0.95
+
+
+def test_paragraphs_join_wrapped_lines(spark):
+    text = "one two\nthree.\nfour \r\n  five\n\nsix:\nseven"
+    assert make(spark, [(1, text, "a")]).select(license_scan.paragraphs(F.col("text"))).first()[0] == [
+        "one two three.", "four five", "", "six:", "seven"]
+
+
 def test_sha_of_kept_text(spark):
     r = line_dedup.dedup_lines(make(spark, [(1, "a\nb", "a")])).first()
     assert hashlib.sha256(r["row"]["text"].encode()).hexdigest() == hashlib.sha256(b"a\nb").hexdigest()

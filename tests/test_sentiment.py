@@ -4,6 +4,7 @@ import pytest
 
 from revlens.functions import sentiment as se
 
+# Ten hand-labelled sentences and their labels.
 SENTENCES = [  # text, stateful (pos, neg, polarity), window form
     ("I love this product, it's amazing!", (2, 0, 2), (2, 0, 2)),
     ("This is bad. I hate it!", (0, 2, -2), (0, 2, -2)),

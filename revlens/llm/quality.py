@@ -153,8 +153,8 @@ class Scorer:
         def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             features = Features()
 
-            def one(text: str | None) -> tuple[int | None, float]:
-                raw = (text or "").encode("utf-8", "surrogatepass")
+            def one(text: bytes | None) -> tuple[int | None, float]:
+                raw = text or b""
                 words = raw.split()
                 if not words:
                     return None, 1.0
@@ -165,7 +165,7 @@ class Scorer:
             for texts in batches:
                 yield pd.DataFrame([one(t) for t in texts], columns=["answers", "score"]).astype({"answers": "Int32", "score": "float64"})
 
-        return judged(text)
+        return judged(text.cast("binary"))
 
 
 def answers(text: Column) -> Column:
@@ -173,14 +173,14 @@ def answers(text: Column) -> Column:
 
     @F.pandas_udf("int")
     def packed(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> int | None:
-            raw = (text or "").encode("utf-8", "surrogatepass")
+        def one(text: bytes | None) -> int | None:
+            raw = text or b""
             words = raw.split()
             return votes(measures(raw, words)) if words else None
 
         return pd.Series([one(t) for t in texts], dtype="Int32")
 
-    return packed(text)
+    return packed(text.cast("binary"))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 4000) -> Scorer:
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
     def examples(texts: pd.Series) -> pd.DataFrame:
         features, out = Features(), []
         for text in texts:
-            raw = (text or "").encode("utf-8", "surrogatepass")
+            raw = text or b""
             words = raw.split()
             if not words:
                 out.append((None, None, None))
@@ -212,7 +212,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
 
     picked = [] if chosen is None else (
         rows.where(key <= chosen).withColumn("key", key).orderBy("key", "doc").limit(max_train)
-        .select(examples("text").alias("x")).where("x.code is not null").select("x.*").collect())
+        .select(examples(F.col("text").cast("binary")).alias("x")).where("x.code is not null").select("x.*").collect())
     features = [(np.array(r["index"], np.int32), np.array(r["value"])) for r in picked]
     target = labels.posterior(np.array([r["code"] for r in picked], np.int64)) if picked else np.zeros(0)
     return Scorer(labels, *fit_linear(features, target))

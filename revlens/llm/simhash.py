@@ -20,11 +20,11 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
 
 
-def text_fingerprint(text: str | None, shingle: int, seed: int = 42, block: int = 1 << 15) -> int:
-    """Unsigned 64 bits: those set in over half of the shingles' XXH64, 0 for a text without words."""
+def text_fingerprint(text: bytes | None, shingle: int, seed: int = 42, block: int = 1 << 15) -> int:
+    """Unsigned 64 bits of a text in UTF-8: those set in over half of the shingles' XXH64, 0 for a text without words."""
     import xxhash
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = (text or b"").lower().split()
     if not words:
         return 0
     joined = b" ".join(words)
@@ -45,7 +45,7 @@ def fingerprint(text: Column, shingle: int) -> Column:
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([text_fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return of(text)
+    return of(text.cast("binary"))
 
 
 def bit_count_embedding(fp: Column, segment: int) -> Column:
@@ -154,16 +154,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_distance: int = 4) -> DataFrame:
     """`docs` less all documents of a component of `near_duplicates` but the one with the smallest id, which stays once.
 
-    Texts are read once: rows are staged with their fingerprints, and those that stay find themselves by (id, fingerprint).
+    Fingerprints are computed once and staged with the ids and the rows' hashes; rows that stay are found by id and hash.
     An id that occurs with several texts stays with that one of its texts which represents the component. Of rows that repeat
     both, the one with the least `row_hash` stays. Rows without id link others but represent none, and stay. Null, empty and blank
     texts are copies of each other. An empty table gives no rows; columns of any name and type come along.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"),
-                       row_hash(docs).alias("hash"), whole.alias("row"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), row_hash(docs).alias("hash"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"))
     rows = staged(rows, "simhash-rows")
     found = rooted(rows.select("doc", "fp"), max_distance).where("least IS NOT NULL")
-    stay = found.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("x")).select(F.col("x.least").alias("doc"), "x.fp")
-    once = rows.join(stay, ["doc", "fp"]).groupBy("doc", "fp").agg(F.min_by("row", "hash").alias("row"))
-    return once.select("row.*").union(rows.where("doc IS NULL").select("row.*"))
+    least = found.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("x")).select(F.col("x.least").alias("doc"), "x.fp")
+    stay = rows.join(least, ["doc", "fp"]).groupBy("doc", "fp").agg(F.min("hash").alias("hash")).select("doc", "hash")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(F.col(f"`{id_col}`").alias("doc"), row_hash(docs).alias("hash"), F.struct(*columns).alias("row"))
+    once = whole.join(stay, ["doc", "hash"]).dropDuplicates(["doc", "hash"])  # rows equal in every column are one
+    return once.select("row.*").union(docs.where(F.col(f"`{id_col}`").isNull()).select(*columns))

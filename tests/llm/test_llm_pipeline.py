@@ -37,7 +37,7 @@ def test_near_duplicates_leave_one(spark):
     base = prose(1, 400)
     words = base.split()
     words[200] = "changed"
-    apart = simhash.text_fingerprint(base, 4) ^ simhash.text_fingerprint(" ".join(words), 4)
+    apart = simhash.text_fingerprint(base.encode(), 4) ^ simhash.text_fingerprint(" ".join(words).encode(), 4)
     assert apart.bit_count() <= 4
     rows = [(5, base, "a"), (3, base, "a"), (3, base, "a"), (9, " ".join(words), "a"), (7, prose(2), "a"), (None, prose(3), "a")]
     out = corpus_pipeline.one_of_each(spark, make(spark, rows), "").collect()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from revlens.ml.vectorize import _param
 from revlens.session import drop_staged, staged
 
-LEAST_SHARE = 1e-7  # a class that no training row has still has a logarithm
+LEAST = 1e-15  # of a probability in the loss
 
 
 @dataclass
@@ -157,11 +157,11 @@ class SoftmaxBoosting(Estimator, BoostingParams):
         total = sum(counts.values())
         if not total:
             raise ValueError("no rows to fit")
-        start = [math.log(max(counts.get(c, 0) / total, LEAST_SHARE)) for c in range(k)]
+        start = [math.log(counts[c] / total) if counts.get(c) else -math.inf for c in range(k)]  # a class without rows keeps probability 0
         state = staged(rows.withColumn("scores", F.array(*map(F.lit, start))), "boosting")
         rounds, history = [], [self._losses(state)]
         for t in range(get("maxIter")):
-            rounds.append(self._round(state, t))
+            rounds.append(self._round(state, t, [c for c in range(k) if counts.get(c)]))
             moved_on = staged(state.withColumn("scores", moved("x", rounds[-1], get("stepSize"))), "boosting")
             drop_staged(state)
             state = moved_on
@@ -179,13 +179,15 @@ class SoftmaxBoosting(Estimator, BoostingParams):
         drawn = F.pmod(F.xxhash64(F.col("row"), F.lit(t), F.lit(self.getSeed())), F.lit(1 << 20)) < int(share * (1 << 20))
         return ~F.col("held") & (drawn if share < 1 else F.lit(True))
 
-    def _round(self, state: DataFrame, t: int) -> list[Tree]:
-        """The trees of a round with their leaf values."""
+    def _round(self, state: DataFrame, t: int, present: list[int]) -> list[Tree]:
+        """The trees of a round with their leaf values; a class without rows has a bare leaf."""
         get, k = self.getOrDefault, self.getOrDefault("classes")
         p = state.where(self._bag(t)).withColumn("p", softmax(F.col("scores")))
         bag = p.select("x", *[((F.col("y") == c).cast("double") - F.col("p")[c]).alias(f"r{c}") for c in range(k)])
 
         def tree(c: int) -> Tree:
+            if c not in present:
+                return Tree.of("\n  Predict: 0.0")
             fitted = RandomForestRegressor(
                 labelCol=f"r{c}", featuresCol="x", numTrees=1, bootstrap=False, maxDepth=get("maxDepth"), seed=self.getSeed() + t,
                 minInstancesPerNode=get("minInstancesPerNode"), featureSubsetStrategy=get("featureSubsetStrategy")).fit(bag)
@@ -206,7 +208,7 @@ class SoftmaxBoosting(Estimator, BoostingParams):
     @staticmethod
     def _losses(state: DataFrame) -> tuple[float | None, float | None]:
         found = state.withColumn("p", softmax(F.col("scores"))).groupBy("held").agg(
-            F.avg(-F.log(F.get("p", F.col("y")))).alias("loss")).collect()
+            F.avg(-F.log(F.greatest(F.get("p", F.col("y")), F.lit(LEAST)))).alias("loss")).collect()
         by = {r["held"]: r["loss"] for r in found}
         return by.get(False), by.get(True)
 

@@ -106,6 +106,13 @@ def test_softmax_boosting_stops_early_and_samples(three):
     assert f1(SoftmaxBoosting(classes=3, maxIter=3, stepSize=0.5, subsamplingRate=0.7).fit(three).transform(three)) > 0.85
 
 
+def test_a_class_without_rows_has_probability_zero(three):
+    df = three.withColumn("label", F.when(F.col("label") == 1, 3).otherwise(F.col("label")))
+    model = cl.gradient_boosting(n_estimators=2, learning_rate=0.5, classes=5).fit(df)
+    p = np.array([r[0] for r in model.transform(df).select(vector_to_array("probability")).collect()])
+    assert (p[:, [1, 4]] == 0).all() and np.allclose(p.sum(1), 1) and np.isfinite([h for h, _ in model.history]).all()
+
+
 def test_leaf_numbers_are_spark_s(three):
     from pyspark.ml.regression import RandomForestRegressor
 

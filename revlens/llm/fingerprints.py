@@ -65,28 +65,6 @@ def numbered(ordered: Column) -> Column:
     return let(ordered, lambda s: let(_starts(s, _hash), lambda starts: with_starts(s, starts)))
 
 
-def signature(text: Column, k: int = 3, bins_log2: int = 6, chosen: int = 2) -> Column:
-    """array<bigint>: for each bin of k-mers, the bin number above a 32-bit hash of its tuple, by bin.
-
-    The numbered k-mers fall into 2^`bins_log2` bins by the top bits of their hash, so that one hash
-    serves for all tuples. The `chosen` smallest of a bin, put in the order in which the text has
-    them, make its tuple. Bins without k-mers (short texts) are absent; a text without words has none.
-    """
-    bin_shift = HASH_BITS + PLACE_BITS - bins_log2
-
-    def bin_of(x: Column) -> Column:
-        return F.shiftright(x, bin_shift)
-
-    def tuple_at(s: Column, at: Column) -> Column:
-        here = bin_of(F.get(s, at))
-        least = F.filter(F.slice(s, at + 1, F.lit(chosen)), lambda x: bin_of(x) == here)
-        in_text = F.sort_array(F.transform(least, lambda x: F.shiftleft(_place(x), HASH_BITS).bitwiseOR(_hash(x))))
-        hashes = F.transform(in_text, lambda x: x.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-        return F.shiftleft(here, 32).bitwiseOR(F.xxhash64(hashes).bitwiseAND(F.lit(0xFFFFFFFF)))
-
-    return let(numbered(kmers(text_words(text), k)), lambda s: F.transform(_starts(s, bin_of), lambda at: tuple_at(s, at)))
-
-
 def whole_signature(text: Column, k: int = 3, functions_log2: int = 6, chosen: int = 2, few: int = 4) -> Column:
     """array<bigint>: for each of 2^`functions_log2` hash functions its number above a 32-bit hash of its tuple.
 

@@ -110,7 +110,7 @@ def mixture_weights(pairs: DataFrame, total: int, held: int, uniform: float, rou
     return weights
 
 
-def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", share: float = 1e-5) -> DataFrame:
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, train, n_tokens, n_known, train_tokens, base_score, score), one row per id of `docs`.
 
     `training` is a condition on `docs`: the documents the model learns from. Tokens are the
@@ -123,7 +123,6 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     All words and all pairs count, however rare, by 64-bit hashes. Pairs are counted per batch, then by
     pair; a word's count is the sum of its pairs. Counts come to the pairs, and the pairs' scores to
     (document, pair, n) rows, by joins, in which AQE can split a very common word or pair.
-    `share` has no effect any more.
 
     Null texts are empty: one token, the end. Rows that repeat an id are one document whose
     tokens are added up; rows without id are one document too. Without any training document

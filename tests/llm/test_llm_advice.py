@@ -82,10 +82,10 @@ def test_stages_take_columns_of_any_name_and_type(spark, folder):
 
 
 def test_rare_words_have_pairs_of_their_own(spark):
-    """`share` names words that were once put into classes: x and y, p and q look alike."""
+    """Words of like shape and frequency, x and y, p and q, are told apart by their pairs."""
     train = [(i, "a a a a a a a a b b b b b b b b xx pp" if i % 2 else "a a a a a a a a b b b b b b b b yy qq", "a") for i in range(60)]
     asked = [(1000, "xx pp", "a"), (1001, "xx qq", "a"), (1002, "yy qq", "a"), (1003, "yy pp", "a")]
-    found = {r["doc"]: r["score"] for r in lm_score.score(make(spark, train + asked), F.col("doc_id") < 1000, share=0.1).collect()}
+    found = {r["doc"]: r["score"] for r in lm_score.score(make(spark, train + asked), F.col("doc_id") < 1000).collect()}
     assert found[1000] > found[1001] + 1 and found[1002] > found[1003] + 1
 
 

@@ -336,18 +336,11 @@ def test_unseen_words_and_empty_texts_have_scores(spark):
     train = [(i, " ".join(words[(i * j) % 5] for j in range(1, 12)), "a") for i in range(40)]
     asked = [(1000 + k, f"a {w}".strip(), "a") for k, w in enumerate([*words, "zz", ""])]
     docs = make(spark, train + asked)
-    rows = {r["doc"]: r for r in lm_score.score(docs, F.col("doc_id") < 1000, share=0.05).collect()}
+    rows = {r["doc"]: r for r in lm_score.score(docs, F.col("doc_id") < 1000).collect()}
     assert all(r["score"] < 0 for r in rows.values()) and len(rows) == 47
     assert rows[1006]["n_tokens"] == 2 and rows[1005]["n_known"] == 2
 
 
-def test_class_shares_sum_to_one():
-    """Add-half shares of a class's words and of one unknown word."""
-    counts = [5, 2, 1, 1]
-    size = sum(counts) + 0.5 * (len(counts) + 1)
-    assert sum((c + 0.5) / size for c in [*counts, 0]) == pytest.approx(1.0)
-
-
 def test_model_edges(edges, none):
     rows = {r["doc"]: r for r in lm_score.score(edges, F.lit(True)).collect()}
     assert len(rows) == 9 and rows[1]["n_tokens"] == 1 and rows[4]["n_tokens"] == 2 * (len(PROSE.split()) + 1)
@@ -359,13 +352,14 @@ def test_model_edges(edges, none):
 # Fingerprints ----------------------------------------------------------------------------------
 
 def brute_signature(spark, text):
-    """The same selection in plain Python; only the hash function is Spark's."""
+    """The same selection in plain Python, for each hash function on its own; only the hash is Spark's."""
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
     if not words:
         return []
-    runs = [words[i:i + 3] for i in range(max(1, len(words) - 2))]
+    units, k = (words, 3) if len(words) > 3 else (list(text.strip(" \t\n\x0b\f\r")), 4)
+    runs = [units[i:i + k] for i in range(max(1, len(units) - k + 1))]
     hashed = [r[0] for r in spark.createDataFrame([(i, r) for i, r in enumerate(runs)], "i int, r array<string>").select(
-        "i", F.xxhash64(*[F.get("r", F.lit(j)) for j in range(3)]).alias("h")).orderBy("i").select("h").collect()]
+        "i", F.xxhash64(*[F.get("r", F.lit(j)) for j in range(k)]).alias("h")).orderBy("i").select("h").collect()]
     top = lambda h: (h & (1 << 64) - 1) >> 30
     count, items = Counter(), []
     for place, h in enumerate(hashed):
@@ -377,17 +371,17 @@ def brute_signature(spark, text):
         pairs = spark.createDataFrame(list(again), "x bigint, n int").select("x", "n", F.xxhash64("x", "n").alias("h")).collect()
         again = {(r["x"], r["n"]): top(r["h"]) for r in pairs}
     numbered = sorted((again[x, n] if n else x, place) for x, n, place in items)
-    bins = {}
-    for x, place in numbered:
-        bins.setdefault(x >> 28, []).append((place, x))
-    tuples = [(b, [x for _, x in sorted(v[:2])]) for b, v in sorted(bins.items())]
+    tuples = []
+    for j in range(64):
+        least = sorted(numbered, key=lambda item: ((item[0] - (j << 28)) % (1 << 34), item[1]))[:2]
+        tuples.append((j, [x for x, _ in sorted(least, key=lambda item: (item[1], item[0]))]))
     out = spark.createDataFrame(tuples, "b bigint, x array<bigint>").select("b", F.xxhash64("x").alias("h")).orderBy("b").collect()
     return [r["b"] << 32 | r["h"] & 0xFFFFFFFF for r in out]
 
 
-@pytest.mark.parametrize("text", ["", "one", "one two", PROSE, f"{PROSE} {PROSE} {PROSE}", "a b c " * 50, "a a a a a a a"])
+@pytest.mark.parametrize("text", ["", " \t", "one", "é b", "one two", "a b c d", PROSE, f"{PROSE} {PROSE} {PROSE}", "a b c " * 50, "a a a a a a a", "x\ny z w v u"])
 def test_signature_matches_brute_force(spark, text):
-    found = spark.createDataFrame([(text,)], "t string").select(fingerprints.signature(F.col("t"))).first()[0]
+    found = spark.createDataFrame([(text,)], "t string").select(fingerprints.whole_signature(F.col("t"))).first()[0]
     assert found == brute_signature(spark, text)
 
 
@@ -395,7 +389,7 @@ def test_order_matters(spark):
     words = [f"v{i}" for i in range(400)]
     same, moved = " ".join(words), " ".join(words[200:] + words[:200])
     near, far = (spark.createDataFrame([(same, x)], "a string, b string").select(fingerprints.likeness(
-        fingerprints.signature(F.col("a")), fingerprints.signature(F.col("b")))).first()[0] for x in (f"{same} end", moved))
+        fingerprints.whole_signature(F.col("a")), fingerprints.whole_signature(F.col("b")))).first()[0] for x in (f"{same} end", moved))
     assert near > 0.9 and far < near
 
 

@@ -173,3 +173,16 @@ def test_stop_words_of_the_sql_are_spark_s(spark):
     from revlens.plans.catalog.vectors import STOP_WORDS
 
     assert sorted(STOP_WORDS) == sorted(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def test_norm_is_taken_once_a_row(spark):
+    """A long row: as a sum within the loop over entries the norm cost as many steps as entries squared."""
+    import time
+
+    n = 20_000
+    rows = spark.createDataFrame([(1, " ".join(f"w{i:05d}" for i in range(n)))], "id int, reviewText string")
+    model = vec.Tfidf(maxCollected=0, norm="l1").fit(rows)
+    begin = time.time()
+    found = model.long(rows, "id").agg(F.count("*"), F.sum("weight")).first()
+    assert found[0] == n and abs(found[1] - 1) < 1e-9
+    assert time.time() - begin < 20

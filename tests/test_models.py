@@ -325,3 +325,31 @@ def test_importance_by_any_evaluator(spark):
     for i, c in enumerate("ab"):
         lost = [base - evaluator.evaluate(model.transform(ev.shuffled(df, "id", c, 5 + 31 * i + r))) for r in range(2)]
         assert got[c]["importance_mean"] == pytest.approx(np.mean(lost)) and got[c]["importance_std"] == pytest.approx(np.std(lost))
+
+
+def test_tree_pieces_follow_rows_times_features(spark):
+    """Trees keep four bytes for every feature, zeros too, so wide sparse rows need more partitions than their files have."""
+    from pyspark.ml.linalg import SparseVector
+
+    wide = spark.createDataFrame([(i, SparseVector(5000, [i % 5000], [1.0])) for i in range(400)], ["id", "features"]).coalesce(1)
+    cut = cl.tree_pieces(wide, "features", "id", 200_000)
+    assert cut.rdd.getNumPartitions() == 40 and cut.count() == 400
+    assert cl.tree_pieces(wide, "features", "id").rdd.getNumPartitions() == 1
+
+
+def test_newton_reads_blocks_of_rows(spark):
+    """A pass moves blocks, not rows: sparse and dense rows mixed, more rows than a block has."""
+    from pyspark.ml.linalg import Vectors
+
+    from revlens.ml import newton
+
+    rows = [(float(i % 3 == 0), Vectors.dense([i % 7, i % 5]) if i % 2 else Vectors.sparse(2, [1], [float(i % 5)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
+    parts = F.unwrap_udt("features")
+    flat = df.select(F.col("label").alias("y"), F.lit(1.0).alias("w"), F.coalesce(parts["size"], F.size(parts["values"])).alias("size"), parts["indices"].alias("indices"), parts["values"].alias("values"))
+    blocks = flat.mapInArrow(newton._blocks, "size int, y binary, w binary, row binary, at binary, value binary")
+    assert blocks.count() == 3
+    x = np.array([[*v.toArray(), 1.0] for _, v in rows])
+    loss, slope, curve = newton._sums(blocks, np.zeros(3), np.zeros(3))
+    assert abs(loss - np.log(2)) < 1e-12
+    assert np.allclose(slope, x.T @ (0.5 - np.array([y for y, _ in rows])) / 3000) and np.allclose(curve, x.T @ x / 4 / 3000)

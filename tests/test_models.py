@@ -124,6 +124,30 @@ def test_leaf_numbers_are_spark_s(three):
     assert mine.where(vector_to_array("spark_leaf")[0] != F.col("leaf")).count() == 0 and tree.leaves > 3
 
 
+def test_a_boosting_fit_sends_no_row_to_python(three, monkeypatch):
+    """Every table of a fit is written without Python and holds the residuals, so that a tree reads them instead of taking a softmax."""
+    from revlens.ml import boosting
+
+    written, keep = [], boosting.staged
+    monkeypatch.setattr(boosting, "staged", lambda df, name: written.append(df) or keep(df, name))
+    model = cl.gradient_boosting(n_estimators=2, learning_rate=0.5, classes=3).fit(three)
+    assert len(written) == 3 and len(model.rounds) == 2
+    for df in written:
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and {"r0", "r1", "r2", "loss"} <= set(df.columns)
+
+
+def test_both_forms_of_a_batch_give_the_same_features():
+    """Arrow rows, a slice of them included, and pandas rows."""
+    import pandas as pd
+    import pyarrow as pa
+
+    from revlens.ml import boosting
+
+    rows = [{"indices": [0], "values": [3.0]}, {"indices": None, "values": [1.0, 2.0, 4.0]}, {"indices": [1, 2], "values": [5.0, 6.0]}, {"indices": [], "values": []}]
+    parts = pa.array(rows, pa.struct([("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])).slice(1)
+    assert boosting.dense(parts, {0: 0, 2: 1}).tolist() == boosting.dense(pd.DataFrame(rows[1:]), {0: 0, 2: 1}).tolist() == [[1, 4], [0, 6], [0, 0]]
+
+
 def test_sparse_and_dense_rows_give_the_same_features():
     from revlens.ml import boosting
 

@@ -9,24 +9,27 @@ SALTS = 1024  # at least
 SALT_ROWS = 100_000  # rows of a salt in a table large enough to have more
 
 
-def skew_join(df: DataFrame, lookup: DataFrame, key: str, rows: str, spread_by: Column) -> DataFrame:
+def skew_join(df: DataFrame, lookup: DataFrame, key: str, rows: str, spread_by: Column, wanted: Column | None = None) -> DataFrame:
     """Left join with a per-key table that knows each key's number of rows in its column `rows`.
 
     Hot keys come from a broadcast table that cannot exceed `HOT_SHARE` rows. Their rows, and those
     without a key, are spread over join keys whose number follows the rows in the join with the
-    other keys, so no task receives one key's rows. The found row is added as the struct `found`.
+    other keys, so no task receives one key's rows. The found row is added as the struct `found`. Where `wanted`, a
+    condition on the lookup, doesn't hold, a key that is not hot finds nothing and its entry is not moved.
     """
     total = lookup.agg(F.sum(rows)).scalar()
     salts = F.greatest(F.lit(SALTS).cast("bigint"), F.coalesce(F.floor(total / SALT_ROWS), F.lit(0)).cast("bigint"))
     entry = F.struct(*[c for c in lookup.columns if c != key])
     hot = lookup.where(F.col(rows) * HOT_SHARE > total).select(key, entry.alias("_hot"))
-    cold = lookup.where(F.col(rows) * HOT_SHARE <= total).select(
-        F.col(key).alias("_k"), F.lit(0).cast("bigint").alias("_z"), entry.alias("_cold")
+    # A constant `_z` would be taken out of the join's keys, and all rows without `_k` then meet in one task.
+    own = F.pmod(F.xxhash64(key), F.lit(2))
+    cold = lookup.where((F.col(rows) * HOT_SHARE <= total) & (F.lit(True) if wanted is None else wanted)).select(
+        F.col(key).alias("_k"), own.alias("_z"), entry.alias("_cold")
     )
     keyed = (
         df.join(F.broadcast(hot), on=key, how="left")
         .withColumn("_k", F.when(F.col("_hot").isNull(), F.col(key)))
-        .withColumn("_z", F.when(F.col("_k").isNull(), F.pmod(spread_by, salts)).otherwise(0))
+        .withColumn("_z", F.when(F.col("_k").isNull(), F.pmod(spread_by, salts)).otherwise(own))
     )
     joined = keyed.join(cold, on=["_k", "_z"], how="left")
     return joined.select(*df.columns, F.coalesce("_hot", "_cold").alias("found"))

@@ -123,3 +123,25 @@ def test_skew_join_carries_all_columns(spark, monkeypatch):
     want = {r["g"]: (r["n"], r["last"]) for r in lookup.collect()}
     assert len(out) == len(rows)
     assert all((r["n"], r["last"]) == want.get(r["g"], (None, None)) for r in out)
+
+
+def test_rows_of_hot_keys_are_spread_over_the_join(spark, monkeypatch):
+    """A third of the rows has one key and a third has none: no task gets all of either, also where only some entries are wanted."""
+    monkeypatch.setattr(frequency, "HOT_SHARE", 10)
+    df = spark.range(30_000).select("id", F.expr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN 'k' || id END").alias("g"))
+    counts = df.where("g IS NOT NULL").groupBy("g").agg(F.count("*").alias("n"))
+    flags = counts.where("g <> 'k1'").select("g", F.lit(True).alias("kept"))
+    lookup = counts.join(flags, "g", "left")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(kept, ("false", "-1", "8")):
+            spark.conf.set(k, v)
+        out = frequency.skew_join(df, lookup, "g", "n", F.xxhash64("id"))
+        sizes = [r["count"] for r in out.where("found.kept OR g IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and sum(sizes) == 29_999 and max(sizes) < 6_000
+        assert out.where("g = 'hot' AND found.n = 10000").count() == 10_000 and out.where("found IS NULL").count() == 10_000
+        some = frequency.skew_join(df, lookup, "g", "n", F.xxhash64("id"), F.expr("g <> 'k1'"))
+        assert {r["g"] for r in some.where("g IS NOT NULL AND found IS NULL").collect()} == {"k1"}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

@@ -106,6 +106,20 @@ def test_softmax_boosting_stops_early_and_samples(three):
     assert f1(SoftmaxBoosting(classes=3, maxIter=3, stepSize=0.5, subsamplingRate=0.7).fit(three).transform(three)) > 0.85
 
 
+def test_softmax_takes_maximum_and_sum_once_a_row(spark):
+    """As plain columns inside the lambdas both were computed again for every class."""
+    from revlens.ml.boosting import softmax
+
+    df = spark.createDataFrame([([0.5, -1.0, 2.0],), ([1000.0, 1000.0, float("-inf")],)], "s array<double>")
+    out = df.select(softmax(F.col("s")).alias("p"))
+    got = np.array([r["p"] for r in out.collect()])
+    e = np.exp([0.5 - 2, -3.0, 0.0])
+    assert np.allclose(got, [e / e.sum(), [0.5, 0.5, 0.0]], atol=1e-15)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_max") == 1 and plan.count("aggregate(") == 1
+    assert "- array_max" not in plan and "/ aggregate" not in plan
+
+
 def test_a_class_without_rows_has_probability_zero(three):
     df = three.withColumn("label", F.when(F.col("label") == 1, 3).otherwise(F.col("label")))
     model = cl.gradient_boosting(n_estimators=2, learning_rate=0.5, classes=5).fit(df)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from revlens.ml import classifiers as cl
 from revlens.ml import compare, search
 from revlens.ml import evaluate as ev
 from revlens.ml.stacking import Stacking
+from revlens.ml.vectorize import Tfidf, TfidfParams, feature_steps
 from revlens.plans import jobs
 from revlens.session import staged
 
@@ -236,6 +238,47 @@ def test_search(binary):
     assert len(search.Search(model, {"clf": model}, folded, 2).rounds(space, 2, 2).trials) == 4
 
 
+def folded_texts(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, i % 2, " ".join(rng.choice(words[(i % 2) * 10:]) for _ in range(rng.randrange(12))) if i % 9 else None, float(i % 5)) for i in range(90)]
+    return search.with_folds(spark.createDataFrame(rows, "id int, label int, reviewText string, a double"), "id", 3)
+
+
+def vectors(df):
+    return {r["id"]: r["features"] for r in df.select("id", "features").collect()}
+
+
+@pytest.mark.parametrize("options", [
+    dict(minDF=2.0, maxDF=0.9, maxFeatures=12), dict(maxNgram=2, minDF=3.0, sublinear=True, norm="l1"),
+    dict(minDF=0.05, maxFeatures=7, binary=True, norm="none"), dict(maxNgram=2, minDF=2.0, maxCollected=3)])
+def test_folds_share_their_texts_and_keep_their_features(spark, options):
+    """A fold's features out of the shared counts are those of the pipeline that was fitted without it, to the last bit."""
+    rows = folded_texts(spark)
+    plain = Pipeline(stages=list(feature_steps(numeric=["a"], **options).values()))
+    shared = search.FoldFeatures(plain, rows, 3, "fold")
+    for i in (0, 1, 2, None):
+        inside, on_texts = shared.fit(i)
+        expected = vectors(plain.fit(rows if i is None else rows.where(F.col("fold") != i)).transform(rows))
+        assert vectors(inside.transform(shared.rows)) == vectors(on_texts.transform(rows)) == expected and len(expected) == 90
+
+
+def test_a_search_reads_its_texts_twice_and_refits_without_them(spark, monkeypatch):
+    """Once for the folds' terms, once for the rows' counts; a second round and the refit read neither again."""
+    rows, seen = folded_texts(spark), []
+    terms = Tfidf.terms
+    monkeypatch.setattr(TfidfParams, "terms", lambda self: seen.append(1) or terms(self))
+    steps, model = feature_steps(numeric=["a"], minDF=2.0), cl.logistic(max_iter=10)
+    found = search.Search(model, {**steps, "clf": model}, rows, 3, features=Pipeline(stages=list(steps.values())))
+    found.grid({"clf__C": [0.1, 1.0]}).grid({"clf__C": [0.5]})
+    assert len(seen) == 2 and len(found.trials) == 3
+    refitted = found.refit()
+    assert len(seen) == 2
+    expected = found.with_settings(found.best.settings).fit(rows).transform(rows)
+    got = {r["id"]: r["probability"] for r in refitted.transform(rows).collect()}
+    assert all(np.allclose(r["probability"], got[r["id"]], atol=1e-6) for r in expected.collect()) and len(got) == 90
+
+
 def test_draws_are_seeded_and_inside():
     space = {"a": search.Whole(2, 4), "b": search.LogUniform(1e-3, 1.0), "c": ["x", "y"], "d": search.Uniform(0.5, 0.9)}
     assert search.draws(space, 5, 1) == search.draws(space, 5, 1) != search.draws(space, 5, 2)

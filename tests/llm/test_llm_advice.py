@@ -1,8 +1,10 @@
 """Cases of the second review: what the operators left out of the whole job."""
 
 import math
+import os
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from revlens.llm import fingerprints, language_id, lm_score, mixing, queries, simhash
+from revlens.session import staging_dir
 from test_llm_pipeline import make, prose
 
 
@@ -200,3 +203,21 @@ def test_order_of_short_texts_matters(spark):
     assert 0.2 < rows[1]["like"] < 1 and rows[2]["like"] == rows[3]["like"] == 1.0 and rows[4]["like"] == 0.0
     whole = fingerprints.compare_edited(make(spark, [(n, a, "a") for n, a, _ in pairs])).collect()
     assert {len(r["signature"]) for r in whole if r["doc"] >= 10} == {64}
+
+
+def test_language_model_leaves_little_on_disk(spark, monkeypatch):
+    """Texts in many pieces have the scores of one, and what stays behind is less than the texts: neither pairs nor hashes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shared = Path(staging_dir(spark).removeprefix("file:"))
+    train = ~language_id.held_out(parts=5)
+    before = set(shared.glob("*-*"))
+    found = {r["doc"]: r for r in lm_score.score(docs, train).collect()}
+    left = sum(p.stat().st_size for d in set(shared.glob("*-*")) - before for p in d.rglob("*.parquet"))
+    assert 0 < left < os.path.getsize("/root/testdata/sf0.01/documents.parquet")
+    monkeypatch.setattr(lm_score, "PIECE_TOKENS", 5000)
+    monkeypatch.setattr(lm_score, "BUCKET_TOKENS", 20_000)
+    texts = lm_score.encoded(docs.select(F.col("doc_id").alias("key"), "text", F.lit(1).alias("part")))
+    assert texts.agg(F.sum("n"), F.sum(F.size("key"))).first()[:] == (sum(r["n_tokens"] for r in found.values()), len(found)) and texts.count() > 50
+    for r in lm_score.score(docs, train).collect():
+        assert r["n_known"] == found[r["doc"]]["n_known"] and r["train_tokens"] == found[r["doc"]]["train_tokens"]
+        assert r["score"] == pytest.approx(found[r["doc"]]["score"]) and r["base_score"] == pytest.approx(found[r["doc"]]["base_score"])

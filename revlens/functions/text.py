@@ -33,11 +33,25 @@ def num_words(c: Column | str) -> Column:
     return F.regexp_count(_col(c), F.lit(NOT_SPACE_RUN)).cast("int")
 
 
+def word_sizes(c: Column | str) -> Column:
+    """struct<words, letters>: the number of words and of their characters, from one pass over the text.
+
+    With one space between words, the spaces are one fewer than the words.
+    """
+    spaced = F.trim(F.regexp_replace(_col(c), f"[{SPACE}]+", " "))
+    # One-element transforms: each value is computed once.
+    both = F.transform(F.array(spaced), lambda s: F.struct(F.length(s).alias("all"), F.length(F.replace(s, F.lit(" "), F.lit(""))).alias("letters")))
+    return F.transform(both, lambda s: F.struct(
+        F.when(s["letters"] == 0, F.lit(0)).otherwise(s["all"] - s["letters"] + 1).alias("words"), s["letters"].alias("letters")))[0]
+
+
+def mean_size(sizes: Column) -> Column:
+    return F.when(sizes["words"] == 0, F.lit(0.0)).otherwise(sizes["letters"] / sizes["words"])
+
+
 def avg_word_length(c: Column | str) -> Column:
     """Mean word length; the words' characters are what is left without white space."""
-    words = num_words(c)
-    letters = F.length(F.regexp_replace(_col(c), f"[{SPACE}]+", ""))
-    return F.when(words == 0, F.lit(0.0)).otherwise(letters / words)
+    return F.transform(F.array(word_sizes(c)), mean_size)[0]
 
 
 def uppercase_ratio(c: Column | str) -> Column:
@@ -58,14 +72,14 @@ def text_stats(df: DataFrame, text: str = "reviewText", summary: str | None = "s
     """Lengths, word counts and character ratios of a text column that holds no NULL."""
     columns = {
         "review_length": F.length(text).cast("int"),
-        "num_words": num_words(text),
-        "avg_word_length": avg_word_length(text),
+        "num_words": F.col("_sizes.words"),
+        "avg_word_length": mean_size(F.col("_sizes")),
         "uppercase_ratio": uppercase_ratio(text),
         "exclamation_count": exclamation_count(text),
     }
     if summary:
         columns["summary_length"] = F.length(summary).cast("int")
-    return df.withColumns(columns)
+    return df.withColumn("_sizes", word_sizes(text)).withColumns(columns).drop("_sizes")
 
 
 def numeric_from_text(df: DataFrame, text: str = "reviewText") -> DataFrame:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from revlens.functions import text as tx
@@ -90,3 +92,17 @@ def test_term_counts(spark):
 def test_stop_words(spark):
     words = tx.without_stop_words(tx.tokens("t"), ["the"])
     assert evaluate(spark, ["the end of the"], words) == [["end", "of"]]
+
+
+def test_word_statistics_take_one_pass(spark):
+    """Words are counted and measured by one regex over the text, with the values of a plain split."""
+    texts = ["", " ", " \t", "one", " two  words ", "a b\x1cc\x85d　", "x\n\ny z\r\n", "​é \U0001f600\U0001f600 ß", "it's - a  'b'"]
+    out = tx.text_stats(spark.createDataFrame([(t, t) for t in texts], "reviewText string, summary string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2 and "regexp_extract_all(" not in plan
+    for r in out.collect():
+        words = re.findall(r"[^\x20\xa0  -     　\t-\r\x1c-\x1f\x85]+", r["reviewText"])
+        assert r["num_words"] == len(words)
+        assert r["avg_word_length"] == (sum(map(len, words)) / len(words) if words else 0.0)
+    null = spark.createDataFrame([(None,)], "t string").select(tx.avg_word_length("t"), tx.num_words("t")).first()
+    assert tuple(null) == (None, None)

@@ -96,6 +96,8 @@ def links(unique: DataFrame, max_distance: int = 4, segment: int = 2, shared: in
     pair. A pair is taken only in the cell of its first equal groups, so once, and goes on if its
     Manhattan distance and then its real distance hold. The join is by (choice, cell); cells of
     random fingerprints hold few rows, because `shared` follows the number of points if it isn't given.
+    It is a merge join by hint: the planner takes the cells for as small as the points' files, and would
+    broadcast a table tens of times as large through the driver.
     """
     if shared is None:
         shared = shared_groups(unique.count(), max_distance, segment)
@@ -120,7 +122,7 @@ def links(unique: DataFrame, max_distance: int = 4, segment: int = 2, shared: in
         & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_distance) & is_first
     )
     same_cell = (F.col("x.choice") == F.col("y.choice")) & (F.col("x.cell") == F.col("y.cell"))
-    return x.join(y, same_cell & near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+    return x.join(y.hint("merge"), same_cell & near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,

@@ -63,3 +63,18 @@ def test_line_stage_updates_the_length(spark):
     out = corpus_pipeline.fresh_lines(spark, make(spark, rows), "")
     assert out.where(F.length("text") != F.col("n_chars")).count() == 0
     assert [r["doc_id"] for r in out.where(F.col("text").contains(line)).collect()] == [5]
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.one_of_each, lambda spark, docs, folder: simhash.near_duplicates(docs)])
+def test_no_table_of_cells_is_broadcast(spark, monkeypatch, stage):
+    """The cells are many times the points that the planner takes them for; the driver must not gather them."""
+    plans, staged = {}, simhash.staged
+
+    def seen(df, name, *args, **kwargs):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(simhash, "staged", seen)
+    rows = [(i, prose(i), "a") for i in range(6)] + [(9, prose(2), "a")]
+    assert stage(spark, make(spark, rows), "").count() in (6, 7)
+    assert "SortMergeJoin" in plans["links"] and "Broadcast" not in plans["links"]

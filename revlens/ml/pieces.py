@@ -11,6 +11,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -268,39 +269,73 @@ def looked_up(pieces: DataFrame, most: int, dictionary: DataFrame) -> DataFrame:
     return both.groupBy("bucket").applyInArrow(answering, ANSWERS)
 
 
-def weighted(pieces: DataFrame, answers: DataFrame, most: int, n_docs: int, weigh: dict, row: str, vectors: bool) -> DataFrame:
-    """(row, term, weight) of all entries, or with `vectors` (row, indices, weights) with the indices in order, of rows that have any.
+def weights(tf: np.ndarray, df: np.ndarray, n_docs: int, weigh: dict) -> np.ndarray:
+    """Before the norm; `weigh` has `binary`, `sublinear`, `idf` and `norm` of a `Tfidf`."""
+    weight = tf.astype("f8")
+    if weigh["binary"]:
+        weight = np.ones_like(weight)
+    elif weigh["sublinear"]:
+        weight = 1 + np.log(weight)
+    return weight * (np.log((1 + n_docs) / (1 + df)) + 1) if weigh["idf"] else weight
+
+
+def normed(weight: np.ndarray, row: np.ndarray, n_rows: int, norm: str) -> np.ndarray:
+    if norm == "none":
+        return weight
+    total = np.bincount(row, np.abs(weight) if norm == "l1" else weight * weight, n_rows)
+    return weight / (total if norm == "l1" else np.sqrt(total))[row]
+
+
+def _known(piece: pa.Table, got: pa.Table, most: int, buckets: int) -> tuple:
+    """(ids, different terms, and row, term, tf, df, index of each entry whose term was found) of a piece and the answers to it."""
+    own, got = Terms(piece.to_pylist()[0], most), got.sort_by("bucket")
+    sizes, order = got["n"].to_pylist(), own.order(buckets)
+    df, place = np.empty((2, len(order)), "i8")
+    df[order], place[order] = _numbers(got, "df", sizes), _numbers(got, "place", sizes)
+    kept = df[own.term] > 0
+    row, term, tf = own.row[kept], own.term[kept], own.tf[kept]
+    return piece["ids"].combine_chunks().flatten(), own.terms, row, term, tf, df[term], place[term]
 
-    `weigh` has `binary`, `sublinear`, `idf` and `norm` of a `Tfidf`. Answers were made for these pieces, bucket by bucket.
-    """
-    kind = pieces.schema["ids"].dataType.elementType.simpleString()
-    schema = f"`{row}` {kind}, " + ("indices array<int>, weights array<double>" if vectors else "term string, weight double")
-    buckets = n_buckets(pieces, most)
+
+def weighted(pieces: DataFrame, answers: DataFrame, most: int, n_docs: int, weigh: dict, row: str) -> DataFrame:
+    """(row, term, weight) of all entries. Answers were made for these pieces, bucket by bucket."""
+    kind, buckets = pieces.schema["ids"].dataType.elementType.simpleString(), n_buckets(pieces, most)
 
     def weighing(piece: pa.Table, got: pa.Table) -> pa.Table:
-        ids = piece["ids"].combine_chunks().flatten()
-        own = Terms(piece.to_pylist()[0], most)
-        got = got.sort_by("bucket")
-        sizes, order = got["n"].to_pylist(), own.order(buckets)
-        df, place = np.empty((2, len(order)), "i8")
-        df[order], place[order] = _numbers(got, "df", sizes), _numbers(got, "place", sizes)
-        kept = df[own.term] > 0
-        at, term, weight = own.row[kept], own.term[kept], own.tf[kept].astype("f8")
-        if weigh["binary"]:
-            weight = np.ones_like(weight)
-        elif weigh["sublinear"]:
-            weight = 1 + np.log(weight)
-        if weigh["idf"]:
-            weight = weight * (np.log((1 + n_docs) / (1 + df[term])) + 1)
-        if weigh["norm"] != "none":
-            total = np.bincount(at, np.abs(weight) if weigh["norm"] == "l1" else weight * weight, len(ids))
-            weight = weight / (total if weigh["norm"] == "l1" else np.sqrt(total))[at]
-        if not vectors:
-            return pa.Table.from_arrays([ids.take(pa.array(at)), own.terms.take(pa.array(term)), pa.array(weight)], names=[row, "term", "weight"])
-        order = np.lexsort((place[term], at))
-        has = np.flatnonzero(counts := np.bincount(at, minlength=len(ids)))
-        offsets = pa.array(np.append(0, np.cumsum(counts[has])), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order], t)) for x, t in ((place[term], pa.int32()), (weight, pa.float64()))]
-        return pa.Table.from_arrays([ids.take(pa.array(has)), *lists], names=[row, "indices", "weights"])
-
-    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(weighing, schema)
+        ids, terms, at, term, tf, df, _ = _known(piece, got, most, buckets)
+        weight = normed(weights(tf, df, n_docs, weigh), at, len(ids), weigh["norm"])
+        return pa.Table.from_arrays([ids.take(pa.array(at)), terms.take(pa.array(term)), pa.array(weight)], names=[row, "term", "weight"])
+
+    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(weighing, f"`{row}` {kind}, term string, weight double")
+
+
+def packed_rows(pieces: DataFrame, answers: DataFrame, most: int, row: str) -> DataFrame:
+    """(row, n, entries) of rows that have any of the terms: steps of the index, occurrences and documents of each, compressed.
+
+    A weight would take eight bytes that don't compress; `vector_parts` makes it from these.
+    """
+    kind, buckets = pieces.schema["ids"].dataType.elementType.simpleString(), n_buckets(pieces, most)
+
+    def packing(piece: pa.Table, got: pa.Table) -> pa.Table:
+        ids, _, at, _, tf, df, place = _known(piece, got, most, buckets)
+        order = np.lexsort((place, at))
+        has, counts = np.unique(at, return_counts=True)
+        rows = np.split(np.stack([place, tf, df])[:, order], np.cumsum(counts)[:-1], axis=1)
+        data = [packed(np.concatenate([np.diff(x[0], prepend=0), x[1], x[2]]), "<i8") for x in rows[:len(has)]]
+        return pa.Table.from_arrays([ids.take(pa.array(has)), pa.array(counts, pa.int32()), pa.array(data, pa.binary())], names=[row, "n", "entries"])
+
+    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(packing, f"`{row}` {kind}, n int, entries binary")
+
+
+def vector_parts(n: Column, entries: Column, n_docs: int, weigh: dict) -> Column:
+    """struct<indices, weights> of `packed_rows`; both are empty for a row without entries."""
+    @F.pandas_udf("struct<indices:array<int>,weights:array<double>>")
+    def parts(sizes: pd.Series, rows: pd.Series) -> pd.DataFrame:
+        out = []
+        for size, data in zip(sizes, rows):
+            step, tf, df = unpacked(data, 3 * int(size), "<i8").reshape(3, -1) if data is not None else np.zeros((3, 0), "i8")
+            weight = normed(weights(tf, df, n_docs, weigh), np.zeros(len(tf), "i8"), 1, weigh["norm"])
+            out.append((np.cumsum(step).astype("i4"), weight))
+        return pd.DataFrame(out, columns=["indices", "weights"])
+
+    return parts(n, entries)

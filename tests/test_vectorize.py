@@ -238,7 +238,7 @@ def test_pieces_of_any_size_count_the_same(spark, monkeypatch, size, bucket_byte
                                        "term string, df bigint, index bigint")
     wanted = {(row, t): float(tf) for t, rows in hand.items() if len(rows) > 1 for row, tf in rows.items()}
     for answers in (pieces.answered(parts, 3, 2, 1e9), pieces.looked_up(parts, 3, dictionary)):
-        out = pieces.weighted(parts, staged(answers, "answers"), 3, len(ODD), plain, "id", False).collect()
+        out = pieces.weighted(parts, staged(answers, "answers"), 3, len(ODD), plain, "id").collect()
         assert len(out) == len(wanted) and {(r["id"], r["term"]): r["weight"] for r in out} == wanted
 
 
@@ -262,3 +262,16 @@ def test_dictionary_is_asked_by_pieces(spark):
     assert shuffled_by(out) == {"piece"}
     assert {(r["id"], r["term"]): r["weight"] for r in out.collect()} == {
         (row, t): float(tf) for t, rows in counted_by_hand(2).items() if len(rows) > 1 for row, tf in rows.items()}
+
+
+def test_vectors_come_back_packed(spark, monkeypatch):
+    """Rows without terms have empty vectors; the entries that are joined to the rows are compressed, not arrays of doubles."""
+    df, seen, joined = odd_texts(spark), [], pieces.packed_rows
+    monkeypatch.setattr(pieces, "packed_rows", lambda *args: seen.append(joined(*args)) or seen[-1])
+    settings = dict(maxNgram=2, minDF=2.0, norm="l1")
+    model = vec.Tfidf(maxCollected=0, **settings).fit(df)
+    got = {r["id"]: r["tfidf"] for r in model.transform(df).collect()}
+    want = {r["id"]: r["tfidf"] for r in vec.Tfidf(**settings).fit(df).transform(df).collect()}
+    assert got.keys() == want.keys() and len(got) == len(ODD) and all(np.allclose(got[k].toArray(), want[k].toArray()) for k in want)
+    assert got["r2"].numNonzeros() == 0 and [t for _, t in seen[0].dtypes] == ["bigint", "int", "binary"]
+    assert seen[0].count() == sum(v.numNonzeros() > 0 for v in want.values())

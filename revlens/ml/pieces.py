@@ -288,7 +288,7 @@ def normed(weight: np.ndarray, row: np.ndarray, n_rows: int, norm: str) -> np.nd
 
 def _known(piece: pa.Table, got: pa.Table, most: int, buckets: int) -> tuple:
     """(ids, different terms, and row, term, tf, df, index of each entry whose term was found) of a piece and the answers to it."""
-    own, got = Terms(piece.to_pylist()[0], most), got.sort_by("bucket")
+    own, got = Terms(piece.to_pylist()[0], most), pa.Table.from_pylist(got["answers"][0].as_py()).sort_by("bucket")
     sizes, order = got["n"].to_pylist(), own.order(buckets)
     df, place = np.empty((2, len(order)), "i8")
     df[order], place[order] = _numbers(got, "df", sizes), _numbers(got, "place", sizes)
@@ -297,6 +297,12 @@ def _known(piece: pa.Table, got: pa.Table, most: int, buckets: int) -> tuple:
     return piece["ids"].combine_chunks().flatten(), own.terms, row, term, tf, df[term], place[term]
 
 
+def _with_answers(pieces: DataFrame, answers: DataFrame):
+    """Each piece with its answers, which are gathered before the shuffle: a row for each piece and task instead of one a bucket."""
+    lists = answers.groupBy("piece").agg(F.collect_list(F.struct("bucket", "n", "df", "place")).alias("answers"))
+    return pieces.groupBy("piece").cogroup(lists.groupBy("piece"))
+
+
 def weighted(pieces: DataFrame, answers: DataFrame, most: int, n_docs: int, weigh: dict, row: str) -> DataFrame:
     """(row, term, weight) of all entries. Answers were made for these pieces, bucket by bucket."""
     kind, buckets = pieces.schema["ids"].dataType.elementType.simpleString(), n_buckets(pieces, most)
@@ -306,7 +312,7 @@ def weighted(pieces: DataFrame, answers: DataFrame, most: int, n_docs: int, weig
         weight = normed(weights(tf, df, n_docs, weigh), at, len(ids), weigh["norm"])
         return pa.Table.from_arrays([ids.take(pa.array(at)), terms.take(pa.array(term)), pa.array(weight)], names=[row, "term", "weight"])
 
-    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(weighing, f"`{row}` {kind}, term string, weight double")
+    return _with_answers(pieces, answers).applyInArrow(weighing, f"`{row}` {kind}, term string, weight double")
 
 
 def packed_rows(pieces: DataFrame, answers: DataFrame, most: int, row: str) -> DataFrame:
@@ -324,7 +330,7 @@ def packed_rows(pieces: DataFrame, answers: DataFrame, most: int, row: str) -> D
         data = [packed(np.concatenate([np.diff(x[0], prepend=0), x[1], x[2]]), "<i8") for x in rows[:len(has)]]
         return pa.Table.from_arrays([ids.take(pa.array(has)), pa.array(counts, pa.int32()), pa.array(data, pa.binary())], names=[row, "n", "entries"])
 
-    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(packing, f"`{row}` {kind}, n int, entries binary")
+    return _with_answers(pieces, answers).applyInArrow(packing, f"`{row}` {kind}, n int, entries binary")
 
 
 def vector_parts(n: Column, entries: Column, n_docs: int, weigh: dict) -> Column:
